@@ -3,7 +3,8 @@
 Each entry takes ``(spark, sf_dir)`` and returns a lazy DataFrame built
 from the parquet tables in ``sf_dir`` through the staging views of
 ``ordermill.sources.fixtures``. Names and column aliases match the SQL in
-``ordermill.plans.oracle``.
+``ordermill.plans.oracle``. Dashboard queries take ``as_of`` = the newest
+order time (a scalar subquery), so results do not depend on the clock.
 """
 
 from __future__ import annotations
@@ -11,13 +12,22 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ordermill.operators import marts
+from ordermill.functions import money as fm
+from ordermill.functions import text as ft
+from ordermill.functions import time as tf
+from ordermill.operators import marts, quality, realtime
+from ordermill.operators.unified import unified_orders as _unified
+from ordermill.session import shared_dir
 from ordermill.sources import fixtures as fx
+from ordermill.streaming import hourly, ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+# --- marts ----------------------------------------------------------------
+
 def fact_orders(spark: SparkSession, sf: str) -> DataFrame:
     return marts.fact_orders(fx.stg_orders(spark, sf), fx.stg_order_items(spark, sf),
                              fx.stg_order_payments(spark, sf), fx.stg_order_reviews(spark, sf))
@@ -35,9 +45,251 @@ def dim_customers(spark: SparkSession, sf: str) -> DataFrame:
     return marts.dim_customers(fx.stg_customers(spark, sf), fx.stg_orders(spark, sf))
 
 
+def _marts(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    return {"dim_customers": dim_customers(spark, sf), "dim_products": dim_products(spark, sf),
+            "dim_sellers": dim_sellers(spark, sf), "fact_orders": fact_orders(spark, sf)}
+
+
+# --- single operators -----------------------------------------------------
+
+def price_range(spark: SparkSession, sf: str) -> DataFrame:
+    # Mean part prices lie between 33k and 76k here, so cut points inside
+    # that range exercise all three bands.
+    return (marts.dim_products(fx.stg_products(spark, sf), fx.stg_order_items(spark, sf),
+                               low_cut=50000, high_cut=55000)
+            .select("product_id", "avg_price", "price_range"))
+
+
+def order_left_join_chain(spark: SparkSession, sf: str) -> DataFrame:
+    j = marts.order_left_join_chain(fx.stg_orders(spark, sf), fx.stg_order_items(spark, sf),
+                                    fx.stg_order_payments(spark, sf),
+                                    fx.stg_order_reviews(spark, sf))
+    return j.select("order_id", "customer_id", "total_items",
+                    fm.to_double(F.col("total_payment")).alias("total_payment"),
+                    "payment_installments", "review_count")
+
+
+def two_distinct_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return (marts.product_item_metrics(fx.stg_order_items(spark, sf))
+            .select("product_id", "total_orders", "total_sellers"))
+
+
+def order_item_arrays(spark: SparkSession, sf: str) -> DataFrame:
+    return (marts.order_item_metrics(fx.stg_order_items(spark, sf))
+            .select("order_id", "product_ids", "seller_ids"))
+
+
+def latest_attributes(spark: SparkSession, sf: str) -> DataFrame:
+    segment = fx.table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("customer_id"), F.col("c_mktsegment").alias("segment"))
+    customers = fx.stg_customers(spark, sf).join(segment, "customer_id")
+    return marts.latest_customer_per(customers, fx.stg_orders(spark, sf), "segment")
+
+
+def unified_orders(spark: SparkSession, sf: str) -> DataFrame:
+    return _unified(fx.stg_orders(spark, sf), fx.stg_order_items(spark, sf),
+                    fx.raw_orders_stream(spark, sf))
+
+
+def date_functions(spark: SparkSession, sf: str) -> DataFrame:
+    o = fx.raw_orders_stream(spark, sf)
+    as_of = realtime.latest_order_time(o)
+    ts = F.col("order_timestamp")
+    return o.select(
+        "order_id",
+        tf.hour_bucket(ts).alias("order_hour"),
+        F.to_date(ts).cast("string").alias("order_date"),
+        tf.day_name(ts).alias("day_of_week"),
+        tf.hour_of_day(ts).alias("hour_of_day"),
+        tf.days_between(ts, as_of).alias("days_before_as_of"),
+        tf.within_last(ts, as_of, 1, "hour").alias("in_last_hour"),
+        F.round("price", 1).cast("double").alias("price_rounded"))
+
+
+def scalar_functions(spark: SparkSession, sf: str) -> DataFrame:
+    items = fx.stg_order_items(spark, sf)
+    price, freight = F.col("price"), F.col("freight_value")
+    return items.select(
+        "order_id", "seller_id",
+        F.when(price < 10000, "low").when(price < 50000, "mid").otherwise("high")
+         .alias("price_band"),
+        F.round(price + freight, 2).cast("double").alias("gross_value"),
+        F.abs(freight - price).cast("double").alias("abs_gap"),
+        F.coalesce(freight, F.lit(0)).cast("double").alias("freight_or_zero"),
+        ((price <= 0) | freight.isNull()).alias("flagged"))
+
+
+def order_messages(events: DataFrame) -> DataFrame:
+    """JSON order messages shaped like the producer's, derived from events.
+
+    Product and seller ids are wrapped in ``"`` the way the producer's naive
+    CSV split leaves them; the decoder must strip them.
+    """
+    k = ft.json_int("props", "$.k")
+    quoted = lambda c: F.concat(F.lit('"'), c.cast("string"), F.lit('"'))
+    return events.select(F.to_json(F.struct(
+        F.concat(F.lit("ORDER_"), F.date_format("ts", "yyyyMMdd"), F.lit("_"),
+                 F.col("event_id").cast("string")).alias("order_id"),
+        F.concat(F.lit("CUST_"), F.col("user_id").cast("string")).alias("customer_id"),
+        quoted(k).alias("product_id"),
+        quoted(F.col("user_id") % 50).alias("seller_id"),
+        (k % 5 + 1).alias("quantity"),
+        F.col("value").alias("price"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
+    )).alias("value"))
+
+
+def json_order_decode(spark: SparkSession, sf: str) -> DataFrame:
+    decoded = ingest.decode_orders(order_messages(fx.table(spark, sf, "events")))
+    return decoded.select(*ingest.LANDING_COLUMNS)
+
+
+def stream_hourly(spark: SparkSession, sf: str) -> DataFrame:
+    """Run the streaming hourly twin over ``events`` to completion, read it back."""
+    orders = fx.orders_from_events(fx.events_stream(spark, sf))
+    out = shared_dir(spark, "stream_hourly", "snapshot")
+    q = hourly.start_hourly_snapshot(hourly.hourly_stream(orders), out,
+                                     shared_dir(spark, "stream_hourly", "checkpoint"),
+                                     available_now=True)
+    q.awaitTermination()
+    return spark.read.parquet(out)
+
+
+# --- dashboard ------------------------------------------------------------
+
+def _stream(spark: SparkSession, sf: str) -> tuple[DataFrame, F.Column]:
+    o = fx.raw_orders_stream(spark, sf)
+    return o, realtime.latest_order_time(o)
+
+
+def kpi_last_hour(spark: SparkSession, sf: str) -> DataFrame:
+    o, as_of = _stream(spark, sf)
+    return realtime.kpi_last_hour(o, as_of)
+
+
+def hourly_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    return realtime.hourly_metrics(fx.raw_orders_stream(spark, sf))
+
+
+def _top(period: str) -> Query:
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        o, as_of = _stream(spark, sf)
+        return realtime.top_sellers(o, period, as_of)
+    run.__name__ = f"top_sellers_{period}"
+    return run
+
+
+def weekday_hour_heatmap(spark: SparkSession, sf: str) -> DataFrame:
+    return realtime.weekday_hour_heatmap(fx.raw_orders_stream(spark, sf))
+
+
+def sales_spike_hours(spark: SparkSession, sf: str) -> DataFrame:
+    return realtime.sales_spike_hours(fx.raw_orders_stream(spark, sf))
+
+
+def sales_spike_status(spark: SparkSession, sf: str) -> DataFrame:
+    o, as_of = _stream(spark, sf)
+    return realtime.sales_spike_status(o, as_of)
+
+
+def monitor_status(spark: SparkSession, sf: str) -> DataFrame:
+    o, as_of = _stream(spark, sf)
+    return realtime.monitor_status(o, as_of)
+
+
+# --- data quality ---------------------------------------------------------
+
+_UNIQUE_TESTS = (("fact_orders", "order_id"), ("dim_customers", "customer_id"),
+                 ("dim_products", "product_id"))
+_NOT_NULL_TESTS = (("fact_orders", "order_id"), ("fact_orders", "total_order_value"),
+                   ("dim_customers", "customer_id"), ("dim_customers", "customer_city"),
+                   ("dim_products", "product_id"), ("dim_products", "product_category_name"))
+
+
+def dq_unique(spark: SparkSession, sf: str) -> DataFrame:
+    m = _marts(spark, sf)
+    parts = [quality.unique_violations(m[model], col).select(
+                F.lit(model).alias("model"), F.lit(col).alias("column_name"),
+                quality.as_text("unique_field").alias("unique_field"), "n_records")
+             for model, col in _UNIQUE_TESTS]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def dq_not_null(spark: SparkSession, sf: str) -> DataFrame:
+    m = _marts(spark, sf)
+    return quality.failing_counts({(model, col): quality.not_null_violations(m[model], col)
+                                   for model, col in _NOT_NULL_TESTS})
+
+
+def dq_positive(spark: SparkSession, sf: str) -> DataFrame:
+    return (fact_orders(spark, sf).transform(quality.positive_value_violations,
+                                             "total_order_value")
+            .select("order_id", "total_order_value"))
+
+
+def dq_price_consistency(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.price_consistency_violations(fact_orders(spark, sf))
+
+
+def dq_row_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.row_counts(_marts(spark, sf))
+
+
+def dq_duplicate_keys(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.duplicate_key_count(dim_customers(spark, sf), "customer_id")
+
+
+def dq_orphans(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.orphan_count(fact_orders(spark, sf), dim_customers(spark, sf), "customer_id")
+
+
+def dq_null_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.null_counts(fact_orders(spark, sf),
+                               {"null_customers": "customer_id",
+                                "null_dates": "order_purchase_timestamp"})
+
+
+def dq_report(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.quality_report(fact_orders(spark, sf), dim_customers(spark, sf))
+
+
+def dq_freshness(spark: SparkSession, sf: str) -> DataFrame:
+    o, as_of = _stream(spark, sf)
+    return realtime.recent_inserts(o, as_of, minutes=5)
+
+
 QUERIES: dict[str, Query] = {
     "fact_orders": fact_orders,
     "dim_sellers": dim_sellers,
     "dim_products": dim_products,
     "dim_customers": dim_customers,
+    "price_range": price_range,
+    "order_left_join_chain": order_left_join_chain,
+    "two_distinct_counts": two_distinct_counts,
+    "order_item_arrays": order_item_arrays,
+    "latest_attributes": latest_attributes,
+    "unified_orders": unified_orders,
+    "date_functions": date_functions,
+    "scalar_functions": scalar_functions,
+    "json_order_decode": json_order_decode,
+    "stream_hourly": stream_hourly,
+    "kpi_last_hour": kpi_last_hour,
+    "hourly_metrics": hourly_metrics,
+    "top_sellers_hour": _top("hour"),
+    "top_sellers_today": _top("today"),
+    "top_sellers_week": _top("week"),
+    "weekday_hour_heatmap": weekday_hour_heatmap,
+    "sales_spike_hours": sales_spike_hours,
+    "sales_spike_status": sales_spike_status,
+    "monitor_status": monitor_status,
+    "dq_unique": dq_unique,
+    "dq_not_null": dq_not_null,
+    "dq_positive": dq_positive,
+    "dq_price_consistency": dq_price_consistency,
+    "dq_row_counts": dq_row_counts,
+    "dq_duplicate_keys": dq_duplicate_keys,
+    "dq_orphans": dq_orphans,
+    "dq_null_counts": dq_null_counts,
+    "dq_report": dq_report,
+    "dq_freshness": dq_freshness,
 }

@@ -115,13 +115,12 @@ def stg_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
                     s.s_nationkey.cast("string").alias("seller_zip_code_prefix")))
 
 
-def raw_orders_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The landing table of streamed orders, one row per event.
+def orders_from_events(ev: DataFrame) -> DataFrame:
+    """Landing-table rows from ``events`` rows; works on a stream too.
 
     ``insert_timestamp`` (arrival time) is not in the test data; we take the
     event time, so freshness checks look at the newest events.
     """
-    ev = table(spark, sf_dir, "events")
     k = json_int("props", "$.k")
     return ev.select(
         F.col("event_id").alias("order_id"),
@@ -134,6 +133,20 @@ def raw_orders_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").alias("insert_timestamp"))
 
 
+def raw_orders_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landing table of streamed orders, one row per event."""
+    return orders_from_events(table(spark, sf_dir, "events"))
+
+
+def events_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int = 1) -> DataFrame:
+    """``events`` replayed as a file stream (the schema comes from the footer)."""
+    schema = table(spark, sf_dir, "events").schema
+    return (spark.readStream.schema(schema)
+            .option("pathGlobFilter", "events.parquet")
+            .option("maxFilesPerTrigger", str(max_files_per_trigger))
+            .parquet(sf_dir))
+
+
 STAGING = {
     "stg_customers": stg_customers,
     "stg_orders": stg_orders,
