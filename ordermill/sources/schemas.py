@@ -60,3 +60,48 @@ RAW_ORDERS_STREAM = _schema(
 ORDER_MESSAGE = _schema(
     ("order_id", S), ("customer_id", S), ("product_id", S), ("seller_id", S),
     ("quantity", L), ("price", D), ("timestamp", S))
+
+# Raw CSV layouts of the public order dataset the loads expect (positional:
+# the header line is skipped, not matched). File columns in
+# file order.
+RAW_CUSTOMERS = _schema(
+    ("customer_id", S), ("customer_unique_id", S), ("customer_zip_code_prefix", S),
+    ("customer_city", S), ("customer_state", S))
+RAW_ORDERS = _schema(
+    ("order_id", S), ("customer_id", S), ("order_status", S),
+    ("order_purchase_timestamp", TS), ("order_approved_at", TS),
+    ("order_delivered_carrier_date", TS), ("order_delivered_customer_date", TS),
+    ("order_estimated_delivery_date", TS))
+RAW_ORDER_ITEMS = _schema(
+    ("order_id", S), ("order_item_id", I), ("product_id", S), ("seller_id", S),
+    ("shipping_limit_date", TS), ("price", D), ("freight_value", D))
+RAW_PRODUCTS = _schema(
+    ("product_id", S), ("product_category_name", S), ("product_name_lenght", I),
+    ("product_description_lenght", I), ("product_photos_qty", I), ("product_weight_g", D),
+    ("product_length_cm", D), ("product_height_cm", D), ("product_width_cm", D))
+RAW_SELLERS = _schema(
+    ("seller_id", S), ("seller_zip_code_prefix", S), ("seller_city", S), ("seller_state", S))
+RAW_ORDER_REVIEWS = _schema(
+    ("review_id", S), ("order_id", S), ("review_score", I), ("review_comment_title", S),
+    ("review_comment_message", S), ("review_creation_date", TS),
+    ("review_answer_timestamp", TS))
+RAW_ORDER_PAYMENTS = _schema(
+    ("order_id", S), ("payment_sequential", I), ("payment_type", S),
+    ("payment_installments", I), ("payment_value", D))
+
+# File -> (raw table, layout). The eight files of a daily load.
+RAW_FILES = {
+    "olist_customers_dataset.csv": ("raw_customers", RAW_CUSTOMERS),
+    "olist_orders_dataset.csv": ("raw_orders", RAW_ORDERS),
+    "olist_order_items_dataset.csv": ("raw_order_items", RAW_ORDER_ITEMS),
+    "olist_products_dataset.csv": ("raw_products", RAW_PRODUCTS),
+    "olist_sellers_dataset.csv": ("raw_sellers", RAW_SELLERS),
+    "olist_order_reviews_dataset.csv": ("raw_order_reviews", RAW_ORDER_REVIEWS),
+    "olist_order_payments_dataset.csv": ("raw_order_payments", RAW_ORDER_PAYMENTS),
+    "product_category_name_translation.csv": ("raw_product_category_name_translation",
+                                              CATEGORY_TRANSLATION),
+}
+
+# Files a daily load cannot start without. Fixed values.
+REQUIRED_FILES = ("olist_customers_dataset.csv", "olist_orders_dataset.csv",
+                  "olist_products_dataset.csv", "olist_sellers_dataset.csv")
