@@ -8,9 +8,11 @@ type, is not loaded: it goes to the quarantine with its raw text and the
 load goes on (the warehouse's ON_ERROR = CONTINUE).
 
 Spark parses only the columns a query needs, and a value is checked only
-when it is parsed. Both outputs therefore keep every data column in their
-projection; selecting fewer columns from the rejects would hide rows whose
-bad value sits in a pruned column.
+when it is parsed: a query reading two columns would pass a row whose bad
+value sits in a third. So the file is parsed once with every column and
+staged as Parquet in the shared folder; the good and rejected rows are read
+from that copy, with ordinary column pruning. The CSV is read once however
+many outputs are taken.
 """
 
 from __future__ import annotations
@@ -21,6 +23,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ordermill.session import shared_dir
+
 CORRUPT = "_corrupt_record"
 # A quoted empty field ("") is an empty string, an unquoted empty field is
 # NULL. Spark reads both as NULL unless quoted empties get a sentinel.
@@ -55,9 +59,16 @@ def _restore_empty(schema: T.StructType) -> list:
     return cols
 
 
-def load_csv(spark: SparkSession, path: str, schema: T.StructType) -> CsvLoad:
-    """Split a CSV file (or folder) into good and rejected rows (lazy)."""
-    parsed = read_csv(spark, path, schema)
+def load_csv(spark: SparkSession, path: str, schema: T.StructType,
+             staging: str | None = None) -> CsvLoad:
+    """Parse a CSV file (or folder) once and split good from rejected rows.
+
+    Runs one job that writes the parsed rows (all columns) to ``staging``,
+    by default a fresh folder under the shared ``spark.checkpoint.dir``.
+    """
+    staging = staging or shared_dir(spark, "csv_load")
+    read_csv(spark, path, schema).write.mode("overwrite").parquet(staging)
+    parsed = spark.read.parquet(staging)
     ok = F.col(CORRUPT).isNull()
     good = parsed.where(ok).select(*_restore_empty(schema))
     rejected = parsed.where(~ok).select(*_restore_empty(schema), F.col(CORRUPT))

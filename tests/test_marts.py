@@ -1,0 +1,113 @@
+"""Mart branches the test tables cannot reach (inline fixtures)."""
+
+from __future__ import annotations
+
+import datetime as dt
+from decimal import Decimal
+
+from ordermill.operators import marts
+
+T0 = dt.datetime(2024, 1, 1, 23, 0)
+T1 = dt.datetime(2024, 1, 2, 1, 0)
+
+ORDERS = ("order_id string, customer_id string, order_status string, "
+          "order_purchase_timestamp timestamp_ntz, order_approved_at timestamp_ntz, "
+          "order_delivered_carrier_date timestamp_ntz, "
+          "order_delivered_customer_date timestamp_ntz, "
+          "order_estimated_delivery_date timestamp_ntz")
+ITEMS = "order_id string, product_id string, seller_id string, price double, freight_value double"
+CUSTOMERS = ("customer_id string, customer_unique_id string, customer_city string, "
+             "customer_state string, customer_zip_code_prefix string")
+
+
+def _orders(spark, rows):
+    return spark.createDataFrame([(o, c, "delivered", t, None, None, None, None)
+                                  for o, c, t in rows], ORDERS)
+
+
+def test_dim_customers_no_orders_tie_break_and_lifetime(spark):
+    customers = spark.createDataFrame([
+        ("c1", "u1", "Lyon", "ARA", "69000"),
+        ("c1", "u1", "Paris", "IDF", "75000"),   # same id, other city: greatest tuple wins
+        ("c2", "u2", "Nice", "PACA", "06000"),   # no orders
+    ], CUSTOMERS)
+    orders = _orders(spark, [("o1", "c1", T0), ("o2", "c1", T1), ("o2", "c1", T1)])
+    rows = {r["customer_id"]: r for r in marts.dim_customers(customers, orders).collect()}
+    assert len(rows) == 2
+    assert rows["c1"]["customer_city"] == "Paris"
+    assert rows["c1"]["total_orders"] == 2           # distinct order ids
+    assert rows["c1"]["customer_lifetime_days"] == 1  # 23:00 -> 01:00 crosses midnight
+    assert rows["c2"]["total_orders"] is None
+    assert rows["c2"]["customer_lifetime_days"] is None
+
+
+def test_dim_products_bands_and_unsold(spark):
+    products = spark.createDataFrame(
+        [("p50", "toys", 1.0, 1.0, 1.0, 1.0, 1.0, "light"),
+         ("p150", "toys", 1.0, 1.0, 1.0, 1.0, 1.0, "light"),
+         ("p10", "toys", 1.0, 1.0, 1.0, 1.0, 1.0, "light"),
+         ("never", "toys", 1.0, 1.0, 1.0, 1.0, 1.0, "light"),
+         ("never", "toys", 1.0, 1.0, 1.0, 1.0, 1.0, "light")],  # exact duplicate row
+        "product_id string, product_category_name string, product_weight_g double, "
+        "product_length_cm double, product_height_cm double, product_width_cm double, "
+        "product_volume_cm3 double, weight_category string")
+    items = spark.createDataFrame([
+        ("o1", "p50", "s1", 40.0, 1.0), ("o2", "p50", "s2", 60.0, 1.0),
+        ("o1", "p150", "s1", 150.0, 1.0), ("o3", "p10", "s1", 10.0, 0.5)], ITEMS)
+    rows = {r["product_id"]: r for r in marts.dim_products(products, items).collect()}
+    assert len(rows) == 4
+    assert rows["p50"]["price_range"] == "Medium"     # exactly 50 is not < 50
+    assert rows["p150"]["price_range"] == "High"      # exactly 150 is not < 150
+    assert rows["p10"]["price_range"] == "Low"
+    assert rows["never"]["price_range"] == "High"     # NULL mean falls to ELSE
+    assert rows["never"]["total_orders"] is None
+    assert rows["p50"]["total_sellers"] == 2
+    assert rows["p50"]["min_price"] == 40.0 and rows["p50"]["max_price"] == 60.0
+
+
+def test_dim_sellers_unsold_keeps_nulls(spark):
+    sellers = spark.createDataFrame([("s1", "Lyon", "ARA", "69"), ("s9", "Nice", "PACA", "06")],
+                                    "seller_id string, seller_city string, seller_state string, "
+                                    "seller_zip_code_prefix string")
+    items = spark.createDataFrame([("o1", "p1", "s1", 10.1, 1.0), ("o1", "p1", "s1", 10.2, 1.0),
+                                   ("o2", "p2", "s1", 10.3, 1.0)], ITEMS)
+    rows = {r["seller_id"]: r for r in marts.dim_sellers(sellers, items).collect()}
+    assert rows["s1"]["total_orders"] == 2 and rows["s1"]["total_products"] == 2
+    assert rows["s1"]["total_revenue"] == 30.6       # exact decimal sum, not 30.599999...
+    assert abs(rows["s1"]["avg_order_value"] - 10.2) < 1e-12
+    assert rows["s9"]["total_orders"] is None and rows["s9"]["total_revenue"] is None
+
+
+def test_fact_orders_defaults_arrays_and_payments(spark):
+    orders = _orders(spark, [("o1", "c1", T0), ("o2", "c1", T1), ("o1", "c1", T0)])
+    items = spark.createDataFrame([
+        ("o1", "pB", "s2", 10.0, 1.5), ("o1", "pA", "s1", 20.0, 2.5),
+        ("o1", "pA", "s1", 20.0, 2.5)], ITEMS)
+    payments = spark.createDataFrame([("o1", 1, "boleto", 30.0), ("o1", 2, "voucher", 20.0)],
+                                     "order_id string, payment_sequential int, "
+                                     "payment_type string, payment_value double")
+    reviews = spark.createDataFrame([("o1", 4), ("o1", 5)], "order_id string, review_score int")
+    rows = {r["order_id"]: r for r in marts.fact_orders(orders, items, payments, reviews).collect()}
+    assert len(rows) == 2                              # DISTINCT removes the duplicate order row
+    o1, o2 = rows["o1"], rows["o2"]
+    assert o1["unique_products"] == 2 and o1["total_items"] == 3
+    assert o1["product_ids"] == ["pA", "pA", "pB"]     # sorted, duplicates kept
+    assert o1["seller_ids"] == ["s1", "s1", "s2"]
+    assert o1["total_items_price"] == 50.0 and o1["total_freight_value"] == 6.5
+    assert o1["total_order_value"] == 56.5
+    assert o1["payment_type"] == "voucher"             # greatest text
+    assert o1["payment_installments"] == 2 and o1["total_payment"] == 50.0
+    assert o1["avg_review_score"] == 4.5 and o1["review_count"] == 2
+    assert o2["unique_products"] == 0 and o2["total_items"] == 0
+    assert o2["product_ids"] is None and o2["payment_type"] is None
+    assert o2["total_order_value"] == 0.0 and o2["review_count"] == 0
+    assert o2["avg_review_score"] is None
+
+
+def test_exact_money_sums_decimal_input(spark):
+    items = spark.createDataFrame([("o1", "p", "s", Decimal("0.10"), Decimal("0.0100"))] * 3,
+                                  "order_id string, product_id string, seller_id string, "
+                                  "price decimal(12,2), freight_value decimal(17,4)")
+    r = marts.order_item_metrics(items).collect()[0]
+    assert r["total_items_price"] == Decimal("0.30")
+    assert r["total_freight_value"] == Decimal("0.0300")

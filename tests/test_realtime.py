@@ -1,0 +1,115 @@
+"""Dashboard metrics on inline landing-table fixtures."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from ordermill.functions.money import rounded_mean
+from ordermill.operators import realtime
+
+SCHEMA = ("order_id string, customer_id string, product_id string, seller_id string, "
+          "quantity bigint, price double, order_timestamp timestamp_ntz, "
+          "insert_timestamp timestamp_ntz")
+AS_OF = dt.datetime(2024, 3, 10, 12, 30)
+
+
+def _orders(spark, rows):
+    return spark.createDataFrame(
+        [(f"o{i}", "c", "p", s, q, p, t, t) for i, (s, q, p, t) in enumerate(rows)], SCHEMA)
+
+
+def test_kpi_empty_last_hour(spark):
+    o = _orders(spark, [("s1", 1, 10.0, AS_OF - dt.timedelta(hours=2))])
+    r = realtime.kpi_last_hour(o, AS_OF).collect()[0]
+    assert r["orders_count"] == 0 and r["sellers_count"] == 0
+    assert r["items_count"] is None and r["avg_value"] is None
+
+
+def test_kpi_trailing_hour_and_rounding(spark):
+    t = AS_OF - dt.timedelta(minutes=10)
+    o = _orders(spark, [("s1", 2, 10.00, t), ("s2", 1, 10.01, t), ("s2", 1, 99.0, AS_OF - dt.timedelta(hours=1, seconds=1)),
+                        ("s3", 1, 1.0, AS_OF - dt.timedelta(hours=1))])  # boundary is inclusive
+    r = realtime.kpi_last_hour(o, AS_OF).collect()[0]
+    assert r["orders_count"] == 3 and r["items_count"] == 4 and r["sellers_count"] == 3
+    assert r["avg_value"] == 7.00  # (10.00 + 10.01 + 1.00) / 3 = 7.0033
+
+
+def test_rounded_mean_breaks_ties_upward_exactly(spark):
+    df = spark.createDataFrame([(1.00,), (1.01,)], "x double")   # mean 1.005 exactly
+    assert df.agg(rounded_mean(F.col("x").cast("decimal(12,2)"), 2)).first()[0] == 1.01
+    neg = spark.createDataFrame([(-1.00,), (-1.01,)], "x double")
+    assert neg.agg(rounded_mean(F.col("x").cast("decimal(12,2)"), 2)).first()[0] == -1.01
+
+
+def test_top_sellers_tie_at_rank_ten_and_null_seller(spark):
+    t = AS_OF - dt.timedelta(minutes=5)
+    rows = [(f"s{i:02d}", 1, 100.0 - i, t) for i in range(8)]
+    rows += [("s20", 1, 50.0, t), ("s10", 1, 50.0, t), (None, 1, 500.0, t)]
+    got = realtime.top_sellers(_orders(spark, rows), "hour", AS_OF).collect()
+    assert len(got) == 10
+    assert got[0]["seller_id"] is None and got[0]["revenue"] == 500.0  # NULL seller is a group
+    assert got[-1]["seller_id"] == "s10"   # tie on revenue: smaller id wins
+
+
+def test_periods(spark):
+    rows = [("a", 1, 1.0, AS_OF - dt.timedelta(minutes=30)),
+            ("b", 1, 1.0, dt.datetime(2024, 3, 10, 0, 5)),
+            ("c", 1, 1.0, AS_OF - dt.timedelta(days=6)),
+            ("d", 1, 1.0, AS_OF - dt.timedelta(days=8))]
+    o = _orders(spark, rows)
+    ids = lambda p: {r["seller_id"] for r in realtime.top_sellers(o, p, AS_OF).collect()}
+    assert ids("hour") == {"a"}
+    assert ids("today") == {"a", "b"}
+    assert ids("week") == {"a", "b", "c"}
+    with pytest.raises(ValueError):
+        realtime.top_sellers(o, "month", AS_OF)
+
+
+def test_hourly_metrics_newest_hours_without_gap_filling(spark):
+    base = dt.datetime(2024, 3, 1)
+    rows = [("s", 2, 1.5, base + dt.timedelta(hours=h, minutes=m))
+            for h in range(0, 60, 2) for m in (1, 2)]
+    got = realtime.hourly_metrics(_orders(spark, rows), 24).collect()
+    assert len(got) == 24
+    assert got[0]["hour"] == base + dt.timedelta(hours=58)
+    assert got[0]["orders_count"] == 2 and got[0]["items_count"] == 4
+    assert got[0]["total_revenue"] == 6.0
+    assert got[-1]["hour"] == base + dt.timedelta(hours=12)
+
+
+def test_weekday_hour_heatmap_names(spark):
+    o = _orders(spark, [("s", 1, 1.0, dt.datetime(2024, 3, 11, 9, 0)),   # Monday
+                        ("s", 1, 1.0, dt.datetime(2024, 3, 11, 9, 59))])
+    r = realtime.weekday_hour_heatmap(o).collect()
+    assert [(x["day_of_week"], x["hour_of_day"], x["order_count"]) for x in r] == [("Mon", 9, 2)]
+
+
+def test_spike_rule(spark):
+    base = dt.datetime(2024, 3, 1)
+    rows = []
+    for h in range(30):
+        n = 10 + (h % 2) if h != 29 else 40
+        rows += [("s", 1, 1.0, base + dt.timedelta(hours=h, minutes=i)) for i in range(n)]
+    o = _orders(spark, rows)
+    hours = {r["hour"]: r for r in realtime.sales_spike_hours(o).collect()}
+    assert hours[base]["prior_hours"] == 0 and not hours[base]["is_spike"]
+    assert hours[base + dt.timedelta(hours=1)]["prior_stddev"] is None   # one prior hour only
+    assert hours[base + dt.timedelta(hours=29)]["is_spike"]
+    assert hours[base + dt.timedelta(hours=29)]["prior_hours"] == 24
+    assert not any(r["is_spike"] for h, r in hours.items() if h != base + dt.timedelta(hours=29))
+    status = realtime.sales_spike_status(o, base + dt.timedelta(hours=29, minutes=50)).collect()
+    assert status[0]["status"].startswith("ALERT")
+    calm = realtime.sales_spike_status(o, base + dt.timedelta(hours=28, minutes=50)).collect()
+    assert calm[0]["status"].startswith("OK")
+    empty = realtime.sales_spike_status(o, base + dt.timedelta(days=9)).collect()
+    assert empty[0]["orders_count"] == 0 and empty[0]["status"].startswith("OK")
+
+
+def test_monitor_status_and_freshness(spark):
+    o = _orders(spark, [("s", 1, 1.0, AS_OF - dt.timedelta(minutes=3)),
+                        ("s", 1, 1.0, AS_OF - dt.timedelta(minutes=7))])
+    r = realtime.monitor_status(o, AS_OF).collect()[0]
+    assert r["recent_orders"] == 1 and r["spike_status"].startswith("OK")
