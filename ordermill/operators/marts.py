@@ -24,14 +24,21 @@ CUSTOMER_ATTRIBUTES = ("customer_unique_id", "customer_city", "customer_state",
 
 def order_item_metrics(items: DataFrame) -> DataFrame:
     """Per order: distinct products, item count, price and freight sums,
-    and the product / seller ids of its items (sorted, duplicates kept)."""
-    return items.groupBy("order_id").agg(
-        F.countDistinct("product_id").alias("unique_products"),
+    and the product / seller ids of its items (sorted, duplicates kept).
+
+    The product list is collected anyway, so the distinct count is taken
+    from it (both skip NULLs): one aggregation level and one shuffle, where
+    COUNT(DISTINCT) would add a second shuffle on (order, product).
+    """
+    agg = items.groupBy("order_id").agg(
         F.count(F.lit(1)).alias("total_items"),
         exact_sum(money_of(items, "price")).alias("total_items_price"),
         exact_sum(money_of(items, "freight_value")).alias("total_freight_value"),
         F.sort_array(F.collect_list("product_id")).alias("product_ids"),
         F.sort_array(F.collect_list("seller_id")).alias("seller_ids"))
+    return agg.select(
+        "order_id", F.size(F.array_distinct("product_ids")).cast("long").alias("unique_products"),
+        "total_items", "total_items_price", "total_freight_value", "product_ids", "seller_ids")
 
 
 def order_payment_metrics(payments: DataFrame) -> DataFrame:
@@ -63,15 +70,28 @@ def order_left_join_chain(orders: DataFrame, items: DataFrame, payments: DataFra
             .join(order_review_metrics(reviews), "order_id", "left"))
 
 
+ORDER_COLUMNS = ("order_id", "customer_id", "order_status", "order_purchase_timestamp",
+                 "order_approved_at", "order_delivered_carrier_date",
+                 "order_delivered_customer_date", "order_estimated_delivery_date")
+
+
 def fact_orders(orders: DataFrame, items: DataFrame, payments: DataFrame,
                 reviews: DataFrame) -> DataFrame:
-    """One row per order: order attributes, item / payment / review measures.
+    """One row per distinct order row: attributes, item / payment / review measures.
 
     Counters and sums of orders without items, payments or reviews are 0;
     the id arrays, payment type and mean score stay NULL. The total is items
     plus freight (payments are not involved).
+
+    The warehouse applies DISTINCT to the joined rows. Each right side has
+    one row per order_id, so an output row is a function of its order row
+    and DISTINCT over the output equals DISTINCT over the order rows. We
+    de-duplicate the eight narrow order columns before the joins, hash
+    partitioned on order_id so the joins reuse that partitioning: each input
+    is shuffled once, and no shuffle ever carries the wide joined rows.
     """
-    j = order_left_join_chain(orders, items, payments, reviews)
+    distinct_orders = orders.select(*ORDER_COLUMNS).repartition("order_id").distinct()
+    j = order_left_join_chain(distinct_orders, items, payments, reviews)
     zero = F.lit(0)
     items_price = F.coalesce("total_items_price", zero)
     freight = F.coalesce("total_freight_value", zero)
@@ -89,8 +109,7 @@ def fact_orders(orders: DataFrame, items: DataFrame, payments: DataFrame,
         F.coalesce("payment_installments", zero).alias("payment_installments"),
         "avg_review_score",
         F.coalesce("review_count", zero).alias("review_count"),
-        to_double(items_price + freight).alias("total_order_value"),
-    ).distinct()
+        to_double(items_price + freight).alias("total_order_value"))
 
 
 # --- dimensions -----------------------------------------------------------
@@ -134,14 +153,40 @@ def latest_customer_per(customers: DataFrame, orders: DataFrame, group: str) ->
                        [group], ["last_order_date", "customer_id"], nulls_first=True)
 
 
+def _per_key_distinct_counts(items: DataFrame, key: str, by_order: dict,
+                             first: str, second: str) -> DataFrame:
+    """Per ``key``: COUNT(DISTINCT first), COUNT(DISTINCT second), and the
+    ``by_order`` aggregates, without Catalyst's Expand.
+
+    Two COUNT(DISTINCT) in one aggregate make Catalyst triple every input
+    row (Expand) before the first hash aggregate. Instead: aggregate per
+    (key, first) -- which also pre-computes the other measures -- and count
+    those rows per key; count the distinct (key, second) pairs the same
+    way; join the two per-key results, which are both hash partitioned on
+    the key. The first level of each shuffles on a composite key, so a hot
+    key is spread over many tasks.
+    """
+    level1 = items.groupBy(key, first).agg(*[e.alias(n) for n, (e, _) in by_order.items()])
+    m1 = level1.groupBy(key).agg(F.count(first).alias("_n_first"),
+                                 *[merge(F.col(n)).alias(n) for n, (_, merge) in by_order.items()])
+    m2 = (items.select(key, second).distinct()
+          .groupBy(F.col(key).alias("_k2")).agg(F.count(second).alias("_n_second")))
+    # Null-safe, so a NULL key keeps its counts as in a single GROUP BY.
+    return m1.join(m2, m1[key].eqNullSafe(m2["_k2"]), "left").drop("_k2")
+
+
 def product_item_metrics(items: DataFrame) -> DataFrame:
+    """Per product: distinct orders and sellers, mean / min / max price."""
     price = money_of(items, "price")
-    return items.groupBy("product_id").agg(
-        F.countDistinct("order_id").alias("total_orders"),
-        F.countDistinct("seller_id").alias("total_sellers"),
-        exact_mean(price).alias("avg_price"),
-        to_double(F.min(price)).alias("min_price"),
-        to_double(F.max(price)).alias("max_price"))
+    m = _per_key_distinct_counts(items, "product_id", {
+        "_sum": (F.sum(price), F.sum), "_cnt": (F.count(price), F.sum),
+        "_min": (F.min(price), F.min), "_max": (F.max(price), F.max)},
+        "order_id", "seller_id")
+    return m.select(
+        "product_id", F.col("_n_first").alias("total_orders"),
+        F.coalesce(F.col("_n_second"), F.lit(0)).alias("total_sellers"),
+        F.when(F.col("_cnt") > 0, F.col("_sum").cast("double") / F.col("_cnt")).alias("avg_price"),
+        to_double(F.col("_min")).alias("min_price"), to_double(F.col("_max")).alias("max_price"))
 
 
 def price_band(avg_price: str, low_cut: float = 50, high_cut: float = 150) -> F.Column:
@@ -165,12 +210,17 @@ def dim_products(products: DataFrame, items: DataFrame, low_cut: float = 50,
 
 
 def seller_item_metrics(items: DataFrame) -> DataFrame:
+    """Per seller: distinct orders and products, revenue, mean item price."""
     price = money_of(items, "price")
-    return items.groupBy("seller_id").agg(
-        F.countDistinct("order_id").alias("total_orders"),
-        F.countDistinct("product_id").alias("total_products"),
-        to_double(exact_sum(price)).alias("total_revenue"),
-        exact_mean(price).alias("avg_order_value"))
+    m = _per_key_distinct_counts(items, "seller_id", {
+        "_sum": (F.sum(price), F.sum), "_cnt": (F.count(price), F.sum)},
+        "order_id", "product_id")
+    return m.select(
+        "seller_id", F.col("_n_first").alias("total_orders"),
+        F.coalesce(F.col("_n_second"), F.lit(0)).alias("total_products"),
+        to_double(F.col("_sum")).alias("total_revenue"),
+        F.when(F.col("_cnt") > 0, F.col("_sum").cast("double") / F.col("_cnt"))
+         .alias("avg_order_value"))
 
 
 def dim_sellers(sellers: DataFrame, items: DataFrame) -> DataFrame:
