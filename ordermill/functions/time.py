@@ -45,8 +45,15 @@ def within_last(ts: Column | str, as_of: Column, amount: int, unit: str) -> Colu
 
 
 def hour_bucket(ts: Column | str) -> Column:
-    """DATE_TRUNC('hour', ts), kept without zone."""
-    return F.date_trunc("hour", _col(ts)).cast("timestamp_ntz")
+    """DATE_TRUNC('hour', ts), kept without zone.
+
+    Built from the value's own fields, so the session time zone never
+    enters (``date_trunc`` would pass through it, and misplace times that
+    fall into a daylight-saving gap).
+    """
+    ts = _col(ts)
+    return F.make_timestamp_ntz(F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts),
+                                F.lit(0), F.lit(0))
 
 
 def days_between(start: Column | str, end: Column | str) -> Column:

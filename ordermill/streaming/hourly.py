@@ -4,7 +4,9 @@ Tumbling one-hour windows over the order time with a watermark, so state
 for an hour is dropped once the stream is ``watermark`` past it; rows
 later than that are not counted (the batch series over the landing table
 counts them). Watermarks need a zoned TIMESTAMP, so the NTZ order time is
-reinterpreted in the session zone (UTC) and converted back on output.
+reinterpreted in the session zone and converted back on output; run streams
+with the session zone at UTC (``build_session`` sets it), where that round
+trip is exact.
 """
 
 from __future__ import annotations
