@@ -49,3 +49,23 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(os.path.join(base, "rdd"))
     return os.path.join(base, *parts, uuid.uuid4().hex) if parts else base
+
+
+# Starting point for a large cluster (~100 TB of input, ~1000 executors).
+# Shuffles start wide and AQE coalesces them to ~256 MB partitions, so a
+# partition fits an executor core's memory at any scale; scans split files
+# at 256 MB; a join partition over 5x the median and 1 GB is split by AQE.
+# Broadcasts happen only for sides whose measured (runtime) size is under
+# the threshold. Merge with ``build_session(conf=CLUSTER_CONF)``.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.parquet.aggregatePushdown": "true",
+}
