@@ -113,3 +113,11 @@ def test_monitor_status_and_freshness(spark):
                         ("s", 1, 1.0, AS_OF - dt.timedelta(minutes=7))])
     r = realtime.monitor_status(o, AS_OF).collect()[0]
     assert r["recent_orders"] == 1 and r["spike_status"].startswith("OK")
+
+
+def test_null_order_time_forms_its_own_hour_and_sorts_first(spark):
+    base = dt.datetime(2024, 3, 1, 5)
+    o = _orders(spark, [("s", 1, 1.0, base), ("s", 2, 1.0, None)])
+    got = realtime.hourly_metrics(o, 24).collect()
+    assert got[0]["hour"] is None and got[0]["items_count"] == 2
+    assert got[1]["hour"] == base
