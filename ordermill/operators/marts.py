@@ -153,26 +153,29 @@ def latest_customer_per(customers: DataFrame, orders: DataFrame, group: str) ->
                        [group], ["last_order_date", "customer_id"], nulls_first=True)
 
 
-def _per_key_distinct_counts(items: DataFrame, key: str, by_order: dict,
+def _per_key_distinct_counts(items: DataFrame, key: str, by_first: dict,
                              first: str, second: str) -> DataFrame:
     """Per ``key``: COUNT(DISTINCT first), COUNT(DISTINCT second), and the
-    ``by_order`` aggregates, without Catalyst's Expand.
+    ``by_first`` aggregates, without Catalyst's Expand.
 
     Two COUNT(DISTINCT) in one aggregate make Catalyst triple every input
-    row (Expand) before the first hash aggregate. Instead: aggregate per
-    (key, first) -- which also pre-computes the other measures -- and count
-    those rows per key; count the distinct (key, second) pairs the same
-    way; join the two per-key results, which are both hash partitioned on
-    the key. The first level of each shuffles on a composite key, so a hot
-    key is spread over many tasks.
+    row (Expand) before the first hash aggregate. Instead each input row
+    feeds two level-1 aggregates: one per (key, first), which also computes
+    the other measures, and one per distinct (key, second). Their rows are
+    stacked and one final GROUP BY key counts the non-NULL values of each
+    side and merges the measures. Three shuffles, no join; both level-1
+    shuffles use a composite key, so a hot key is spread over many tasks,
+    and the final one is pre-aggregated per map task. NULL keys form their
+    own group, as in a single GROUP BY.
     """
-    level1 = items.groupBy(key, first).agg(*[e.alias(n) for n, (e, _) in by_order.items()])
-    m1 = level1.groupBy(key).agg(F.count(first).alias("_n_first"),
-                                 *[merge(F.col(n)).alias(n) for n, (_, merge) in by_order.items()])
-    m2 = (items.select(key, second).distinct()
-          .groupBy(F.col(key).alias("_k2")).agg(F.count(second).alias("_n_second")))
-    # Null-safe, so a NULL key keeps its counts as in a single GROUP BY.
-    return m1.join(m2, m1[key].eqNullSafe(m2["_k2"]), "left").drop("_k2")
+    level1 = (items.groupBy(key, first)
+              .agg(*[e.alias(n) for n, (e, _) in by_first.items()])
+              .withColumnRenamed(first, "_v1"))
+    pairs = items.select(key, F.col(second).alias("_v2")).distinct()
+    stacked = level1.unionByName(pairs, allowMissingColumns=True)
+    return stacked.groupBy(key).agg(
+        F.count("_v1").alias("_n_first"), F.count("_v2").alias("_n_second"),
+        *[merge(F.col(n)).alias(n) for n, (_, merge) in by_first.items()])
 
 
 def product_item_metrics(items: DataFrame) -> DataFrame:
@@ -184,7 +187,7 @@ def product_item_metrics(items: DataFrame) -> DataFrame:
         "order_id", "seller_id")
     return m.select(
         "product_id", F.col("_n_first").alias("total_orders"),
-        F.coalesce(F.col("_n_second"), F.lit(0)).alias("total_sellers"),
+        F.col("_n_second").alias("total_sellers"),
         F.when(F.col("_cnt") > 0, F.col("_sum").cast("double") / F.col("_cnt")).alias("avg_price"),
         to_double(F.col("_min")).alias("min_price"), to_double(F.col("_max")).alias("max_price"))
 
@@ -200,13 +203,19 @@ def price_band(avg_price: str, low_cut: float = 50, high_cut: float = 150) -> F.
 
 def dim_products(products: DataFrame, items: DataFrame, low_cut: float = 50,
                  high_cut: float = 150) -> DataFrame:
-    """One row per distinct product row with sales metrics and price band."""
+    """One row per distinct product row with sales metrics and price band.
+
+    As in the order fact, the metrics are one row per product_id, so
+    DISTINCT over the joined rows equals DISTINCT over the product rows;
+    de-duplicating first, hash partitioned on product_id, lets the join
+    reuse that partitioning.
+    """
     m = product_item_metrics(items)
-    return (products.join(m, "product_id", "left")
+    distinct_products = products.repartition("product_id").distinct()
+    return (distinct_products.join(m, "product_id", "left")
             .select(*products.columns, "total_orders", "total_sellers", "avg_price",
                     "min_price", "max_price",
-                    price_band("avg_price", low_cut, high_cut).alias("price_range"))
-            .distinct())
+                    price_band("avg_price", low_cut, high_cut).alias("price_range")))
 
 
 def seller_item_metrics(items: DataFrame) -> DataFrame:
@@ -217,7 +226,7 @@ def seller_item_metrics(items: DataFrame) -> DataFrame:
         "order_id", "product_id")
     return m.select(
         "seller_id", F.col("_n_first").alias("total_orders"),
-        F.coalesce(F.col("_n_second"), F.lit(0)).alias("total_products"),
+        F.col("_n_second").alias("total_products"),
         to_double(F.col("_sum")).alias("total_revenue"),
         F.when(F.col("_cnt") > 0, F.col("_sum").cast("double") / F.col("_cnt"))
          .alias("avg_order_value"))
