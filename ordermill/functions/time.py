@@ -75,6 +75,17 @@ def hour_of_day(ts: Column | str) -> Column:
 PERIODS = ("hour", "today", "week")
 
 
+def period_start(period: str, as_of: Column) -> Column:
+    """Earliest order time a named period can include (for pruning)."""
+    if period == "hour":
+        return as_of - interval(1, "hour")
+    if period == "today":
+        return F.to_date(as_of).cast("timestamp_ntz")
+    if period == "week":
+        return as_of - interval(7, "day")
+    raise ValueError(f"unknown period {period!r}; expected one of {PERIODS}")
+
+
 def period_filter(period: str, ts: Column | str, as_of: Column) -> Column:
     """Predicate selecting the rows of a named dashboard period."""
     ts = _col(ts)

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from ordermill.functions.money import exact_sum, money_of, rounded_mean, to_double
 from ordermill.functions.time import (day_name, hour_bucket, hour_of_day, interval,
-                                      period_filter, resolve_as_of, within_last)
+                                      period_filter, period_start, resolve_as_of,
+                                      within_last)
 
 TS = "order_timestamp"
 
@@ -24,6 +25,16 @@ def latest_order_time(orders: DataFrame) -> Column:
     return orders.select(F.max(TS)).scalar()
 
 
+def _since(orders: DataFrame, start: Column) -> DataFrame:
+    """Rows with ``order_timestamp >= start``; on a table partitioned by
+    ``order_date`` (see ``streaming.ingest.compact_landing``) the matching
+    date predicate is added too, so whole date partitions are skipped."""
+    rows = orders.where(F.col(TS) >= start)
+    if "order_date" in orders.columns:
+        rows = rows.where(F.col("order_date") >= F.to_date(start))
+    return rows
+
+
 def _revenue(orders: DataFrame) -> Column:
     return exact_sum(money_of(orders, "price") * F.col("quantity"))
 
@@ -32,7 +43,7 @@ def kpi_last_hour(orders: DataFrame, as_of=None) -> DataFrame:
     """One row: orders, items, mean unit price (2 decimals), active sellers
     in the hour before ``as_of``. SUM over no rows is NULL, COUNT is 0."""
     as_of = resolve_as_of(as_of)
-    recent = orders.where(within_last(TS, as_of, 1, "hour"))
+    recent = _since(orders, as_of - interval(1, "hour"))
     return recent.agg(
         F.count(F.lit(1)).alias("orders_count"),
         F.sum("quantity").alias("items_count"),
@@ -61,7 +72,7 @@ def top_sellers(orders: DataFrame, period: str = "hour", as_of=None, k: int = 10
     revenue go to the smaller seller id.
     """
     as_of = resolve_as_of(as_of)
-    rows = orders.where(period_filter(period, TS, as_of))
+    rows = _since(orders, period_start(period, as_of)).where(period_filter(period, TS, as_of))
     return (rows.groupBy("seller_id")
             .agg(to_double(_revenue(orders)).alias("revenue"))
             .orderBy(F.col("revenue").desc_nulls_first(), F.col("seller_id").asc_nulls_last())
@@ -134,8 +145,8 @@ def sales_spike_status(orders: DataFrame, as_of=None, lookback_hours: int = 24,
     """
     as_of = resolve_as_of(as_of)
     current = hour_bucket(as_of)
-    recent = orders.where((F.col(TS) >= current - interval(lookback_hours, "hour"))
-                          & (F.col(TS) < current + interval(1, "hour")))
+    recent = (_since(orders, current - interval(lookback_hours, "hour"))
+              .where(F.col(TS) < current + interval(1, "hour")))
     spikes = sales_spike_hours(recent, lookback_hours, sigmas)
     now = spikes.where(F.col("hour") == current).agg(
         F.max("orders_count").alias("orders_count"),

@@ -101,3 +101,26 @@ def test_hourly_stream_drops_rows_past_the_watermark(spark, tmp):
     q.awaitTermination()
     rows = {r["hour"]: r["orders_count"] for r in spark.read.parquet(out).collect()}
     assert rows.get(dt.datetime(2024, 1, 1, 10)) == 1   # the late row was not counted
+
+
+def test_compaction_is_idempotent_and_read_once(spark, tmp):
+    src, land, bad, ckpt = (os.path.join(tmp, d) for d in ("in", "land", "bad", "ckpt"))
+    days = [f"2024-01-0{d}T{h:02d}:30:00" for d in (1, 2, 3) for h in (0, 12, 23)]
+    _drop(src, "f.json", [_msg(i, timestamp=t) for i, t in enumerate(days)])
+    ingest.LandingSink(land, bad, ckpt).start(
+        ingest.text_order_source(spark, src), available_now=True).awaitTermination()
+    table = os.path.join(tmp, "orders_by_date")
+    for _ in range(2):   # a rerun replaces the same partitions
+        ingest.compact_landing(spark, land, table, "2024-01-01", "2024-01-02")
+    compacted = spark.read.parquet(table)
+    assert compacted.count() == 6
+    assert {r[0] for r in compacted.select("order_date").distinct().collect()} == {
+        dt.date(2024, 1, 1), dt.date(2024, 1, 2)}
+    live = ingest.live_orders(spark, land, table, "2024-01-03")
+    assert live.count() == 9 and live.select("order_id").distinct().count() == 9
+    # Trailing windows prune on order_date and still see the right rows.
+    as_of = dt.datetime(2024, 1, 3, 0, 10)
+    # 2024-01-02 23:30 (compacted) plus the three later rows (no upper bound).
+    assert realtime.kpi_last_hour(live, as_of).first()["orders_count"] == 4
+    top = realtime.top_sellers(live, "week", as_of).collect()
+    assert sum(1 for _ in top) >= 1
