@@ -53,9 +53,15 @@ def require_inputs(spark: SparkSession, directory: str,
         raise FileNotFoundError(f"missing input files: {missing}")
 
 
-def save(df: DataFrame, target: str, mode: str = "overwrite") -> None:
-    """Write ``df`` to a path (contains '/') or a catalog table name."""
-    if "/" in target:
+def save(df: DataFrame, target: str, mode: str = "overwrite", kind: str = "table") -> None:
+    """Materialise ``df`` as a table (a path containing '/' or a catalog
+    table name) or, with ``kind="view"``, as a session view (nothing is
+    computed until the view is read)."""
+    if kind == "view":
+        df.createOrReplaceTempView(target)
+    elif kind != "table":
+        raise ValueError(f"unknown kind {kind!r}; expected 'table' or 'view'")
+    elif "/" in target:
         df.write.mode(mode).parquet(target)
     else:
         df.write.mode(mode).saveAsTable(target)

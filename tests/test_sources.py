@@ -82,3 +82,13 @@ def test_landing_table_created_once(spark, tmp):
     files.ensure_landing_table(spark, path)
     df = spark.read.parquet(path)
     assert df.count() == 0 and "insert_timestamp" in df.columns
+
+
+def test_save_table_and_view(spark, tmp):
+    df = spark.range(5).withColumnRenamed("id", "k")
+    files.save(df, os.path.join(tmp, "t"))
+    assert spark.read.parquet(os.path.join(tmp, "t")).count() == 5
+    files.save(df.where("k > 2"), "ordermill_test_view", kind="view")
+    assert spark.table("ordermill_test_view").count() == 2
+    with pytest.raises(ValueError):
+        files.save(df, "x", kind="index")
