@@ -9,7 +9,7 @@ Money columns are summed as DECIMAL(12,2) and returned as DOUBLE.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.functions.money import exact_mean, exact_sum, money_of, to_double
@@ -192,7 +192,7 @@ def product_item_metrics(items: DataFrame) -> DataFrame:
         to_double(F.col("_min")).alias("min_price"), to_double(F.col("_max")).alias("max_price"))
 
 
-def price_band(avg_price: str, low_cut: float = 50, high_cut: float = 150) -> F.Column:
+def price_band(avg_price: str, low_cut: float = 50, high_cut: float = 150) -> Column:
     """'Low' below ``low_cut``, 'Medium' below ``high_cut``, else 'High'.
 
     NULL (never sold) falls to 'High', as in the warehouse CASE.
