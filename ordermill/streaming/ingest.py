@@ -60,9 +60,13 @@ def decode_orders(messages: DataFrame, value: str = "value") -> DataFrame:
 
 
 def kafka_order_source(spark: SparkSession, bootstrap_servers: str, topic: str = "orders",
-                       max_per_trigger: int | None = None) -> DataFrame:
+                       max_per_trigger: int | None = 1_000_000) -> DataFrame:
     """Topic of order messages from the earliest offset (needs the Kafka
-    connector on the classpath). Offsets live in the query checkpoint."""
+    connector on the classpath). Offsets live in the query checkpoint.
+
+    ``max_per_trigger`` caps the offsets of one micro-batch, so a cold start
+    on a long backlog is drained in bounded batches instead of one.
+    """
     reader = (spark.readStream.format("kafka")
               .option("kafka.bootstrap.servers", bootstrap_servers)
               .option("subscribe", topic)
