@@ -36,8 +36,10 @@ def start_hourly_snapshot(hourly: DataFrame, path: str, checkpoint: str,
                           processing_time: str = "5 seconds") -> StreamingQuery:
     """Keep ``path`` holding the full current hourly table (complete mode).
 
-    Each micro-batch rewrites the snapshot; the state holds one row per
-    hour, so it grows with the time span, not with the order volume.
+    Each micro-batch rewrites the snapshot, open hours included. Complete
+    mode keeps every hour in the state store (one row per hour: it grows
+    with the time span, not with the order volume); for unbounded runs use
+    ``start_hourly_append``, which drops closed hours.
     """
     def write(batch: DataFrame, _batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(path)
@@ -47,3 +49,20 @@ def start_hourly_snapshot(hourly: DataFrame, path: str, checkpoint: str,
     writer = (writer.trigger(availableNow=True) if available_now
               else writer.trigger(processingTime=processing_time))
     return writer.start()
+
+
+def start_hourly_append(hourly: DataFrame, path: str, checkpoint: str,
+                        available_now: bool = False,
+                        processing_time: str = "5 seconds") -> StreamingQuery:
+    """Append each hour to a Parquet table once the watermark has passed it.
+
+    The production mode: an hour is written exactly once (the file sink's
+    own log makes replays idempotent) and its state is dropped, so the state
+    store holds only the hours still open. Rows arriving after their hour
+    was closed are not counted.
+    """
+    writer = (hourly.writeStream.outputMode("append").format("parquet")
+              .option("path", path).option("checkpointLocation", checkpoint))
+    writer = (writer.trigger(availableNow=True) if available_now
+              else writer.trigger(processingTime=processing_time))
+    return writer.start()

@@ -95,10 +95,8 @@ def test_hourly_stream_drops_rows_past_the_watermark(spark, tmp):
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
               .option("recursiveFileLookup", "true").parquet(src))
     out, ckpt = os.path.join(tmp, "out"), os.path.join(tmp, "ck")
-    q = (hourly.hourly_stream(stream).writeStream.outputMode("append").format("parquet")
-         .option("path", out).option("checkpointLocation", ckpt)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    hourly.start_hourly_append(hourly.hourly_stream(stream), out, ckpt,
+                               available_now=True).awaitTermination()
     rows = {r["hour"]: r["orders_count"] for r in spark.read.parquet(out).collect()}
     assert rows.get(dt.datetime(2024, 1, 1, 10)) == 1   # the late row was not counted
 
