@@ -89,16 +89,28 @@ def test_hourly_stream_drops_rows_past_the_watermark(spark, tmp):
     src = os.path.join(tmp, "ev")
     schema = "order_timestamp timestamp_ntz, price double, quantity bigint"
     t = dt.datetime(2024, 1, 1, 10, 30)
+    out, ckpt = os.path.join(tmp, "out"), os.path.join(tmp, "ck")
+
+    def run():
+        stream = (spark.readStream.schema(schema).option("recursiveFileLookup", "true")
+                  .parquet(src))
+        hourly.start_hourly_append(hourly.hourly_stream(stream), out, ckpt,
+                                   available_now=True).awaitTermination()
+
     spark.createDataFrame([(t, 1.0, 1), (t + dt.timedelta(hours=5), 1.0, 1)], schema) \
         .write.parquet(os.path.join(src, "a"))
-    spark.createDataFrame([(t, 1.0, 1)], schema).write.parquet(os.path.join(src, "b"))  # late
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
-              .option("recursiveFileLookup", "true").parquet(src))
-    out, ckpt = os.path.join(tmp, "out"), os.path.join(tmp, "ck")
-    hourly.start_hourly_append(hourly.hourly_stream(stream), out, ckpt,
-                               available_now=True).awaitTermination()
+    run()
+    # Arrives after the stream has moved 5 hours past it: later than the watermark.
+    spark.createDataFrame([(t, 1.0, 1)], schema).write.parquet(os.path.join(src, "b"))
+    run()
+    # Closing the 15:00 hour needs an event past it.
+    spark.createDataFrame([(t + dt.timedelta(hours=7), 1.0, 1)], schema) \
+        .write.parquet(os.path.join(src, "c"))
+    run()
     rows = {r["hour"]: r["orders_count"] for r in spark.read.parquet(out).collect()}
-    assert rows.get(dt.datetime(2024, 1, 1, 10)) == 1   # the late row was not counted
+    assert rows[dt.datetime(2024, 1, 1, 10)] == 1      # the late row was not counted
+    assert rows[dt.datetime(2024, 1, 1, 15)] == 1      # each closed hour written once
+    assert len(spark.read.parquet(out).where("hour = '2024-01-01 10:00:00'").collect()) == 1
 
 
 def test_compaction_is_idempotent_and_read_once(spark, tmp):
