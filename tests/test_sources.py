@@ -92,3 +92,22 @@ def test_save_table_and_view(spark, tmp):
     assert spark.table("ordermill_test_view").count() == 2
     with pytest.raises(ValueError):
         files.save(df, "x", kind="index")
+
+
+def test_raw_orders_timestamps_and_bad_dates(spark, tmp):
+    from ordermill.sources.schemas import RAW_ORDERS
+    head = ("order_id,customer_id,order_status,order_purchase_timestamp,order_approved_at,"
+            "order_delivered_carrier_date,order_delivered_customer_date,"
+            "order_estimated_delivery_date\r\n")
+    body = ('"o1","c1","delivered",2017-10-02 10:56:33,2017-10-02 11:07:15,'
+            "2017-10-04 19:55:00,2017-10-10 21:25:13,2017-10-18 00:00:00\r\n"
+            '"o2","c2","shipped",2018-07-24 20:41:37,,,,2018-08-13 00:00:00\r\n'
+            '"o3","c3","delivered",not-a-date,,,,2018-08-13 00:00:00\r\n')
+    path = _write(tmp, "orders.csv", "﻿" + head + body)
+    parts = load_csv(spark, path, RAW_ORDERS)
+    good = {r["order_id"]: r for r in parts.good.collect()}
+    import datetime as dt
+    assert good["o1"]["order_purchase_timestamp"] == dt.datetime(2017, 10, 2, 10, 56, 33)
+    assert good["o2"]["order_approved_at"] is None        # empty field -> NULL
+    assert set(good) == {"o1", "o2"}
+    assert [r["order_id"] for r in parts.rejected.collect()] == ["o3"]
