@@ -66,3 +66,25 @@ def start_hourly_append(hourly: DataFrame, path: str, checkpoint: str,
     writer = (writer.trigger(availableNow=True) if available_now
               else writer.trigger(processingTime=processing_time))
     return writer.start()
+
+
+def start_hourly_updates(hourly: DataFrame, path: str, checkpoint: str,
+                         available_now: bool = False,
+                         processing_time: str = "5 seconds") -> StreamingQuery:
+    """Live hourly table: open hours visible, closed hours' state dropped.
+
+    Update mode emits, per micro-batch, the new totals of the hours that
+    changed. Each is written into its own ``hour_key`` partition with
+    dynamic partition overwrite, which replaces that hour's previous row:
+    an upsert keyed by hour, idempotent when a batch is replayed.
+    """
+    def upsert(batch: DataFrame, _batch_id: int) -> None:
+        (batch.withColumn("hour_key", F.date_format("hour", "yyyy-MM-dd-HH"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("hour_key").parquet(path))
+
+    writer = (hourly.writeStream.outputMode("update").foreachBatch(upsert)
+              .option("checkpointLocation", checkpoint))
+    writer = (writer.trigger(availableNow=True) if available_now
+              else writer.trigger(processingTime=processing_time))
+    return writer.start()

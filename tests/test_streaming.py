@@ -134,3 +134,27 @@ def test_compaction_is_idempotent_and_read_once(spark, tmp):
     assert realtime.kpi_last_hour(live, as_of).first()["orders_count"] == 4
     top = realtime.top_sellers(live, "week", as_of).collect()
     assert sum(1 for _ in top) >= 1
+
+
+def test_hourly_updates_upsert_open_hours(spark, tmp):
+    src = os.path.join(tmp, "ev")
+    schema = "order_timestamp timestamp_ntz, price double, quantity bigint"
+    t = dt.datetime(2024, 1, 1, 10, 5)
+    out, ckpt = os.path.join(tmp, "out"), os.path.join(tmp, "ck")
+
+    def run():
+        stream = (spark.readStream.schema(schema).option("recursiveFileLookup", "true")
+                  .parquet(src))
+        hourly.start_hourly_updates(hourly.hourly_stream(stream), out, ckpt,
+                                    available_now=True).awaitTermination()
+
+    spark.createDataFrame([(t, 2.5, 2)], schema).write.parquet(os.path.join(src, "a"))
+    run()
+    spark.createDataFrame([(t + dt.timedelta(minutes=20), 1.0, 1),
+                           (t + dt.timedelta(hours=1), 3.0, 1)], schema) \
+        .write.parquet(os.path.join(src, "b"))
+    run()
+    rows = {r["hour"]: r for r in spark.read.parquet(out).collect()}
+    assert len(rows) == 2                                  # one row per hour, no duplicates
+    ten = rows[dt.datetime(2024, 1, 1, 10)]
+    assert (ten["orders_count"], ten["items_count"], ten["total_revenue"]) == (2, 3, 6.0)
