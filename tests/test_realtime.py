@@ -121,3 +121,13 @@ def test_null_order_time_forms_its_own_hour_and_sorts_first(spark):
     got = realtime.hourly_metrics(o, 24).collect()
     assert got[0]["hour"] is None and got[0]["items_count"] == 2
     assert got[1]["hour"] == base
+
+
+def test_health_check_raises_when_stale(spark):
+    from ordermill.plans.monitor import health_check
+    fresh = _orders(spark, [("s", 1, 1.0, AS_OF - dt.timedelta(minutes=2))])
+    assert health_check(fresh, AS_OF) == {
+        "recent_orders": 1, "spike_status": "OK: 1 orders in hour 2024-03-10 12:00:00"}
+    stale = _orders(spark, [("s", 1, 1.0, AS_OF - dt.timedelta(minutes=20))])
+    with pytest.raises(ValueError, match="no new orders"):
+        health_check(stale, AS_OF)
