@@ -122,11 +122,13 @@ def require_fresh(recent: DataFrame) -> int:
     return n
 
 
-def failing_counts(checks: Mapping[tuple[str, str], DataFrame]) -> DataFrame:
-    """(model, column_name, failures) for several column tests at once."""
+def failing_counts(checks: Mapping[tuple[str, ...], DataFrame],
+                   key_names: tuple[str, ...] = ("model", "column_name")) -> DataFrame:
+    """One row per check: its key parts (named ``key_names``) and the
+    number of failing rows, for several checks in one job."""
     parts = [df.agg(F.count(F.lit(1)).alias("failures"))
-               .select(F.lit(m).alias("model"), F.lit(c).alias("column_name"), "failures")
-             for (m, c), df in checks.items()]
+               .select(*[F.lit(v).alias(n) for n, v in zip(key_names, key)], "failures")
+             for key, df in checks.items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -19,6 +19,7 @@ from ordermill.functions import text as ft
 from ordermill.functions import time as tf
 from ordermill.operators import marts, quality, realtime
 from ordermill.operators.unified import unified_orders as _unified
+from ordermill.plans.daily import NOT_NULL_TESTS, UNIQUE_TESTS
 from ordermill.session import shared_dir
 from ordermill.sources import fixtures as fx
 from ordermill.streaming import hourly, ingest
@@ -199,26 +200,19 @@ def monitor_status(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- data quality ---------------------------------------------------------
 
-_UNIQUE_TESTS = (("fact_orders", "order_id"), ("dim_customers", "customer_id"),
-                 ("dim_products", "product_id"))
-_NOT_NULL_TESTS = (("fact_orders", "order_id"), ("fact_orders", "total_order_value"),
-                   ("dim_customers", "customer_id"), ("dim_customers", "customer_city"),
-                   ("dim_products", "product_id"), ("dim_products", "product_category_name"))
-
-
 def dq_unique(spark: SparkSession, sf: str) -> DataFrame:
     m = _marts(spark, sf)
     parts = [quality.unique_violations(m[model], col).select(
                 F.lit(model).alias("model"), F.lit(col).alias("column_name"),
                 quality.as_text("unique_field").alias("unique_field"), "n_records")
-             for model, col in _UNIQUE_TESTS]
+             for model, col in UNIQUE_TESTS]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def dq_not_null(spark: SparkSession, sf: str) -> DataFrame:
     m = _marts(spark, sf)
     return quality.failing_counts({(model, col): quality.not_null_violations(m[model], col)
-                                   for model, col in _NOT_NULL_TESTS})
+                                   for model, col in NOT_NULL_TESTS})
 
 
 def dq_positive(spark: SparkSession, sf: str) -> DataFrame:

@@ -16,7 +16,6 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ordermill.operators import marts, quality
 from ordermill.sources.files import save
@@ -60,14 +59,7 @@ def column_tests(m: Mapping[str, DataFrame]) -> DataFrame:
         checks[(model, col, "unique")] = quality.unique_violations(m[model], col)
     for model, col in NOT_NULL_TESTS:
         checks[(model, col, "not_null")] = quality.not_null_violations(m[model], col)
-    parts = [df.agg(F.count(F.lit(1)).alias("failures")).select(
-                F.lit(model).alias("model"), F.lit(col).alias("column_name"),
-                F.lit(test).alias("test"), "failures")
-             for (model, col, test), df in checks.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return quality.failing_counts(checks, ("model", "column_name", "test"))
 
 
 @dataclass
