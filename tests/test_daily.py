@@ -19,7 +19,7 @@ def test_daily_build_write_and_checks(spark, sf_dir, tmp):
     orders = fx.table(spark, sf_dir, "orders").count()
     assert counts["fact_orders"] == orders
     tests = result.column_tests.collect()
-    assert len(tests) == len(daily.UNIQUE_TESTS) + len(daily.NOT_NULL_TESTS)
+    assert len(tests) == len(daily.UNIQUE_TESTS) + len(daily.NOT_NULL_TESTS) + 1
     assert all(r["failures"] == 0 for r in tests)
     report = {r["check"]: r for r in result.report.collect()}
     assert report["orphan_orders"]["passed"]
