@@ -42,14 +42,16 @@ def decode_orders(messages: DataFrame, value: str = "value") -> DataFrame:
     """JSON order messages -> landing columns plus ``reject_reason``.
 
     ``reject_reason`` is NULL for a good row; otherwise 'malformed' (broken
-    JSON or a mistyped value), 'missing:<keys>' or 'bad_timestamp'. Ids lose
-    stray ``"`` at both ends; ``raw`` keeps the message text.
+    JSON or a mistyped value), 'missing:<keys>' or 'bad_timestamp'. Product
+    and seller ids lose stray ``"`` at both ends (the producer takes them from
+    a naive CSV split); order and customer ids are kept as sent. ``raw``
+    keeps the message text.
     """
     msg = parse_order_json(F.col(value))
     ts = parse_timestamp(msg["timestamp"])
     return messages.select(
-        strip_quotes(msg["order_id"]).alias("order_id"),
-        strip_quotes(msg["customer_id"]).alias("customer_id"),
+        msg["order_id"].alias("order_id"),
+        msg["customer_id"].alias("customer_id"),
         strip_quotes(msg["product_id"]).alias("product_id"),
         strip_quotes(msg["seller_id"]).alias("seller_id"),
         msg["quantity"].alias("quantity"),

@@ -158,3 +158,10 @@ def test_hourly_updates_upsert_open_hours(spark, tmp):
     assert len(rows) == 2                                  # one row per hour, no duplicates
     ten = rows[dt.datetime(2024, 1, 1, 10)]
     assert (ten["orders_count"], ten["items_count"], ten["total_revenue"]) == (2, 3, 6.0)
+
+
+def test_only_product_and_seller_ids_are_unquoted(spark):
+    m = _msg(1, order_id='"ORDER_1"', customer_id='"CUST_1"')
+    r = ingest.decode_orders(spark.createDataFrame([(m,)], "value string")).first()
+    assert (r["order_id"], r["customer_id"]) == ('"ORDER_1"', '"CUST_1"')
+    assert (r["product_id"], r["seller_id"]) == ("p1", "s1")
