@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ordermill.sources.csv_load import load_csv, write_counted
-from ordermill.sources.schemas import RAW_FILES, RAW_ORDERS_STREAM, REQUIRED_FILES
+from ordermill.sources.schemas import LANDING_TABLE, RAW_FILES, REQUIRED_FILES
 
 log = logging.getLogger(__name__)
 
@@ -96,8 +96,11 @@ def load_files(spark: SparkSession, directory: str, target_root: str, quarantine
 
 
 def ensure_landing_table(spark: SparkSession, path: str) -> None:
-    """Create the empty landing table of streamed orders if it is absent."""
-    try:
-        spark.read.parquet(path).limit(0).collect()
-    except Exception:
-        spark.createDataFrame([], RAW_ORDERS_STREAM).write.mode("ignore").parquet(path)
+    """Create the empty landing table of streamed orders if it is absent.
+
+    It is laid out as the stream sink writes it (one ``batch_id=N`` folder
+    per micro-batch), so an empty table holds no data file and is read with
+    its fixed schema (``streaming.ingest.read_landing``).
+    """
+    (spark.createDataFrame([], LANDING_TABLE).write.mode("ignore")
+     .partitionBy("batch_id").parquet(path))

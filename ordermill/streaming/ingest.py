@@ -25,6 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ordermill.functions.text import (CORRUPT, REQUIRED_KEYS, parse_order_json,
                                       parse_timestamp, strip_quotes)
 from ordermill.functions.time import now_ntz
+from ordermill.sources.schemas import LANDING_TABLE
 
 LANDING_COLUMNS = ("order_id", "customer_id", "product_id", "seller_id", "quantity",
                    "price", "order_timestamp")
@@ -87,9 +88,11 @@ def text_order_source(spark: SparkSession, path: str,
     return reader.load(path)
 
 
-def _has_data(spark: SparkSession, path: str) -> bool:
+def _has_files(spark: SparkSession, path: str, pattern: str = "*") -> bool:
+    """Whether any file under ``path`` matches ``pattern`` (contents not read)."""
     try:
         return bool(spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+                    .option("pathGlobFilter", pattern)
                     .load(path).select("path").limit(1).count())
     except Exception:  # path does not exist yet
         return False
@@ -124,7 +127,8 @@ class LandingSink:
         spark = source.sparkSession
         # Batch ids restart at 0 with a new checkpoint and would overwrite
         # landed data: refuse that combination.
-        if _has_data(spark, self.landing) and not _has_data(spark, self.checkpoint):
+        if (_has_files(spark, self.landing, "*.parquet")
+                and not _has_files(spark, self.checkpoint)):
             raise RuntimeError(f"landing table {self.landing} has data but checkpoint "
                                f"{self.checkpoint} is empty; refusing to restart at batch 0")
         writer = (source.writeStream.foreachBatch(self.write_batch)
@@ -137,8 +141,8 @@ class LandingSink:
 
 
 def read_landing(spark: SparkSession, landing: str) -> DataFrame:
-    """The landing table (all batches) as a DataFrame."""
-    return spark.read.parquet(landing)
+    """The landing table (all batches) with its fixed schema; empty when new."""
+    return spark.read.schema(LANDING_TABLE).parquet(landing)
 
 
 # --- compaction -----------------------------------------------------------

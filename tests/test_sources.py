@@ -76,12 +76,23 @@ def test_missing_folder_lists_everything(spark, tmp):
     assert files.missing_inputs(spark, os.path.join(tmp, "nope")).count() == 4
 
 
-def test_landing_table_created_once(spark, tmp):
+def test_landing_table_created_once_then_fed_by_the_stream(spark, tmp):
+    import json
+    from ordermill.streaming import ingest
     path = os.path.join(tmp, "landing")
     files.ensure_landing_table(spark, path)
     files.ensure_landing_table(spark, path)
-    df = spark.read.parquet(path)
+    df = ingest.read_landing(spark, path)
     assert df.count() == 0 and "insert_timestamp" in df.columns
+    src = os.path.join(tmp, "in")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.json"), "w") as f:
+        f.write(json.dumps({"order_id": "o", "customer_id": "c", "product_id": "p",
+                            "seller_id": "s", "quantity": 1, "price": 1.0,
+                            "timestamp": "2024-01-01T00:00:00"}) + "\n")
+    sink = ingest.LandingSink(path, os.path.join(tmp, "bad"), os.path.join(tmp, "ck"))
+    sink.start(ingest.text_order_source(spark, src), available_now=True).awaitTermination()
+    assert ingest.read_landing(spark, path).count() == 1
 
 
 def test_save_table_and_view(spark, tmp):
