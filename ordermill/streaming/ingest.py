@@ -145,6 +145,16 @@ def read_landing(spark: SparkSession, landing: str) -> DataFrame:
     return spark.read.schema(LANDING_TABLE).parquet(landing)
 
 
+def landing_stream(spark: SparkSession, landing: str,
+                   max_files_per_trigger: int | None = None) -> DataFrame:
+    """The landing table as a stream: each new batch folder is picked up
+    once (the file source's log), e.g. to feed the live hourly table."""
+    reader = spark.readStream.schema(LANDING_TABLE)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.parquet(landing)
+
+
 # --- compaction -----------------------------------------------------------
 
 def compact_landing(spark: SparkSession, landing: str, table: str, start_date: str,

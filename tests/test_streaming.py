@@ -165,3 +165,25 @@ def test_only_product_and_seller_ids_are_unquoted(spark):
     r = ingest.decode_orders(spark.createDataFrame([(m,)], "value string")).first()
     assert (r["order_id"], r["customer_id"]) == ('"ORDER_1"', '"CUST_1"')
     assert (r["product_id"], r["seller_id"]) == ("p1", "s1")
+
+
+def test_live_chain_sink_to_landing_to_hourly_table(spark, tmp):
+    from ordermill.sources import files
+    src, land, bad, ckpt = (os.path.join(tmp, d) for d in ("in", "land", "bad", "ckpt"))
+    files.ensure_landing_table(spark, land)
+    sink = ingest.LandingSink(land, bad, ckpt)
+    out, hck = os.path.join(tmp, "hourly"), os.path.join(tmp, "hck")
+
+    def step(name, stamps):
+        _drop(src, name, [_msg(i, timestamp=t) for i, t in enumerate(stamps)])
+        sink.start(ingest.text_order_source(spark, src), available_now=True).awaitTermination()
+        hourly.start_hourly_updates(hourly.hourly_stream(ingest.landing_stream(spark, land)),
+                                    out, hck, available_now=True).awaitTermination()
+
+    step("a.json", ["2024-01-01T10:05:00", "2024-01-01T10:15:00"])
+    step("b.json", ["2024-01-01T10:45:00", "2024-01-01T11:10:00"])
+    rows = {r["hour"]: r["orders_count"] for r in spark.read.parquet(out).collect()}
+    assert rows == {dt.datetime(2024, 1, 1, 10): 3, dt.datetime(2024, 1, 1, 11): 1}
+    batch = {r["hour"]: r["orders_count"] for r in
+             realtime.hourly_series(ingest.read_landing(spark, land)).collect()}
+    assert rows == batch
