@@ -3,6 +3,7 @@
     load     raw CSV folder -> raw tables (+ quarantine), prints the load report
     daily    staging tables -> marts (written) -> tests and checks, prints them
     ingest   topic or text folder -> landing table (+ quarantine), runs until stopped
+    hourly   landing table (as a stream) -> live hourly table (update or append mode)
     compact  landed batches of a date range -> date-partitioned orders table
     monitor  landing table -> freshness + spike status; exits non-zero when stale
 
@@ -57,6 +58,15 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--max-per-trigger", type=int, default=None)
     s.add_argument("--available-now", action="store_true")
 
+    s = sub.add_parser("hourly")
+    s.add_argument("landing")
+    s.add_argument("out")
+    s.add_argument("checkpoint")
+    s.add_argument("--mode", choices=("update", "append"), default="update")
+    s.add_argument("--state-partitions", type=int, default=16,
+                   help="state store partitions, fixed at the first start")
+    s.add_argument("--available-now", action="store_true")
+
     s = sub.add_parser("compact")
     s.add_argument("landing")
     s.add_argument("table")
@@ -68,6 +78,10 @@ def main(argv: list[str] | None = None) -> int:
 
     args = p.parse_args(argv)
     conf = {"spark.sql.shuffle.partitions": "8"} if args.local else dict(CLUSTER_CONF)
+    if args.job == "hourly":
+        # The state holds one row per hour; its partition count is fixed by
+        # the checkpoint at the first start, so keep it small.
+        conf["spark.sql.shuffle.partitions"] = str(args.state_partitions)
     spark = build_session("local[*]" if args.local else None, "ordermill-" + args.job, conf)
 
     if args.job == "load":
@@ -92,6 +106,13 @@ def main(argv: list[str] | None = None) -> int:
                   ingest.text_order_source(spark, args.text_dir, args.max_per_trigger))
         sink = ingest.LandingSink(args.landing, args.quarantine, args.checkpoint)
         sink.start(source, available_now=args.available_now).awaitTermination()
+    elif args.job == "hourly":
+        from ordermill.streaming import hourly, ingest
+        stream = hourly.hourly_stream(ingest.landing_stream(spark, args.landing))
+        start = (hourly.start_hourly_updates if args.mode == "update"
+                 else hourly.start_hourly_append)
+        start(stream, args.out, args.checkpoint,
+              available_now=args.available_now).awaitTermination()
     elif args.job == "compact":
         from ordermill.streaming import ingest
         ingest.compact_landing(spark, args.landing, args.table, args.start_date, args.end_date)

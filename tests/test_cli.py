@@ -34,6 +34,10 @@ def test_ingest_monitor_and_compact_jobs(spark, tmp, capsys):
     assert main(["--local", "monitor", land]) == 0
     status = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert status["recent_orders"] == 1
+    hourly_out = os.path.join(tmp, "hourly")
+    assert main(["--local", "hourly", land, hourly_out, os.path.join(tmp, "hck"),
+                 "--available-now"]) == 0
+    assert spark.read.parquet(hourly_out).first()["orders_count"] == 1
     table = os.path.join(tmp, "by_date")
     assert main(["--local", "compact", land, table, "2024-01-01", "2024-01-01"]) == 0
     assert spark.read.parquet(table).count() == 1
