@@ -43,12 +43,17 @@ def build_marts(stg: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
 
 def write_marts(spark: SparkSession, built: Mapping[str, DataFrame],
                 root: str) -> dict[str, DataFrame]:
-    """Write each mart to ``<root>/<name>`` (Parquet) and read it back."""
+    """Write each mart and read it back: to ``<root>/<name>`` (Parquet) when
+    ``root`` is a folder, else as the catalog table ``<root>.<name>``."""
     out = {}
     for name, df in built.items():
-        path = os.path.join(root, name)
-        save(df, path)
-        out[name] = spark.read.parquet(path)
+        if "/" in root:
+            path = os.path.join(root, name)
+            save(df, path)
+            out[name] = spark.read.parquet(path)
+        else:
+            save(df, f"{root}.{name}")
+            out[name] = spark.table(f"{root}.{name}")
     return out
 
 

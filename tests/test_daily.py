@@ -32,3 +32,10 @@ def test_daily_refuses_empty_marts(spark, sf_dir, tmp):
     stg["stg_sellers"] = stg["stg_sellers"].limit(0)
     with pytest.raises(ValueError, match="dim_sellers"):
         daily.run_daily(spark, stg, os.path.join(tmp, "dwh"))
+
+
+def test_daily_into_a_catalog_database(spark, sf_dir, tmp):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS ordermill_dwh LOCATION '{os.path.join(tmp, 'db')}'")
+    result = daily.run_daily(spark, fx.staging(spark, sf_dir), "ordermill_dwh")
+    assert spark.table("ordermill_dwh.fact_orders").count() == fx.table(spark, sf_dir, "orders").count()
+    assert {r["table_name"] for r in result.row_counts.collect()} == set(daily.MART_NAMES)
