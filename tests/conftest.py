@@ -20,6 +20,7 @@ def spark():
     s = build_session("local[*]", app_name="ordermill-tests", conf={
         "spark.sql.shuffle.partitions": "8",
         "spark.checkpoint.dir": tempfile.mkdtemp(prefix="ordermill-tests-"),
+        "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="ordermill-warehouse-"),
     })
     yield s
     s.stop()
