@@ -104,3 +104,22 @@ def ensure_landing_table(spark: SparkSession, path: str) -> None:
     """
     (spark.createDataFrame([], LANDING_TABLE).write.mode("ignore")
      .partitionBy("batch_id").parquet(path))
+
+
+def register_views(spark: SparkSession, dwh_root: str | None = None,
+                   landing: str | None = None) -> list[str]:
+    """Expose the written marts and the landing table as session views under
+    their warehouse names, so existing SQL runs through ``spark.sql``.
+
+    Nothing is read until a query uses a view. Returns the view names.
+    """
+    names = []
+    if dwh_root:
+        for mart in ("dim_customers", "dim_products", "dim_sellers", "fact_orders"):
+            spark.read.parquet(os.path.join(dwh_root, mart)).createOrReplaceTempView(mart)
+            names.append(mart)
+    if landing:
+        spark.read.schema(LANDING_TABLE).parquet(landing).createOrReplaceTempView(
+            "raw_orders_stream")
+        names.append("raw_orders_stream")
+    return names

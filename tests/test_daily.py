@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from ordermill.plans import daily
 from ordermill.sources import fixtures as fx
@@ -39,3 +40,28 @@ def test_daily_into_a_catalog_database(spark, sf_dir, tmp):
     result = daily.run_daily(spark, fx.staging(spark, sf_dir), "ordermill_dwh")
     assert spark.table("ordermill_dwh.fact_orders").count() == fx.table(spark, sf_dir, "orders").count()
     assert {r["table_name"] for r in result.row_counts.collect()} == set(daily.MART_NAMES)
+
+
+def test_marts_and_landing_queryable_as_views(spark, sf_dir, tmp):
+    from ordermill.sources import files
+    from ordermill.sources.fixtures import raw_orders_stream
+    root = os.path.join(tmp, "dwh")
+    daily.write_marts(spark, daily.build_marts(fx.staging(spark, sf_dir)), root)
+    land = os.path.join(tmp, "landing")
+    raw_orders_stream(spark, sf_dir).withColumn("batch_id", F.lit(0).cast("long")) \
+        .select("order_id", "customer_id", "product_id", "seller_id", "quantity",
+                F.col("price").cast("double"), "order_timestamp", "insert_timestamp",
+                "batch_id") \
+        .withColumn("order_id", F.col("order_id").cast("string")) \
+        .withColumn("customer_id", F.col("customer_id").cast("string")) \
+        .withColumn("product_id", F.col("product_id").cast("string")) \
+        .withColumn("seller_id", F.col("seller_id").cast("string")) \
+        .write.partitionBy("batch_id").parquet(land)
+    assert files.register_views(spark, root, land) == [
+        "dim_customers", "dim_products", "dim_sellers", "fact_orders", "raw_orders_stream"]
+    n = spark.sql("SELECT COUNT(*) FROM fact_orders f JOIN dim_customers c "
+                  "ON f.customer_id = c.customer_id").first()[0]
+    assert n == fx.table(spark, sf_dir, "orders").count()
+    hours = spark.sql("SELECT date_trunc('hour', order_timestamp) h, COUNT(*) FROM "
+                      "raw_orders_stream GROUP BY 1").count()
+    assert hours > 0
