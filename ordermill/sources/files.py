@@ -73,8 +73,10 @@ def load_files(spark: SparkSession, directory: str, target_root: str, quarantine
 
     Tables land at ``<target_root>/<table>`` (or as catalog tables named
     ``<target_root>.<table>`` when ``target_root`` has no '/'), rejects at
-    ``<quarantine_root>/<table>``. A failing write raises (nothing is listed
-    as loaded that was not).
+    ``<quarantine_root>/<table>``. Each file's parsed copy is staged at
+    ``<quarantine_root>/_parsed/<table>`` and replaced by the next load, so
+    staging space stays at one copy per table. A failing write raises
+    (nothing is listed as loaded that was not).
     """
     present = {r["file_name"] for r in listed_files(spark, directory).collect()}
     rows = []
@@ -82,7 +84,8 @@ def load_files(spark: SparkSession, directory: str, target_root: str, quarantine
         if file_name not in present:
             log.warning("input file not found, skipped: %s", file_name)
             continue
-        parts = load_csv(spark, os.path.join(directory, file_name), schema)
+        parts = load_csv(spark, os.path.join(directory, file_name), schema,
+                         staging=os.path.join(quarantine_root, "_parsed", table))
         target = (os.path.join(target_root, table) if "/" in target_root
                   else f"{target_root}.{table}")
         good = write_counted(parts.good, f"{table}_good", lambda d: save(d, target))
@@ -108,7 +111,8 @@ def ensure_landing_table(spark: SparkSession, path: str) -> None:
 
 def register_views(spark: SparkSession, dwh_root: str | None = None,
                    landing: str | None = None) -> list[str]:
-    """Expose the written marts and the landing table as session views under
+    """Expose the written marts (a folder, or a catalog database when
+    ``dwh_root`` has no '/') and the landing table as session views under
     their warehouse names, so existing SQL runs through ``spark.sql``.
 
     Nothing is read until a query uses a view. Returns the view names.
@@ -116,7 +120,9 @@ def register_views(spark: SparkSession, dwh_root: str | None = None,
     names = []
     if dwh_root:
         for mart in ("dim_customers", "dim_products", "dim_sellers", "fact_orders"):
-            spark.read.parquet(os.path.join(dwh_root, mart)).createOrReplaceTempView(mart)
+            df = (spark.read.parquet(os.path.join(dwh_root, mart)) if "/" in dwh_root
+                  else spark.table(f"{dwh_root}.{mart}"))
+            df.createOrReplaceTempView(mart)
             names.append(mart)
     if landing:
         spark.read.schema(LANDING_TABLE).parquet(landing).createOrReplaceTempView(

@@ -62,6 +62,10 @@ def test_load_files_report_and_missing_inputs(spark, tmp):
     report = files.load_files(spark, src, os.path.join(tmp, "tables"), os.path.join(tmp, "bad"))
     rows = {r["table_name"]: (r["rows_loaded"], r["rows_rejected"]) for r in report.collect()}
     assert rows == {"raw_product_category_name_translation": (1, 1), "raw_sellers": (1, 0)}
+    # The parsed copy sits in one fixed place per table and is replaced by the next load.
+    assert os.path.isdir(os.path.join(tmp, "bad", "_parsed", "raw_sellers"))
+    files.load_files(spark, src, os.path.join(tmp, "tables"), os.path.join(tmp, "bad"))
+    assert spark.read.parquet(os.path.join(tmp, "bad", "_parsed", "raw_sellers")).count() == 1
     sellers = spark.read.parquet(os.path.join(tmp, "tables", "raw_sellers")).collect()
     assert sellers[0]["seller_zip_code_prefix"] == "01001"   # ids stay text
     missing = sorted(r["file_name"] for r in files.missing_inputs(spark, src).collect())
