@@ -167,7 +167,9 @@ def compact_landing(spark: SparkSession, landing: str, table: str, start_date: s
     (dynamic partition overwrite), so a rerun after a failure gives the
     same table. Rows are range partitioned on (order_date, order_id) before
     the write, so a date holding most of the rows is split over several
-    tasks rather than written by one; AQE sizes the partitions.
+    tasks rather than written by one; AQE sizes the partitions. Orders that
+    land after their date was compacted appear once the date is compacted
+    again (each run rebuilds whole dates from the landing table).
     """
     ts = F.col("order_timestamp")
     start = F.to_date(F.lit(start_date))

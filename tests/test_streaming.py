@@ -187,3 +187,17 @@ def test_live_chain_sink_to_landing_to_hourly_table(spark, tmp):
     batch = {r["hour"]: r["orders_count"] for r in
              realtime.hourly_series(ingest.read_landing(spark, land)).collect()}
     assert rows == batch
+
+
+def test_recompaction_picks_up_late_orders(spark, tmp):
+    src, land, bad, ckpt = (os.path.join(tmp, d) for d in ("in", "land", "bad", "ckpt"))
+    sink = ingest.LandingSink(land, bad, ckpt)
+    _drop(src, "a.json", [_msg(1, timestamp="2024-01-01T10:00:00")])
+    sink.start(ingest.text_order_source(spark, src), available_now=True).awaitTermination()
+    table = os.path.join(tmp, "by_date")
+    ingest.compact_landing(spark, land, table, "2024-01-01", "2024-01-01")
+    _drop(src, "b.json", [_msg(2, timestamp="2024-01-01T11:00:00")])   # late for that date
+    sink.start(ingest.text_order_source(spark, src), available_now=True).awaitTermination()
+    assert ingest.live_orders(spark, land, table, "2024-01-02").count() == 1
+    ingest.compact_landing(spark, land, table, "2024-01-01", "2024-01-01")
+    assert ingest.live_orders(spark, land, table, "2024-01-02").count() == 2
