@@ -2,8 +2,9 @@
 
 The generic column tests (``unique``, ``not_null``, ``positive_value``) are
 plain ``(df, column) -> df`` functions, usable with ``DataFrame.transform``.
-Nothing here raises on its own: the report carries a severity per check and
-the caller decides (see ``raise_on_failures``).
+The checks never raise: the report carries a severity per check and the
+caller decides, by calling ``raise_on_failures`` or one of the ``require_*``
+helpers, which fetch a few summary rows and raise on failure.
 """
 
 from __future__ import annotations
