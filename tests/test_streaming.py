@@ -201,3 +201,15 @@ def test_recompaction_picks_up_late_orders(spark, tmp):
     assert ingest.live_orders(spark, land, table, "2024-01-02").count() == 1
     ingest.compact_landing(spark, land, table, "2024-01-01", "2024-01-01")
     assert ingest.live_orders(spark, land, table, "2024-01-02").count() == 2
+
+
+def test_duplicate_order_ids_are_kept(spark, tmp):
+    # The producer's order ids repeat; nothing downstream may drop either row.
+    src, land, bad, ckpt = (os.path.join(tmp, d) for d in ("in", "land", "bad", "ckpt"))
+    _drop(src, "a.json", [_msg(1, order_id="ORDER_20240101_1234"),
+                          _msg(2, order_id="ORDER_20240101_1234")])
+    ingest.LandingSink(land, bad, ckpt).start(
+        ingest.text_order_source(spark, src), available_now=True).awaitTermination()
+    landed = ingest.read_landing(spark, land)
+    assert landed.count() == 2 and landed.select("order_id").distinct().count() == 1
+    assert realtime.kpi_last_hour(landed, dt.datetime(2024, 1, 1, 10, 30)).first()["orders_count"] == 2
