@@ -142,7 +142,7 @@ def order_messages(events: DataFrame) -> DataFrame:
 
 def json_order_decode(spark: SparkSession, sf: str) -> DataFrame:
     decoded = ingest.decode_orders(order_messages(fx.table(spark, sf, "events")))
-    return decoded.select(*ingest.LANDING_COLUMNS)
+    return decoded.where(F.col("reject_reason").isNull()).select(*ingest.LANDING_COLUMNS)
 
 
 def stream_hourly(spark: SparkSession, sf: str) -> DataFrame:
