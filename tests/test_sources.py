@@ -126,3 +126,13 @@ def test_raw_orders_timestamps_and_bad_dates(spark, tmp):
     assert good["o2"]["order_approved_at"] is None        # empty field -> NULL
     assert set(good) == {"o1", "o2"}
     assert [r["order_id"] for r in parts.rejected.collect()] == ["o3"]
+
+
+def test_header_only_file_loads_zero_rows(spark, tmp):
+    src = os.path.join(tmp, "raw")
+    os.makedirs(src)
+    _write(src, "olist_sellers_dataset.csv",
+           "seller_id,seller_zip_code_prefix,seller_city,seller_state\r\n")
+    report = files.load_files(spark, src, os.path.join(tmp, "t"), os.path.join(tmp, "q")).collect()
+    assert [(r["rows_loaded"], r["rows_rejected"]) for r in report] == [(0, 0)]
+    assert spark.read.parquet(os.path.join(tmp, "t", "raw_sellers")).count() == 0
