@@ -30,7 +30,10 @@ def build_session(master: str | None = None, app_name: str = "ordermill",
     for key, value in {**DEFAULT_CONF, **(conf or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    try:  # classic sessions only
+        spark.sparkContext.setLogLevel("ERROR")
+    except Exception:
+        pass
     return spark
 
 
@@ -46,8 +49,11 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     if not base:
         base = tempfile.mkdtemp(prefix="ordermill-")
         spark.conf.set("spark.checkpoint.dir", base)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(os.path.join(base, "rdd"))
+    try:  # classic sessions only; Spark Connect has no SparkContext
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(os.path.join(base, "rdd"))
+    except Exception:
+        pass
     return os.path.join(base, *parts, uuid.uuid4().hex) if parts else base
 
 
