@@ -131,3 +131,13 @@ def test_health_check_raises_when_stale(spark):
     stale = _orders(spark, [("s", 1, 1.0, AS_OF - dt.timedelta(minutes=20))])
     with pytest.raises(ValueError, match="no new orders"):
         health_check(stale, AS_OF)
+
+
+def test_wall_clock_defaults(spark):
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
+    o = _orders(spark, [("s1", 1, 5.0, now - dt.timedelta(minutes=1)),
+                        ("s2", 2, 7.0, now - dt.timedelta(days=3))])
+    assert realtime.kpi_last_hour(o).first()["orders_count"] == 1
+    assert {r["seller_id"] for r in realtime.top_sellers(o, "week").collect()} == {"s1", "s2"}
+    assert realtime.sales_spike_status(o).first()["status"].startswith("OK")
+    assert realtime.monitor_status(o).first()["recent_orders"] == 1
