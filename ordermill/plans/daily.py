@@ -1,8 +1,9 @@
 """The daily batch: raw files -> marts -> checks.
 
 Order of steps (the reference runs them as one scheduled chain): required
-inputs present -> tolerant raw load -> marts from staging -> column tests
--> row counts -> post-load checks. Staging tables come from an upstream
+inputs present -> tolerant raw load -> marts from staging -> declared tests
+(a failure stops the run) -> row counts (an empty mart stops the run) ->
+post-load checks (severity decides). Staging tables come from an upstream
 cleaning layer this library does not define; ``build_marts`` takes them as
 DataFrames. Marts are written before they are checked, so the checks read
 the written tables instead of recomputing the marts (the write also cuts
@@ -16,6 +17,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ordermill.operators import marts, quality
 from ordermill.sources.files import save
@@ -79,16 +81,25 @@ class DailyResult:
 
 
 def run_daily(spark: SparkSession, stg: Mapping[str, DataFrame], root: str,
-              fail_on: tuple[str, ...] = ()) -> DailyResult:
-    """Build, write and check the marts under ``root``.
-
-    Empty marts always raise. Checks of the severities in ``fail_on``
-    (e.g. ``("error",)``) raise too; by default they only report.
+              fail_on: tuple[str, ...] = (), strict_tests: bool = True) -> DailyResult:
+    """Build, write and check the marts under ``root``, in the reference's
+    order: marts, then the declared tests, then row counts, then the report.
+
+    A failing declared test raises (as a failing warehouse test stops the
+    run) unless ``strict_tests`` is off; empty marts always raise; report
+    checks of the severities in ``fail_on`` (e.g. ``("error",)``) raise too,
+    by default they only report.
     """
     written = write_marts(spark, build_marts(stg), root)
+    tests = column_tests(written)
+    if strict_tests:
+        failing = tests.where(F.col("failures") > 0).collect()   # at most one row per test
+        if failing:
+            raise ValueError("declared tests failed: " + ", ".join(
+                f"{r['model']}.{r['column_name']} {r['test']}={r['failures']}" for r in failing))
     counts = quality.row_counts(written)
     quality.require_non_empty(counts)
     report = quality.quality_report(written["fact_orders"], written["dim_customers"])
     if fail_on:
         quality.raise_on_failures(report, fail_on)
-    return DailyResult(written, counts, column_tests(written), report)
+    return DailyResult(written, counts, tests, report)

@@ -65,3 +65,15 @@ def test_marts_and_landing_queryable_as_views(spark, sf_dir, tmp):
     hours = spark.sql("SELECT date_trunc('hour', order_timestamp) h, COUNT(*) FROM "
                       "raw_orders_stream GROUP BY 1").count()
     assert hours > 0
+
+
+def test_failing_declared_test_stops_the_run(spark, sf_dir, tmp):
+    stg = fx.staging(spark, sf_dir)
+    # The same product id under two categories breaks dim_products.product_id unique.
+    twin = stg["stg_products"].limit(1).withColumn("product_category_name", F.lit("other"))
+    stg["stg_products"] = stg["stg_products"].unionByName(twin)
+    with pytest.raises(ValueError, match="dim_products.product_id unique=1"):
+        daily.run_daily(spark, stg, os.path.join(tmp, "a"))
+    result = daily.run_daily(spark, stg, os.path.join(tmp, "b"), strict_tests=False)
+    failed = [r for r in result.column_tests.collect() if r["failures"]]
+    assert [(r["model"], r["test"]) for r in failed] == [("dim_products", "unique")]
