@@ -46,6 +46,8 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("staging", help="folder of Parquet staging tables, or a database name")
     s.add_argument("out_root")
     s.add_argument("--fail-on", default="error", help="comma-separated severities that fail")
+    s.add_argument("--report-test-failures", action="store_true",
+                   help="report failing declared tests instead of stopping the run")
 
     s = sub.add_parser("ingest")
     s.add_argument("landing")
@@ -94,7 +96,8 @@ def main(argv: list[str] | None = None) -> int:
     elif args.job == "daily":
         from ordermill.plans import daily
         fail_on = tuple(x for x in args.fail_on.split(",") if x)
-        result = daily.run_daily(spark, _staging(spark, args.staging), args.out_root, fail_on)
+        result = daily.run_daily(spark, _staging(spark, args.staging), args.out_root, fail_on,
+                                 strict_tests=not args.report_test_failures)
         for part in (result.row_counts, result.column_tests, result.report):
             for r in part.collect():
                 print(json.dumps(r.asDict(), default=str))
