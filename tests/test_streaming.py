@@ -5,12 +5,14 @@ from __future__ import annotations
 import datetime as dt
 import json
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from ordermill.operators import realtime
 from ordermill.plans import catalog
+from ordermill.plans.audit import plan_text
 from ordermill.sources import fixtures as fx
 from ordermill.streaming import hourly, ingest
 
@@ -131,7 +133,10 @@ def test_compaction_is_idempotent_and_read_once(spark, tmp):
     # Trailing windows prune on order_date and still see the right rows.
     as_of = dt.datetime(2024, 1, 3, 0, 10)
     # 2024-01-02 23:30 (compacted) plus the three later rows (no upper bound).
-    assert realtime.kpi_last_hour(live, as_of).first()["orders_count"] == 4
+    kpi = realtime.kpi_last_hour(live, as_of)
+    assert kpi.first()["orders_count"] == 4
+    # Only date partitions from the window start on are read.
+    assert re.search(r"PartitionFilters: \[[^\]]*order_date#\d+ >= 2024-01-02", plan_text(kpi))
     top = realtime.top_sellers(live, "week", as_of).collect()
     assert sum(1 for _ in top) >= 1
 
