@@ -165,9 +165,9 @@ def compact_landing(spark: SparkSession, landing: str, table: str, start_date: s
     Micro-batches leave many small files laid out by batch; the dashboard
     reads by time. Each run replaces exactly the date partitions it covers
     (dynamic partition overwrite), so a rerun after a failure gives the
-    same table. Rows are range partitioned on (order_date, order_id) before
-    the write, so a date holding most of the rows is split over several
-    tasks rather than written by one; AQE sizes the partitions. Orders that
+    same table. The write is rebalanced on order_date (Spark's REBALANCE
+    hint): AQE splits a date holding most of the rows over several tasks and
+    merges small ones, so files come out evenly sized. Orders that
     land after their date was compacted appear once the date is compacted
     again (each run rebuilds whole dates from the landing table).
     """
@@ -179,7 +179,7 @@ def compact_landing(spark: SparkSession, landing: str, table: str, start_date: s
                    & (ts < F.date_add(end, 1).cast("timestamp_ntz")))
             .drop("batch_id")
             .withColumn("order_date", F.to_date(ts)))
-    (rows.repartitionByRange("order_date", "order_id")
+    (rows.hint("rebalance", "order_date")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("order_date").parquet(table))
 
