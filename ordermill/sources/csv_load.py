@@ -37,13 +37,19 @@ class CsvLoad:
     rejected: DataFrame  # the schema's columns (as parsed) plus ``_corrupt_record``
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Parse ``path`` with ``schema`` plus ``_corrupt_record``; nothing raises."""
+def read_csv(spark: SparkSession, path: str, schema: T.StructType,
+             multi_line: bool = True) -> DataFrame:
+    """Parse ``path`` with ``schema`` plus ``_corrupt_record``; nothing raises.
+
+    ``multi_line`` allows quoted fields to span lines (review texts do), but
+    then Spark reads each file in one task; for files known to be one record
+    per line, ``multi_line=False`` lets a large file split across tasks.
+    """
     full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
     return (spark.read.schema(full)
             .option("header", True).option("sep", ",")
             .option("quote", '"').option("escape", '"')
-            .option("multiLine", True)
+            .option("multiLine", multi_line)
             .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
             .option("emptyValue", _EMPTY)
             .csv(path))
@@ -60,14 +66,14 @@ def _restore_empty(schema: T.StructType) -> list:
 
 
 def load_csv(spark: SparkSession, path: str, schema: T.StructType,
-             staging: str | None = None) -> CsvLoad:
+             staging: str | None = None, multi_line: bool = True) -> CsvLoad:
     """Parse a CSV file (or folder) once and split good from rejected rows.
 
     Runs one job that writes the parsed rows (all columns) to ``staging``,
     by default a fresh folder under the shared ``spark.checkpoint.dir``.
     """
     staging = staging or shared_dir(spark, "csv_load")
-    read_csv(spark, path, schema).write.mode("overwrite").parquet(staging)
+    read_csv(spark, path, schema, multi_line).write.mode("overwrite").parquet(staging)
     parsed = spark.read.parquet(staging)
     ok = F.col(CORRUPT).isNull()
     good = parsed.where(ok).select(*_restore_empty(schema))
