@@ -62,3 +62,14 @@ def test_hot_seller_and_hot_order(spark):
         assert got[s]["avg_order_value"] == float(revenue[s]) / count[s]
     hot = marts.order_item_metrics(items).where("order_id = 'o-hot'").first()
     assert hot["total_items"] == 1000 and hot["unique_products"] == len({r[1] for r in rows if r[0] == "o-hot"})
+
+
+def test_scans_read_only_needed_columns_and_push_filters(spark, sf_dir):
+    plan = _plan(entry.queries()["fact_orders"](spark, sf_dir))
+    lineitem_scans = [l for l in plan.splitlines() if "lineitem.parquet" in l]
+    assert lineitem_scans
+    for scan in lineitem_scans:
+        columns = re.search(r"FileScan parquet \[([^\]]*)\]", scan).group(1)
+        assert "l_shipdate" not in columns and "l_quantity" not in columns, columns
+    # The payments view's filter reaches the Parquet reader.
+    assert any("EqualTo(l_linestatus,F)" in l for l in lineitem_scans)
