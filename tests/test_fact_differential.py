@@ -1,0 +1,71 @@
+"""fact_orders equals the oracle's fact SQL on random staging tables with
+duplicates, NULL ids and orders without items, payments or reviews."""
+
+from __future__ import annotations
+
+import datetime as dt
+import random
+import re
+from decimal import Decimal
+
+import duckdb
+
+from oracle_check import compare
+from ordermill.operators import marts
+from ordermill.plans import oracle
+
+ORDERS = ("order_id bigint, customer_id bigint, order_status string, "
+          "order_purchase_timestamp timestamp_ntz, order_approved_at timestamp_ntz, "
+          "order_delivered_carrier_date timestamp_ntz, order_delivered_customer_date timestamp_ntz, "
+          "order_estimated_delivery_date timestamp_ntz")
+ITEMS = ("order_id bigint, product_id bigint, seller_id bigint, price decimal(12,2), "
+         "freight_value decimal(17,4)")
+PAYMENTS = "order_id bigint, payment_sequential int, payment_type string, payment_value decimal(12,2)"
+REVIEWS = "order_id bigint, review_score bigint"
+
+
+def _data(seed: int):
+    rng = random.Random(seed)
+    t0 = dt.datetime(2024, 1, 1)
+    orders = []
+    for o in range(40):
+        t = t0 + dt.timedelta(hours=rng.randint(0, 500))
+        row = (o, rng.choice([None, 1, 2, 3]), rng.choice(["F", "O", "P"]), t, None, None, None,
+               t + dt.timedelta(days=14))
+        orders.append(row)
+        if rng.random() < 0.15:
+            orders.append(row)                       # exact duplicate order row
+    items = [(rng.randint(0, 45), rng.choice([None, 10, 11, 12, 13]), rng.choice([None, 7, 8]),
+              Decimal(rng.randint(1, 99999)) / 100, Decimal(rng.randint(0, 9999)) / 10000)
+             for _ in range(90)]
+    payments = [(rng.randint(0, 45), rng.randint(1, 3), rng.choice(["boleto", "card", None]),
+                 Decimal(rng.randint(1, 9999)) / 100) for _ in range(50)]
+    reviews = [(rng.randint(0, 45), rng.randint(1, 5)) for _ in range(30)]
+    return orders, items, payments, reviews
+
+
+def test_fact_orders_matches_oracle_sql_on_random_staging(spark):
+    for seed in (1, 2, 3):
+        orders, items, payments, reviews = _data(seed)
+        frames = {
+            "stg_orders": spark.createDataFrame(orders, ORDERS),
+            "stg_order_items": spark.createDataFrame(items, ITEMS),
+            "stg_order_payments": spark.createDataFrame(payments, PAYMENTS),
+            "stg_order_reviews": spark.createDataFrame(reviews, REVIEWS),
+        }
+        con = duckdb.connect()
+        for name, (rows, ddl) in {"stg_orders": (orders, ORDERS), "stg_order_items": (items, ITEMS),
+                                  "stg_order_payments": (payments, PAYMENTS),
+                                  "stg_order_reviews": (reviews, REVIEWS)}.items():
+            cols = [c.strip().split(" ") for c in re.split(r",(?![^()]*\))", ddl)]
+            types = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR",
+                     "timestamp_ntz": "TIMESTAMP"}
+            con.execute(f"CREATE TABLE {name} (" + ", ".join(
+                f"{c} {types.get(t, t.upper())}" for c, t in cols) + ")")
+            if rows:
+                con.executemany(f"INSERT INTO {name} VALUES ({', '.join('?' * len(cols))})", rows)
+        sql = "WITH " + oracle._ITEM_AGG.strip() + oracle._FACT_SELECT
+        got = marts.fact_orders(frames["stg_orders"], frames["stg_order_items"],
+                                frames["stg_order_payments"], frames["stg_order_reviews"])
+        ok, msg = compare(got, con, sql)
+        assert ok, f"seed {seed}: {msg}"
