@@ -69,3 +69,56 @@ def test_fact_orders_matches_oracle_sql_on_random_staging(spark):
                                 frames["stg_order_payments"], frames["stg_order_reviews"])
         ok, msg = compare(got, con, sql)
         assert ok, f"seed {seed}: {msg}"
+
+
+PRODUCTS = ("product_id bigint, product_category_name string, product_weight_g double, "
+            "product_length_cm double, product_height_cm double, product_width_cm double, "
+            "product_volume_cm3 double, weight_category string")
+SELLERS = ("seller_id bigint, seller_city string, seller_state string, "
+           "seller_zip_code_prefix string")
+CUSTOMERS = ("customer_id bigint, customer_unique_id string, customer_city string, "
+             "customer_state string, customer_zip_code_prefix string")
+
+
+def _duck(tables: dict) -> duckdb.DuckDBPyConnection:
+    types = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR",
+             "timestamp_ntz": "TIMESTAMP", "double": "DOUBLE"}
+    con = duckdb.connect()
+    for name, (rows, ddl) in tables.items():
+        cols = [c.strip().split(" ") for c in re.split(r",(?![^()]*\))", ddl)]
+        con.execute(f"CREATE TABLE {name} (" + ", ".join(
+            f"{c} {types.get(t, t.upper())}" for c, t in cols) + ")")
+        if rows:
+            con.executemany(f"INSERT INTO {name} VALUES ({', '.join('?' * len(cols))})", rows)
+    return con
+
+
+def test_dimensions_match_oracle_sql_on_random_staging(spark):
+    for seed in (4, 5, 6):
+        rng = random.Random(seed)
+        orders, items, _, _ = _data(seed)
+        products = []
+        for p in [None, 10, 11, 12, 13, 14]:
+            products.append((p, rng.choice(["toys", "books"]), 1.0, 2.0, 3.0, 4.0, 24.0, "light"))
+            if rng.random() < 0.3:   # same id again, other category
+                products.append((p, "garden", 1.0, 2.0, 3.0, 4.0, 24.0, "heavy"))
+        sellers = [(s, rng.choice(["Lyon", "Nice"]), "X", "01") for s in (None, 7, 8, 9)]
+        customers = [(c, rng.choice(["u1", "u2", None]), rng.choice(["Paris", "Nice", None]),
+                      rng.choice(["IDF", "PACA"]), rng.choice(["75", "06"]))
+                     for c in [None, 1, 1, 2, 2, 2, 3, 4]]
+        con = _duck({"stg_orders": (orders, ORDERS), "stg_order_items": (items, ITEMS),
+                     "stg_products": (products, PRODUCTS), "stg_sellers": (sellers, SELLERS),
+                     "stg_customers": (customers, CUSTOMERS)})
+        o = spark.createDataFrame(orders, ORDERS)
+        i = spark.createDataFrame(items, ITEMS)
+        cases = {
+            "dim_products": (marts.dim_products(spark.createDataFrame(products, PRODUCTS), i),
+                             "WITH " + oracle._PRODUCT_METRICS.strip() + oracle._products_select("50", "150")),
+            "dim_sellers": (marts.dim_sellers(spark.createDataFrame(sellers, SELLERS), i),
+                            "WITH " + oracle._SELLER_METRICS.strip() + oracle._SELLERS_SELECT),
+            "dim_customers": (marts.dim_customers(spark.createDataFrame(customers, CUSTOMERS), o),
+                              "WITH " + oracle._CUSTOMER_METRICS.strip() + oracle._CUSTOMERS_SELECT),
+        }
+        for name, (df, sql) in cases.items():
+            ok, msg = compare(df, con, sql)
+            assert ok, f"seed {seed} {name}: {msg}"
