@@ -1,4 +1,4 @@
-"""fact_orders equals the oracle's fact SQL on random staging tables with
+"""The marts equal the oracle's SQL on random staging tables with
 duplicates, NULL ids and orders without items, payments or reviews."""
 
 from __future__ import annotations
