@@ -1,0 +1,14 @@
+"""DuckDB SQL for the corpus queries that SQL can express."""
+
+from __future__ import annotations
+
+SQL = {
+    "op1_exact_dedup": """
+        SELECT doc_id,
+               max(doc_id) OVER t AS keep_id,
+               count(*) OVER t AS group_size,
+               row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC) = 1 AS kept,
+               sha256(coalesce(text, '')) AS text_sha256
+        FROM documents WINDOW t AS (PARTITION BY coalesce(text, ''))
+    """,
+}
