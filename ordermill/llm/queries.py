@@ -7,12 +7,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .exact_dedup import exact_dedup
+from .simhash import hex_fingerprint, simhash_components
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_components(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", hex_fingerprint().alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op4_simhash": op4_simhash,
 }
