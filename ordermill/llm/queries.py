@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 from .exact_dedup import exact_dedup
 from .simhash import hex_fingerprint, simhash_components
+from .token_output import token_output
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,7 +20,12 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+def op5_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_output(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op4_simhash": op4_simhash,
+    "op5_token_output": op5_token_output,
 }

@@ -1,0 +1,82 @@
+from __future__ import annotations
+
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from ordermill.llm.queries import op5_token_output
+from ordermill.llm.simple8b import COUNTS, pack, read_blocks, unpack, write_block
+from ordermill.llm.token_output import Encoder, token_output
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.one_of(st.just(0), st.integers(0, 1), st.integers(0, 2 ** 16), st.integers(0, 2 ** 64 - 1)),
+                         max_size=300), max_size=6))
+def test_block_round_trip(docs):
+    ids = np.array([x for d in docs for x in d], np.uint64)
+    names = [None if i % 3 == 2 else i - 1 for i in range(len(docs))]
+    content = write_block(names, ids, [len(d) for d in docs])
+    (doc_ids, lengths, back), = read_blocks(content)
+    assert doc_ids == names and lengths.tolist() == [len(d) for d in docs] and back.tolist() == ids.tolist()
+
+
+def test_words_are_full_and_offsets_point_at_documents():
+    ids = np.array([0] * 500 + [1] * 61 + [40_000] * 9, np.uint64)
+    lengths = np.array([500, 61, 9])
+    words, first, escapes = pack(ids, lengths)
+    assert not len(escapes) and COUNTS[(words >> np.uint64(60)).astype(int)].sum() == len(ids)
+    assert len(words) < 20
+    for k, (a, n) in enumerate(zip(np.cumsum(lengths) - lengths, lengths)):
+        end = int(first[k + 1]) if k + 1 < len(first) else len(words)
+        assert unpack(words[int(first[k]):end]).tolist() == ids[a:a + n].tolist()
+
+
+def test_damage_is_found():
+    content = write_block([1], np.array([1, 2, 3], np.uint64), [3])
+    for bad in (content[:-1], content[:-1] + b"\xff", b"X" + content[1:], content + b"x"):
+        with pytest.raises(Exception):
+            list(read_blocks(bad))
+
+
+ODD = ["", " ", "a", "don't we'LL I'M", "<|endoftext|>x<|startoftext|>", "<|ENDOFTEXT|> A<|", "H̱ \x1c\x85 \xa0 a\x0bb", "ΑΣ ΣΑΣ",
+       "İstanbul KELVIN K", "tab\tline\nfeed\r\nret", "12 345 ½ ² !!! ... ,.,", "é é ́x ﬁ", "🙂🙂 ok🙂", "ＡＢ ǅ"]
+
+
+def test_encoder_equals_the_library():
+    rng = random.Random(3)
+    texts = ODD + ["".join(rng.choice("aAbB Éß'sS.,1\n\t\x0b\xa0<|>é́Σİ") for _ in range(rng.randrange(80))) for _ in range(1500)]
+    library = Tokenizer.from_file(PATH)
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert [x.tolist() for x in Encoder(PATH).encode(texts)] == want
+
+
+def brute(rows):
+    library = Tokenizer.from_file(PATH)
+    out, start = [], 0
+    for doc_id, text in sorted(rows, key=lambda r: (r[0] is not None, r[0])):
+        ids = library.encode(text or "", add_special_tokens=False).ids + [1]
+        out.append((doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    return out
+
+
+def test_query_equals_brute_force(spark, sf_dir, corpus):
+    got = sorted(tuple(r) for r in op5_token_output(spark, sf_dir).collect())
+    assert got == brute([(r.doc_id, r.text) for r in corpus.collect()])
+
+
+def test_odd_rows(make_docs):
+    rows = [(i * 3 - 5, t) for i, t in enumerate(ODD)] + [(None, "no id"), (1000, None), (1001, "long word " * 60_000)]
+    got = [tuple(r) for r in token_output(make_docs(rows).withColumn("start", F.lit(1))).collect()]
+    assert sorted(got, key=lambda r: r[1]) == brute(rows)
+    twice = token_output(make_docs([(7, "same text"), (7, "same text"), (7, "other")])).collect()
+    assert len(twice) == 3 and {r.doc_id for r in twice} == {7}
+    assert token_output(make_docs([])).count() == 0
