@@ -11,4 +11,32 @@ SQL = {
                sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW t AS (PARTITION BY coalesce(text, ''))
     """,
+    "op3_chat_format": r"""
+        WITH turns AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+        marked AS (
+            SELECT *, role = 'assistant' AS loss,
+                   length(regexp_replace(replace(text, '\', '\\'), '(\[|<)(ROLE\]|/?INST\]|/?s>)', '\1\\\2', 'g')) AS len,
+                   length(regexp_replace(replace(role, '\', '\\'), '(\[|<)(ROLE\]|/?INST\]|/?s>)', '\1\\\2', 'g')) AS role_len
+            FROM turns)
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+               coalesce(sum(length(text)) FILTER (loss), 0)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (loss), '')) AS loss_sha256,
+               sum(CASE WHEN loss THEN len + 7 ELSE len + role_len + 19 END)::BIGINT AS formatted_chars
+        FROM marked GROUP BY conv_id
+    """,
+    "op6_warc": """
+        WITH sized AS (
+            SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+                   sha256(coalesce(html, '')) AS payload_digest FROM pages),
+        grouped AS (
+            SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first
+            FROM sized)
+        SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+               CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+        FROM grouped
+    """,
 }

@@ -1,0 +1,55 @@
+from __future__ import annotations
+
+import hashlib
+
+import pytest
+import zstandard
+from pyspark.sql import functions as F
+
+from ordermill.llm.warc import DICT_MAGIC, END, archive, read_records, record, round_trip
+
+SCHEMA = "page_id long, url string, html string"
+
+
+def rec(i, body=b"<p>x</p>" * 30):
+    return record(i, f"http://h/{i}", body, hashlib.sha256(body).hexdigest(), len(body), None, False)
+
+
+@pytest.mark.parametrize("n", [1, 3, 400])
+def test_archive_layout_and_round_trip(n):
+    bodies = [f"<html>{'page text %d ' % i * (i % 50)}</html>".encode() for i in range(n)]
+    content = archive([rec(i, b) for i, b in enumerate(bodies)]) + END.encode()
+    assert content[:4] == DICT_MAGIC
+    assert (int.from_bytes(content[4:8], "little") > 0) == (n == 400)     # trained where there is enough
+    got = list(read_records(content))
+    assert [p for _, _, p in got] == bodies and got[0][0]["WARC-Target-URI"] == "http://h/0"
+
+
+def test_damage_is_found():
+    good = archive([rec(1), rec(2)]) + END.encode()
+    wrong = rec(1).replace(b"<p>x", b"<p>y", 1)
+    short = rec(1)[:-1]
+    for bad in (good[:-1], good[:40], good[4:], b"", good.replace(END.encode(), b"") + b"12345678",
+                archive([wrong]) + END.encode(), archive([short]) + END.encode(),
+                archive([rec(1).replace(b"WARC/1.1", b"WARC/9.9")]) + END.encode()):
+        with pytest.raises((ValueError, zstandard.ZstdError, KeyError)):
+            list(read_records(bad))
+
+
+def test_odd_rows(spark):
+    big, other = "é" * 100_000, "b" * 100
+    rows = [(5, "http://a/%41 b\r\nX: y", big), (3, None, big), (9, "u", big), (1, "u", None), (2, "u", ""),
+            (4, "u", "b" * 99), (6, "u", "b" * 99), (8, "u", other), (7, "u", other), (None, "u", other), (7, "v", other),
+            (None, "n", "only null ids " * 20), (20, "u", "c" * 120 + "\r\n\r\n")]
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("digest", F.lit("x")).withColumn("salt", F.lit(1))
+    got = sorted(round_trip(df.repartition(3), payloads=True).collect(), key=repr)
+    want = []
+    for page_id, url, html in rows:
+        body = (html or "").encode()
+        ids = [i for i, _, h in rows if (h or "") == (html or "") and i is not None]
+        first = min(ids) if len(body) >= 100 and ids else None
+        revisit = first is not None and page_id != first
+        want.append((page_id, url, len(body), hashlib.sha256(body).hexdigest(), "revisit" if revisit else "response",
+                     first if revisit else None, None if revisit else body))
+    assert sorted(map(repr, want)) == sorted(repr((*r[:6], r[6] and bytes(r[6]) if r[6] != b"" else b"")) for r in got)
+    assert round_trip(spark.createDataFrame([], SCHEMA)).count() == 0
