@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .chat import digests, format_chats, turn_events
 from .common import table
 from .exact_dedup import exact_dedup
+from .pii import find_pii
 from .simhash import hex_fingerprint, simhash_components
 from .token_output import token_output
 from .warc import round_trip
@@ -38,10 +39,15 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "pages")).drop("url")
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_pii(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_chat_format": op3_chat_format,
     "op4_simhash": op4_simhash,
     "op5_token_output": op5_token_output,
     "op6_warc": op6_warc,
+    "op8_pii": op8_pii,
 }
