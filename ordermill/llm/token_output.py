@@ -4,7 +4,10 @@ order as Simple-8b files (:mod:`.simple8b`), and read back."""
 from __future__ import annotations
 
 import os
+import re
+import unicodedata
 import zlib
+from array import array
 
 import numpy as np
 import public_tokenizers
@@ -14,14 +17,15 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from ordermill.session import shared_dir
 
 from .files import read_files, write_files
-from .simple8b import read_blocks, write_block
+from .simple8b import count_ids, read_blocks, write_block
 from .common import text_of
 
 END_ID = 1
 TERMINATOR = "\n"
 BLOCK_IDS = 1 << 16
 FILE_BYTES = 8 << 20
-CACHE_WORDS = 800_000       # bounds a worker's cache at about 200 MB
+CACHE_WORDS = 500_000       # bounds a worker's cache at about 120 MB
+LATIN_END = 0x250           # letters below this code point
 JOINED_WORDS = 200          # distinct words encoded in one call
 _ENCODERS: dict = {}
 
@@ -38,6 +42,7 @@ class Encoder:
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
@@ -45,6 +50,13 @@ class Encoder:
         special = [(t.content, i) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special]
         self.separator, self.separator_id = special[0] if special else (None, None)
         self.marks = {m: np.array(self.tokenizer.encode(m, add_special_tokens=False).ids, "<u4").tobytes() for m in ".,"}
+        # Lower-case Latin letters pass the tokenizer's normalizer unchanged and
+        # stay one piece, so such a word goes to the merges at once.
+        spell = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        letters = [c for c in map(chr, range(LATIN_END)) if c.isalpha() and c.lower() == c]
+        self.spelling = {ord(c): spell(c)[0][0] for c in letters}
+        self.latin = re.compile(f"[{''.join(letters)}]+").fullmatch
+        self.model = self.tokenizer.model
         self.cache: dict[str, bytes] = {"": b""}
 
     def words(self, text: str) -> list[str]:
@@ -60,14 +72,25 @@ class Encoder:
         return word, b""
 
     def encode_words(self, words: list[str]) -> list[bytes]:
-        """Ids of each word: many words a call, parted by an added token."""
+        """Ids of each word: plain words by the merges alone, others many a
+        call, parted by an added token."""
+        got, rest = {}, []
+        for w in words:
+            if self.latin(w) and unicodedata.is_normalized("NFC", w):
+                got[w] = array("I", [t.id for t in self.model.tokenize(w.translate(self.spelling))]).tobytes()
+            else:
+                rest.append(w)
+        got |= self._by_calls(rest)
+        return [got[w] for w in words]
+
+    def _by_calls(self, words: list[str]) -> dict[str, bytes]:
         part = self.separator
         every = "\n".join(words)
         hooks = {a[:2] for a in self.added if a[:2] in every}
         alone = {w for w in words if part is None or any(h in w for h in hooks)} if hooks or part is None else set()
         joined = [w for w in words if w not in alone] if alone else words
+        got: dict[str, bytes] = {}
         calls = [joined[k:k + JOINED_WORDS] for k in range(0, len(joined), JOINED_WORDS)]
-        got = {}
         alone = list(alone)
         texts = [f" {part} ".join(c) for c in calls] + alone
         for call, out in zip([*calls, *[[w] for w in alone]],
@@ -80,21 +103,21 @@ class Encoder:
             for word, b in zip(call, [*(4 * np.asarray(cuts, np.int64)).tolist(), len(flat)]):
                 got[word] = flat[a:b]
                 a = b + 4
-        return [got[w] for w in words]
+        return got
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = [self.words(t) for t in texts]
         if len(self.cache) > CACHE_WORDS:
             self.cache = {"": b""}
         cache = self.cache
-        new = {w for words in split for w in words if w not in cache}
+        new = set().union(*split).difference(cache)
         cores = {w: self.core(w) for w in new}
         missing = list({core for core, _ in cores.values() if core not in cache})
         for core, ids in zip(missing, self.encode_words(missing)):
             cache[core] = ids
         for word, (core, tail) in cores.items():
             cache[word] = cache[core] + tail
-        return [np.frombuffer(b"".join([cache[w] for w in words]), "<u4") for words in split]
+        return [np.frombuffer(b"".join(map(cache.__getitem__, words)), "<u4") for words in split]
 
 
 def _encoder(path: str) -> Encoder:
@@ -176,11 +199,19 @@ def _read(batches):
                 at += len(ids)
 
 
+def _count(batches):
+    for batch in batches:
+        yield pa.RecordBatch.from_pylist(
+            [{"part": r["part"], "chunk": r["chunk"], "n": count_ids(r["content"], TERMINATOR.encode())}
+             for r in batch.to_pylist()], pa.schema([("part", pa.int64()), ("chunk", pa.int64()), ("n", pa.int64())]))
+
+
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document in the files."""
-    docs = read_files(spark, path).mapInArrow(
+    stored = read_files(spark, path)
+    docs = stored.mapInArrow(
         _read, "part long, chunk long, doc_id long, local long, n_tokens long, ids_crc32 long")
-    files = docs.groupBy("part", "chunk").agg(F.sum("n_tokens").alias("n"))     # a row per file
+    files = stored.mapInArrow(_count, "part long, chunk long, n long")           # a row per file
     before = Window.orderBy("part", "chunk").rowsBetween(Window.unboundedPreceding, -1)
     files = files.select("part", "chunk", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     return docs.join(files, ["part", "chunk"]).select(
