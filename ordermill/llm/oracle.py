@@ -2,6 +2,63 @@
 
 from __future__ import annotations
 
+
+def _share(name: str, children: str, parent: str, child: str) -> str:
+    """Water filling of ``children`` (parent keys, child, weight, cap, budget)."""
+    return f"""
+        {name}_ranked AS (
+            SELECT *, row_number() OVER o AS place,
+                   greatest(budget - coalesce(sum(cap) OVER (PARTITION BY {parent} ORDER BY CASE WHEN weight > 0
+                       THEN cap::DOUBLE / weight::DOUBLE END NULLS LAST, {child} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), 0) AS rest,
+                   sum(weight) OVER (PARTITION BY {parent} ORDER BY CASE WHEN weight > 0 THEN cap::DOUBLE / weight::DOUBLE END
+                       NULLS LAST, {child} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weights
+            FROM {children}
+            WINDOW o AS (PARTITION BY {parent} ORDER BY CASE WHEN weight > 0 THEN cap::DOUBLE / weight::DOUBLE END NULLS LAST, {child})),
+        {name}_level AS (
+            SELECT {parent}, min(place) AS first, arg_min(rest, place) AS level_rest, arg_min(weights, place) AS level_weights
+            FROM {name}_ranked WHERE cap * weights > weight * rest GROUP BY {parent}),
+        {name} AS (
+            SELECT r.* EXCLUDE (place, rest, weights), CASE WHEN first IS NULL OR place < first THEN cap
+                   ELSE coalesce(weight * level_rest // nullif(level_weights, 0), 0) END::HUGEINT AS share
+            FROM {name}_ranked r LEFT JOIN {name}_level USING ({parent}))"""
+
+
+_MIXING = rf"""
+        WITH rows AS (
+            SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                   coalesce('d' || (try_cast(nullif(regexp_extract(coalesce(source, ''), '([0-9]{{1,9}})$', 1), '') AS BIGINT) % 4)::VARCHAR,
+                            'other') AS domain,
+                   length(regexp_replace(regexp_replace(coalesce(text, ''), '[^\x20\x09-\x0D]+', 'x', 'g'),
+                                         '[\x20\x09-\x0D]+', '', 'g')) AS tokens
+            FROM documents),
+        leaves AS (SELECT domain, lang, source, sum(tokens) AS supply FROM rows GROUP BY ALL),
+        domain_nodes AS (
+            SELECT 0 AS root, domain, sum(supply) * 3 AS cap, (SELECT sum(supply) FROM leaves) AS budget,
+                   coalesce(CASE domain WHEN 'd0' THEN 4 WHEN 'd1' THEN 3 WHEN 'd2' THEN 2 END, 1)::HUGEINT AS weight
+            FROM leaves GROUP BY domain),{_share("domains", "domain_nodes", "root", "domain")},
+        lang_nodes AS (
+            SELECT domain, lang, n.cap, share AS budget,
+                   coalesce(CASE lang WHEN 'en' THEN 5 WHEN 'de' THEN 2 WHEN 'fr' THEN 2 END, 1)::HUGEINT AS weight
+            FROM (SELECT domain, lang, sum(supply) * 3 AS cap FROM leaves GROUP BY ALL) n
+            JOIN domains d USING (domain)),{_share("langs", "lang_nodes", "domain", "lang")},
+        source_nodes AS (
+            SELECT l.domain, l.lang, l.source, l.supply, l.supply * 3 AS cap, share AS budget, 1::HUGEINT AS weight
+            FROM leaves l JOIN langs USING (domain, lang)),{_share("sources", "source_nodes", "domain, lang", "source")},
+        planned AS (
+            SELECT domain, lang, source, share::BIGINT AS leaf_budget,
+                   CASE WHEN supply > 0 THEN share // supply WHEN share > 0 THEN 1 ELSE 0 END::BIGINT AS whole,
+                   CASE WHEN supply > 0 THEN share % supply ELSE 0 END::BIGINT AS rest
+            FROM sources),
+        running AS (
+            SELECT *, sum(tokens) OVER (PARTITION BY domain, lang, source
+                       ORDER BY md5('17:' || whole || ':' || coalesce(doc_id::VARCHAR, '')), doc_id
+                       ROWS UNBOUNDED PRECEDING) AS upto
+            FROM rows JOIN planned USING (domain, lang, source))
+        SELECT doc_id, domain, lang, source, tokens, leaf_budget,
+               unnest(range(whole + CASE WHEN upto <= rest AND rest > 0 THEN 1 ELSE 0 END))::BIGINT AS epoch
+        FROM running
+"""
+
 SQL = {
     "op1_exact_dedup": """
         SELECT doc_id,
@@ -39,4 +96,5 @@ SQL = {
                CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
         FROM grouped
     """,
+    "op7_mixing": _MIXING,
 }

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .chat import digests, format_chats, turn_events
 from .common import table
 from .exact_dedup import exact_dedup
+from .mixing import select_mix
 from .pii import find_pii
 from .simhash import hex_fingerprint, simhash_components
 from .token_output import token_output
@@ -39,6 +40,10 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "pages")).drop("url")
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return select_mix(table(spark, sf_dir, "documents")).drop("row_key")
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(table(spark, sf_dir, "documents"))
 
@@ -49,5 +54,6 @@ QUERIES = {
     "op4_simhash": op4_simhash,
     "op5_token_output": op5_token_output,
     "op6_warc": op6_warc,
+    "op7_mixing": op7_mixing,
     "op8_pii": op8_pii,
 }
