@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .chat import digests, format_chats, turn_events
 from .common import table
+from .decontaminate import contaminated
 from .exact_dedup import exact_dedup
+from .licenses import scan_licenses
 from .mixing import select_mix
 from .pii import find_pii
 from .simhash import hex_fingerprint, simhash_components
@@ -48,6 +50,14 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(table(spark, sf_dir, "documents"))
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row_key")
+
+
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_chat_format": op3_chat_format,
@@ -56,4 +66,6 @@ QUERIES = {
     "op6_warc": op6_warc,
     "op7_mixing": op7_mixing,
     "op8_pii": op8_pii,
+    "op9_decontaminate": op9_decontaminate,
+    "op10_licenses": op10_licenses,
 }
