@@ -50,7 +50,7 @@ TEMPLATES = {
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
     "CC-BY-ND-4.0": "Licensed under CC BY-ND 4.0.",
     "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related rights to this work under CC0 1.0.",
-    "All-rights-reserved": "All rights reserved. No part of this work may be reproduced without written permission.",
+    "All-rights-reserved": "All rights reserved.",
 }
 CUES = ("licen", "copyright", "permission is hereby", "free software", "redistribution and use", "warrant", "all rights reserved", "cc0")
 _SENTENCE = re.compile(r"[^\s](?:[^\n.!?]|[.!?](?=\S|[ \t]+[a-z0-9])|\n(?![ \t]*\n))*[.!?]*")

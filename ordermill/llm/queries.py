@@ -9,6 +9,7 @@ from .chat import digests, format_chats, turn_events
 from .common import table
 from .decontaminate import contaminated
 from .exact_dedup import exact_dedup
+from .langid import document_evidence, identify, page_evidence, train
 from .licenses import scan_licenses
 from .mixing import select_mix
 from .pii import find_pii
@@ -21,6 +22,15 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents (sources as hosts) and pages (declared language, address and
+    host) in one table; page p has doc_id -1 - p. The trigram tables are
+    fitted on a bounded sample of the documents' labels."""
+    docs = table(spark, sf_dir, "documents")
+    rows = document_evidence(docs).unionByName(page_evidence(table(spark, sf_dir, "pages")))
+    return identify(rows, train(docs, "lang")).drop("row_key")
+
+
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     trap = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-1, 0, "user", trap), (-1, 1, "assistant", trap)],
@@ -60,6 +70,7 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_language_id": op2_language_id,
     "op3_chat_format": op3_chat_format,
     "op4_simhash": op4_simhash,
     "op5_token_output": op5_token_output,

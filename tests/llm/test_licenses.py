@@ -42,7 +42,7 @@ def test_odd_rows_and_query(spark, sf_dir, corpus, make_docs):
     assert got == sorted([(3, 0, "MIT-notice"), (3, 0, "MIT-notice"), (None, 5, "MIT-notice"), (4, 210_000, "MIT-notice")], key=repr)
     assert scan_licenses(make_docs([])).count() == 0
     wordings = {"Licensed under CC BY-NC 4.0.", "This work is licensed under the GNU General Public License, version 3.",
-                "Licensed under the Apache License, Version 2.0.", lic}
+                "Licensed under the Apache License, Version 2.0.", "All rights reserved.", lic}
     want = sorted((r.doc_id, r.text.index(w)) for r in corpus.collect() for w in wordings if w in (r.text or ""))
     found = op10_licenses(spark, sf_dir).collect()
     assert sorted((r.doc_id, r.start) for r in found) == want and want
