@@ -2,8 +2,10 @@
 
 Prices are floating point in the source tables. Summing doubles gives a last
 digit that depends on the order rows meet in, which differs between runs and
-engines. Every sum and mean here goes through DECIMAL(12,2), which is exact,
-and only the final value is turned back into a double.
+engines. Every sum and mean here goes through DECIMAL(24,6), which is exact for
+amounts below 1e18 down to a millionth, and only the final value is turned
+back into a double. A value beyond that (or NaN, infinity) counts as NULL, so
+one bad message cannot stop a query.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MONEY = T.DecimalType(12, 2)
+PRICE = T.DecimalType(24, 6)
 RATE = T.DecimalType(4, 2)
 
 
@@ -21,15 +24,15 @@ def _col(c: Column | str) -> Column:
 
 
 def money(c: Column | str) -> Column:
-    """Cast a price to DECIMAL(12,2) (a no-op on decimal input)."""
-    return _col(c).cast(MONEY)
+    """A price as DECIMAL(24,6); NULL where it does not fit."""
+    return _col(c).try_cast(PRICE)
 
 
 def money_of(df: DataFrame, name: str) -> Column:
     """Column ``name`` of ``df`` as an exact decimal.
 
     Decimal columns keep their own scale (a freight of price x rate has four
-    digits); anything else is cast to DECIMAL(12,2).
+    digits); anything else is cast to DECIMAL(24,6).
     """
     if isinstance(df.schema[name].dataType, T.DecimalType):
         return F.col(name)
@@ -56,12 +59,6 @@ def exact_mean(c: Column | str) -> Column:
     return F.when(n > 0, F.sum(c).cast("double") / n)
 
 
-def _floor_div(a: Column, b: Column) -> Column:
-    # floor(a / b) for a >= 0, b > 0, exact for |a| < 2**53: a - a % b is a
-    # multiple of b, so the double division has an exact integer result.
-    return ((a - a % b) / b).cast("long")
-
-
 def rounded_mean(c: Column | str, digits: int = 2) -> Column:
     """ROUND(AVG(c), digits), half away from zero, computed exactly.
 
@@ -72,8 +69,9 @@ def rounded_mean(c: Column | str, digits: int = 2) -> Column:
     c = _col(c)
     scale = 10 ** digits
     n = F.count(c)
-    scaled = (F.sum(c) * scale).cast("long")
-    twice_n = n * 2
-    up = _floor_div(F.abs(scaled) * 2 + n, twice_n)
-    signed = F.when(scaled < 0, -up).otherwise(up)
+    wide = "decimal(38,6)"
+    total = F.sum(c).cast(wide)
+    # floor(|sum| * scale / n + 1/2) in whole numbers
+    half_up = F.call_function("div", F.abs(total) * (2 * scale) + n, (n * 2).cast("decimal(20,0)"))
+    signed = F.when(total < 0, -half_up).otherwise(half_up)
     return F.when(n > 0, signed / scale)

@@ -76,8 +76,9 @@ def two_distinct_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def order_item_arrays(spark: SparkSession, sf: str) -> DataFrame:
-    return (marts.order_item_metrics(fx.stg_order_items(spark, sf))
-            .select("order_id", "product_ids", "seller_ids"))
+    # items of no order belong to no array; they must not meet in one task
+    items = fx.stg_order_items(spark, sf).where(F.col("order_id").isNotNull())
+    return marts.order_item_metrics(items).select("order_id", "product_ids", "seller_ids")
 
 
 def latest_attributes(spark: SparkSession, sf: str) -> DataFrame:
@@ -92,6 +93,17 @@ def unified_orders(spark: SparkSession, sf: str) -> DataFrame:
                     fx.raw_orders_stream(spark, sf))
 
 
+def money_extremes(spark: SparkSession, sf: str) -> DataFrame:
+    """Revenue and mean price where prices reach 1e11 and have parts of a cent."""
+    value, kind = F.col("price").cast("double"), F.col("customer_id") % 7
+    price = (F.when(kind == 0, F.round(value) * 1e9).when(kind == 1, F.round(value) / 1000)
+             .otherwise(value))
+    orders = fx.raw_orders_stream(spark, sf).withColumn("price", fm.money(price))
+    return orders.groupBy("quantity").agg(
+        fm.to_double(fm.exact_sum(F.col("price") * F.col("quantity"))).alias("revenue"),
+        fm.rounded_mean("price", 2).alias("avg_value"), fm.exact_mean("price").alias("mean_price"))
+
+
 def date_functions(spark: SparkSession, sf: str) -> DataFrame:
     o = fx.raw_orders_stream(spark, sf)
     as_of = realtime.latest_order_time(o)
@@ -254,6 +266,7 @@ def dq_freshness(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "fact_orders": fact_orders,
+    "money_extremes": money_extremes,
     "dim_sellers": dim_sellers,
     "dim_products": dim_products,
     "dim_customers": dim_customers,

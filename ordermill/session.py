@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -42,12 +45,17 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
 
     On a cluster the setting names a folder every executor can reach, so
     stream checkpoints and lineage cuts survive the loss of any executor.
-    Only when it is unset (local runs, tests) do we create one under the
-    system temp folder and record it in the session.
+    Only when it is unset in local mode (tests) do we create one under the
+    system temp folder, record it in the session and remove it at exit; on a
+    cluster an unset folder is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="ordermill-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", base)
     try:  # classic sessions only; Spark Connect has no SparkContext
         if spark.sparkContext.getCheckpointDir() is None:

@@ -14,6 +14,7 @@ import logging
 import os
 from collections.abc import Iterable, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,7 +34,9 @@ def listed_files(spark: SparkSession, directory: str, pattern: str = "*") -> Dat
     try:
         listing = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
                    .load(directory).select("path"))
-    except Exception:  # the folder itself is missing
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":   # anything else must not look empty
+            raise
         return spark.createDataFrame([], "file_name string")
     return listing.select(F.element_at(F.split("path", "/"), -1).alias("file_name"))
 

@@ -62,7 +62,7 @@ def stg_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stg_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
-    price = money("l_extendedprice")
+    price = F.col("l_extendedprice").cast(MONEY)
     return li.select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"),
@@ -73,19 +73,18 @@ def stg_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stg_order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
-    return (li.where(F.col("l_linestatus") == "F")
-            .select(F.col("l_orderkey").alias("order_id"),
-                    F.col("l_linenumber").alias("payment_sequential"),
-                    F.col("l_returnflag").alias("payment_type"),
-                    (money("l_extendedprice") * (F.lit(1) - F.col("l_discount").cast(RATE)))
-                    .alias("payment_value")))
+    return li.select(
+        F.col("l_orderkey").alias("order_id"),
+        F.col("l_linenumber").alias("payment_sequential"),
+        F.col("l_returnflag").alias("payment_type"),
+        (F.col("l_extendedprice").cast(MONEY) * (F.lit(1) - F.col("l_discount").cast(RATE)))
+        .alias("payment_value"))
 
 
 def stg_order_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     k = json_int("props", "$.k")
-    return (ev.where(F.col("event_type") == "view")
-            .select(F.col("user_id").alias("order_id"), (k % 5 + 1).alias("review_score")))
+    return ev.select(F.col("user_id").alias("order_id"), (k % 5 + 1).alias("review_score"))
 
 
 def stg_products(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,7 +127,7 @@ def orders_from_events(ev: DataFrame) -> DataFrame:
         k.alias("product_id"),
         (F.col("user_id") % 50).alias("seller_id"),
         (k % 5 + 1).alias("quantity"),
-        F.col("value").cast(MONEY).alias("price"),
+        money("value").alias("price"),
         F.col("ts").alias("order_timestamp"),
         F.col("ts").alias("insert_timestamp"))
 

@@ -18,6 +18,7 @@ from __future__ import annotations
 import os
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -48,7 +49,9 @@ def decode_orders(messages: DataFrame, value: str = "value") -> DataFrame:
     a naive CSV split); order and customer ids are kept as sent. ``raw``
     keeps the message text.
     """
-    msg = parse_order_json(F.col(value))
+    # behind a generator, so that filters read the parsed record and do not parse again
+    messages = messages.select(F.col(value), F.explode(F.array(parse_order_json(F.col(value)))).alias("_msg"))
+    msg = F.col("_msg")
     ts = parse_timestamp(msg["timestamp"])
     return messages.select(
         msg["order_id"].alias("order_id"),
@@ -94,7 +97,9 @@ def _has_files(spark: SparkSession, path: str, pattern: str = "*") -> bool:
         return bool(spark.read.format("binaryFile").option("recursiveFileLookup", "true")
                     .option("pathGlobFilter", pattern)
                     .load(path).select("path").limit(1).count())
-    except Exception:  # path does not exist yet
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":   # a failed listing must not look empty
+            raise
         return False
 
 

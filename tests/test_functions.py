@@ -56,3 +56,27 @@ def test_text_helpers(spark):
     assert r[0]["id"] == "p1" and r[0]["t"] == dt.datetime(2024, 1, 1, 10, 0, 0, 500000)
     assert r[0]["k"] == 7
     assert r[1]["id"] == "p2" and r[1]["t"] is None and r[1]["k"] is None
+
+
+def test_large_and_sub_cent_prices_are_exact(spark):
+    from pyspark.sql import functions as F
+    df = spark.range(777_777).select(F.lit(987654321.99).alias("p"))
+    assert df.agg(money.rounded_mean(money.money("p"))).first()[0] == 987654321.99
+    df = spark.createDataFrame([(0.004,), (0.004,), (0.125,)], "p double")
+    assert df.agg(money.to_double(money.exact_sum(money.money("p")))).first()[0] == 0.133
+    df = spark.createDataFrame([(1e11,), (1e30,), (float("nan"),), (2.0,)], "p double")
+    r = df.agg(money.exact_mean(money.money("p")), money.rounded_mean(money.money("p"))).first()
+    assert r[0] == r[1] == (1e11 + 2) / 2           # what does not fit counts as NULL
+
+
+def test_shared_dir_needs_a_setting_on_a_cluster():
+    import pytest
+    from ordermill.session import shared_dir
+
+    class Session:
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return {"spark.master": "spark://host:7077"}.get(key, default)
+    with pytest.raises(ValueError, match="checkpoint.dir"):
+        shared_dir(Session)

@@ -64,7 +64,7 @@ def test_fact_orders_matches_oracle_sql_on_random_staging(spark):
                 f"{c} {types.get(t, t.upper())}" for c, t in cols) + ")")
             if rows:
                 con.executemany(f"INSERT INTO {name} VALUES ({', '.join('?' * len(cols))})", rows)
-        sql = "WITH " + oracle._ITEM_AGG.strip() + oracle._FACT_SELECT
+        sql = "WITH " + oracle._PER_ORDER.strip() + oracle._FACT
         got = marts.fact_orders(frames["stg_orders"], frames["stg_order_items"],
                                 frames["stg_order_payments"], frames["stg_order_reviews"])
         ok, msg = compare(got, con, sql)
@@ -113,11 +113,11 @@ def test_dimensions_match_oracle_sql_on_random_staging(spark):
         i = spark.createDataFrame(items, ITEMS)
         cases = {
             "dim_products": (marts.dim_products(spark.createDataFrame(products, PRODUCTS), i),
-                             "WITH " + oracle._PRODUCT_METRICS.strip() + oracle._products_select("50", "150")),
+                             "WITH " + oracle._SALES.strip() + oracle._products("50", "150")),
             "dim_sellers": (marts.dim_sellers(spark.createDataFrame(sellers, SELLERS), i),
-                            "WITH " + oracle._SELLER_METRICS.strip() + oracle._SELLERS_SELECT),
+                            "WITH " + oracle._SALES.strip() + oracle._SELLERS),
             "dim_customers": (marts.dim_customers(spark.createDataFrame(customers, CUSTOMERS), o),
-                              "WITH " + oracle._CUSTOMER_METRICS.strip() + oracle._CUSTOMERS_SELECT),
+                              "WITH " + oracle._SPANS.strip() + oracle._CUSTOMERS),
         }
         for name, (df, sql) in cases.items():
             ok, msg = compare(df, con, sql)
