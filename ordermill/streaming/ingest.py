@@ -151,10 +151,15 @@ def read_landing(spark: SparkSession, landing: str) -> DataFrame:
 
 
 def landing_stream(spark: SparkSession, landing: str,
-                   max_files_per_trigger: int | None = None) -> DataFrame:
+                   max_files_per_trigger: int | None = None,
+                   ignore_missing: bool = False) -> DataFrame:
     """The landing table as a stream: each new batch folder is picked up
-    once (the file source's log), e.g. to feed the live hourly table."""
+    once (the file source's log), e.g. to feed the live hourly table. The log
+    knows files, not batches: a replayed batch comes again under new names.
+    ``ignore_missing`` skips files that a replay has replaced meanwhile."""
     reader = spark.readStream.schema(LANDING_TABLE)
+    if ignore_missing:
+        reader = reader.option("ignoreMissingFiles", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return reader.parquet(landing)

@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from ordermill.plans import catalog
 from ordermill.operators import marts
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "Expand", "Window [")
@@ -24,7 +25,7 @@ def _plan(df) -> str:
     return buf.getvalue()
 
 
-@pytest.mark.parametrize("name", sorted(n for n in entry.queries() if n != "stream_hourly"))
+@pytest.mark.parametrize("name", sorted(n for n in catalog.QUERIES if n != "stream_hourly"))
 def test_no_cross_join_expand_or_window(spark, sf_dir, name):
     plan = _plan(entry.queries()[name](spark, sf_dir))
     for op in FORBIDDEN:

@@ -218,3 +218,22 @@ def test_duplicate_order_ids_are_kept(spark, tmp):
     landed = ingest.read_landing(spark, land)
     assert landed.count() == 2 and landed.select("order_id").distinct().count() == 1
     assert realtime.kpi_last_hour(landed, dt.datetime(2024, 1, 1, 10, 30)).first()["orders_count"] == 2
+
+
+def test_recounted_hours_survive_a_replayed_batch_and_late_rows(spark, tmp):
+    src, land, bad, ckpt, out, hck = (os.path.join(tmp, d) for d in ("in", "land", "bad", "ckpt", "out", "hck"))
+    sink = ingest.LandingSink(land, bad, ckpt)
+
+    def ingest_and_count():
+        sink.start(ingest.text_order_source(spark, src), available_now=True).awaitTermination()
+        hourly.start_hourly_recount(spark, land, out, hck, available_now=True).awaitTermination()
+        return {r["hour"].hour: r["orders_count"] for r in spark.read.parquet(out).collect()}
+
+    _drop(src, "a.json", [_msg(i, timestamp=f"2024-01-01T10:{i:02d}:00") for i in range(10)])
+    assert ingest_and_count() == {10: 10}
+    # The batch was written but not committed: it is written again under new file names.
+    sink.write_batch(spark.read.text(os.path.join(src, "a.json")), 0)
+    _drop(src, "b.json", [_msg(20, timestamp="2024-01-01T18:00:00")])
+    assert ingest_and_count() == {10: 10, 18: 1}
+    _drop(src, "c.json", [_msg(21, timestamp="2024-01-01T10:59:59")])       # eight hours late
+    assert ingest_and_count() == {10: 11, 18: 1}
