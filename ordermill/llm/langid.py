@@ -147,9 +147,9 @@ def identify(rows: DataFrame, model: np.ndarray, languages: tuple[str, ...] = LA
     even = F.array(*[F.lit(1.0 / n)] * n)
     # rows that are not known count nothing
     whole = _sums(scored, n=n).select(
-        _smooth(F.transform("sums", lambda x: F.coalesce(x, F.lit(0.0))), even).alias("whole"), F.lit(0).alias("one"))
+        _smooth(F.transform("sums", lambda x: F.coalesce(x, F.lit(0.0))), even)).scalar()
     hosts = _sums(scored.where(F.col("host").isNotNull()), "domain", "host", n=n)
-    domains = _sums(scored.where(F.col("host").isNotNull()), "domain", n=n).withColumn("one", F.lit(0)).join(whole, "one").select(
+    domains = _sums(scored.where(F.col("host").isNotNull()), "domain", n=n).withColumn("whole", whole).select(
         "domain", _smooth(F.col("sums"), F.col("whole")).alias("domain_prior"))
     hosts = hosts.join(domains, "domain").select(
         "host", F.col("sums").alias("host_sums"), "domain_prior",
@@ -161,12 +161,12 @@ def identify(rows: DataFrame, model: np.ndarray, languages: tuple[str, ...] = LA
         total = sums.select(F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("i"), "sums").groupBy("i").agg(
             F.sum(F.col("sums")[F.col("i")]).alias("t"), F.count(F.lit(1)).alias("v"))
         total = total.agg(F.transform(F.array_sort(F.collect_list(F.struct("i", (F.col("t") + ALPHA * F.col("v")).alias("t")))),
-                                      lambda s: s["t"]).alias("totals"), F.lit(0).alias("one"))
-        return sums.withColumn("one", F.lit(0)).join(total, "one").select(
+                                      lambda s: s["t"])).scalar()
+        return sums.withColumn("totals", total).select(
             key, F.zip_with("sums", "totals", lambda a, t: F.log((a + ALPHA) / t)).alias(f"log_{key}"))
 
     zero = F.array(*[F.lit(0.0)] * n)
-    joined = (scored.withColumn("one", F.lit(0)).join(whole, "one")
+    joined = (scored.withColumn("whole", whole)
               .withColumn("salt", F.pmod(F.xxhash64("doc_id", "row_key"), F.lit(SALTS)).cast("int"))
               .join(hosts, ["host", "salt"], "left").join(likelihood("declared"), "declared", "left")
               .join(likelihood("suffix"), "suffix", "left"))

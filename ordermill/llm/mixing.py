@@ -74,13 +74,13 @@ def leaf_budgets(leaves: DataFrame, budget: Column | None, max_epochs: int, weig
         level = rows.groupBy(*LEVELS[:depth]).agg(F.sum("cap").cast(_BIG).alias("cap"), F.sum("supply").alias("supply"))
         levels.append(level)
     levels.append(rows)
-    root = leaves.agg(F.sum("supply").cast(_BIG).alias("budget")) if budget is None else leaves.sparkSession.range(1).select(budget.cast(_BIG).alias("budget"))
-    up = root.withColumn("root", F.lit(0))
-    parent = ["root"]
+    total = leaves.agg(F.sum("supply").cast(_BIG)).scalar() if budget is None else budget.cast(_BIG)
+    up, parent = None, ["root"]
     for depth, level in enumerate(levels):
         key = LEVELS[depth]
         rows = level.withColumn("root", F.lit(0)).withColumn("weight", weight(F.col(key), weights.get(key, {})))
-        rows = share(rows.join(up, parent), parent, key)
+        rows = rows.withColumn("budget", total) if up is None else rows.join(up, parent)
+        rows = share(rows, parent, key)
         parent = ["root", *LEVELS[:depth + 1]]
         up = rows.select(*parent, F.col("share").alias("budget"))
     return rows.select(*LEVELS, "supply", F.col("share").cast("long").alias("share"))

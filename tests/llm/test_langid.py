@@ -33,6 +33,11 @@ def test_page_accuracy_and_query(spark, sf_dir, corpus):
     assert all(r.kept for r in rows.values() if r.doc_id >= 0 and r.posterior > 0.9 and r.lang)
 
 
+def test_plan_has_no_cross_join(spark, sf_dir):
+    plan = op2_language_id(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
 def brute(scored):
     """The fusion over plain Python sums: {doc_id: (lang, posterior)}."""
     n = len(LANGUAGES)
