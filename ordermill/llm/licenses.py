@@ -73,7 +73,8 @@ class Scanner:
         self.alone = packer(**flags)
         self.given = [(name, words(text), packer(dict_data=zstandard.ZstdCompressionDict(
             plain(text), dict_type=zstandard.DICT_TYPE_RAWCONTENT), **flags)) for name, text in sorted(templates.items())]
-        self.longest = 4 * max([0, *map(len, templates.values())])
+        # longer blocks cannot reach SIMILARITY = 2 * equal / (block + template), in words
+        self.longest = (2 - SIMILARITY) / SIMILARITY * max([0, *(len(wording) for _, wording, _ in self.given)])
 
     def blocks(self, text: str):
         """(start, end) of sentences with a cue, and of runs of them."""
@@ -97,6 +98,8 @@ class Scanner:
         """The confirmed template of a block, or None: (name, bytes alone,
         bytes given the template, words that differ)."""
         raw, own = plain(block), words(block)
+        if len(own) > self.longest:
+            return None
         alone = len(self.alone.compress(raw))
         ranked = sorted((len(packer.compress(raw)), name, wording) for name, wording, packer in self.given)
         best = None
@@ -116,13 +119,12 @@ class Scanner:
         """(start, end, template, alone, given, differing words)."""
         for run in self.blocks(text):
             whole = (run[0][0], run[-1][1])
-            found = self.judge(text[slice(*whole)]) if len(run) > 1 and whole[1] - whole[0] <= self.longest else None
+            found = self.judge(text[slice(*whole)]) if len(run) > 1 else None
             if found:
                 yield (*whole, *found)
                 continue
             for a, b in run:
-                # a confirmed block has a template's length at most by a factor
-                found = self.judge(text[a:b]) if b - a <= self.longest else None
+                found = self.judge(text[a:b])
                 if found:
                     yield (a, b, *found)
 

@@ -30,6 +30,13 @@ def test_variants():
     assert got[0][1:] == ("GPL-3.0-notice", 2)
 
 
+def test_white_space_does_not_make_a_block_too_long():
+    wide = (" " * 200).join(TEMPLATES["MIT"].split(" "))
+    assert [(n, d) for _, n, d in names(wide)] == [("MIT", 0)]
+    lines = "\n *  ".join(TEMPLATES["MIT-warranty"].split(" "))
+    assert [(n, d) for _, n, d in names(lines)] == [("MIT-warranty", 0)]
+
+
 def test_linear_on_hostile_texts():
     for text in ("license " * 60_000, "license. " * 30_000, "İ" * 100_000 + "license", "\n" * 100_000 + "copyright", "licen" * 50_000):
         list(SCANNER.scan(text))
