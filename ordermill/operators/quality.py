@@ -9,7 +9,8 @@ helpers, which fetch a few summary rows and raise on failure.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -136,5 +137,18 @@ def failing_counts(checks: Mapping[tuple[str, ...], DataFrame],
     return out
 
 
+def not_null_counts(tables: Mapping[str, DataFrame], tests: Iterable[tuple[str, str]]) -> DataFrame:
+    """(model, column_name, failures) of every not-null test (model, column),
+    all tests of a table counted in one pass over it."""
+    columns: dict[str, list[str]] = {}
+    for model, column in tests:
+        columns.setdefault(model, []).append(column)
+    parts = [null_counts(tables[model], {c: c for c in names}).select(F.explode(F.array(*[
+                 F.struct(F.lit(model).alias("model"), F.lit(c).alias("column_name"), F.col(c).alias("failures"))
+                 for c in names])).alias("r")).select("r.*")
+             for model, names in columns.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def as_text(c: Column | str) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("string")

@@ -9,18 +9,19 @@ order time (a scalar subquery), so results do not depend on the clock.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.functions import money as fm
-from ordermill.functions import text as ft
 from ordermill.functions import time as tf
 from ordermill.operators import marts, quality, realtime
 from ordermill.operators.unified import unified_orders as _unified
 from ordermill.plans.daily import NOT_NULL_TESTS, UNIQUE_TESTS
 from ordermill.session import shared_dir
+from ordermill.sources import files
 from ordermill.sources import fixtures as fx
 from ordermill.streaming import hourly, ingest
 
@@ -132,28 +133,9 @@ def scalar_functions(spark: SparkSession, sf: str) -> DataFrame:
         ((price <= 0) | freight.isNull()).alias("flagged"))
 
 
-def order_messages(events: DataFrame) -> DataFrame:
-    """JSON order messages shaped like the producer's, derived from events.
-
-    Product and seller ids are wrapped in ``"`` the way the producer's naive
-    CSV split leaves them; the decoder must strip them.
-    """
-    k = ft.json_int("props", "$.k")
-    quoted = lambda c: F.concat(F.lit('"'), c.cast("string"), F.lit('"'))
-    return events.select(F.to_json(F.struct(
-        F.concat(F.lit("ORDER_"), F.date_format("ts", "yyyyMMdd"), F.lit("_"),
-                 F.col("event_id").cast("string")).alias("order_id"),
-        F.concat(F.lit("CUST_"), F.col("user_id").cast("string")).alias("customer_id"),
-        quoted(k).alias("product_id"),
-        quoted(F.col("user_id") % 50).alias("seller_id"),
-        (k % 5 + 1).alias("quantity"),
-        F.col("value").alias("price"),
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
-    )).alias("value"))
-
-
 def json_order_decode(spark: SparkSession, sf: str) -> DataFrame:
-    decoded = ingest.decode_orders(order_messages(fx.table(spark, sf, "events")))
+    messages = fx.table(spark, sf, "events").select(fx.order_message().alias("value"))
+    decoded = ingest.decode_orders(messages)
     return decoded.where(F.col("reject_reason").isNull()).select(*ingest.LANDING_COLUMNS)
 
 
@@ -168,6 +150,72 @@ def stream_hourly(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
+def stream_hourly_live(spark: SparkSession, sf: str) -> DataFrame:
+    """The live hourly table after two rounds of ingest and recount; the second
+    round brings a third of the orders late, over the whole time span."""
+    events = fx.table(spark, sf, "events")
+    late = F.col("event_id") % 3 == 0
+    root = shared_dir(spark, "stream_hourly_live")
+    folder = lambda name: os.path.join(root, name)
+    sink = ingest.LandingSink(folder("landing"), folder("rejects"), folder("ingest"))
+    files.ensure_landing_table(spark, sink.landing)
+    for part in (events.where(~late), events.where(late)):
+        part.select(fx.order_message()).write.mode("append").text(folder("messages"))
+        sink.start(ingest.text_order_source(spark, folder("messages")), available_now=True).awaitTermination()
+        hourly.start_hourly_recount(spark, sink.landing, folder("hourly"), folder("recount"),
+                                    available_now=True).awaitTermination()
+    return spark.read.parquet(folder("hourly")).drop("hour_key")
+
+
+# --- ingest: the test tables as files with planted faults, loaded back -------
+
+def _landed(spark: SparkSession, sf: str) -> ingest.LandingSink:
+    root = shared_dir(spark, "landed")
+    messages = fx.table(spark, sf, "events").select(fx.faulty_order_message())
+    messages.write.text(os.path.join(root, "messages"))
+    sink = ingest.LandingSink(*[os.path.join(root, x) for x in ("landing", "rejects", "checkpoint")])
+    source = ingest.text_order_source(spark, os.path.join(root, "messages"))
+    sink.start(source, available_now=True).awaitTermination()
+    return sink
+
+
+def landing_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return ingest.read_landing(spark, _landed(spark, sf).landing).select(*ingest.LANDING_COLUMNS)
+
+
+def landing_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    rejects = spark.read.parquet(_landed(spark, sf).quarantine)
+    return rejects.select(F.regexp_extract("raw", r"ORDER_\d+_(\d+)", 1).cast("long").alias("event_id"),
+                          "reject_reason")
+
+
+def _loaded(spark: SparkSession, sf: str) -> tuple[DataFrame, str]:
+    """The report of a load of the exported files, and the folder it filled."""
+    root = shared_dir(spark, "csv_exports")
+    fx.write_csv_exports(spark, sf, os.path.join(root, "raw"))
+    wanted = fx.CSV_FILES | {"absent.csv": ("absent", fx.CSV_FILES["orders.csv"][1])}
+    report = files.load_files(spark, os.path.join(root, "raw"), os.path.join(root, "tables"),
+                              os.path.join(root, "rejects"), wanted, multi_line=())
+    return report, root
+
+
+def load_report(spark: SparkSession, sf: str) -> DataFrame:
+    return _loaded(spark, sf)[0]
+
+
+def csv_load_good(spark: SparkSession, sf: str) -> DataFrame:
+    orders = spark.read.parquet(os.path.join(_loaded(spark, sf)[1], "tables", "raw_orders"))
+    return orders.withColumn("total", F.col("total").cast("double"))
+
+
+def csv_load_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    root = _loaded(spark, sf)[1]
+    parts = [spark.read.parquet(os.path.join(root, "rejects", name)).select(
+                F.lit(name).alias("table_name"), F.col("_corrupt_record").alias("line"))
+             for name, _ in fx.CSV_FILES.values()]
+    return parts[0].unionByName(parts[1])
+
+
 # --- dashboard ------------------------------------------------------------
 
 def _stream(spark: SparkSession, sf: str) -> tuple[DataFrame, F.Column]:
@@ -210,10 +258,48 @@ def monitor_status(spark: SparkSession, sf: str) -> DataFrame:
     return realtime.monitor_status(o, as_of)
 
 
+def sales_spike_alert(spark: SparkSession, sf: str) -> DataFrame:
+    """The status as of the newest hour that is a spike."""
+    o = fx.raw_orders_stream(spark, sf)
+    newest = realtime.sales_spike_hours(o).where("is_spike").agg(F.max("hour")).scalar()
+    return realtime.sales_spike_status(o, newest)
+
+
 # --- data quality ---------------------------------------------------------
 
-def dq_unique(spark: SparkSession, sf: str) -> DataFrame:
+def _defective_marts(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """The marts with planted faults, by their keys: repeated, missing and null
+    keys, null attributes and times, totals that do not add up."""
     m = _marts(spark, sf)
+
+    def twice(df: DataFrame, fault) -> DataFrame:
+        copies = F.sequence(F.lit(1), F.when(fault, 2).otherwise(1))
+        return df.withColumn("_copy", F.explode(copies)).drop("_copy")
+
+    def spoil(df: DataFrame, **faults) -> DataFrame:
+        return df.select(*[faults[c].alias(c) if c in faults else F.col(c) for c in df.columns])
+
+    def null_if(fault, column: str):
+        return F.when(~fault, F.col(column))
+
+    customer, order, product = F.col("customer_id"), F.col("order_id"), F.col("product_id")
+    total = F.col("total_order_value")
+    customers = twice(m["dim_customers"].where(customer % 97 != 3), customer % 89 == 5)
+    products = twice(m["dim_products"], product % 41 == 1)
+    fact = twice(m["fact_orders"], order % 109 == 7)
+    return m | {
+        "dim_customers": spoil(customers, customer_id=null_if(customer % 79 == 8, "customer_id"),
+                               customer_city=null_if(customer % 83 == 7, "customer_city")),
+        "dim_products": spoil(products, product_id=null_if(product % 37 == 2, "product_id"),
+                              product_category_name=null_if(product % 43 == 2, "product_category_name")),
+        "fact_orders": spoil(
+            fact, order_id=null_if(order % 113 == 9, "order_id"),
+            customer_id=null_if(order % 107 == 6, "customer_id"),
+            order_purchase_timestamp=null_if(order % 101 == 4, "order_purchase_timestamp"),
+            total_order_value=F.when(order % 103 == 5, total + 1).when(order % 127 != 10, total))}
+
+
+def _unique(m: dict[str, DataFrame]) -> DataFrame:
     parts = [quality.unique_violations(m[model], col).select(
                 F.lit(model).alias("model"), F.lit(col).alias("column_name"),
                 quality.as_text("unique_field").alias("unique_field"), "n_records")
@@ -221,42 +307,27 @@ def dq_unique(spark: SparkSession, sf: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-def dq_not_null(spark: SparkSession, sf: str) -> DataFrame:
-    m = _marts(spark, sf)
-    return quality.failing_counts({(model, col): quality.not_null_violations(m[model], col)
-                                   for model, col in NOT_NULL_TESTS})
-
-
-def dq_positive(spark: SparkSession, sf: str) -> DataFrame:
-    return (fact_orders(spark, sf).transform(quality.positive_value_violations,
-                                             "total_order_value")
-            .select("order_id", "total_order_value"))
-
-
-def dq_price_consistency(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.price_consistency_violations(fact_orders(spark, sf))
-
-
-def dq_row_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.row_counts(_marts(spark, sf))
-
-
-def dq_duplicate_keys(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.duplicate_key_count(dim_customers(spark, sf), "customer_id")
-
-
-def dq_orphans(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.orphan_count(fact_orders(spark, sf), dim_customers(spark, sf), "customer_id")
-
-
-def dq_null_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.null_counts(fact_orders(spark, sf),
-                               {"null_customers": "customer_id",
-                                "null_dates": "order_purchase_timestamp"})
+# Each check over a set of marts.
+_CHECKS: dict[str, Callable[[dict[str, DataFrame]], DataFrame]] = {
+    "dq_unique": _unique,
+    "dq_not_null": lambda m: quality.not_null_counts(m, NOT_NULL_TESTS),
+    "dq_positive": lambda m: (m["fact_orders"].transform(quality.positive_value_violations, "total_order_value")
+                              .select("order_id", "total_order_value")),
+    "dq_price_consistency": lambda m: quality.price_consistency_violations(m["fact_orders"]),
+    "dq_row_counts": quality.row_counts,
+    "dq_duplicate_keys": lambda m: quality.duplicate_key_count(m["dim_customers"], "customer_id"),
+    "dq_orphans": lambda m: quality.orphan_count(m["fact_orders"], m["dim_customers"], "customer_id"),
+    "dq_null_counts": lambda m: quality.null_counts(m["fact_orders"], {
+        "null_customers": "customer_id", "null_dates": "order_purchase_timestamp"}),
+    "dq_report": lambda m: quality.quality_report(m["fact_orders"], m["dim_customers"]),
+}
 
 
-def dq_report(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.quality_report(fact_orders(spark, sf), dim_customers(spark, sf))
+def _check(name: str, source: Callable[[SparkSession, str], dict[str, DataFrame]]) -> Query:
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        return _CHECKS[name](source(spark, sf))
+    run.__name__ = name
+    return run
 
 
 def dq_freshness(spark: SparkSession, sf: str) -> DataFrame:
@@ -280,6 +351,12 @@ QUERIES: dict[str, Query] = {
     "scalar_functions": scalar_functions,
     "json_order_decode": json_order_decode,
     "stream_hourly": stream_hourly,
+    "stream_hourly_live": stream_hourly_live,
+    "landing_rows": landing_rows,
+    "landing_rejects": landing_rejects,
+    "csv_load_good": csv_load_good,
+    "csv_load_rejects": csv_load_rejects,
+    "load_report": load_report,
     "kpi_last_hour": kpi_last_hour,
     "hourly_metrics": hourly_metrics,
     "top_sellers_hour": _top("hour"),
@@ -288,15 +365,9 @@ QUERIES: dict[str, Query] = {
     "weekday_hour_heatmap": weekday_hour_heatmap,
     "sales_spike_hours": sales_spike_hours,
     "sales_spike_status": sales_spike_status,
+    "sales_spike_alert": sales_spike_alert,
     "monitor_status": monitor_status,
-    "dq_unique": dq_unique,
-    "dq_not_null": dq_not_null,
-    "dq_positive": dq_positive,
-    "dq_price_consistency": dq_price_consistency,
-    "dq_row_counts": dq_row_counts,
-    "dq_duplicate_keys": dq_duplicate_keys,
-    "dq_orphans": dq_orphans,
-    "dq_null_counts": dq_null_counts,
-    "dq_report": dq_report,
+    **{name: _check(name, _marts) for name in _CHECKS},
+    **{f"{name}_defects": _check(name, _defective_marts) for name in _CHECKS},
     "dq_freshness": dq_freshness,
 }

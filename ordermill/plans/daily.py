@@ -62,14 +62,11 @@ def write_marts(spark: SparkSession, built: Mapping[str, DataFrame],
 def column_tests(m: Mapping[str, DataFrame]) -> DataFrame:
     """(model, column_name, test, failures) for every declared test: the
     unique and not-null column tests, and the order-total consistency test."""
-    checks = {}
-    for model, col in UNIQUE_TESTS:
-        checks[(model, col, "unique")] = quality.unique_violations(m[model], col)
-    for model, col in NOT_NULL_TESTS:
-        checks[(model, col, "not_null")] = quality.not_null_violations(m[model], col)
+    checks = {(model, col, "unique"): quality.unique_violations(m[model], col) for model, col in UNIQUE_TESTS}
     checks[("fact_orders", "total_order_value", "price_consistency")] = \
         quality.price_consistency_violations(m["fact_orders"])
-    return quality.failing_counts(checks, ("model", "column_name", "test"))
+    nulls = quality.not_null_counts(m, NOT_NULL_TESTS).withColumn("test", F.lit("not_null"))
+    return quality.failing_counts(checks, ("model", "column_name", "test")).unionByName(nulls)
 
 
 @dataclass

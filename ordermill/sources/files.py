@@ -5,22 +5,21 @@ that exists is parsed tolerantly and written to its table, rejects to a
 quarantine folder; missing optional files are skipped with a warning. The
 returned report has one row per file with the rows loaded and rejected,
 counted while writing. ``missing_inputs`` lists required files that are
-absent, from a listing of the folder (file contents are not read).
+absent (file contents are not read).
 """
 
 from __future__ import annotations
 
 import logging
 import os
-from collections.abc import Iterable, Mapping
+from collections.abc import Container, Iterable, Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ordermill.sources.csv_load import load_csv, write_counted
-from ordermill.sources.schemas import LANDING_TABLE, RAW_FILES, REQUIRED_FILES
+from ordermill.sources.schemas import LANDING_TABLE, MULTI_LINE_FILES, RAW_FILES, REQUIRED_FILES
 
 log = logging.getLogger(__name__)
 
@@ -29,23 +28,22 @@ REPORT_SCHEMA = T.StructType([
     T.StructField("rows_loaded", T.LongType()), T.StructField("rows_rejected", T.LongType())])
 
 
-def listed_files(spark: SparkSession, directory: str, pattern: str = "*") -> DataFrame:
-    """File names in ``directory`` (one level), as a one-column DataFrame."""
+def input_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file, or a folder of part files, is at ``path`` (nothing is read)."""
     try:
-        listing = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
-                   .load(directory).select("path"))
+        spark.read.format("binaryFile").load(path)
     except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":   # anything else must not look empty
+        if e.getCondition() != "PATH_NOT_FOUND":   # anything else must not look absent
             raise
-        return spark.createDataFrame([], "file_name string")
-    return listing.select(F.element_at(F.split("path", "/"), -1).alias("file_name"))
+        return False
+    return True
 
 
 def missing_inputs(spark: SparkSession, directory: str,
                    required: Iterable[str] = REQUIRED_FILES) -> DataFrame:
     """Required file names that are not in ``directory``."""
-    wanted = spark.createDataFrame([(n,) for n in required], "file_name string")
-    return wanted.join(listed_files(spark, directory), "file_name", "left_anti")
+    missing = [(n,) for n in required if not input_exists(spark, os.path.join(directory, n))]
+    return spark.createDataFrame(missing, "file_name string")
 
 
 def require_inputs(spark: SparkSession, directory: str,
@@ -71,9 +69,14 @@ def save(df: DataFrame, target: str, mode: str = "overwrite", kind: str = "table
 
 
 def load_files(spark: SparkSession, directory: str, target_root: str, quarantine_root: str,
-               files: Mapping[str, tuple[str, T.StructType]] = RAW_FILES) -> DataFrame:
+               files: Mapping[str, tuple[str, T.StructType]] = RAW_FILES,
+               multi_line: Container[str] = MULTI_LINE_FILES) -> DataFrame:
     """Load every present file of ``files``; return the per-file report.
 
+    A name may be a file or a folder of part files. Only the files named in
+    ``multi_line`` may have quoted fields that span lines; large files of the
+    others are split over many tasks.
+
     Tables land at ``<target_root>/<table>`` (or as catalog tables named
     ``<target_root>.<table>`` when ``target_root`` has no '/'), rejects at
     ``<quarantine_root>/<table>``. Each file's parsed copy is staged at
@@ -81,14 +84,14 @@ def load_files(spark: SparkSession, directory: str, target_root: str, quarantine
     staging space stays at one copy per table. A failing write raises
     (nothing is listed as loaded that was not).
     """
-    present = {r["file_name"] for r in listed_files(spark, directory).collect()}
     rows = []
     for file_name, (table, schema) in files.items():
-        if file_name not in present:
+        if not input_exists(spark, os.path.join(directory, file_name)):
             log.warning("input file not found, skipped: %s", file_name)
             continue
         parts = load_csv(spark, os.path.join(directory, file_name), schema,
-                         staging=os.path.join(quarantine_root, "_parsed", table))
+                         staging=os.path.join(quarantine_root, "_parsed", table),
+                         multi_line=file_name in multi_line)
         target = (os.path.join(target_root, table) if "/" in target_root
                   else f"{target_root}.{table}")
         good = write_counted(parts.good, f"{table}_good", lambda d: save(d, target))

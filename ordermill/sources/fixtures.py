@@ -11,8 +11,9 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ordermill.functions.money import MONEY, RATE, money
 from ordermill.functions.text import json_int
@@ -114,6 +115,40 @@ def stg_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
                     s.s_nationkey.cast("string").alias("seller_zip_code_prefix")))
 
 
+def stream_seller() -> Column:
+    """Seller of an event's order: three users each, so sellers grow with users."""
+    return F.expr("user_id div 3")
+
+
+def order_message() -> Column:
+    """The JSON order message of an ``events`` row, shaped like the producer's.
+
+    Product and seller ids are wrapped in ``"`` the way the producer's naive
+    CSV split leaves them; the decoder must strip them.
+    """
+    k = json_int("props", "$.k")
+    quoted = lambda c: F.concat(F.lit('"'), c.cast("string"), F.lit('"'))
+    return F.to_json(F.struct(
+        F.concat(F.lit("ORDER_"), F.date_format("ts", "yyyyMMdd"), F.lit("_"),
+                 F.col("event_id").cast("string")).alias("order_id"),
+        F.concat(F.lit("CUST_"), F.col("user_id").cast("string")).alias("customer_id"),
+        quoted(k).alias("product_id"),
+        quoted(stream_seller()).alias("seller_id"),
+        (k % 5 + 1).alias("quantity"),
+        F.col("value").alias("price"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp")))
+
+
+def faulty_order_message() -> Column:
+    """:func:`order_message` with planted faults: broken JSON, a missing key,
+    a time that does not parse."""
+    message, key = order_message(), F.col("event_id")
+    return (F.when(key % 11 == 1, F.substring(message, 1, 70))
+            .when(key % 13 == 2, F.regexp_replace(message, '"price":[^,]*,', ""))
+            .when(key % 17 == 3, F.regexp_replace(message, '"timestamp":"[^"]*"', '"timestamp":"yesterday"'))
+            .otherwise(message))
+
+
 def orders_from_events(ev: DataFrame) -> DataFrame:
     """Landing-table rows from ``events`` rows; works on a stream too.
 
@@ -125,7 +160,7 @@ def orders_from_events(ev: DataFrame) -> DataFrame:
         F.col("event_id").alias("order_id"),
         F.col("user_id").alias("customer_id"),
         k.alias("product_id"),
-        (F.col("user_id") % 50).alias("seller_id"),
+        stream_seller().alias("seller_id"),
         (k % 5 + 1).alias("quantity"),
         money("value").alias("price"),
         F.col("ts").alias("order_timestamp"),
@@ -160,3 +195,45 @@ STAGING = {
 def staging(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """All seven staging views, keyed by their warehouse names."""
     return {name: build(spark, sf_dir) for name, build in STAGING.items()}
+
+
+# --- exported files with planted faults ------------------------------------
+
+CSV_FILES = {
+    "orders.csv": ("raw_orders", T.StructType([
+        T.StructField("order_id", T.LongType()), T.StructField("customer_id", T.LongType()),
+        T.StructField("order_status", T.StringType()), T.StructField("total", T.DecimalType(18, 2)),
+        T.StructField("ordered_at", T.TimestampNTZType()), T.StructField("note", T.StringType())])),
+    "order_items.csv": ("raw_order_items", T.StructType([
+        T.StructField("order_id", T.LongType()), T.StructField("line", T.LongType()),
+        T.StructField("product_id", T.LongType()), T.StructField("price", T.DecimalType(18, 2))])),
+}
+
+
+def _fields(*columns) -> Column:
+    return F.concat_ws(",", *[F.coalesce(c.cast("string"), F.lit("")) for c in columns])
+
+
+def write_csv_exports(spark: SparkSession, sf_dir: str, directory: str) -> None:
+    """``orders`` and ``lineitem`` as folders of CSV files, one per entry of
+    ``CSV_FILES``: quoted notes hold commas and quotes; some rows are short,
+    some long and some mistyped."""
+    key = F.col("o_orderkey")
+    note = F.concat(F.lit('"ships ""soon"", '), F.col("o_orderpriority"), F.lit('"'))
+    head = [key, F.col("o_custkey"), F.col("o_orderstatus")]
+    tail = [F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"), note]
+    total = F.col("o_totalprice").cast("decimal(18,2)")
+    orders = table(spark, sf_dir, "orders").select(
+        F.when(key % 11 == 1, _fields(*head))
+        .when(key % 13 == 2, _fields(*head, F.lit("n/a"), *tail))
+        .when(key % 17 == 3, _fields(*head, total, *tail, F.lit("extra")))
+        .otherwise(_fields(*head, total, *tail)).alias("line"))
+    line = F.when((F.col("l_orderkey") + F.col("l_linenumber")) % 19 == 4, "first").otherwise(F.col("l_linenumber").cast("string"))
+    items = table(spark, sf_dir, "lineitem").select(_fields(
+        F.col("l_orderkey"), line, F.col("l_partkey"), F.col("l_extendedprice").cast("decimal(18,2)")).alias("line"))
+    for lines, (name, (_, schema)) in zip((orders, items), CSV_FILES.items()):
+        # one column written as it stands, under the header of its fields
+        (lines.select(F.col("line").alias(",".join(schema.names))).write
+         .option("header", True).option("sep", "\u0001").option("quote", "").option("escapeQuotes", False)
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+         .csv(os.path.join(directory, name)))

@@ -105,6 +105,10 @@ RAW_FILES = {
                                               CATEGORY_TRANSLATION),
 }
 
+# Files whose quoted texts span lines. Spark reads each in one task, so the
+# others, of one record per line, are read without that and split.
+MULTI_LINE_FILES = ("olist_order_reviews_dataset.csv",)
+
 # Files a daily load cannot start without. Fixed values.
 REQUIRED_FILES = ("olist_customers_dataset.csv", "olist_orders_dataset.csv",
                   "olist_products_dataset.csv", "olist_sellers_dataset.csv")

@@ -120,9 +120,11 @@ def start_hourly_recount(spark: SparkSession, landing: str, path: str, checkpoin
         orders = read_landing(session, landing).where(
             (F.col("order_timestamp") >= F.lit(low).cast("timestamp_ntz"))
             & (F.col("order_timestamp") < after))
+        # a count of its own, so that a backlog of many hours is not written by one task
+        writers = int(session.conf.get("spark.sql.shuffle.partitions"))
         (hourly_series(orders).join(hours, "hour", "left_semi")
          .withColumn("hour_key", F.date_format("hour", "yyyy-MM-dd-HH"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .repartition(writers, "hour_key").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("hour_key").parquet(path))
 
     writer = (landing_stream(spark, landing, ignore_missing=True).writeStream.foreachBatch(recount)
