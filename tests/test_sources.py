@@ -136,3 +136,36 @@ def test_header_only_file_loads_zero_rows(spark, tmp):
     report = files.load_files(spark, src, os.path.join(tmp, "t"), os.path.join(tmp, "q")).collect()
     assert [(r["rows_loaded"], r["rows_rejected"]) for r in report] == [(0, 0)]
     assert spark.read.parquet(os.path.join(tmp, "t", "raw_sellers")).count() == 0
+
+
+def test_one_line_files_split_and_folders_load(spark, tmp):
+    from ordermill.sources.csv_load import read_csv
+    src = os.path.join(tmp, "raw")
+    folder = os.path.join(src, "olist_sellers_dataset.csv")
+    os.makedirs(folder)
+    head = "seller_id,seller_zip_code_prefix,seller_city,seller_state\r\n"
+    for part in range(2):
+        rows = "".join(f's{part}_{i},"01001","sao ""x"", paulo",SP\r\n' for i in range(5000))
+        _write(folder, f"part-{part}.csv", "\ufeff" + head + rows + "short\r\n")
+    schema = files.RAW_FILES["olist_sellers_dataset.csv"][1]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "32k")
+    try:
+        assert read_csv(spark, folder, schema, multi_line=False).rdd.getNumPartitions() > 2
+        report = files.load_files(spark, src, os.path.join(tmp, "t"), os.path.join(tmp, "q")).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [(r["rows_loaded"], r["rows_rejected"]) for r in report] == [(10000, 2)]
+    cities = spark.read.parquet(os.path.join(tmp, "t", "raw_sellers")).select("seller_city").distinct().collect()
+    assert [r[0] for r in cities] == ['sao "x", paulo']
+
+
+def test_quoted_line_ends_only_where_declared(spark, tmp):
+    src = os.path.join(tmp, "raw")
+    os.makedirs(src)
+    text = "a,b\n1,\"x\ny\"\n"
+    layout = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType())])
+    _write(src, "m.csv", text)
+    load = lambda multi: [(r["rows_loaded"], r["rows_rejected"]) for r in files.load_files(
+        spark, src, os.path.join(tmp, "t"), os.path.join(tmp, "q"), {"m.csv": ("m", layout)}, multi).collect()]
+    assert load(("m.csv",)) == [(1, 0)]
+    assert load(())[0][1] > 0            # never loaded in part without a trace
