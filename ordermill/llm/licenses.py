@@ -1,16 +1,20 @@
 """License scans by conditional compression.
 
-A candidate block (sentences with a licensing cue) is compressed alone and
-with each template as zstandard raw dictionary; templates are ranked by how
-much they shorten it. The best are confirmed by exact wording differences: the
-block's words against the template's.
+A candidate block (the words as far from a licensing cue as a template can
+reach) is compressed alone and with each template as zstandard raw dictionary;
+templates are ranked by how much they shorten it. The best are confirmed by
+exact wording differences: each is aligned inside the block, and the window of
+words nearest to it must reach ``SIMILARITY``. Neither line ends, sentences nor
+the text around a wording matter, and a block may have any length.
 """
 
 from __future__ import annotations
 
-import difflib
 import re
+from bisect import bisect_left, bisect_right
+from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
@@ -53,7 +57,7 @@ TEMPLATES = {
     "All-rights-reserved": "All rights reserved.",
 }
 CUES = ("licen", "copyright", "permission is hereby", "free software", "redistribution and use", "warrant", "all rights reserved", "cc0")
-_SENTENCE = re.compile(r"[^\s](?:[^\n.!?]|[.!?](?=\S|[ \t]+[a-z0-9])|\n(?![ \t]*\n))*[.!?]*")
+_MARKS = re.compile(r"[.!?]*")
 _WORD = re.compile(r"\w+")
 
 
@@ -66,6 +70,11 @@ def words(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+def fixed(word: str) -> bool:
+    """Words that may not differ: another version is another licence."""
+    return word[0].isdigit()
+
+
 class Scanner:
     def __init__(self, templates: dict[str, str]):
         packer = zstandard.ZstdCompressor
@@ -73,98 +82,123 @@ class Scanner:
         self.alone = packer(**flags)
         self.given = [(name, words(text), packer(dict_data=zstandard.ZstdCompressionDict(
             plain(text), dict_type=zstandard.DICT_TYPE_RAWCONTENT), **flags)) for name, text in sorted(templates.items())]
-        # longer blocks cannot reach SIMILARITY = 2 * equal / (block + template), in words
-        self.longest = (2 - SIMILARITY) / SIMILARITY * max([0, *(len(wording) for _, wording, _ in self.given)])
+        self.given = [(name, wording, Counter(wording), packer) for name, wording, packer in self.given if wording]
 
-    def blocks(self, text: str):
-        """(start, end) of sentences with a cue, and of runs of them."""
+    def scan(self, text: str):
+        """(start, end, template, alone, given, differing words)."""
         low = text.lower()
         if len(low) != len(text):               # offsets must be those of the text
             low = "".join(c if len(c.lower()) != 1 else c.lower() for c in text)
         places = sorted(m.start() for cue in CUES if cue in low for m in re.finditer(re.escape(cue), low))
-        if not places:
+        if not places or not self.given:
             return
-        run: list[tuple[int, int]] = []
-        sentences = _around(text, places)
-        for span in sentences:
-            if run and text[run[-1][1]:span[0]].strip():
-                yield run
-                run = []
-            run.append(span)
-        if run:
-            yield run
-
-    def judge(self, block: str):
-        """The confirmed template of a block, or None: (name, bytes alone,
-        bytes given the template, words that differ)."""
-        raw, own = plain(block), words(block)
-        if len(own) > self.longest:
-            return None
+        spans = [m.span() for m in _WORD.finditer(low)]
+        own = [low[a:b] for a, b in spans]
+        starts = [a for a, _ in spans]
+        cues = sorted({max(0, bisect_right(starts, at) - 1) for at in places})
+        for a, b in _around(cues, max(reach(len(wording)) for _, wording, _, _ in self.given), len(own)):
+            inside = cues[bisect_left(cues, a):bisect_left(cues, b)]
+            for first, last, k, differ in self.judge(text, spans, own, a, b, inside):
+                name, _, _, packer = self.given[k]
+                end = _MARKS.match(text, spans[last][1]).end()
+                raw = plain(text[spans[first][0]:end])
+                yield (spans[first][0], end, name, len(self.alone.compress(raw)), len(packer.compress(raw)), differ)
+
+    def judge(self, text, spans, own, a: int, b: int, cues: list[int]):
+        """The confirmed windows of the block of words ``a`` to ``b``, by
+        place: (first word, last word, template, words that differ)."""
+        found, held = [], Counter(own[a:b])     # (differing less equal words, rank, first, last, template, differing)
+        able = [k for k, (_, wording, counts, _) in enumerate(self.given) if _able(held, wording, counts)]
+        if not able:
+            return found
+        raw = plain(text[spans[a][0]:spans[b - 1][1]])
         alone = len(self.alone.compress(raw))
-        ranked = sorted((len(packer.compress(raw)), name, wording) for name, wording, packer in self.given)
-        best = None
-        for size, name, wording in ranked[:RANKED]:
+        ranked = sorted((len(self.given[k][3].compress(raw)), k) for k in able)
+        for rank, (size, k) in enumerate(ranked[:RANKED]):
             if size >= alone:
                 break
-            match = difflib.SequenceMatcher(None, own, wording, autojunk=False)
-            differ = [own[a:b] + wording[c:d] for kind, a, b, c, d in match.get_opcodes() if kind != "equal"]
-            numbers = any(w[0].isdigit() for part in differ for w in part)      # another version is another licence
-            if match.ratio() >= SIMILARITY and not numbers:
-                count = sum(map(len, differ))
-                if best is None or count < best[3]:
-                    best = (name, alone, size, count)
-        return best
-
-    def scan(self, text: str):
-        """(start, end, template, alone, given, differing words)."""
-        for run in self.blocks(text):
-            whole = (run[0][0], run[-1][1])
-            found = self.judge(text[slice(*whole)]) if len(run) > 1 else None
-            if found:
-                yield (*whole, *found)
-                continue
-            for a, b in run:
-                found = self.judge(text[a:b])
-                if found:
-                    yield (a, b, *found)
-
-
-def _around(text: str, places: list[int]) -> list[tuple[int, int]]:
-    """The sentences that hold the places; each piece of text is read once."""
+            _, wording, counts, _ = self.given[k]
+            for c, d in _around(cues, reach(len(wording)), b, a):
+                if _able(Counter(own[c:d]), wording, counts):
+                    for first, last, differ in windows(own[c:d], wording):
+                        first, last = first + c, last + c
+                        at = bisect_left(cues, first)
+                        if at < len(cues) and cues[at] <= last:
+                            equal = (last + 1 - first + len(wording) - differ) // 2
+                            found.append((differ - equal, rank, first, last, k, differ))
+        taken, out = bytearray(b - a), []
+        for _, _, first, last, k, differ in sorted(found):
+            if not any(taken[first - a:last + 1 - a]):
+                taken[first - a:last + 1 - a] = b"\1" * (last + 1 - first)
+                out.append((first, last, k, differ))
+        return sorted(out)
+
+
+def reach(n: int) -> int:
+    """A window of more words cannot reach SIMILARITY = 2 * equal / (window + template)."""
+    return int((2 - SIMILARITY) / SIMILARITY * n)
+
+
+def _able(held: Counter, wording: list[str], counts: Counter) -> bool:
+    """Whether words held may reach SIMILARITY: each equal word is in both, so
+    equal >= SIMILARITY / 2 * (equal + template), and no fixed word may differ."""
+    equal = 0
+    for word, n in counts.items():
+        got = held[word]
+        if got < n and fixed(word):
+            return False
+        equal += min(got, n)
+    return equal * (2 - SIMILARITY) >= SIMILARITY * len(wording) - 1e-9
+
+
+def windows(own: list[str], wording: list[str]):
+    """(first, last, words that differ) of the windows of ``own`` that come
+    near the template: for each last word that of fewest differences, the
+    longest of them, if it reaches SIMILARITY. Rows of an edit table (a word
+    is kept or left out; no fixed word is left out) whose cells hold
+    differences * scale + start."""
+    n, scale = len(wording), len(own) + 1
+    never = (n + len(own) + 1) * scale
+    steps = np.concatenate(([0], np.cumsum([never if fixed(w) else scale for w in wording])))
+    equal = {w: np.array([v == w for v in wording]) for w in set(own) & set(wording)}
+    row = steps.copy()
+    for i, word in enumerate(own):
+        new = row + (never if fixed(word) else scale)
+        new[0] = i + 1
+        same = equal.get(word)
+        if same is not None:
+            np.minimum(new[1:], row[:-1], out=new[1:], where=same)
+        row = np.minimum.accumulate(new - steps) + steps
+        if same is not None and row[n] < never:
+            differ, first = divmod(int(row[n]), scale)
+            if differ <= (1 - SIMILARITY) * (i + 1 - first + n) + 1e-9 and first <= i:
+                yield first, i, differ
+
+
+def _around(cues: list[int], far: int, stop: int, start: int = 0) -> list[tuple[int, int]]:
+    """(first, end) of the runs of words at most ``far`` from a cue."""
     out: list[tuple[int, int]] = []
-    done = 0
-    for at in places:
-        if at < done:
-            continue
-        start = at
-        while start > done and not _edge(text, start):
-            start -= 1
-        got = _SENTENCE.match(text, start + (len(text[start:at]) - len(text[start:at].lstrip())))
-        a, b = got.start(), max(got.end(), at + 1)
-        out.append((a, b))
-        done = b
+    for at in cues:
+        a, b = max(start, at - far), min(stop, at + far + 1)
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], b)
+        else:
+            out.append((a, b))
     return out
 
 
-def _edge(text: str, at: int) -> bool:
-    """Whether a sentence may start at ``at``: after a mark and a blank, or a line end."""
-    before = text[at - 1]
-    return before == "\n" and (text[at - 2:at - 1] in ("\n", "", ".", "!", "?") or text[at:at + 1].isupper()) or (
-        before in " \t" and text[at - 2:at - 1] in (".", "!", "?") and not re.match("[a-z0-9]", text[at:at + 1]))
-
-
 _OUT = ("doc_id long, start long, end long, license string, bytes_alone long, bytes_given long, reduction double, n_differences long")
 _SCHEMA = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("license", pa.string()),
                      ("bytes_alone", pa.int64()), ("bytes_given", pa.int64()), ("reduction", pa.float64()), ("n_differences", pa.int64())])
 
 
 def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
-    """A row per confirmed block of each row of ``docs`` (``doc_id``, ``text``;
+    """A row per confirmed window of each row of ``docs`` (``doc_id``, ``text``;
     others ignored): doc_id, start and end in code points, license (template),
-    bytes alone and given the template, reduction, and the number of words that
-    differ. Null and empty texts have none; repeated rows each report; of
-    templates with equally many differences the higher ranked, then the first
-    by size and name, is named."""
+    the window's bytes alone and given the template, reduction, and the number
+    of words that differ. Null and empty texts have none; repeated rows each
+    report; of windows that overlap, the one with the most equal words less the
+    differing ones, then of the higher ranked template, is named."""
     templates = TEMPLATES if templates is None else templates
 
     def run(batches):

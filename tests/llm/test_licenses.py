@@ -54,3 +54,12 @@ def test_odd_rows_and_query(spark, sf_dir, corpus, make_docs):
     found = op10_licenses(spark, sf_dir).collect()
     assert sorted((r.doc_id, r.start) for r in found) == want and want
     assert all(r.n_differences == 0 and 0 < r.reduction < 1 for r in found)
+
+
+def test_wording_inside_a_longer_sentence():
+    apache = "licensed under the Apache License, Version 2.0."
+    assert names("This project by the Foo team is released under the MIT License.") == [("released under the MIT License.", "MIT-notice", 0)]
+    assert names("The code in this repository is " + apache) == [(apache, "Apache-2.0-notice", 0)]
+    assert names("Released under the MIT License\nFoo bar baz.") == [("Released under the MIT License", "MIT-notice", 0)]
+    bare = TEMPLATES["MIT"].replace(".", "")
+    assert names("word " * 5000 + bare + " tail" * 5000) == [(bare, "MIT", 0)]
