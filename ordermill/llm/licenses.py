@@ -2,10 +2,11 @@
 
 A candidate block (the words as far from a licensing cue as a template can
 reach) is compressed alone and with each template as zstandard raw dictionary;
-templates are ranked by how much they shorten it. The best are confirmed by
-exact wording differences: each is aligned inside the block, and the window of
-words nearest to it must reach ``SIMILARITY``. Neither line ends, sentences nor
-the text around a wording matter, and a block may have any length.
+templates are ranked by how much they shorten it. All that the block's words
+let reach ``SIMILARITY`` are confirmed by exact wording differences: each is
+aligned inside the block, and the window of words nearest to it must reach it.
+Neither line ends, sentences nor the text around a wording matter, and a block
+may have any length.
 """
 
 from __future__ import annotations
@@ -21,7 +22,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import text_of
 
-RANKED = 3               # templates compared word by word for each block
 SIMILARITY = 0.8
 LEVEL = 9
 # Wordings of well-known licences and notices.
@@ -112,11 +112,8 @@ class Scanner:
         if not able:
             return found
         raw = plain(text[spans[a][0]:spans[b - 1][1]])
-        alone = len(self.alone.compress(raw))
         ranked = sorted((len(self.given[k][3].compress(raw)), k) for k in able)
-        for rank, (size, k) in enumerate(ranked[:RANKED]):
-            if size >= alone:
-                break
+        for rank, (_, k) in enumerate(ranked):
             _, wording, counts, _ = self.given[k]
             for c, d in _around(cues, reach(len(wording)), b, a):
                 if _able(Counter(own[c:d]), wording, counts):
@@ -136,7 +133,7 @@ class Scanner:
 
 def reach(n: int) -> int:
     """A window of more words cannot reach SIMILARITY = 2 * equal / (window + template)."""
-    return int((2 - SIMILARITY) / SIMILARITY * n)
+    return int((2 - SIMILARITY) / SIMILARITY * n + 1e-9)
 
 
 def _able(held: Counter, wording: list[str], counts: Counter) -> bool:

@@ -63,3 +63,9 @@ def test_wording_inside_a_longer_sentence():
     assert names("Released under the MIT License\nFoo bar baz.") == [("Released under the MIT License", "MIT-notice", 0)]
     bare = TEMPLATES["MIT"].replace(".", "")
     assert names("word " * 5000 + bare + " tail" * 5000) == [(bare, "MIT", 0)]
+
+
+def test_template_ranked_beyond_the_third():
+    text = "You may copy this work under the terms of the sample licence as it was published by its authors."
+    near = {f"a{k}": text + f" {word}" for k, word in enumerate(("zebra", "quartz", "jumbo", "vexed", "pygmy"))}
+    assert [(name, n) for *_, name, _, _, n in Scanner({**near, "z": text}).scan(text)] == [("z", 0)]
