@@ -57,7 +57,9 @@ TEMPLATES = {
     "All-rights-reserved": "All rights reserved.",
 }
 CUES = ("licen", "copyright", "permission is hereby", "free software", "redistribution and use", "warrant", "all rights reserved", "cc0")
+_CUES = [(cue.split()[0], re.compile(r"\W+".join(map(re.escape, cue.split())))) for cue in CUES]     # over line ends, too
 _MARKS = re.compile(r"[.!?]*")
+_ON = re.compile(r"\.0*[1-9]")      # after a number: it is another one
 _WORD = re.compile(r"\w+")
 
 
@@ -89,7 +91,7 @@ class Scanner:
         low = text.lower()
         if len(low) != len(text):               # offsets must be those of the text
             low = "".join(c if len(c.lower()) != 1 else c.lower() for c in text)
-        places = sorted(m.start() for cue in CUES if cue in low for m in re.finditer(re.escape(cue), low))
+        places = sorted(m.start() for word, cue in _CUES if word in low for m in cue.finditer(low))
         if not places or not self.given:
             return
         spans = [m.span() for m in _WORD.finditer(low)]
@@ -120,7 +122,7 @@ class Scanner:
                     for first, last, differ in windows(own[c:d], wording):
                         first, last = first + c, last + c
                         at = bisect_left(cues, first)
-                        if at < len(cues) and cues[at] <= last:
+                        if at < len(cues) and cues[at] <= last and not _goes_on(text, spans[last]):
                             equal = (last + 1 - first + len(wording) - differ) // 2
                             found.append((differ - equal, rank, first, last, k, differ))
         taken, out = bytearray(b - a), []
@@ -131,6 +133,11 @@ class Scanner:
         return sorted(out)
 
 
+def _goes_on(text: str, span: tuple[int, int]) -> bool:
+    """Whether the word at the end of a window is part of a longer number: version 3 of 3.1."""
+    return text[span[1] - 1].isdigit() and _ON.match(text, span[1]) is not None
+
+
 def reach(n: int) -> int:
     """A window of more words cannot reach SIMILARITY = 2 * equal / (window + template)."""
     return int((2 - SIMILARITY) / SIMILARITY * n + 1e-9)

@@ -69,3 +69,18 @@ def test_template_ranked_beyond_the_third():
     text = "You may copy this work under the terms of the sample licence as it was published by its authors."
     near = {f"a{k}": text + f" {word}" for k, word in enumerate(("zebra", "quartz", "jumbo", "vexed", "pygmy"))}
     assert [(name, n) for *_, name, _, _, n in Scanner({**near, "z": text}).scan(text)] == [("z", 0)]
+
+
+def test_part_of_a_run_and_numbers_around_it():
+    grant, warranty = TEMPLATES["Apache-2.0"], TEMPLATES["Apache-2.0-warranty"]
+    see = "See the License for the specific language governing permissions and limitations under the License."
+    want = [("Apache-2.0", 0), ("Apache-2.0-warranty", 0)]
+    for sep in ("\n", "\n\n", " "):
+        header = sep.join(["Copyright 2020 Foo Inc.", grant, warranty, see])
+        assert [(n, d) for _, n, d in names(header) if not n.endswith("-see")] == want
+        commented = "# " + header.replace(" the ", "\n# the ").replace(" rights", "\n# rights")
+        assert [(n, d) for _, n, d in names(commented) if not n.endswith("-see")] == want
+    assert names("Copyright 2020 Foo Inc.\n" + grant)[0][1:] == ("Apache-2.0", 0)
+    assert [n for _, n, _ in names("Copyright (c) 1999-2004, 2 authors. All rights\n * reserved. 17 pages")] == ["All-rights-reserved"]
+    assert names("This work is licensed under the GNU General Public License, version 3.1.") == []
+    assert names("In 2019 this work is licensed under the GNU General Public License, version 3.0. 4 of 5")[0][1] == "GPL-3.0-notice"
