@@ -46,7 +46,7 @@ TEMPLATES = {
     "GPL-3.0-or-later": ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
                          "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
                          "option) any later version."),
-    "BSD-3-Clause": ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+    "BSD-conditions": ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
                      "the following conditions are met:"),
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     "CC-BY-4.0": "Licensed under CC BY 4.0.",
@@ -56,10 +56,84 @@ TEMPLATES = {
     "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related rights to this work under CC0 1.0.",
     "All-rights-reserved": "All rights reserved.",
 }
-CUES = ("licen", "copyright", "permission is hereby", "free software", "redistribution and use", "warrant", "all rights reserved", "cc0")
+_GNU = ("This {0} is free software{1} you can redistribute it and/or modify it under the terms of the GNU {2}General Public License as "
+        "published by the Free Software Foundation{3} either version {4} of the License, or (at your option) any later version.")
+_GNU_ONLY = ("This {0} is free software{1} you can redistribute it and/or modify it under the terms of the GNU {2}General Public License "
+             "version {4} as published by the Free Software Foundation.")
+_GNU_VERSIONS = (("GPL-2.0", "program", ";", "", ";", "2"), ("GPL-3.0", "program", ":", "", ",", "3"),
+                 ("LGPL-2.0", "library", ";", "Library ", ";", "2"), ("LGPL-2.1", "library", ";", "Lesser ", ";", "2.1"),
+                 ("LGPL-3.0", "library", ":", "Lesser ", ",", "3"), ("AGPL-3.0", "program", ":", "Affero ", ",", "3"))
+for _name, *_parts in _GNU_VERSIONS:
+    TEMPLATES[f"{_name}-or-later"] = _GNU.format(*_parts)
+    TEMPLATES[f"{_name}-only"] = _GNU_ONLY.format(*_parts)
+    if _parts[0] == "library":      # headers of programs under the library's licence
+        TEMPLATES[f"{_name}-or-later-program"] = _GNU.format("program", *_parts[1:])
+        TEMPLATES[f"{_name}-only-program"] = _GNU_ONLY.format("program", *_parts[1:])
+TEMPLATES |= {
+    "GPL-1.0-notice": "This work is licensed under the GNU General Public License, version 1.",
+    "LGPL-2.0-notice": "This work is licensed under the GNU Library General Public License, version 2.",
+    "LGPL-2.1-notice": "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+    "GNU-warranty": ("This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied "
+                     "warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."),
+    "MPL-2.0-header": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+                       "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    "MPL-1.1": ("The contents of this file are subject to the Mozilla Public License Version 1.1 (the \"License\"); you may not use this "
+                "file except in compliance with the License."),
+    "EPL-1.0": ("This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 which "
+                "accompanies this distribution, and is available at http://www.eclipse.org/legal/epl-v10.html"),
+    "EPL-2.0": ("This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which "
+                "is available at https://www.eclipse.org/legal/epl-2.0/"),
+    "ISC": ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+            "provided that the above copyright notice and this permission notice appear in all copies."),
+    "ISC-warranty": ("THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING "
+                     "ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS."),
+    "Unlicense": ("This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, "
+                  "compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, "
+                  "commercial or non-commercial, and by any means."),
+    "BSL-1.0": "Distributed under the Boost Software License, Version 1.0.",
+    "BSL-1.0-text": ("Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and "
+                     "accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, "
+                     "execute, and transmit the Software"),
+    "Zlib": ("Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it "
+             "and redistribute it freely, subject to the following restrictions:"),
+    "BSD-2-Clause-notice": "Licensed under the BSD 2-Clause License.",
+    "BSD-3-Clause-notice": "Licensed under the BSD 3-Clause License.",
+    "ISC-notice": "Licensed under the ISC License.",
+    "CC0-1.0-notice": "Released under CC0 1.0.",
+    "MIT-licensed": "Licensed under the MIT License.",
+}
+_BSD = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+        "conditions are met: {} Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+        "following disclaimer. {} Redistributions in binary form must reproduce the above copyright notice, this list of conditions and "
+        "the following disclaimer in the documentation and/or other materials provided with the distribution.")
+_BSD_NAME = (" {} Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+             "derived from this software without specific prior written permission.")
+for _end, _marks in (("", ("1.", "2.", "3.")), ("-bullets", ("*", "*", "*"))):
+    TEMPLATES[f"BSD-2-Clause{_end}"] = _BSD.format(*_marks)
+    TEMPLATES[f"BSD-3-Clause{_end}"] = _BSD.format(*_marks) + _BSD_NAME.format(_marks[2])
+for _name, _long in (("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-NC", "Attribution-NonCommercial"),
+                     ("BY-ND", "Attribution-NoDerivatives"), ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+                     ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives")):
+    for _version in ("1.0", "2.0", "2.5", "3.0", "4.0"):
+        _kind = "International" if _version == "4.0" else "Unported" if _version == "3.0" else "Generic"
+        TEMPLATES[f"CC-{_name}-{_version}"] = f"Licensed under CC {_name} {_version}."
+        TEMPLATES[f"CC-{_name}-{_version}-long"] = (
+            f"This work is licensed under a Creative Commons {_long} {_version} {_kind} License.")
+for _name in ("MIT", "MIT-0", "Apache-2.0", "GPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0", "GPL-3.0-only", "GPL-3.0-or-later",
+              "LGPL-2.0-only", "LGPL-2.0-or-later", "LGPL-2.1", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0", "LGPL-3.0-only",
+              "LGPL-3.0-or-later", "AGPL-3.0", "AGPL-3.0-only", "AGPL-3.0-or-later", "BSD-2-Clause", "BSD-3-Clause", "ISC", "MPL-1.1",
+              "MPL-2.0", "EPL-1.0", "EPL-2.0", "Unlicense", "BSL-1.0", "Zlib", "0BSD", "CC0-1.0",
+              *(f"CC-BY{_kind}-{_version}" for _kind in ("", "-SA", "-NC", "-ND", "-NC-SA", "-NC-ND")
+                for _version in ("1.0", "2.0", "2.5", "3.0", "4.0"))):
+    TEMPLATES[f"SPDX-{_name}"] = f"SPDX-License-Identifier: {_name}"
+# Words that tell licences apart, as versions do.
+TOKENS = frozenset("sa nd nc lesser library affero only later mit apache bsd isc mpl mozilla epl eclipse gpl lgpl agpl boost bsl zlib unlicense "
+                   "cc cc0 noncommercial sharealike noderivatives noderivs attribution clause spdx".split())
+CUES = ("licen", "copyright", "permission is hereby", "free software", "redistribution and use", "warrant", "all rights reserved", "cc0",
+        "permission to use", "permission is granted", "free and unencumbered", "made available under", "mozilla public")
 _CUES = [(cue.split()[0], re.compile(r"\W+".join(map(re.escape, cue.split())))) for cue in CUES]     # over line ends, too
 _MARKS = re.compile(r"[.!?]*")
-_ON = re.compile(r"\.0*[1-9]")      # after a number: it is another one
+_ON = re.compile(r"\.0*[1-9]|-\w|\+")      # after a fixed word: it is another one
 _WORD = re.compile(r"\w+")
 
 
@@ -73,8 +147,8 @@ def words(text: str) -> list[str]:
 
 
 def fixed(word: str) -> bool:
-    """Words that may not differ: another version is another licence."""
-    return word[0].isdigit()
+    """Words that may not differ: another version or kind is another licence."""
+    return word[0].isdigit() or word in TOKENS
 
 
 class Scanner:
@@ -122,7 +196,7 @@ class Scanner:
                     for first, last, differ in windows(own[c:d], wording):
                         first, last = first + c, last + c
                         at = bisect_left(cues, first)
-                        if at < len(cues) and cues[at] <= last and not _goes_on(text, spans[last]):
+                        if at < len(cues) and cues[at] <= last and not _goes_on(text, spans[last], own[last]):
                             equal = (last + 1 - first + len(wording) - differ) // 2
                             found.append((differ - equal, rank, first, last, k, differ))
         taken, out = bytearray(b - a), []
@@ -133,9 +207,10 @@ class Scanner:
         return sorted(out)
 
 
-def _goes_on(text: str, span: tuple[int, int]) -> bool:
-    """Whether the word at the end of a window is part of a longer number: version 3 of 3.1."""
-    return text[span[1] - 1].isdigit() and _ON.match(text, span[1]) is not None
+def _goes_on(text: str, span: tuple[int, int], word: str) -> bool:
+    """Whether the fixed word at the end of a window is part of a longer
+    version or name: version 3 of 3.1, MIT of MIT-0."""
+    return fixed(word) and _ON.match(text, span[1]) is not None
 
 
 def reach(n: int) -> int:

@@ -84,3 +84,21 @@ def test_part_of_a_run_and_numbers_around_it():
     assert [n for _, n, _ in names("Copyright (c) 1999-2004, 2 authors. All rights\n * reserved. 17 pages")] == ["All-rights-reserved"]
     assert names("This work is licensed under the GNU General Public License, version 3.1.") == []
     assert names("In 2019 this work is licensed under the GNU General Public License, version 3.0. 4 of 5")[0][1] == "GPL-3.0-notice"
+
+
+def test_common_licences_and_kinds():
+    gpl = TEMPLATES["GPL-3.0-or-later"]
+    header = "This {} is free software; you can redistribute it and/or modify it under the terms of the GNU {}General Public License as " \
+             "published by the Free Software Foundation; either version {} of the License, or (at your option) any later version."
+    for text, want in ((header.format("program", "", "2"), "GPL-2.0-or-later"), (gpl, "GPL-3.0-or-later"),
+                       (header.format("library", "Lesser ", "2.1"), "LGPL-2.1-or-later"),
+                       (header.format("program", "Affero ", "3"), "AGPL-3.0-or-later"),
+                       ("Licensed under CC BY-NC-SA 4.0.", "CC-BY-NC-SA-4.0"), ("Licensed under CC BY-NC-ND 3.0.", "CC-BY-NC-ND-3.0"),
+                       ("// SPDX-License-Identifier: GPL-2.0-or-later\n", "SPDX-GPL-2.0-or-later"),
+                       ("# SPDX-License-Identifier: MIT\n#include", "SPDX-MIT")):
+        assert [(n, d) for _, n, d in names(text)] == [(want, 0)], text
+    for text in ("Licensed under CC BY-SA 9.0.", "SPDX-License-Identifier: BSD-2-Clause-Patent",
+                 "SPDX-License-Identifier: MIT-1", "Released under the Foo License."):
+        assert names(text) == [], text
+    few = {k: v for k, v in TEMPLATES.items() if k in ("CC-BY-NC-4.0", "GPL-3.0-or-later")}
+    assert not list(Scanner(few).scan("Licensed under CC BY-NC-SA 4.0. " + gpl.replace("GNU", "GNU Lesser")))
