@@ -3,7 +3,7 @@
 An Aho-Corasick automaton finds anchors in one pass over a text: at-signs,
 plus signs, digits, address schemes and cues of identifiers. A local parser
 expands each anchor to the boundaries of the span it belongs to and validates
-it. Offsets are code points, ends exclusive. Per kind, spans are leftmost and
+it. Cues, schemes and prefixes count in any case. Offsets are code points, ends exclusive. Per kind, spans are leftmost and
 do not overlap; a span that fails validation is dropped whole.
 """
 
@@ -22,11 +22,12 @@ from .common import text_of
 BASE_KINDS = ("email", "ip", "card", "phone")
 MORE_KINDS = ("url", "account", "secret")
 KINDS = BASE_KINDS + MORE_KINDS
-# Address schemes; cues before an account number or a secret; key prefixes.
+# Fixed values, in lower case: address schemes; cues before an account number or a secret; key prefixes.
 SCHEMES = ("http://", "https://", "ftp://", "mailto:")
 ACCOUNT_CUES = ("iban", "account", "acct", "ssn")
-SECRET_CUES = ("password", "passwd", "api_key", "apikey", "secret")
-KEY_PREFIXES = ("AKIA",)
+SECRET_CUES = ("password", "passwd", "passphrase", "pwd", "api_key", "apikey", "api-key", "api key", "secret")
+WEAK_CUES = ("token", "key", "bearer", "credential", "authorization")      # ordinary words, too: see weak()
+KEY_PREFIXES = ("akia",)
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -34,8 +35,12 @@ _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 _GROUPED = re.compile(r"[0-9](?:[\x20-]?[0-9])*")
 _DIALLED = re.compile(r"\+[0-9][\x20().0-9-]+")
 _ADDRESS = re.compile(r"[^\s<>\"'`{}|\\^]+")
-_ACCOUNT = re.compile(r"(?:\s*(?:no\.?|number|#))?\s*[:=#]?\s*([A-Z]{2}[0-9]{2}[A-Z0-9]{10,30}|[0-9][0-9-]{5,30}[0-9])(?![A-Za-z0-9])")
-_SECRET = re.compile(r"\s*[:=]\s*(\S{6,200})")
+_ACCOUNT = re.compile(r"(?i:\s*(?:no\.?|number|#))?\s*[:=#]?\s*([A-Z]{2}[0-9]{2}[A-Z0-9]{10,30}|[0-9][0-9-]{5,30}[0-9])(?![A-Za-z0-9])")
+_GIVEN = re.compile(r"[\"'`]?\s*(?:=>|:=|[:=])\s*(?:(?i:bearer|basic)\s+)?")
+_BEARER = re.compile(r"\s+")
+_QUOTED = re.compile(r"([\"'`])((?:(?!\1)[^\\\n]|\\.){6,})\1")
+_SECRET = re.compile(r"[\"'`]?(\S{6,200})")
+_ASCII_LOWER = {c: c + 32 for c in range(65, 91)}
 _KEY = re.compile(r"AKIA[A-Z0-9]{16}(?![A-Za-z0-9])")
 
 
@@ -43,7 +48,7 @@ def _automaton():
     found = ahocorasick.Automaton()
     for word, kind in [("@", "at"), ("+", "plus"), *[(str(d), "digit") for d in range(10)],
                        *[(s, "scheme") for s in SCHEMES], *[(c, "account") for c in ACCOUNT_CUES],
-                       *[(c.upper(), "account") for c in ACCOUNT_CUES], *[(c, "secret") for c in SECRET_CUES],
+                       *[(c, "secret") for c in SECRET_CUES], *[(c, "weak") for c in WEAK_CUES],
                        *[(k, "key") for k in KEY_PREFIXES]]:
         found.add_word(word, (kind, len(word)))
     found.make_automaton()
@@ -68,7 +73,10 @@ class Scanner:
         """(start, end, kind) by start, then kind as listed."""
         out: list[tuple[int, int, str]] = []
         done = dict.fromkeys(("email", "ip", "card", "phone", "url", "account", "secret"), 0)
-        for last, (anchor, size) in self.automaton.iter(text):
+        low = text.lower()
+        if len(low) != len(text):               # offsets must be those of the text
+            low = text.translate(_ASCII_LOWER)
+        for last, (anchor, size) in self.automaton.iter(low):
             at = last + 1 - size
             if anchor == "digit":
                 if at >= done["ip"]:
@@ -88,12 +96,13 @@ class Scanner:
                 if got and at >= done["secret"] and not text[at - 1:at].isalnum():
                     out.append((at, got.end(), "secret"))
                     done["secret"] = got.end()
+            elif anchor == "account":
+                got = _ACCOUNT.match(text, last + 1)
+                if got and got.start(1) >= done["account"] and account(got[1]):
+                    out.append((*got.span(1), "account"))
+                    done["account"] = got.end(1)
             else:
-                pattern = _ACCOUNT if anchor == "account" else _SECRET
-                got = pattern.match(text, last + 1)
-                if got and got.start(1) >= done[anchor] and (anchor == "secret" or account(got[1])):
-                    out.append((got.start(1), got.end(1), anchor))
-                    done[anchor] = got.end(1)
+                done["secret"] = self.given(text, at, last + 1, anchor, done["secret"], out)
         out.sort(key=lambda s: (s[0], KINDS.index(s[2])))
         return out
 
@@ -152,6 +161,32 @@ class Scanner:
         out.append((at, after + len(body), "url"))
         return after + len(body)
 
+    @staticmethod
+    def given(text: str, at: int, after: int, anchor: str, free: int, out: list) -> int:
+        """The value given to a cue: what its quotes hold, else to the next blank."""
+        sign = _GIVEN.match(text, after)
+        if not sign and text[at:after].lower() == "bearer":
+            sign = _BEARER.match(text, after)
+        if not sign or sign.end() < free:
+            return free
+        value = _QUOTED.match(text, sign.end())
+        span = value.span(2) if value else None
+        if not value:
+            value = _SECRET.match(text, sign.end())
+            span = value.span(1) if value else None
+        if not span or anchor == "weak" and not weak(text, at, *span):
+            return free
+        out.append((*span, "secret"))
+        return span[1]
+
+
+def weak(text: str, at: int, a: int, b: int) -> bool:
+    """Whether a cue that is an ordinary word, too, counts: it starts a word or
+    a part of a name (api_key, apiKey; any place for token), and its value has
+    a digit or sixteen characters."""
+    part = text[at] in "tT" or not text[at - 1:at].isalpha() or text[at - 1].islower() and text[at].isupper()
+    return part and (b - a >= 16 or any(c.isdigit() for c in text[a:b]))
+
 
 def account(number: str) -> bool:
     """An IBAN by its check digits, else six digits or more."""
