@@ -28,6 +28,13 @@ ACCOUNT_CUES = ("iban", "account", "acct", "ssn")
 SECRET_CUES = ("password", "passwd", "passphrase", "pwd", "api_key", "apikey", "api-key", "api key", "secret")
 WEAK_CUES = ("token", "key", "bearer", "credential", "authorization")      # ordinary words, too: see weak()
 KEY_PREFIXES = ("akia",)
+MOST_DIGITS = 34         # of an account number with blanks
+# Characters of an IBAN by country.
+LENGTHS = {country: n for n, countries in {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU",
+    31: "MT SC", 32: "LC", 33: "RU"}.items() for country in countries.split()}
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -35,11 +42,15 @@ _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 _GROUPED = re.compile(r"[0-9](?:[\x20-]?[0-9])*")
 _DIALLED = re.compile(r"\+[0-9][\x20().0-9-]+")
 _ADDRESS = re.compile(r"[^\s<>\"'`{}|\\^]+")
-_ACCOUNT = re.compile(r"(?i:\s*(?:no\.?|number|#))?\s*[:=#]?\s*([A-Z]{2}[0-9]{2}[A-Z0-9]{10,30}|[0-9][0-9-]{5,30}[0-9])(?![A-Za-z0-9])")
+_CUED = re.compile(r"[\"'`]?(?:[\s_-]*(?i:no\.?|number|nr\.?|#))?[\"'`]?\s*[:=#]?\s*[\"'`]?")
+_IBAN = re.compile(r"[A-Za-z]{2}[0-9]{2}(?:[\x20-]?[A-Za-z0-9]){10,30}")
+_NUMBER = re.compile(r"[0-9](?:[\x20-]?[0-9])*(?![A-Za-z0-9])")
+_UNSPACED = re.compile(r"[0-9](?:-?[0-9])*(?![A-Za-z0-9])")
 _GIVEN = re.compile(r"[\"'`]?\s*(?:=>|:=|[:=])\s*(?:(?i:bearer|basic)\s+)?")
 _BEARER = re.compile(r"\s+")
 _QUOTED = re.compile(r"([\"'`])((?:(?!\1)[^\\\n]|\\.){6,})\1")
-_SECRET = re.compile(r"[\"'`]?(\S{6,200})")
+_SECRET = re.compile(r"[\"'`]?(\S{6,})")
+_ALNUM = re.compile("[A-Za-z0-9]")
 _ASCII_LOWER = {c: c + 32 for c in range(65, 91)}
 _KEY = re.compile(r"AKIA[A-Z0-9]{16}(?![A-Za-z0-9])")
 
@@ -97,10 +108,7 @@ class Scanner:
                     out.append((at, got.end(), "secret"))
                     done["secret"] = got.end()
             elif anchor == "account":
-                got = _ACCOUNT.match(text, last + 1)
-                if got and got.start(1) >= done["account"] and account(got[1]):
-                    out.append((*got.span(1), "account"))
-                    done["account"] = got.end(1)
+                done["account"] = self.account(text, last + 1, done["account"], out)
             else:
                 done["secret"] = self.given(text, at, last + 1, anchor, done["secret"], out)
         out.sort(key=lambda s: (s[0], KINDS.index(s[2])))
@@ -161,6 +169,32 @@ class Scanner:
         out.append((at, after + len(body), "url"))
         return after + len(body)
 
+    @staticmethod
+    def account(text: str, after: int, free: int, out: list) -> int:
+        """After a cue an IBAN by its check digits, else six digits or more;
+        single blanks or hyphens may stand between groups."""
+        start = _CUED.match(text, after).end()
+        if start < free:
+            return free
+        got = _IBAN.match(text, start)
+        if got:
+            # ends before a separator or another sign; that of the country's length first, then the longest
+            kept = [k for k in range(start, got.end()) if text[k] not in " -"]
+            own = LENGTHS.get(text[start:start + 2].upper())
+            for n in sorted(range(14, len(kept) + 1), key=lambda n: (n != own, -n)):
+                end = kept[n - 1] + 1
+                if not _ALNUM.match(text, end) and iban("".join(text[k] for k in kept[:n])):
+                    out.append((start, end, "account"))
+                    return end
+            return free
+        got = _NUMBER.match(text, start)
+        if got and sum(c.isdigit() for c in got[0]) > MOST_DIGITS:      # a list of numbers: the first alone
+            got = _UNSPACED.match(text, start)
+        if not got or sum(c.isdigit() for c in got[0]) < 6:
+            return free
+        out.append((start, got.end(), "account"))
+        return got.end()
+
     @staticmethod
     def given(text: str, at: int, after: int, anchor: str, free: int, out: list) -> int:
         """The value given to a cue: what its quotes hold, else to the next blank."""
@@ -188,10 +222,8 @@ def weak(text: str, at: int, a: int, b: int) -> bool:
     return part and (b - a >= 16 or any(c.isdigit() for c in text[a:b]))
 
 
-def account(number: str) -> bool:
-    """An IBAN by its check digits, else six digits or more."""
-    if number[0].isdigit():
-        return sum(c.isdigit() for c in number) >= 6
+def iban(number: str) -> bool:
+    """Check digits of an IBAN without separators."""
     turned = number[4:] + number[:4]
     return int("".join(str(int(c, 36)) for c in turned)) % 97 == 1
 

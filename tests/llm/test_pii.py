@@ -108,3 +108,21 @@ def test_secret_cues_linear_on_hostile_texts():
     for text in ("password=" * 30_000, "password=\"" * 30_000, "token='\\" * 30_000, "key:\"" * 50_000, "bearer " * 40_000,
                  "secret" + " " * 200_000, "pwd=\\\"" * 30_000, "`token`=" * 30_000):
         Scanner().spans(text)
+
+
+def test_long_secrets_and_printed_accounts():
+    long = "eyJhbGciOiJIUzI1NiJ9." + "aB3_" * 300
+    for text in (f"secret={long} x", f"token: {long}", f"password='{long}'"):
+        assert more(text, "secret") == [long]
+    for text, want in (("IBAN: GB82 WEST 1234 5698 7654 32", "GB82 WEST 1234 5698 7654 32"),
+                       ("iban GB82-WEST-1234-5698-7654-32 or more", "GB82-WEST-1234-5698-7654-32"),
+                       ("IBAN: GB82 WEST 1234 5698 7654 32 or DE 12", "GB82 WEST 1234 5698 7654 32"),
+                       ('{"iban":"de89 3704 0044 0532 0130 00"}', "de89 3704 0044 0532 0130 00"),
+                       ("Account number: 1234 5678 9012.", "1234 5678 9012"), ("SSN 078-05-1120", "078-05-1120"),
+                       ("ssn: 078 05 1120", "078 05 1120"), ('"account_no": "123456"', "123456"),
+                       ("acct 12345678 2nd", "12345678"), ("account 1234567" + " 1" * 40, "1234567")):
+        assert more(text, "account") == [want], text
+    for text in ("IBAN: GB82 WEST 1234 5698 7654 33", "account 12345", "account 1 2 3 of 4 5 6", "on account of 2024"):
+        assert more(text, "account") == [], text
+    for text in ("account " + "1 " * 200_000, "account 1" * 40_000, ("iban gb82" + " ab12" * 20) * 5_000):
+        Scanner().spans(text)
