@@ -18,9 +18,10 @@ def write_files(df: DataFrame, path: str, terminator: str) -> None:
      .write.option("lineSep", terminator).option("maxRecordsPerFile", 1).text(path))
 
 
-def read_files(spark: SparkSession, path: str) -> DataFrame:
-    """(part, chunk, content) of the files under ``path``."""
+def read_files(spark: SparkSession, path: str, names: str = "part-*") -> DataFrame:
+    """(part, chunk, content) of the files under ``path`` whose names match;
+    part and chunk are null for others than :func:`write_files` made."""
     name = F.regexp_extract
-    return (spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+    return (spark.read.format("binaryFile").option("pathGlobFilter", names).load(path)
             .select(name("path", r"/part-(\d+)-[^/]*$", 1).cast("long").alias("part"),
                     name("path", r"-c(\d+)[^/-]*$", 1).cast("long").alias("chunk"), "content"))

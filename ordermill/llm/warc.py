@@ -3,11 +3,13 @@
 An archive starts with a skippable frame that holds the dictionary its records
 were compressed with; then follows one zstd frame per record. The closing empty
 skippable frame marks the end of the file. Archives are about ``ARCHIVE_BYTES``
-of payload, so a task holds one at a time.
+of payload, so a task holds one at a time. Archives of other writers are read
+as well: without dictionary, with a compressed one, and without closing frame.
 """
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
 
@@ -30,6 +32,11 @@ DATE = "2000-01-01T00:00:00Z"       # of every record, as the tables hold no fet
 DICT_MAGIC = b"\x5d\x2a\x4d\x18"
 END = "P*M\x18\0\0\0\0"              # an empty skippable frame
 FRAME_MAGIC = b"\x28\xb5\x2f\xfd"
+VERSIONS = ("WARC/1.0", "WARC/1.1")
+LENGTH = "X-Payload-Length"          # in own records only
+_NAMES = {n.lower(): n for n in ("WARC-Type", "WARC-Record-ID", "WARC-Payload-Digest", "WARC-Block-Digest", "WARC-Target-URI",
+                                 "WARC-Refers-To", "WARC-Truncated", "Content-Type", "Content-Length")}
+_CHUNK = re.compile(rb"([0-9A-Fa-f]{1,8})[^\r\n]*\r\n")
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -40,7 +47,7 @@ def record(page_id, url, payload: bytes, digest: str, size: int, refers_to, revi
     block = http if revisit else http + payload
     fields = [("WARC-Type", "revisit" if revisit else "response"),
               ("WARC-Record-ID", _urn(page_id)), ("WARC-Date", DATE),
-              ("WARC-Payload-Digest", f"sha256:{digest}"), ("X-Payload-Length", size),
+              ("WARC-Payload-Digest", f"sha256:{digest}"), (LENGTH, size),
               ("Content-Type", "application/http; msgtype=response"), ("Content-Length", len(block))]
     if url is not None:       # line ends would end the header
         fields.append(("WARC-Target-URI", re.sub(r"[\x00-\x20%\x7f]", lambda m: f"%{ord(m[0]):02X}", url)))
@@ -131,64 +138,162 @@ def _frame_end(data: memoryview, at: int) -> int:
 def read_records(content: bytes):
     """(headers, http headers, payload) of each record, validated."""
     data = memoryview(content)
-    if bytes(data[:4]) != DICT_MAGIC:
-        raise ValueError("no dictionary frame")
-    at = 8 + int.from_bytes(data[4:8], "little")
-    known = zstandard.ZstdCompressionDict(bytes(data[8:at])) if at > 8 else None
+    at, known = 0, None
+    if bytes(data[:4]) == DICT_MAGIC:
+        at = _skipped(data, 0)
+        held = bytes(data[8:at])
+        if held[:4] == FRAME_MAGIC:
+            held = _unpack(zstandard.ZstdDecompressor(), held)
+        known = zstandard.ZstdCompressionDict(held) if held else None
     reader = zstandard.ZstdDecompressor(dict_data=known)
-    end = len(data) - len(END)
-    if bytes(data[end:]) != END.encode():
-        raise ValueError("the archive is cut short")
-    while at < end:
-        if bytes(data[at:at + 4]) != FRAME_MAGIC:
+    own = closed = found = False
+    while at < len(data):
+        magic = bytes(data[at:at + 4])
+        if magic[1:] == END.encode()[1:4] and magic[0] >> 4 == 5:       # a skippable frame
+            stop = _skipped(data, at)
+            closed = stop == len(data) and bytes(data[at:stop]) == END.encode()
+        elif magic == FRAME_MAGIC:
+            stop = _frame_end(data, at)
+            for got in parse(_unpack(reader, data[at:stop])):
+                own, found = own or LENGTH in got[0], True
+                yield got
+        else:
             raise ValueError("not a zstd frame")
-        stop = _frame_end(data, at)
-        yield parse(reader.decompress(data[at:stop]))
         at = stop
+    if not closed and (own or not found):
+        raise ValueError("the archive is cut short")
+
+
+def _skipped(data: memoryview, at: int) -> int:
+    """Where the skippable frame at ``at`` ends."""
+    end = at + 8 + int.from_bytes(data[at + 4:at + 8], "little")
+    if len(data) < max(at + 8, end):
+        raise ValueError("the archive is cut short")
+    return end
+
+
+def _unpack(reader, frame) -> bytes:
+    """A whole frame, whether or not its header gives the size."""
+    if zstandard.get_frame_parameters(frame).content_size != zstandard.CONTENTSIZE_UNKNOWN:
+        return reader.decompress(frame)
+    run = reader.decompressobj()
+    raw = run.decompress(frame)
+    if not run.eof:
+        raise ValueError("the archive is cut short")
+    return raw
 
 
 def parse(raw: bytes):
-    head, _, rest = raw.partition(b"\r\n\r\n")
-    version, *lines = head.decode().split("\r\n")
-    if version != "WARC/1.1":
+    """The records of one frame."""
+    at = 0
+    while at < len(raw) or not at:
+        stop = raw.find(b"\r\n\r\n", at)
+        if stop < 0:
+            raise ValueError("no record header")
+        headers = _headers(raw[at:stop].decode("utf-8", "replace"))
+        size = headers.get("Content-Length", "")
+        if not re.fullmatch("[0-9]+", size):
+            raise ValueError("no Content-Length")
+        block = raw[stop + 4:stop + 4 + int(size)]
+        at = stop + 8 + int(size)
+        if len(block) != int(size) or raw[at - 4:at] != b"\r\n\r\n":
+            raise ValueError("the record's length differs from its header")
+        yield headers, *_validated(headers, block)
+
+
+def _headers(head: str) -> dict[str, str]:
+    version, *lines = re.sub(r"\r\n[ \t]+", " ", head).split("\r\n")
+    if version not in VERSIONS:
         raise ValueError(f"version {version!r}")
-    headers = dict(line.split(": ", 1) for line in lines)
-    block = rest[:-4]
-    if rest[-4:] != b"\r\n\r\n" or len(block) != int(headers["Content-Length"]):
-        raise ValueError("the record's length differs from its header")
+    out = {}
+    for line in lines:
+        name, found, value = line.partition(":")
+        if not found:
+            raise ValueError(f"header line {line!r}")
+        name = name.strip(" \t")
+        out[_NAMES.get(name.lower(), name)] = value.strip(" \t")      # no other blanks: a URL may end in one
+    return out
+
+
+def _validated(headers: dict[str, str], block: bytes):
+    """(http headers, payload): own records by all of their headers, others by
+    the digests they give; a revisit's payload is elsewhere."""
+    kind, digest = headers.get("WARC-Type"), headers.get("WARC-Payload-Digest")
     http, found, payload = block.partition(b"\r\n\r\n")
-    digest, size = headers["WARC-Payload-Digest"].removeprefix("sha256:"), int(headers["X-Payload-Length"])
-    if not found or f"Content-Length: {size}".encode() not in http.split(b"\r\n"):
-        raise ValueError("the HTTP header differs from the record's")
-    if headers["WARC-Type"] == "response":
-        if len(payload) != size or hashlib.sha256(payload).hexdigest() != digest:
-            raise ValueError("the payload differs from its digest")
-    elif headers["WARC-Type"] != "revisit" or payload:
-        raise ValueError("neither a response nor an empty revisit")
-    return headers, http, payload
+    if LENGTH in headers:
+        size = int(headers[LENGTH])
+        if not found or f"Content-Length: {size}".encode() not in http.split(b"\r\n"):
+            raise ValueError("the HTTP header differs from the record's")
+        if kind == "response":
+            if len(payload) != size or digest != f"sha256:{hashlib.sha256(payload).hexdigest()}":
+                raise ValueError("the payload differs from its digest")
+        elif kind != "revisit" or payload:
+            raise ValueError("neither a response nor an empty revisit")
+        return http, payload
+    if not kind:
+        raise ValueError("no WARC-Type")
+    if not headers.get("Content-Type", "").lower().startswith("application/http"):
+        http, payload = b"", block
+    if not _agrees(headers.get("WARC-Block-Digest"), block):
+        raise ValueError("the block differs from its digest")
+    if kind != "revisit" and "WARC-Truncated" not in headers and not (
+            _agrees(digest, payload) or _agrees(digest, _joined(payload))):
+        raise ValueError("the payload differs from its digest")
+    return http, payload
+
+
+def _agrees(label: str | None, data: bytes) -> bool:
+    """Whether a labelled digest, hex or base32, is that of ``data``; none
+    and unknown kinds cannot be checked."""
+    kind, _, value = (label or "").partition(":")
+    kind = kind.lower().replace("-", "")
+    if kind not in ("md5", "sha1", "sha256", "sha384", "sha512"):
+        return True
+    own = hashlib.new(kind, data).digest()
+    return value.lower() == own.hex() or value.upper().rstrip("=") == base64.b32encode(own).decode().rstrip("=")
+
+
+def _joined(body: bytes) -> bytes:
+    """A body without its chunked transfer coding; any other as it is."""
+    out, at = [], 0
+    while got := _CHUNK.match(body, at):
+        size = int(got[1], 16)
+        if not size:
+            return b"".join(out)
+        out.append(body[got.end():got.end() + size])
+        at = got.end() + size + 2
+    return body
 
 
 _FIELDS = ("page_id long, url string, payload_bytes long, payload_digest string, "
            "record_type string, refers_to long")
 _OUT = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()),
                   ("payload_digest", pa.string()), ("record_type", pa.string()),
-                  ("refers_to", pa.int64()), ("payload", pa.binary())])
+                  ("refers_to", pa.int64()), ("payload", pa.binary()), ("record_id", pa.string()), ("refers_to_id", pa.string())])
+_IDS = ("record_id", "refers_to_id")
+
 
+def _reader(payloads: bool, ids: bool):
+    schema = pa.schema([f for f in _OUT if (payloads or f.name != "payload") and (ids or f.name not in _IDS)])
 
-def _reader(payloads: bool):
     def rows(content):
         for headers, _, payload in read_records(content):
-            url = headers.get("WARC-Target-URI")
-            refers = headers.get("WARC-Refers-To")
-            yield {"page_id": _page_id(headers["WARC-Record-ID"]),
-                   "url": url and re.sub(r"%([0-9A-F]{2})", lambda m: chr(int(m[1], 16)) if m[1] in _OWN else m[0], url),
-                   "payload_bytes": int(headers["X-Payload-Length"]),
-                   "payload_digest": headers["WARC-Payload-Digest"].removeprefix("sha256:"),
-                   "record_type": headers["WARC-Type"], "refers_to": refers and _page_id(refers)} | (
-                       {"payload": payload if headers["WARC-Type"] == "response" else None} if payloads else {})
+            url, number, refers = headers.get("WARC-Target-URI"), headers.get("WARC-Record-ID", ""), headers.get("WARC-Refers-To")
+            own, revisit = LENGTH in headers, headers["WARC-Type"] == "revisit"
+            if own:
+                url = url and re.sub(r"%([0-9A-F]{2})", lambda m: chr(int(m[1], 16)) if m[1] in _OWN else m[0], url)
+                size = int(headers[LENGTH])
+            else:
+                url = url and re.sub(r"^<(.*)>$", r"\1", url)
+                size = None if revisit else len(payload)
+            digest = headers.get("WARC-Payload-Digest")
+            row = {"page_id": _page_id(number) if own else None, "url": url, "payload_bytes": size,
+                   "payload_digest": digest and digest.removeprefix("sha256:"), "record_type": headers["WARC-Type"],
+                   "refers_to": _page_id(refers) if own and refers else None, "payload": None if revisit else payload,
+                   "record_id": number or None, "refers_to_id": refers}
+            yield {name: row[name] for name in schema.names}
 
     def run(batches):
-        schema = _OUT if payloads else pa.schema(list(_OUT)[:-1])
         for batch in batches:
             for content in batch.column(0).to_pylist():
                 got = []
@@ -204,11 +309,15 @@ def _reader(payloads: bool):
 _OWN = {f"{c:02X}" for c in (*range(0x21), 0x25, 0x7F)}      # escapes that record() makes
 
 
-def read_archives(spark: SparkSession, path: str, payloads: bool = False) -> DataFrame:
-    """A row per record of the archives under ``path``; ``payloads`` adds the
-    payload (null for a revisit). A damaged archive raises ValueError."""
-    return read_files(spark, path).select("content").mapInArrow(
-        _reader(payloads), _FIELDS + (", payload binary" if payloads else ""))
+def read_archives(spark: SparkSession, path: str, payloads: bool = False, ids: bool = False, names: str = "part-*") -> DataFrame:
+    """A row per record of the archives under ``path`` whose file names match
+    ``names``. ``payloads`` adds the payload (null for a revisit), ``ids`` the
+    record ids as written. Archives of other writers are read, too: records of
+    every type, with null page_id and refers_to, the payload's bytes (null for
+    a revisit) and the digest if given (without ``sha256:``). A damaged archive
+    raises ValueError; only an own one is known by its closing frame to be whole."""
+    return read_files(spark, path, names).select("content").mapInArrow(
+        _reader(payloads, ids), _FIELDS + (", payload binary" if payloads else "") + (", record_id string, refers_to_id string" if ids else ""))
 
 
 def round_trip(pages: DataFrame, payloads: bool = False) -> DataFrame:

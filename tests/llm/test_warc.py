@@ -1,12 +1,13 @@
 from __future__ import annotations
 
+import base64
 import hashlib
 
 import pytest
 import zstandard
 from pyspark.sql import functions as F
 
-from ordermill.llm.warc import DICT_MAGIC, END, archive, read_records, record, round_trip
+from ordermill.llm.warc import DICT_MAGIC, END, archive, read_archives, read_records, record, round_trip
 
 SCHEMA = "page_id long, url string, html string"
 
@@ -53,3 +54,42 @@ def test_odd_rows(spark):
                      first if revisit else None, None if revisit else body))
     assert sorted(map(repr, want)) == sorted(repr((*r[:6], r[6] and bytes(r[6]) if r[6] != b"" else b"")) for r in got)
     assert round_trip(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def foreign(kind, block, *fields, version="WARC/1.0"):
+    head = [version, f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:uuid:{kind}>", f"content-length:{len(block)}", *fields]
+    return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+def test_archives_of_other_writers(spark, tmp_path):
+    page, chunked = b"<p>page</p>" * 20, b"4\r\nabcd\r\n3;x=y\r\nefg\r\n0\r\n\r\n"
+    http = "Content-Type: application/http; msgtype=response"
+
+    def sha1(data):
+        return "WARC-Payload-Digest: sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
+
+    records = [foreign("warcinfo", b"software: x\r\n"), foreign("request", b"GET / HTTP/1.1\r\n\r\n", http.replace("response", "request")),
+               foreign("response", b"HTTP/1.1 200 OK\r\n\r\n" + page, http, sha1(page), "WARC-Target-URI: <http://h/%41%20>"),
+               foreign("response", b"HTTP/1.1 200 OK\r\n\r\n" + chunked, http, sha1(b"abcdefg")), foreign("metadata", b"k: v"),
+               foreign("revisit", b"HTTP/1.1 200 OK\r\n\r\n", http, sha1(page), "WARC-Refers-To: <urn:uuid:response>", version="WARC/1.1")]
+    want = [b"software: x\r\n", b"", page, chunked, b"k: v", b""]
+    trained = zstandard.train_dictionary(4096, [rec(i) for i in range(400)], k=200, d=8)
+    small = zstandard.ZstdCompressor(write_content_size=False)
+    packed = small.compress(trained.as_bytes())
+    plain = [small.compress(r) for r in records]
+    given = [zstandard.ZstdCompressor(dict_data=trained, write_checksum=True).compress(r) for r in records]
+    whole = {"plain": b"".join(plain), "joined": small.compress(b"".join(records)),
+             "dict": DICT_MAGIC + len(packed).to_bytes(4, "little") + packed + b"".join(given),
+             "skip": plain[0] + b"\x51\x2a\x4d\x18\x02\0\0\0xy" + b"".join(plain[1:])}
+    for name, content in whole.items():
+        got = list(read_records(content))
+        assert [p for *_, p in got] == want, name
+        (tmp_path / f"{name}.warc.zst").write_bytes(content)
+    rows = read_archives(spark, str(tmp_path), payloads=True, ids=True, names="*.warc.zst").collect()
+    assert len(rows) == 24 and {r.url for r in rows} == {None, "http://h/%41%20"} and {r.page_id for r in rows} == {None}
+    assert {(r.record_type, r.record_id, r.payload_bytes) for r in rows} >= {("metadata", "<urn:uuid:metadata>", 4),
+                                                                            ("revisit", "<urn:uuid:revisit>", None)}
+    own = archive([rec(1), rec(2)])
+    for bad in (own, whole["plain"][:-1], small.compress(records[2].replace(b"<p>page", b"<p>pagf", 1)), DICT_MAGIC + b"\0" * 4):
+        with pytest.raises((ValueError, zstandard.ZstdError)):
+            list(read_records(bad))
