@@ -6,9 +6,11 @@ a seed, the longest match of unmarked words is marked again and again, so a
 passage whose parts were put in another order is covered as well. A document is
 contaminated by an item if the tiles cover ``COVERAGE`` of the item's words.
 
-The benchmark is taken in blocks of at most about ``BLOCK_CHARS`` characters;
-each block is sent to the tasks whole (its size is the bound) and met by all
-documents, so a benchmark of any size is covered.
+A benchmark of at most ``BLOCK_CHARS`` characters is sent to the tasks whole.
+A larger one is taken in blocks of its distinct texts, each of at most that
+size (or one text), met by all documents; a block's matches are written before
+the next block is collected, so the driver holds one block at a time and a
+benchmark of any size is covered. Matches then get the ids of equal items.
 """
 
 from __future__ import annotations
@@ -21,13 +23,16 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import row_key, text_of
+from .common import materialise, row_key, text_of
 
 MIN_MATCH = 5
 COVERAGE = 0.5
 BLOCK_CHARS = 20_000_000
+ROW_CHARS = 64           # that an item counts for besides its text
+SLOTS = 16               # pieces of a block
+SALTS = 16
 _WORDS = re.compile(r"\w+").findall
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -129,17 +134,59 @@ _SCHEMA = pa.schema([("doc_id", pa.int64()), ("row_key", pa.int64()), ("item_id"
                      ("matched_words", pa.int64()), ("item_words", pa.int64()), ("n_tiles", pa.int64())])
 
 
-def _match(items, min_match: int, coverage: float):
+def _match(items, min_match: int, coverage: float, schema: pa.Schema = _SCHEMA):
     def run(batches):
         block = Block(items, min_match)
         for batch in batches:
             rows = []
             for doc_id, key, text in zip(*[c.to_pylist() for c in batch.columns]):
-                rows += [dict(zip(_SCHEMA.names, (doc_id, key, *found))) for found in block.matches(text, coverage)]
-            yield pa.RecordBatch.from_pylist(rows, _SCHEMA)
+                rows += [dict(zip(schema.names, (doc_id, key, *found))) for found in block.matches(text, coverage)]
+            yield pa.RecordBatch.from_pylist(rows, schema)
     return run
 
 
+def _blocks(texts: DataFrame, block_chars: int):
+    """(digest, text) of the distinct texts, a block at a time: hashed into
+    slots, slots cut by running length, and the pieces packed in order."""
+    texts = texts.select("text").distinct().withColumn("weight", F.length("text").cast("long") + ROW_CHARS)
+    total = texts.agg(F.coalesce(F.sum("weight"), F.lit(0))).first()[0]
+    slots = -(-total // block_chars) * SLOTS or 1
+    texts = texts.withColumn("slot", F.pmod(F.xxhash64("text"), F.lit(slots)))
+    before = F.sum("weight").over(Window.partitionBy("slot").orderBy("text").rowsBetween(Window.unboundedPreceding, 0)) - F.col("weight")
+    texts = materialise(texts.select("text", "weight", F.struct("slot", F.floor(before / block_chars).alias("cut")).alias("piece")),
+                        "benchmark_texts")
+    held, runs = 0, []
+    for piece, size in sorted(tuple(r) for r in texts.groupBy("piece").agg(F.sum("weight")).collect()):
+        if not runs or held + size > block_chars:
+            runs.append([piece, piece])
+            held = 0
+        runs[-1][1] = piece
+        held += size
+    for ends in runs:
+        first, last = [F.struct(F.lit(slot).cast("long").alias("slot"), F.lit(cut).cast("long").alias("cut")) for slot, cut in ends]
+        yield [tuple(r) for r in texts.where(F.col("piece").between(first, last)).select(F.sha2("text", 256), "text").collect()]
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, min_match: int, coverage: float, block_chars: int, named: bool) -> DataFrame:
+    """The matches; those of a large benchmark name their items if ``named``."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                       (F.col("row_key") if "row_key" in docs.columns else F.lit(0).cast("long")).alias("row_key"),
+                       text_of("text").alias("text"))
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_of("text").alias("text"))
+    total = items.agg(F.coalesce(F.sum(F.length("text") + ROW_CHARS), F.lit(0))).first()[0]
+    if total <= block_chars:
+        return rows.mapInArrow(_match([tuple(r) for r in items.collect()], min_match, coverage), _OUT)
+    schema = pa.schema([pa.field("item_id", pa.string()) if f.name == "item_id" else f for f in _SCHEMA])
+    out = _OUT.replace("item_id long", "item_id string")
+    found = reduce(DataFrame.unionByName, (materialise(rows.mapInArrow(_match(block, min_match, coverage, schema), out), "benchmark_block")
+                                           for block in _blocks(items, block_chars)))
+    if not named:
+        return found
+    found = found.withColumnRenamed("item_id", "digest").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    items = items.select("item_id", F.sha2("text", 256).alias("digest"), F.pmod(F.xxhash64("item_id"), F.lit(SALTS)).cast("int").alias("salt"))
+    return found.join(items, ["digest", "salt"]).select(*_SCHEMA.names)
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH, coverage: float = COVERAGE,
                  block_chars: int = BLOCK_CHARS) -> DataFrame:
     """A row per document and benchmark item (``item_id``, ``text``) whose
@@ -150,25 +197,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MAT
     words match nothing; items of fewer words than a seed match as a whole;
     repeated rows each match; an empty table on either side gives no rows.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       (F.col("row_key") if "row_key" in docs.columns else F.lit(0).cast("long")).alias("row_key"),
-                       text_of("text").alias("text"))
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_of("text").alias("text"))
-    total = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    blocks = -(-total // block_chars) or 1
-    number = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
-    found = []
-    for k in range(blocks):
-        block = [tuple(r) for r in items.where(number == k).collect()]
-        found.append(rows.mapInArrow(_match(block, min_match, coverage), _OUT))
-    return reduce(DataFrame.unionByName, found)
+    return _found(docs, benchmark, min_match, coverage, block_chars, True)
 
 
-def clean_rows(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+def clean_rows(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH, coverage: float = COVERAGE,
+               block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The rows of ``docs``, in its own layout, that no item contaminates."""
     names = docs.columns
     key = row_key("doc_id", "text")
-    found = contaminated(docs.select("doc_id", "text", key.alias("row_key")), benchmark, **options)
+    found = _found(docs.select("doc_id", "text", key.alias("row_key")), benchmark, min_match, coverage, block_chars, False)
     found = found.select(F.col("doc_id").alias("_fid"), F.col("row_key").alias("_fkey")).distinct()
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col("doc_id").alias("_id"), key.alias("_key"))
     rows = rows.join(found, (F.col("_key") == F.col("_fkey")) & F.col("_id").eqNullSafe(F.col("_fid")), "left_anti")

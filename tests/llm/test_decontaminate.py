@@ -5,7 +5,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from ordermill.llm.decontaminate import Block, clean_rows, contaminated
+from ordermill.llm.decontaminate import ROW_CHARS, Block, _blocks, clean_rows, contaminated
 from ordermill.llm.queries import op9_decontaminate
 
 
@@ -73,3 +73,23 @@ def test_query_equals_brute_force(spark, sf_dir, corpus):
         want |= {(r.doc_id, i) for i, w in words.items() if seeds & w and brute(r.text, items[i]) >= 0.5}
     got = {(r.doc_id, r.item_id) for r in op9_decontaminate(spark, sf_dir).collect()}
     assert got == want and got
+
+
+def test_large_benchmarks_by_the_block(make_docs, spark):
+    texts = {k: " ".join(f"t{k}w{i}" for i in range(12)) for k in range(60)}
+    same = " ".join(f"same{i}" for i in range(12))
+    bench = [(k, t) for k, t in texts.items()] + [(1000 + k, same) for k in range(30)] + [(None, same), (7, texts[7])]
+    bench = spark.createDataFrame(bench, "item_id long, text string")
+    chars = 1000
+    got = list(_blocks(bench, chars))
+    assert sorted(t for block in got for _, t in block) == sorted([*texts.values(), same])       # equal items once
+    assert len(got) > 5 and max(sum(len(t) + ROW_CHARS for _, t in block) for block in got) <= chars + len(same) + ROW_CHARS
+    docs = make_docs([(1, texts[7] + " " + texts[8]), (2, "x " + same), (3, "clean"), (None, texts[9]), (2, "x " + same)])
+    found = contaminated(docs, bench, block_chars=chars)
+    assert "MapInArrow" not in found._jdf.queryExecution().toString()       # each block's matches are written already
+    whole = contaminated(docs, bench)
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, whole.collect())) and found.dtypes == whole.dtypes
+    assert whole.count() == 3 + 2 * 31 + 1
+    assert [r.doc_id for r in clean_rows(docs, bench, block_chars=chars).collect()] == [3]
+    many = spark.range(5000).selectExpr("id AS item_id", "'' AS text")          # no characters, yet many rows
+    assert len(list(_blocks(many, chars))) == 1 and contaminated(docs, many, block_chars=chars).count() == 0
