@@ -59,6 +59,76 @@ _MIXING = rf"""
         FROM running
 """
 
+def _clustering(rounds: int = 5, clusters: int = 40) -> str:
+    """Lloyd's rounds over integer vectors, one set of tables a round."""
+    parts = ["""
+        usable AS (
+            SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+            WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        vectors AS MATERIALIZED (
+            SELECT row_number() OVER () AS r, vec_id, list_transform(e, lambda x: floor(256 * x)::BIGINT) AS v FROM usable),
+        flat AS MATERIALIZED (SELECT r, unnest(range(64)) AS i, unnest(v) AS x FROM vectors),
+        centroids0 AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id), v) - 1 AS c, v FROM vectors
+            ORDER BY sha256('2:' || vec_id), v LIMIT %d)""" % clusters]
+    for k in range(rounds + 1):
+        parts.append(f"""
+        near{k} AS MATERIALIZED (
+            SELECT r, vec_id, arg_min(c, (d, c)) AS c, min(d) AS d FROM (
+                SELECT r, vec_id, c, list_sum(list_transform(list_zip(w.v, z.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d
+                FROM vectors w CROSS JOIN centroids{k} z) GROUP BY r, vec_id)""")
+        if k < rounds:
+            parts.append(f"""
+        sums{k} AS (SELECT c, i, sum(x)::BIGINT AS s, count(*) AS n FROM near{k} JOIN flat USING (r) GROUP BY c, i),
+        centroids{k + 1} AS MATERIALIZED (
+            SELECT c, coalesce(m.v, z.v) AS v FROM centroids{k} z LEFT JOIN (
+                SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS v FROM sums{k} GROUP BY c) m USING (c))""")
+    return f"""
+        WITH {",".join(parts)}
+        SELECT vec_id, c::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+               (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(v, ',')) AS centroid_sha256
+        FROM near{rounds} JOIN centroids{rounds} USING (c)
+    """
+
+
+_SPELLING = r"""
+        WITH RECURSIVE runs AS (
+            SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
+        lowered AS (
+            SELECT doc_id, word, count(*) AS n, encode(doc_id || ':' || word) AS bytes FROM (
+                SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS word FROM runs)
+            GROUP BY doc_id, word),
+        summed AS (
+            SELECT word, n, xor(4294967295, list_reduce(
+                list_prepend(4294967295::BIGINT, list_transform(range(octet_length(bytes)), lambda k: ('0x' || substr(hex(bytes), 2 * k + 1, 2))::BIGINT)),
+                lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)),
+                                      lambda x, i: xor(x >> 1, 3988292384 * (x & 1))))) AS crc
+            FROM lowered),
+        words AS MATERIALIZED (
+            SELECT word, sum(n)::BIGINT AS n, length(word) AS len FROM (
+                SELECT CASE WHEN crc % 97 = 0 THEN substr(word, 1, (crc % length(word))::INT) || substr(word, (crc % length(word))::INT + 2)
+                            ELSE word END AS word, n FROM summed)
+            WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+        cut AS MATERIALIZED (
+            SELECT word, n, len, k, substr(word, 1, k::INT) || '*' || substr(word, k::INT + 2) AS hole,
+                   substr(word, 1, k::INT) || substr(word, k::INT + 2) AS rest
+            FROM (SELECT *, unnest(range(len)) AS k FROM words)),
+        half AS (
+            SELECT DISTINCT c.word AS a, c.n AS a_n, w.word AS b, w.n AS b_n FROM cut c JOIN words w ON c.rest = w.word),
+        near AS (
+            SELECT a.word AS a, a.n AS a_n, b.word AS b, b.n AS b_n FROM cut a JOIN cut b ON a.hole = b.hole AND a.word <> b.word
+            UNION ALL SELECT a, a_n, b, b_n FROM half UNION ALL SELECT b, b_n, a, a_n FROM half),
+        best AS MATERIALIZED (
+            SELECT a AS word, count(*) AS n_near, arg_min(b, (-b_n, b)) AS b, max(b_n) AS b_n, any_value(a_n) AS n FROM near GROUP BY a),
+        forms AS MATERIALIZED (SELECT word, b AS form, b_n AS form_n FROM best WHERE b_n >= 2 * n),
+        steps AS (
+            SELECT word, form AS root, 1 AS step FROM forms
+            UNION ALL SELECT s.word, f.form, step + 1 FROM steps s JOIN forms f ON s.root = f.word),
+        roots AS (SELECT word, arg_max(root, step) AS root FROM steps GROUP BY word)
+        SELECT w.word, form, coalesce(root, w.word) AS root, w.n, coalesce(n_near, 0)::BIGINT AS n_near, form_n::BIGINT AS form_n
+        FROM words w LEFT JOIN best USING (word) LEFT JOIN forms USING (word) LEFT JOIN roots USING (word)
+"""
+
 SQL = {
     "op1_exact_dedup": """
         SELECT doc_id,
@@ -97,4 +167,6 @@ SQL = {
         FROM grouped
     """,
     "op7_mixing": _MIXING,
+    "op11_centroid_clustering": _clustering(),
+    "op12_spelling_variants": _SPELLING,
 }

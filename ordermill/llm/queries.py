@@ -14,7 +14,10 @@ from .licenses import scan_licenses
 from .mixing import select_mix
 from .pii import find_pii
 from .simhash import hex_fingerprint, simhash_components
+from .spelling import spelling_variants
 from .token_output import token_output
+from .vafile import cluster_vectors
+from .vamana import nearest_neighbours
 from .warc import round_trip
 
 
@@ -68,6 +71,18 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_language_id": op2_language_id,
@@ -79,4 +94,7 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_decontaminate": op9_decontaminate,
     "op10_licenses": op10_licenses,
+    "op11_centroid_clustering": op11_centroid_clustering,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_nearest_neighbours": op13_nearest_neighbours,
 }
