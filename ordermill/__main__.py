@@ -3,7 +3,7 @@
     load     raw CSV folder -> raw tables (+ quarantine), prints the load report
     daily    staging tables -> marts (written) -> tests and checks, prints them
     ingest   topic or text folder -> landing table (+ quarantine), runs until stopped
-    hourly   landing table (as a stream) -> live hourly table (recount, update or append mode)
+    hourly   landing table (as a stream) -> live hourly table (state, recount, update or append mode)
     compact  landed batches of a date range -> date-partitioned orders table
     monitor  landing table -> freshness + spike status; exits non-zero when stale
 
@@ -64,8 +64,8 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("landing")
     s.add_argument("out")
     s.add_argument("checkpoint")
-    s.add_argument("--mode", choices=("recount", "update", "append"), default="recount",
-                   help="recount is right also for replayed and late batches")
+    s.add_argument("--mode", choices=("state", "recount", "update", "append"), default="state",
+                   help="state and recount are right also for replayed and late batches")
     s.add_argument("--state-partitions", type=int, default=16,
                    help="state store partitions, fixed at the first start")
     s.add_argument("--available-now", action="store_true")
@@ -111,10 +111,10 @@ def main(argv: list[str] | None = None) -> int:
         sink = ingest.LandingSink(args.landing, args.quarantine, args.checkpoint)
         sink.start(source, available_now=args.available_now).awaitTermination()
     elif args.job == "hourly":
-        from ordermill.streaming import hourly, ingest
-        if args.mode == "recount":
-            query = hourly.start_hourly_recount(spark, args.landing, args.out, args.checkpoint,
-                                                available_now=args.available_now)
+        from ordermill.streaming import hour_state, hourly, ingest
+        if args.mode in ("state", "recount"):
+            start = hour_state.start_hourly_state if args.mode == "state" else hourly.start_hourly_recount
+            query = start(spark, args.landing, args.out, args.checkpoint, available_now=args.available_now)
         else:
             stream = hourly.hourly_stream(ingest.landing_stream(spark, args.landing))
             start = (hourly.start_hourly_updates if args.mode == "update"

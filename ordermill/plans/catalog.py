@@ -23,7 +23,7 @@ from ordermill.plans.daily import NOT_NULL_TESTS, UNIQUE_TESTS
 from ordermill.session import shared_dir
 from ordermill.sources import files
 from ordermill.sources import fixtures as fx
-from ordermill.streaming import hourly, ingest
+from ordermill.streaming import hour_state, hourly, ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -151,8 +151,8 @@ def stream_hourly(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_hourly_live(spark: SparkSession, sf: str) -> DataFrame:
-    """The live hourly table after two rounds of ingest and recount; the second
-    round brings a third of the orders late, over the whole time span."""
+    """The live hourly table, from keyed state, after two rounds of ingest; the
+    second brings a third of the orders late, over the whole time span."""
     events = fx.table(spark, sf, "events")
     late = F.col("event_id") % 3 == 0
     root = shared_dir(spark, "stream_hourly_live")
@@ -162,8 +162,8 @@ def stream_hourly_live(spark: SparkSession, sf: str) -> DataFrame:
     for part in (events.where(~late), events.where(late)):
         part.select(fx.order_message()).write.mode("append").text(folder("messages"))
         sink.start(ingest.text_order_source(spark, folder("messages")), available_now=True).awaitTermination()
-        hourly.start_hourly_recount(spark, sink.landing, folder("hourly"), folder("recount"),
-                                    available_now=True).awaitTermination()
+        hour_state.start_hourly_state(spark, sink.landing, folder("hourly"), folder("state"),
+                                      available_now=True).awaitTermination()
     return spark.read.parquet(folder("hourly")).drop("hour_key")
 
 

@@ -76,6 +76,15 @@ def start_hourly_append(hourly: DataFrame, path: str, checkpoint: str,
     return writer.start()
 
 
+def upsert_hours(hours: DataFrame, path: str) -> None:
+    """Replace the rows of ``hours`` in the hourly table, a partition each."""
+    # a count of its own, so that a backlog of many hours is not written by one task
+    writers = int(hours.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (hours.withColumn("hour_key", F.date_format("hour", "yyyy-MM-dd-HH"))
+     .repartition(writers, "hour_key").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("hour_key").parquet(path))
+
+
 def start_hourly_updates(hourly: DataFrame, path: str, checkpoint: str,
                          available_now: bool = False,
                          processing_time: str = "5 seconds") -> StreamingQuery:
@@ -86,12 +95,7 @@ def start_hourly_updates(hourly: DataFrame, path: str, checkpoint: str,
     dynamic partition overwrite, which replaces that hour's previous row:
     an upsert keyed by hour, idempotent when a batch is replayed.
     """
-    def upsert(batch: DataFrame, _batch_id: int) -> None:
-        (batch.withColumn("hour_key", F.date_format("hour", "yyyy-MM-dd-HH"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("hour_key").parquet(path))
-
-    writer = (hourly.writeStream.outputMode("update").foreachBatch(upsert)
+    writer = (hourly.writeStream.outputMode("update").foreachBatch(lambda batch, _batch_id: upsert_hours(batch, path))
               .option("checkpointLocation", checkpoint))
     writer = (writer.trigger(availableNow=True) if available_now
               else writer.trigger(processingTime=processing_time))
@@ -120,12 +124,7 @@ def start_hourly_recount(spark: SparkSession, landing: str, path: str, checkpoin
         orders = read_landing(session, landing).where(
             (F.col("order_timestamp") >= F.lit(low).cast("timestamp_ntz"))
             & (F.col("order_timestamp") < after))
-        # a count of its own, so that a backlog of many hours is not written by one task
-        writers = int(session.conf.get("spark.sql.shuffle.partitions"))
-        (hourly_series(orders).join(hours, "hour", "left_semi")
-         .withColumn("hour_key", F.date_format("hour", "yyyy-MM-dd-HH"))
-         .repartition(writers, "hour_key").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("hour_key").parquet(path))
+        upsert_hours(hourly_series(orders).join(hours, "hour", "left_semi"), path)
 
     writer = (landing_stream(spark, landing, ignore_missing=True).writeStream.foreachBatch(recount)
               .option("checkpointLocation", checkpoint))

@@ -237,3 +237,42 @@ def test_recounted_hours_survive_a_replayed_batch_and_late_rows(spark, tmp):
     assert ingest_and_count() == {10: 10, 18: 1}
     _drop(src, "c.json", [_msg(21, timestamp="2024-01-01T10:59:59")])       # eight hours late
     assert ingest_and_count() == {10: 11, 18: 1}
+
+
+def test_keyed_hours_survive_replays_late_rows_and_split_batches(spark, tmp):
+    from ordermill.streaming import hour_state
+    src, land, bad, ckpt, out, hck = (os.path.join(tmp, d) for d in ("in", "land", "bad", "ckpt", "out", "hck"))
+    sink = ingest.LandingSink(land, bad, ckpt)
+
+    def ingest_and_count(per_trigger=None):
+        sink.start(ingest.text_order_source(spark, src), available_now=True).awaitTermination()
+        hour_state.start_hourly_state(spark, land, out, hck, available_now=True,
+                                      max_files_per_trigger=per_trigger).awaitTermination()
+        table = spark.read.parquet(out)
+        expected = {tuple(r) for r in realtime.hourly_series(ingest.read_landing(spark, land)).collect()}
+        assert {tuple(r) for r in table.drop("hour_key").collect()} == expected
+        return {(r["hour"].year, r["hour"].hour): r["orders_count"] for r in table.collect()}
+
+    _drop(src, "a.json", [_msg(i, timestamp=f"2024-01-01T10:{i:02d}:00") for i in range(10)])
+    assert ingest_and_count() == {(2024, 10): 10}
+    # The batch is landed again under new file names, in two files that two micro-batches read.
+    again = spark.read.text(os.path.join(src, "a.json")).repartition(2)
+    sink.write_batch(again, 0)
+    _drop(src, "b.json", [_msg(20, timestamp="2024-01-01T18:00:00")])
+    assert ingest_and_count(per_trigger=1) == {(2024, 10): 10, (2024, 18): 1}
+    before = {n: os.stat(os.path.join(out, n)).st_mtime_ns for n in os.listdir(out) if n.startswith("hour_key=")}
+    _drop(src, "c.json", [_msg(21, timestamp="2023-01-01T10:59:59")])       # a year late
+    assert ingest_and_count() == {(2023, 10): 1, (2024, 10): 10, (2024, 18): 1}
+    after = {n: os.stat(os.path.join(out, n)).st_mtime_ns for n in before}
+    assert before == after                              # only its own hour was touched
+
+
+def test_partial_sums_keep_money_exact_and_nulls_apart(spark):
+    from ordermill.streaming import hour_state
+    t = dt.datetime(2024, 1, 1, 10, 30)
+    rows = [(t, 0.1, 3, 0, t), (t, 0.2, 1, 0, t), (t, None, 2, 1, t), (None, 1.0, 1, 1, t)]
+    df = spark.createDataFrame(rows, "order_timestamp timestamp_ntz, price double, quantity bigint, batch_id long, "
+                                     "insert_timestamp timestamp_ntz").coalesce(1)
+    got = {r["batch_id"]: (float(r["revenue"]), r["priced"], r["orders"], r["items"])
+           for r in hour_state.partial_sums(df).collect()}
+    assert got == {0: (0.5, 2, 2, 4), 1: (0.0, 0, 1, 2)}
