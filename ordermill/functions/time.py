@@ -56,6 +56,14 @@ def hour_bucket(ts: Column | str) -> Column:
                                 F.lit(0), F.lit(0))
 
 
+def ingest_hour(ts: Column | str) -> Column:
+    """The landing table's partition value of an arrival time: text that sorts
+    as the hours do."""
+    ts = _col(ts)
+    return F.concat(F.date_format(F.to_date(ts), "yyyy-MM-dd"), F.lit("-"),
+                    F.lpad(F.hour(ts).cast("string"), 2, "0"))
+
+
 def days_between(start: Column | str, end: Column | str) -> Column:
     """Midnights crossed from ``start`` to ``end`` (23:00 -> 01:00 is 1)."""
     return F.datediff(_col(end), _col(start)).cast("long")

@@ -13,11 +13,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.functions.money import exact_sum, money_of, rounded_mean, to_double
-from ordermill.functions.time import (day_name, hour_bucket, hour_of_day, interval,
+from ordermill.functions.time import (day_name, hour_bucket, hour_of_day, ingest_hour, interval,
                                       period_filter, period_start, resolve_as_of,
                                       within_last)
 
 TS = "order_timestamp"
+_NO_DATE = "__HIVE_DEFAULT_PARTITION__"       # Spark's folder of a null partition value
 
 
 def latest_order_time(orders: DataFrame) -> Column:
@@ -25,6 +26,13 @@ def latest_order_time(orders: DataFrame) -> Column:
     return orders.select(F.max(TS)).scalar()
 
 
+def newest_order_time(orders: DataFrame) -> Column | str:
+    """The newest order time as a literal, by a job of its own: the plans that
+    use it are small and their filters reach the scan."""
+    newest = orders.agg(F.max(TS).cast("string")).first()[0]
+    return F.lit(None).cast("timestamp_ntz") if newest is None else newest
+
+
 def _since(orders: DataFrame, start: Column) -> DataFrame:
     """Rows with ``order_timestamp >= start``; on a table partitioned by
     ``order_date`` (see ``streaming.ingest.compact_landing``) the matching
@@ -64,6 +72,28 @@ def hourly_metrics(orders: DataFrame, hours: int = 24) -> DataFrame:
     return hourly_series(orders).orderBy(F.col("hour").desc_nulls_first()).limit(hours)
 
 
+def newest_hours(orders: DataFrame, dates: list[str], hours: int = 24) -> DataFrame:
+    """:func:`hourly_metrics` of a table partitioned by ``order_date``, whose
+    partition values are ``dates`` (ascending, see ``files.partition_values``).
+
+    Walks back from the newest date, one more, then two, four and so on, until
+    the dates read hold ``hours`` hours with orders, so a long history is not
+    read for its last day.
+    """
+    known = [d for d in dates if d != _NO_DATE]
+    taken = 1
+    while True:
+        recent = orders
+        if taken < len(known):
+            first = F.lit(known[-taken]).cast("date")
+            after = F.col("order_date") >= first
+            recent = orders.where(after | F.col("order_date").isNull() if _NO_DATE in dates else after)
+            if hourly_series(recent).count() < hours:
+                taken *= 2
+                continue
+        return hourly_metrics(recent, hours)
+
+
 def top_sellers(orders: DataFrame, period: str = "hour", as_of=None, k: int = 10) -> DataFrame:
     """The ``k`` sellers with the most revenue in a dashboard period.
 
@@ -143,8 +173,9 @@ def sales_spike_status(orders: DataFrame, as_of=None, lookback_hours: int = 24,
     ``status`` starts with 'ALERT' for a spike and 'OK' otherwise. Only the
     last ``lookback_hours`` + 1 hours are read (a pushed-down time range).
     """
-    # one value, however often the plan uses it
-    current = (orders.sparkSession.range(1).select(hour_bucket(resolve_as_of(as_of)).alias("hour")).scalar())
+    current = hour_bucket(resolve_as_of(as_of))
+    if isinstance(as_of, Column):          # one value, however often the plan uses it
+        current = orders.sparkSession.range(1).select(current.alias("hour")).scalar()
     recent = (_since(orders, current - interval(lookback_hours, "hour"))
               .where(F.col(TS) < current + interval(1, "hour")))
     spikes = sales_spike_hours(recent, lookback_hours, sigmas)
@@ -161,9 +192,14 @@ def sales_spike_status(orders: DataFrame, as_of=None, lookback_hours: int = 24,
 
 
 def recent_inserts(orders: DataFrame, as_of=None, minutes: int = 5) -> DataFrame:
-    """One row: rows inserted in the ``minutes`` before ``as_of``."""
+    """One row: rows inserted in the ``minutes`` before ``as_of``. Of a table
+    partitioned by ``ingest_hour`` (the landing table) only the hours since
+    then are read."""
     as_of = resolve_as_of(as_of)
-    return (orders.where(within_last("insert_timestamp", as_of, minutes, "minute"))
+    rows = orders.where(within_last("insert_timestamp", as_of, minutes, "minute"))
+    if "ingest_hour" in orders.columns:
+        rows = rows.where(F.col("ingest_hour") >= ingest_hour(as_of - interval(minutes, "minute")))
+    return (rows
             .agg(F.count(F.lit(1)).alias("recent_orders")))
 
 

@@ -1,10 +1,11 @@
 """Named queries over the test tables: one per operator of the survey.
 
-Each entry takes ``(spark, sf_dir)`` and returns a lazy DataFrame built
+Each entry takes ``(spark, sf_dir)`` and returns a DataFrame built
 from the parquet tables in ``sf_dir`` through the staging views of
 ``ordermill.sources.fixtures``. Names and column aliases match the SQL in
 ``ordermill.plans.oracle``. Dashboard queries take ``as_of`` = the newest
-order time (a scalar subquery), so results do not depend on the clock.
+order time (a literal, found by a job of its own), so results do not depend
+on the clock. Loads, streams and landed tables run when their query is called.
 """
 
 from __future__ import annotations
@@ -179,6 +180,33 @@ def _landed(spark: SparkSession, sf: str) -> ingest.LandingSink:
     return sink
 
 
+def _landed_history(spark: SparkSession, sf: str) -> str:
+    """The landing table of all events, each arrived when it was ordered."""
+    root = shared_dir(spark, "landed_history")
+    landing, rejects, checkpoint, messages = [os.path.join(root, x) for x in ("landing", "rejects", "checkpoint", "messages")]
+    fx.table(spark, sf, "events").select(fx.order_message()).write.text(messages)
+    sink = ingest.LandingSink(landing, rejects, checkpoint, arrival=F.col("order_timestamp"))
+    sink.start(ingest.text_order_source(spark, messages), available_now=True).awaitTermination()
+    return landing
+
+
+def landed_freshness(spark: SparkSession, sf: str) -> DataFrame:
+    """The freshness check over a landing table: the last hour's folders alone."""
+    landing = _landed_history(spark, sf)
+    newest = ingest.newest_arrival(spark, landing)
+    return realtime.recent_inserts(ingest.read_landing(spark, landing), newest, minutes=5)
+
+
+def landed_hourly_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """The newest hours of the landed orders by date, found walking back."""
+    landing = _landed_history(spark, sf)
+    dates = ingest.read_landing(spark, landing).agg(*[f(F.to_date("order_timestamp")).cast("string")
+                                                      for f in (F.min, F.max)]).first()
+    by_date = shared_dir(spark, "orders_by_date")
+    ingest.compact_landing(spark, landing, by_date, *dates)
+    return realtime.newest_hours(spark.read.parquet(by_date), files.partition_values(spark, by_date, "order_date"))
+
+
 def landing_rows(spark: SparkSession, sf: str) -> DataFrame:
     return ingest.read_landing(spark, _landed(spark, sf).landing).select(*ingest.LANDING_COLUMNS)
 
@@ -218,9 +246,9 @@ def csv_load_rejects(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- dashboard ------------------------------------------------------------
 
-def _stream(spark: SparkSession, sf: str) -> tuple[DataFrame, F.Column]:
+def _stream(spark: SparkSession, sf: str) -> tuple[DataFrame, F.Column | str]:
     o = fx.raw_orders_stream(spark, sf)
-    return o, realtime.latest_order_time(o)
+    return o, realtime.newest_order_time(o)
 
 
 def kpi_last_hour(spark: SparkSession, sf: str) -> DataFrame:
@@ -261,8 +289,8 @@ def monitor_status(spark: SparkSession, sf: str) -> DataFrame:
 def sales_spike_alert(spark: SparkSession, sf: str) -> DataFrame:
     """The status as of the newest hour that is a spike."""
     o = fx.raw_orders_stream(spark, sf)
-    newest = realtime.sales_spike_hours(o).where("is_spike").agg(F.max("hour")).scalar()
-    return realtime.sales_spike_status(o, newest)
+    spikes = realtime.sales_spike_hours(o).where("is_spike").withColumnRenamed("hour", realtime.TS)
+    return realtime.sales_spike_status(o, realtime.newest_order_time(spikes))
 
 
 # --- data quality ---------------------------------------------------------
@@ -370,4 +398,6 @@ QUERIES: dict[str, Query] = {
     **{name: _check(name, _marts) for name in _CHECKS},
     **{f"{name}_defects": _check(name, _defective_marts) for name in _CHECKS},
     "dq_freshness": dq_freshness,
+    "landed_freshness": landed_freshness,
+    "landed_hourly_metrics": landed_hourly_metrics,
 }

@@ -16,6 +16,7 @@ from collections.abc import Container, Iterable, Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ordermill.sources.csv_load import load_csv, write_counted
@@ -104,15 +105,30 @@ def load_files(spark: SparkSession, directory: str, target_root: str, quarantine
     return spark.createDataFrame(rows, REPORT_SCHEMA)
 
 
+def partition_values(spark: SparkSession, table: str, column: str) -> list[str]:
+    """The values of a partition column, ascending, from the names of the
+    files under ``table``: a listing, no file is opened. One value a folder
+    reaches the driver."""
+    try:
+        names = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(table)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    value = F.regexp_extract("path", f"/{column}=([^/]+)/", 1)
+    found = names.select(value.alias("value")).where("value <> ''").distinct()
+    return sorted(r["value"] for r in found.collect())
+
+
 def ensure_landing_table(spark: SparkSession, path: str) -> None:
     """Create the empty landing table of streamed orders if it is absent.
 
     It is laid out as the stream sink writes it (one ``batch_id=N`` folder
-    per micro-batch), so an empty table holds no data file and is read with
+    per micro-batch, in it one per hour of arrival), so an empty table holds no data file and is read with
     its fixed schema (``streaming.ingest.read_landing``).
     """
     (spark.createDataFrame([], LANDING_TABLE).write.mode("ignore")
-     .partitionBy("batch_id").parquet(path))
+     .partitionBy("batch_id", "ingest_hour").parquet(path))
 
 
 def register_views(spark: SparkSession, dwh_root: str | None = None,

@@ -55,8 +55,10 @@ RAW_ORDERS_STREAM = _schema(
     ("order_id", S), ("customer_id", S), ("product_id", S), ("seller_id", S),
     ("quantity", L), ("price", D), ("order_timestamp", TS), ("insert_timestamp", TS))
 
-# The landing table as stored: the stream sink's one folder per micro-batch.
-LANDING_TABLE = T.StructType(RAW_ORDERS_STREAM.fields + [T.StructField("batch_id", L, True)])
+# The landing table as stored: the stream sink's one folder per micro-batch,
+# in it one per hour of arrival ('yyyy-MM-dd-HH').
+LANDING_TABLE = T.StructType(RAW_ORDERS_STREAM.fields + [T.StructField("batch_id", L, True),
+                                                         T.StructField("ingest_hour", S, True)])
 
 # One JSON order message as the producer writes it; ``timestamp`` is
 # ISO-8601 text without zone, parsed after decoding.

@@ -4,8 +4,8 @@ Source: a topic of JSON order messages (``kafka_order_source``) or, for
 tests and replays, a folder of text files (``text_order_source``); both
 give one string column ``value``. Each micro-batch is decoded, stamped
 with its arrival time and written by ``foreachBatch`` into
-``<landing>/batch_id=N`` (good rows) and ``<quarantine>/batch_id=N``
-(malformed or incomplete messages). A batch replayed after a failure
+``<landing>/batch_id=N/ingest_hour=H`` (good rows, by hour of arrival) and
+``<quarantine>/batch_id=N`` (malformed or incomplete messages). A batch replayed after a failure
 overwrites its own folder, so every message lands exactly once.
 
 Batch size follows the trigger: ``processing_time`` sets the flush
@@ -25,7 +25,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ordermill.functions.text import (CORRUPT, REQUIRED_KEYS, parse_order_json,
                                       parse_timestamp, strip_quotes)
-from ordermill.functions.time import now_ntz
+from ordermill.functions.time import ingest_hour, now_ntz
+from ordermill.sources.files import partition_values
 from ordermill.sources.schemas import LANDING_TABLE
 
 LANDING_COLUMNS = ("order_id", "customer_id", "product_id", "seller_id", "quantity",
@@ -105,23 +106,32 @@ def _has_files(spark: SparkSession, path: str, pattern: str = "*") -> bool:
 
 @dataclass(frozen=True)
 class LandingSink:
-    """Where a stream of orders lands: good rows, rejects, and progress."""
+    """Where a stream of orders lands: good rows, rejects, and progress.
+
+    ``arrival`` is the time of arrival of a decoded message: now, or, when
+    history is replayed, an expression over the landing columns.
+    """
 
     landing: str
     quarantine: str
     checkpoint: str
+    arrival: Column | None = None
 
     def write_batch(self, batch: DataFrame, batch_id: int) -> None:
-        decoded = decode_orders(batch).withColumn("insert_timestamp", now_ntz())
+        arrival = now_ntz() if self.arrival is None else self.arrival
+        decoded = decode_orders(batch).withColumn("insert_timestamp", arrival)
         # One micro-batch is bounded by the trigger cap; keep it for the two
         # writes instead of decoding the input twice.
         decoded = decoded.persist()
         try:
             good = decoded.where(F.col("reject_reason").isNull()).select(
-                *LANDING_COLUMNS, "insert_timestamp")
+                *LANDING_COLUMNS, "insert_timestamp", ingest_hour("insert_timestamp").alias("ingest_hour"))
+            if self.arrival is not None:       # many hours: a file each, not one a task
+                good = good.hint("rebalance", "ingest_hour")
             bad = decoded.where(F.col("reject_reason").isNotNull()).select(
                 "raw", "reject_reason", "insert_timestamp")
-            good.write.mode("overwrite").parquet(os.path.join(self.landing, f"batch_id={batch_id}"))
+            (good.write.mode("overwrite").partitionBy("ingest_hour")
+             .parquet(os.path.join(self.landing, f"batch_id={batch_id}")))
             bad.write.mode("overwrite").parquet(
                 os.path.join(self.quarantine, f"batch_id={batch_id}"))
         finally:
@@ -150,6 +160,15 @@ def read_landing(spark: SparkSession, landing: str) -> DataFrame:
     return spark.read.schema(LANDING_TABLE).parquet(landing)
 
 
+def newest_arrival(spark: SparkSession, landing: str) -> str | None:
+    """The time of the last arrival: only the newest hour's folders are read."""
+    hours = partition_values(spark, landing, "ingest_hour")
+    if not hours:
+        return None
+    newest = read_landing(spark, landing).where(F.col("ingest_hour") == hours[-1])
+    return newest.agg(F.max("insert_timestamp").cast("string")).first()[0]
+
+
 def landing_stream(spark: SparkSession, landing: str,
                    max_files_per_trigger: int | None = None,
                    ignore_missing: bool = False) -> DataFrame:
@@ -187,7 +206,7 @@ def compact_landing(spark: SparkSession, landing: str, table: str, start_date: s
     rows = (read_landing(spark, landing)
             .where((ts >= start.cast("timestamp_ntz"))
                    & (ts < F.date_add(end, 1).cast("timestamp_ntz")))
-            .drop("batch_id")
+            .drop("batch_id", "ingest_hour")
             .withColumn("order_date", F.to_date(ts)))
     (rows.hint("rebalance", "order_date")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -200,7 +219,7 @@ def live_orders(spark: SparkSession, landing: str, table: str, cutoff_date: str)
     ``order_date``, so date predicates prune the compacted partitions."""
     cutoff = F.to_date(F.lit(cutoff_date))
     old = spark.read.parquet(table).where(F.col("order_date") < cutoff)
-    recent = (read_landing(spark, landing).drop("batch_id")
+    recent = (read_landing(spark, landing).drop("batch_id", "ingest_hour")
               .where(F.col("order_timestamp") >= cutoff.cast("timestamp_ntz"))
               .withColumn("order_date", F.to_date("order_timestamp")))
     return old.unionByName(recent)

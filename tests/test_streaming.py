@@ -276,3 +276,29 @@ def test_partial_sums_keep_money_exact_and_nulls_apart(spark):
     got = {r["batch_id"]: (float(r["revenue"]), r["priced"], r["orders"], r["items"])
            for r in hour_state.partial_sums(df).collect()}
     assert got == {0: (0.5, 2, 2, 4), 1: (0.0, 0, 1, 2)}
+
+
+def test_freshness_and_newest_hours_read_their_partitions_alone(spark, tmp):
+    from ordermill.sources import files
+    src, land, bad, ckpt, table = (os.path.join(tmp, d) for d in ("in", "land", "bad", "ckpt", "by_date"))
+    assert ingest.newest_arrival(spark, land) is None
+    sink = ingest.LandingSink(land, bad, ckpt, arrival=F.col("order_timestamp"))
+    stamps = [f"2024-01-{d:02d}T{h:02d}:58:00" for d in range(1, 11) for h in (0, 5, 23)] + ["2024-01-10T23:59:30"]
+    _drop(src, "a.json", [_msg(i, timestamp=t) for i, t in enumerate(stamps)])
+    sink.start(ingest.text_order_source(spark, src), available_now=True).awaitTermination()
+    newest = ingest.newest_arrival(spark, land)
+    assert newest == "2024-01-10 23:59:30"
+    fresh = realtime.recent_inserts(ingest.read_landing(spark, land), newest)
+    assert fresh.first()["recent_orders"] == 2
+    assert re.search(r"PartitionFilters: \[[^\]]*ingest_hour#\d+ >= 2024-01-10-23", plan_text(fresh))
+    # across midnight the day before is read, too
+    assert realtime.recent_inserts(ingest.read_landing(spark, land), "2024-01-10 00:02:00").first()["recent_orders"] == 5
+    ingest.compact_landing(spark, land, table, "2024-01-01", "2024-01-10")
+    dates = files.partition_values(spark, table, "order_date")
+    assert dates == [f"2024-01-{d:02d}" for d in range(1, 11)]
+    by_date = spark.read.parquet(table)
+    for hours in (2, 4, 13, 100):
+        got = realtime.newest_hours(by_date, dates, hours)
+        assert got.collect() == realtime.hourly_metrics(by_date, hours).collect()
+    few = plan_text(realtime.newest_hours(by_date, dates, 4))
+    assert re.search(r"PartitionFilters: \[[^\]]*order_date#\d+ >= 2024-01-09", few)
