@@ -24,6 +24,7 @@ from ordermill.plans.daily import NOT_NULL_TESTS, UNIQUE_TESTS
 from ordermill.session import shared_dir
 from ordermill.sources import files
 from ordermill.sources import fixtures as fx
+from ordermill.sources.csv_load import load_csv
 from ordermill.streaming import hour_state, hourly, ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -244,6 +245,21 @@ def csv_load_rejects(spark: SparkSession, sf: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+def _loaded_lines(spark: SparkSession, sf: str):
+    """The orders with a line end in each quoted note, loaded in many tasks."""
+    root = shared_dir(spark, "csv_quoted_lines")
+    fx.write_csv_exports(spark, sf, root, gap="\n")
+    return load_csv(spark, os.path.join(root, "orders.csv"), fx.CSV_FILES["orders.csv"][1])
+
+
+def csv_quoted_lines_good(spark: SparkSession, sf: str) -> DataFrame:
+    return _loaded_lines(spark, sf).good.withColumn("total", F.col("total").cast("double"))
+
+
+def csv_quoted_lines_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    return _loaded_lines(spark, sf).rejected.select(F.col("_corrupt_record").alias("line"))
+
+
 # --- dashboard ------------------------------------------------------------
 
 def _stream(spark: SparkSession, sf: str) -> tuple[DataFrame, F.Column | str]:
@@ -385,6 +401,8 @@ QUERIES: dict[str, Query] = {
     "csv_load_good": csv_load_good,
     "csv_load_rejects": csv_load_rejects,
     "load_report": load_report,
+    "csv_quoted_lines_good": csv_quoted_lines_good,
+    "csv_quoted_lines_rejects": csv_quoted_lines_rejects,
     "kpi_last_hour": kpi_last_hour,
     "hourly_metrics": hourly_metrics,
     "top_sellers_hour": _top("hour"),

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ordermill.session import shared_dir
+from ordermill.sources.csv_records import csv_records
 
 CORRUPT = "_corrupt_record"
 # A quoted empty field ("") is an empty string, an unquoted empty field is
@@ -31,6 +32,10 @@ CORRUPT = "_corrupt_record"
 _EMPTY = "\u0001"
 
 
+_OPTIONS = {"sep": ",", "quote": '"', "escape": '"', "mode": "PERMISSIVE",
+            "columnNameOfCorruptRecord": CORRUPT, "emptyValue": _EMPTY}
+
+
 @dataclass(frozen=True)
 class CsvLoad:
     good: DataFrame      # the schema's columns, typed
@@ -45,14 +50,22 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType,
     then Spark reads each file in one task; for files known to be one record
     per line, ``multi_line=False`` lets a large file split across tasks.
     """
-    full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
-    return (spark.read.schema(full)
-            .option("header", True).option("sep", ",")
-            .option("quote", '"').option("escape", '"')
-            .option("multiLine", multi_line)
-            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-            .option("emptyValue", _EMPTY)
-            .csv(path))
+    return (spark.read.schema(_with_corrupt(schema)).options(**_OPTIONS)
+            .option("header", True).option("multiLine", multi_line).csv(path))
+
+
+def _with_corrupt(schema: T.StructType) -> T.StructType:
+    return T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
+
+
+def parse_records(records: DataFrame, schema: T.StructType) -> DataFrame:
+    """:func:`read_csv` of records found by ``csv_records`` (column ``record``)."""
+    fields = _with_corrupt(schema)
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    options = {k: str(v) for k, v in _OPTIONS.items()} | {"multiLine": "true"}
+    # behind a generator, so that each record is parsed once
+    parsed = records.select(F.explode(F.array(F.from_csv("record", ddl, options))).alias("row"))
+    return parsed.select("row.*")
 
 
 def _restore_empty(schema: T.StructType) -> list:
@@ -70,10 +83,16 @@ def load_csv(spark: SparkSession, path: str, schema: T.StructType,
     """Parse a CSV file (or folder) once and split good from rejected rows.
 
     Runs one job that writes the parsed rows (all columns) to ``staging``,
-    by default a fresh folder under the shared ``spark.checkpoint.dir``.
+    by default a fresh folder under the shared ``spark.checkpoint.dir``. With
+    ``multi_line`` quoted fields may span lines: a first job finds the records,
+    in as many tasks as the file has splits (see ``csv_records``).
     """
     staging = staging or shared_dir(spark, "csv_load")
-    read_csv(spark, path, schema, multi_line).write.mode("overwrite").parquet(staging)
+    if multi_line:
+        parsed = parse_records(csv_records(spark, path, f"{staging.rstrip('/')}_lines"), schema)
+    else:
+        parsed = read_csv(spark, path, schema, multi_line)
+    parsed.write.mode("overwrite").parquet(staging)
     parsed = spark.read.parquet(staging)
     ok = F.col(CORRUPT).isNull()
     good = parsed.where(ok).select(*_restore_empty(schema))

@@ -107,7 +107,7 @@ RAW_FILES = {
                                               CATEGORY_TRANSLATION),
 }
 
-# Files whose quoted texts span lines. Spark reads each in one task, so the
+# Files whose quoted texts span lines. Their records are found first, so the
 # others, of one record per line, are read without that and split.
 MULTI_LINE_FILES = ("olist_order_reviews_dataset.csv",)
 

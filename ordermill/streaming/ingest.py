@@ -126,8 +126,9 @@ class LandingSink:
         try:
             good = decoded.where(F.col("reject_reason").isNull()).select(
                 *LANDING_COLUMNS, "insert_timestamp", ingest_hour("insert_timestamp").alias("ingest_hour"))
-            if self.arrival is not None:       # many hours: a file each, not one a task
-                good = good.hint("rebalance", "ingest_hour")
+            if self.arrival is not None:       # many hours: their folders dealt over the tasks
+                writers = int(good.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+                good = good.repartition(writers, "ingest_hour")
             bad = decoded.where(F.col("reject_reason").isNotNull()).select(
                 "raw", "reject_reason", "insert_timestamp")
             (good.write.mode("overwrite").partitionBy("ingest_hour")
