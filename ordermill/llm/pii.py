@@ -28,7 +28,7 @@ ACCOUNT_CUES = ("iban", "account", "acct", "ssn")
 SECRET_CUES = ("password", "passwd", "passphrase", "pwd", "api_key", "apikey", "api-key", "api key", "secret")
 WEAK_CUES = ("token", "key", "bearer", "credential", "authorization")      # ordinary words, too: see weak()
 KEY_PREFIXES = ("akia",)
-MOST_DIGITS = 34         # of an account number with blanks
+LONGEST_NUMBER = 34      # digits of an account number; a longer run may be several
 # Characters of an IBAN by country.
 LENGTHS = {country: n for n, countries in {
     15: "NO", 16: "BE", 18: "DK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
@@ -45,7 +45,7 @@ _ADDRESS = re.compile(r"[^\s<>\"'`{}|\\^]+")
 _CUED = re.compile(r"[\"'`]?(?:[\s_-]*(?i:no\.?|number|nr\.?|#))?[\"'`]?\s*[:=#]?\s*[\"'`]?")
 _IBAN = re.compile(r"[A-Za-z]{2}[0-9]{2}(?:[\x20-]?[A-Za-z0-9]){10,30}")
 _NUMBER = re.compile(r"[0-9](?:[\x20-]?[0-9])*(?![A-Za-z0-9])")
-_UNSPACED = re.compile(r"[0-9](?:-?[0-9])*(?![A-Za-z0-9])")
+_UNSPACED = re.compile(r"[0-9](?:-?[0-9])*")
 _GIVEN = re.compile(r"[\"'`]?\s*(?:=>|:=|[:=])\s*(?:(?i:bearer|basic)\s+)?")
 _BEARER = re.compile(r"\s+")
 _QUOTED = re.compile(r"([\"'`])((?:(?!\1)[^\\\n]|\\.){6,})\1")
@@ -171,8 +171,10 @@ class Scanner:
 
     @staticmethod
     def account(text: str, after: int, free: int, out: list) -> int:
-        """After a cue an IBAN by its check digits, else six digits or more;
-        single blanks or hyphens may stand between groups."""
+        """After a cue an IBAN by its check digits, else six digits or more, at
+        any length; single blanks or hyphens may stand between groups. Blanks
+        in a run longer than any account number part several numbers, if the
+        first has six digits itself: each that has is a span."""
         start = _CUED.match(text, after).end()
         if start < free:
             return free
@@ -188,8 +190,11 @@ class Scanner:
                     return end
             return free
         got = _NUMBER.match(text, start)
-        if got and sum(c.isdigit() for c in got[0]) > MOST_DIGITS:      # a list of numbers: the first alone
-            got = _UNSPACED.match(text, start)
+        if got and sum(c.isdigit() for c in got[0]) > LONGEST_NUMBER:
+            several = [p for p in _UNSPACED.finditer(text, start, got.end()) if sum(c.isdigit() for c in p[0]) >= 6]
+            if several and several[0].start() == start:
+                out += [(*p.span(), "account") for p in several]
+                return several[-1].end()
         if not got or sum(c.isdigit() for c in got[0]) < 6:
             return free
         out.append((start, got.end(), "account"))

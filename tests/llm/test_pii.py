@@ -126,3 +126,12 @@ def test_long_secrets_and_printed_accounts():
         assert more(text, "account") == [], text
     for text in ("account " + "1 " * 200_000, "account 1" * 40_000, ("iban gb82" + " ab12" * 20) * 5_000):
         Scanner().spans(text)
+
+
+def test_account_numbers_of_any_length_are_kept_whole():
+    from ordermill.llm.pii import Scanner
+    scanner = Scanner()
+    for groups in (2, 4, 8, 9, 12, 500):
+        number = " ".join(["1234"] * groups)
+        text = f"account {number}."
+        assert (8, 8 + len(number), "account") in scanner.spans(text)
