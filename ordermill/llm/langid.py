@@ -11,6 +11,8 @@ table's. Only the trigram tables are fitted on a sample, of about
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
@@ -104,9 +106,35 @@ def host_of(url: Column) -> Column:
     return F.lower(F.nullif(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]+)", 1), F.lit("")))
 
 
+_OPEN = re.compile(r"<(?:(script)\b|(style)\b|!--)", re.A | re.I)
+_CLOSE = {kind: re.compile(pattern, re.A | re.I) for kind, pattern in
+          (("script", r"</script\s*>"), ("style", r"</style\s*>"), ("comment", "-->"))}
+_ENTITY = re.compile(r"&#?\w+;", re.A)
+
+
+def without_markup(html: str) -> str:
+    """A page's text: scripts, styles, comments, tags and entities become
+    blanks. What is never closed stays. One pass each, however broken."""
+    out, at, closed = [], 0, dict.fromkeys(_CLOSE, True)
+    for found in _OPEN.finditer(html):
+        kind = (found[1] or found[2] or "comment").lower()
+        if found.start() < at or not closed[kind]:
+            continue
+        end = _CLOSE[kind].search(html, found.end())
+        closed[kind] = end is not None                    # not closed here: nor from any later place
+        if end:
+            out += [html[at:found.start()], " "]
+            at = end.end()
+    html = "".join([*out, html[at:]])
+    out, at = [], 0
+    while (start := html.find("<", at)) >= 0 and (end := html.find(">", start)) >= 0:
+        out += [html[at:start], " "]
+        at = end + 1
+    return _ENTITY.sub(" ", "".join([*out, html[at:]]))
+
+
 def visible_text(html: Column) -> Column:
-    bare = F.regexp_replace(html, r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->", " ")
-    return F.regexp_replace(F.regexp_replace(bare, r"<[^>]*>", " "), r"&#?\w+;", " ")
+    return F.udf(lambda h: None if h is None else without_markup(h), "string", useArrow=True)(html)
 
 
 def _sums(rows: DataFrame, *keys: str, n: int) -> DataFrame:

@@ -122,3 +122,15 @@ def test_odd_rows(spark, model, make_docs):
     assert accepted_rows(make_docs([]), model).count() == 0
     pages = spark.createDataFrame([(1, None, None), (2, "u", "<p>")], "page_id long, url string, html string")
     assert [r.kept for r in identify(page_evidence(pages), model).collect()] == [False, False]
+
+
+def test_broken_markup_takes_linear_time():
+    import time
+    from ordermill.llm.langid import without_markup
+    began = time.process_time()
+    for html in ("<" * 1_000_000, "<!--" * 250_000, "<script>" * 125_000, "<style><!--<script>" * 50_000, "</script" * 125_000,
+                 "&" * 1_000_000, "&a" * 500_000):
+        without_markup(html)
+    assert time.process_time() - began < 5
+    page = "<p>a<SCRIPT x>b</script >c<!-- d --><style>e</style>&nbsp;f<br/><!-- g <b>h</b> < i"
+    assert without_markup(page).split() == ["a", "c", "f", "h", "<", "i"]
