@@ -23,7 +23,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import materialise, row_key, text_of
 
@@ -33,6 +33,7 @@ BLOCK_CHARS = 20_000_000
 ROW_CHARS = 64           # that an item counts for besides its text
 SLOTS = 16               # pieces of a block
 SALTS = 16
+PAIRS = 50_000           # hits of a document and an item that are listed; beyond, none are
 _WORDS = re.compile(r"\w+").findall
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -65,6 +66,62 @@ def tiles(t: np.ndarray, p: np.ndarray, n: int) -> list[tuple[int, int, int]]:
     return out
 
 
+def _prefix(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the first 0, 1, ... ids, and the powers of the base."""
+    power = np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(len(ids), _BASE))), dtype=np.uint64)
+    inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
+    back = np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(len(ids), inverse))), dtype=np.uint64)
+    # sum of id * base^-position, so that one cumulative sum gives every run's hash
+    return np.concatenate((np.zeros(1, np.uint64), np.cumsum(ids.astype(np.uint64) * back[1:], dtype=np.uint64))), power
+
+
+def tiles_by_length(doc: np.ndarray, item: np.ndarray, n: int) -> list[tuple[int, int, int]]:
+    """What :func:`tiles` gives, without a list of hits: the length of the
+    longest match is searched by halving, each length by one hash of every
+    unmarked run. Memory is that of the two texts, however often words repeat."""
+    sides = [(ids, *_prefix(ids), ids > 0) for ids in (doc, item)]
+    free = [known.copy() for *_, known in sides]
+
+    def runs(side: int, length: int) -> tuple[np.ndarray, np.ndarray]:
+        _, prefix, power, _ = sides[side]
+        taken = np.concatenate(([0], np.cumsum(~free[side])))
+        at = np.flatnonzero(taken[length:] == taken[:len(taken) - length])
+        return at, (prefix[at + length] - prefix[at]) * power[at + length]
+
+    def first(length: int) -> tuple[int, int] | None:
+        at, hashed = runs(0, length)
+        to, wanted = runs(1, length)
+        if not len(at) or not len(to):
+            return None
+        values, place = np.unique(hashed, return_index=True)
+        k = np.minimum(np.searchsorted(values, wanted), len(values) - 1)
+        for j in np.flatnonzero(values[k] == wanted).tolist():
+            t, p = int(at[place[k[j]]]), int(to[j])
+            if np.array_equal(doc[t:t + length], item[p:p + length]):
+                return t, p
+        return None
+
+    out, longest = [], min(len(doc), len(item))
+    while longest >= n:
+        hit = first(longest)
+        if hit is None:                                  # matches lie between n - 1 and longest
+            low, high = n - 1, longest
+            while high - low > 1:
+                middle = (low + high) // 2
+                got = first(middle)
+                if got:
+                    low, hit = middle, got
+                else:
+                    high = middle
+            longest = low
+        if hit is None:
+            break
+        out.append((*hit, longest))
+        for side, start in enumerate(hit):
+            free[side][start:start + longest] = False
+    return out
+
+
 class Block:
     """The seeds of a block of benchmark items."""
 
@@ -104,26 +161,39 @@ class Block:
             got = np.zeros(len(at), np.uint64)
             for k in range(n):
                 got = got * _BASE + ids[at + k].astype(np.uint64)
-            low, high = np.searchsorted(key, got, "left"), np.searchsorted(key, got, "right")
+            # each hash of the document once, so that what is listed here is bounded by the items' seeds
+            order = np.argsort(got, kind="stable")
+            at, got = at[order], got[order]
+            first = np.flatnonzero(np.concatenate(([True], got[1:] != got[:-1])))
+            often = np.diff(np.append(first, len(got)))
+            low, high = np.searchsorted(key, got[first], "left"), np.searchsorted(key, got[first], "right")
             counts = high - low
             if not counts.any():
                 continue
-            t = np.repeat(at, counts)
+            run = np.repeat(np.arange(len(first)), counts)
             seed = np.repeat(low - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
-            for i in np.unique(item[seed]).tolist():
+            order = np.argsort(item[seed], kind="stable")
+            run, seed = run[order], seed[order]
+            members, cuts = np.unique(item[seed], return_index=True)
+            for i, c, d in zip(members.tolist(), cuts.tolist(), [*cuts[1:].tolist(), len(seed)]):
                 item_id, target = self.items[i]
-                mine = item[seed] == i
-                a, b = t[mine], place[seed][mine]
-                same = np.ones(len(a), bool)
-                for k in range(n):
-                    same &= ids[a + k] == target[b + k]
+                place_in, runs = place[seed[c:d]], run[c:d]
                 # positions that seeds cover bound what tiles can cover
                 covered = np.zeros(len(target) + 1, np.int64)
-                np.add.at(covered, b[same], 1)
-                np.add.at(covered, b[same] + n, -1)
+                np.add.at(covered, place_in, 1)
+                np.add.at(covered, place_in + n, -1)
                 if (np.cumsum(covered[:-1]) > 0).sum() < coverage * len(target):
                     continue
-                found = tiles(a[same], b[same], n)
+                times = often[runs]
+                if times.sum() > PAIRS:
+                    found = tiles_by_length(ids, target, n)
+                else:
+                    b = np.repeat(place_in, times)
+                    a = at[np.repeat(first[runs] - np.cumsum(times) + times, times) + np.arange(times.sum())]
+                    same = np.ones(len(a), bool)
+                    for k in range(n):
+                        same &= ids[a + k] == target[b + k]
+                    found = tiles(a[same], b[same], n)
                 matched = sum(f[2] for f in found)
                 if matched >= coverage * len(target):
                     yield item_id, matched / len(target), matched, len(target), len(found)
@@ -167,10 +237,11 @@ def _blocks(texts: DataFrame, block_chars: int):
         yield [tuple(r) for r in texts.where(F.col("piece").between(first, last)).select(F.sha2("text", 256), "text").collect()]
 
 
-def _found(docs: DataFrame, benchmark: DataFrame, min_match: int, coverage: float, block_chars: int, named: bool) -> DataFrame:
+def _found(docs: DataFrame, benchmark: DataFrame, min_match: int, coverage: float, block_chars: int, named: bool,
+           key: Column | None = None) -> DataFrame:
     """The matches; those of a large benchmark name their items if ``named``."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       (F.col("row_key") if "row_key" in docs.columns else F.lit(0).cast("long")).alias("row_key"),
+                       (F.lit(0) if key is None else key).cast("long").alias("row_key"),
                        text_of("text").alias("text"))
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_of("text").alias("text"))
     total = items.agg(F.coalesce(F.sum(F.length("text") + ROW_CHARS), F.lit(0))).first()[0]
@@ -190,7 +261,7 @@ def _found(docs: DataFrame, benchmark: DataFrame, min_match: int, coverage: floa
 def contaminated(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH, coverage: float = COVERAGE,
                  block_chars: int = BLOCK_CHARS) -> DataFrame:
     """A row per document and benchmark item (``item_id``, ``text``) whose
-    words the document covers: doc_id, row_key (0 unless given), item_id,
+    words the document covers: doc_id, row_key (0), item_id,
     coverage, matched_words, item_words, n_tiles.
 
     Words are runs of ``\\w``, lower-cased. Null texts are empty; items without
@@ -205,7 +276,7 @@ def clean_rows(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH
     """The rows of ``docs``, in its own layout, that no item contaminates."""
     names = docs.columns
     key = row_key("doc_id", "text")
-    found = _found(docs.select("doc_id", "text", key.alias("row_key")), benchmark, min_match, coverage, block_chars, False)
+    found = _found(docs, benchmark, min_match, coverage, block_chars, False, key)
     found = found.select(F.col("doc_id").alias("_fid"), F.col("row_key").alias("_fkey")).distinct()
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col("doc_id").alias("_id"), key.alias("_key"))
     rows = rows.join(found, (F.col("_key") == F.col("_fkey")) & F.col("_id").eqNullSafe(F.col("_fid")), "left_anti")

@@ -93,3 +93,35 @@ def test_large_benchmarks_by_the_block(make_docs, spark):
     assert [r.doc_id for r in clean_rows(docs, bench, block_chars=chars).collect()] == [3]
     many = spark.range(5000).selectExpr("id AS item_id", "'' AS text")          # no characters, yet many rows
     assert len(list(_blocks(many, chars))) == 1 and contaminated(docs, many, block_chars=chars).count() == 0
+
+
+def test_tiles_are_the_same_however_they_are_found():
+    import numpy as np
+    from ordermill.llm import decontaminate as d
+    rng = random.Random(9)
+    for _ in range(300):
+        item = np.array([rng.randint(1, 3) for _ in range(rng.randrange(3, 30))])
+        doc = np.array([rng.randint(0, 3) for _ in range(rng.randrange(3, 60))])
+        hits = [(i, j) for i in range(len(doc) - 2) for j in range(len(item) - 2)
+                if doc[i:i + 3].all() and (doc[i:i + 3] == item[j:j + 3]).all()]
+        t, p = np.array([h[0] for h in hits], int), np.array([h[1] for h in hits], int)
+        assert d.tiles_by_length(doc, item, 3) == d.tiles(t, p, 3)
+
+
+def test_repeated_words_take_memory_of_the_texts_alone():
+    import tracemalloc
+    block = Block([(1, "word " * 3000)], 5)
+    tracemalloc.start()
+    found = list(block.matches("word " * 100_000 + "other " * 10, 0.5))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [f[:2] for f in found] == [(1, 1.0)]
+    assert peak < 500e6
+
+
+def test_a_column_of_the_tables_named_as_an_internal_one(make_docs, spark):
+    bench = spark.createDataFrame([(100, ITEM, "k")], "item_id long, text string, row_key string")
+    docs = make_docs([(1, ITEM), (2, "clean text of its own here")]).withColumn("row_key", F.lit("x"))
+    assert [r.doc_id for r in contaminated(docs, bench).collect()] == [1]
+    kept = clean_rows(docs, bench).collect()
+    assert [(r.doc_id, r.row_key) for r in kept] == [(2, "x")]
