@@ -87,12 +87,11 @@ def leaf_budgets(leaves: DataFrame, budget: Column | None, max_epochs: int, weig
 
 
 def select_mix(docs: DataFrame, weights: dict[str, dict[str, int]] | None = None, budget: int | None = None,
-               max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
-    """One row per chosen document and epoch: doc_id, row_key, domain, lang,
-    source, tokens, epoch (from 0), leaf_budget.
+               max_epochs: int = MAX_EPOCHS, seed: int = SEED, key: Column | None = None) -> DataFrame:
+    """One row per chosen document and epoch: doc_id, row_key (``key``, or 0),
+    domain, lang, source, tokens, epoch (from 0), leaf_budget.
 
-    ``docs``: doc_id, text, lang, source, and optionally row_key; others are
-    ignored. Null lang or source is a node of its own name ""; null and blank
+    ``docs``: doc_id, text, lang, source; others are ignored. Null lang or source is a node of its own name ""; null and blank
     texts have no tokens and come along with any epoch that reaches them. An
     epoch's order is the MD5 of seed, epoch and doc_id; the prefix ends before
     the first document that would exceed the budget. Its running sum is taken
@@ -101,7 +100,7 @@ def select_mix(docs: DataFrame, weights: dict[str, dict[str, int]] | None = None
     weights = {"domain": DOMAIN_WEIGHTS, "lang": LANG_WEIGHTS} if weights is None else weights
     source = F.coalesce(F.col("source").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       (F.col("row_key") if "row_key" in docs.columns else F.lit(0).cast("long")).alias("row_key"),
+                       (F.lit(0) if key is None else key).cast("long").alias("row_key"),
                        domain_of(source).alias("domain"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"),
                        source.alias("source"), words(text_of("text")).alias("tokens"))
     rows = materialise(rows, "mix_rows")
@@ -132,7 +131,7 @@ def mix_rows(docs: DataFrame, **options) -> DataFrame:
     """The chosen rows of ``docs`` in its own layout, once per epoch."""
     names = docs.columns
     key = row_key("doc_id", "text", "lang", "source")
-    chosen = select_mix(docs.select("doc_id", "text", "lang", "source", key.alias("row_key")), **options)
+    chosen = select_mix(docs, key=key, **options)
     # rows that repeat id and content are chosen together: each stands for its own epochs
     counts = chosen.groupBy("doc_id", "row_key").agg(F.countDistinct("epoch").alias("times"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col("doc_id").alias("_id"), key.alias("_key"))

@@ -18,7 +18,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import materialise, text_of
 from .graph import components
@@ -60,7 +60,7 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(ones * 2 > len(starts)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, key: Column | None = None) -> DataFrame:
     """(doc_id, row_key, fp) of each row; fp as a signed 64-bit integer."""
     def run(batches):
         for batch in batches:
@@ -71,8 +71,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
                 names=["doc_id", "row_key", "fp"])
 
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                        F.col("row_key") if "row_key" in docs.columns
-                        else F.lit(0).cast("long").alias("row_key"), text_of("text").alias("text"))
+                        (F.lit(0) if key is None else key).cast("long").alias("row_key"), text_of("text").alias("text"))
             .mapInArrow(run, "doc_id long, row_key long, fp long"))
 
 
@@ -176,8 +175,8 @@ def links(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFr
     return edges.unionByName(work.mapInArrow(_compare(radius), "a long, b long"))
 
 
-def simhash_components(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """One row per row of ``docs``: doc_id, row_key (0 unless given), fp, and
+def simhash_components(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, key: Column | None = None) -> DataFrame:
+    """One row per row of ``docs``: doc_id, row_key (``key``, or 0), fp, and
     component_id, the smallest doc_id reachable over fingerprints that differ
     in at most ``radius`` bits.
 
@@ -185,7 +184,7 @@ def simhash_components(docs: DataFrame, shingle: int = SHINGLE, radius: int = RA
     doc_id takes part but never names a component that has an id; repeated
     rows stay; an empty table gives no rows.
     """
-    prints = materialise(fingerprints(docs, shingle), "simhash_prints")
+    prints = materialise(fingerprints(docs, shingle, key), "simhash_prints")
     firsts = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash_firsts")
     roots = components(links(firsts.select("fp"), radius))
     rooted = (firsts.join(roots, F.col("fp") == F.col("node"), "left")

@@ -92,3 +92,12 @@ def test_rows_keep_the_layout_and_repeat_by_epoch(make_docs):
 def test_plan_is_native(spark, sf_dir):
     plan = op7_mixing(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_a_column_of_the_table_named_as_an_internal_one(make_docs):
+    from pyspark.sql import functions as F
+    from ordermill.llm.mixing import select_mix
+    docs = make_docs([(k, "some words here", "en", f"src{k}") for k in range(6)])
+    plain = sorted((r.doc_id, r.epoch) for r in select_mix(docs).collect())
+    other = docs.withColumn("row_key", F.lit("x")).withColumn("slice", F.lit("y"))
+    assert sorted((r.doc_id, r.epoch) for r in select_mix(other).collect()) == plain

@@ -98,3 +98,10 @@ def test_query_equals_brute_force(spark, sf_dir, corpus):
     want = sorted((d, f"{f:016x}", least[root[f]]) for d, f in fps.items())
     got = op4_simhash(spark, sf_dir)
     assert sorted((r.doc_id, r.fingerprint, r.component_id) for r in got.collect()) == want
+
+
+def test_a_column_of_the_table_named_as_an_internal_one(make_docs):
+    from pyspark.sql import functions as F
+    from ordermill.llm.simhash import simhash_components
+    docs = make_docs([(1, "one two three four"), (2, "one two three four")]).withColumn("row_key", F.lit("x")).withColumn("fp", F.lit("y"))
+    assert sorted((r.doc_id, r.component_id) for r in simhash_components(docs).collect()) == [(1, 1), (2, 1)]
