@@ -30,7 +30,7 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     that share it, the one with the smallest hash of id and text, once."""
     docs = docs.select(*DOCUMENT_COLUMNS)
     key = row_key("doc_id", "text")
-    found = simhash_components(docs.select("doc_id", "text", key.alias("row_key")))
+    found = simhash_components(docs, key=key)
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("first")
     kept = found.groupBy("component_id").agg(first).select("first.doc_id", "first.row_key")
     return keep_rows(docs, kept, ("doc_id", "text"), once=True)
