@@ -91,18 +91,9 @@ def write_block(doc_ids: list, ids: np.ndarray, lengths: list[int]) -> bytes:
     return _HEAD.pack(MAGIC, zlib.crc32(body), len(lengths), len(ids), len(words), len(escapes)) + body
 
 
-def count_ids(content: bytes, end: bytes = b"") -> int:
-    """Ids in a file, from its block headers alone."""
-    at = total = 0
-    while at < len(content) - len(end):
-        _magic, _crc, docs, n, n_words, n_escapes = _HEAD.unpack_from(content, at)
-        at += _HEAD.size + docs * 25 + n_escapes * 16 + n_words * 8
-        total += n
-    return total
-
-
-def read_blocks(content: bytes, end: bytes = b"") -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
-    """(doc_ids, lengths, ids) of each block of a file closed by ``end``."""
+def _bodies(content: bytes, end: bytes) -> Iterator[tuple]:
+    """Of each block, checked: doc_ids, has_id, lengths, offsets, positions and
+    values of escapes, words, and the number of ids."""
     view, at = memoryview(content), 0
     while at < len(view) - len(end):
         magic, crc, docs, n, n_words, n_escapes = _HEAD.unpack_from(view, at)
@@ -119,13 +110,36 @@ def read_blocks(content: bytes, end: bytes = b"") -> Iterator[tuple[list, np.nda
             out = np.frombuffer(body, kind, count, pos)
             pos += out.nbytes
             return out
-        doc_ids, has_id = take("<i8", docs), take("u1", docs)
-        lengths, _offsets = take("<u8", docs), take("<u8", docs)
-        where, values = take("<u8", n_escapes), take("<u8", n_escapes)
-        ids = unpack(take("<u8", n_words))
+        yield (take("<i8", docs), take("u1", docs), take("<u8", docs), take("<u8", docs),
+               take("<u8", n_escapes), take("<u8", n_escapes), take("<u8", n_words), n)
+    if view[at:] != end:
+        raise ValueError("the file is cut short")
+
+
+def read_blocks(content: bytes, end: bytes = b"") -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
+    """(doc_ids, lengths, ids) of each block of a file closed by ``end``; the
+    offsets must point at the words where the lengths have documents start."""
+    for doc_ids, has_id, lengths, offsets, where, values, words, n in _bodies(content, end):
+        ids = unpack(words)
         ids[where.astype(np.int64)] = values
-        if len(ids) != n:
+        counts = COUNTS[(words >> np.uint64(60)).astype(np.int64)]
+        first, some = np.cumsum(lengths) - lengths, lengths > 0
+        if len(ids) != n or int(lengths.sum()) != n or (offsets[some] >= len(words)).any() or (
+                (np.cumsum(counts) - counts)[offsets[some].astype(np.int64)] != first[some]).any():
             raise ValueError("damaged block")
         yield [d if h else None for d, h in zip(doc_ids.tolist(), has_id.tolist())], lengths, ids
-    if view[at:] != end:
-        raise ValueError("the file is cut short")
+
+
+def read_document(content: bytes, doc_id: int, end: bytes = b"") -> np.ndarray | None:
+    """The ids of a file's first document ``doc_id``: only its words are
+    decoded, found by its offset."""
+    for doc_ids, has_id, lengths, offsets, where, values, words, _ in _bodies(content, end):
+        for k in np.flatnonzero((doc_ids == doc_id) & (has_id > 0)).tolist()[:1]:
+            later = offsets[k + 1:][lengths[k + 1:] > 0]
+            stop = int(later[0]) if len(later) else len(words)
+            start, n = int(lengths[:k].sum()), int(lengths[k])
+            ids = unpack(words[int(offsets[k]):stop] if n else words[:0])
+            own = (where >= start) & (where < start + n)
+            ids[where[own].astype(np.int64) - start] = values[own]
+            return ids
+    return None

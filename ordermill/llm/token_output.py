@@ -5,28 +5,31 @@ from __future__ import annotations
 
 import os
 import re
+import string
 import unicodedata
 import zlib
-from array import array
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ordermill.session import shared_dir
 
 from .files import read_files, write_files
-from .simple8b import count_ids, read_blocks, write_block
-from .common import text_of
+from .simple8b import read_blocks, write_block
+from .common import materialise, text_of
 
 END_ID = 1
 TERMINATOR = "\n"
 BLOCK_IDS = 1 << 16
 FILE_BYTES = 8 << 20
-CACHE_WORDS = 500_000       # bounds a worker's cache at about 120 MB
+CACHE_WORDS = 300_000       # of each of a worker's two caches: about 140 MB together
+SLICE_CHARS = 6 << 20       # encoded at a time
 LATIN_END = 0x250           # letters below this code point
 JOINED_WORDS = 200          # distinct words encoded in one call
+MERGED_WORDS = 2000         # plain ones
 _ENCODERS: dict = {}
 
 
@@ -36,51 +39,67 @@ class Encoder:
     The tokenizer collapses white space and drops it before its merges, so the
     ids of a text are those of its parts between blanks, line feeds and tabs.
     A part that may hold an added token is encoded as it stands; only texts
-    wholly in ASCII are lower-cased here, where that is what the tokenizer's
+    of Latin letters are lower-cased here, where that is what the tokenizer's
     own steps do.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
-        from tokenizers.pre_tokenizers import ByteLevel
+        from tokenizers.pre_tokenizers import ByteLevel, WhitespaceSplit
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         special = [(t.content, i) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special]
         self.separator, self.separator_id = special[0] if special else (None, None)
-        self.marks = {m: np.array(self.tokenizer.encode(m, add_special_tokens=False).ids, "<u4").tobytes() for m in ".,"}
+        self.hooks = {a[:2] for a in self.added}
         # Lower-case Latin letters pass the tokenizer's normalizer unchanged and
-        # stay one piece, so such a word goes to the merges at once.
+        # stay one piece, so such words go to the merges at once; the last id of
+        # each ends a word.
         spell = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
-        letters = [c for c in map(chr, range(LATIN_END)) if c.isalpha() and c.lower() == c]
+        letters = [c for c in map(chr, range(LATIN_END)) if c.isalpha() and c.lower() == c == unicodedata.normalize("NFC", c)]
         self.spelling = {ord(c): spell(c)[0][0] for c in letters}
         self.latin = re.compile(f"[{''.join(letters)}]+").fullmatch
-        self.model = self.tokenizer.model
-        self.cache: dict[str, bytes] = {"": b""}
-
-    def words(self, text: str) -> list[str]:
-        if text.isascii() and not any(a[:2] in text for a in self.added):
+        self.beyond = re.compile(f"[^\\x00-{chr(LATIN_END - 1)}\u2010-\u2027]").search
+        suffix = self.tokenizer.model.end_of_word_suffix
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if suffix and t.endswith(suffix)]] = True
+        self.merges = Tokenizer(self.tokenizer.model)
+        self.merges.pre_tokenizer = WhitespaceSplit()
+        self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def plain(self, text: str) -> str:
+        """A text as blanks part its words, in lower case where that is what
+        the tokenizer's own steps make of it."""
+        if not any(h in text for h in self.hooks) and (text.isascii() or not self.beyond(text)):
             text = text.lower()
-        return text.replace("\n", " ").replace("\t", " ").split(" ")
+        return text.replace("\n", " ").replace("\t", " ")
 
-    def core(self, word: str) -> tuple[str, bytes]:
-        """A word without a full stop or comma that follows a letter at its
-        end, which the tokenizer splits off, and the ids of that mark."""
-        if word[-1] in self.marks and word[-2:-1].lower().isalpha():
-            return word[:-1], self.marks[word[-1]]
-        return word, b""
+    def core(self, word: str) -> tuple[str, str]:
+        """A word without the marks after its last letter, which the tokenizer
+        splits off as a piece of their own, and those marks."""
+        core = word.rstrip(string.punctuation)
+        if len(core) == len(word) or not core or not core[-1].lower()[-1].isalpha() or any(h in word for h in self.hooks):
+            return word, ""
+        return core, word[len(core):]
 
     def encode_words(self, words: list[str]) -> list[bytes]:
         """Ids of each word: plain words by the merges alone, others many a
         call, parted by an added token."""
-        got, rest = {}, []
-        for w in words:
-            if self.latin(w) and unicodedata.is_normalized("NFC", w):
-                got[w] = array("I", [t.id for t in self.model.tokenize(w.translate(self.spelling))]).tobytes()
-            else:
-                rest.append(w)
-        got |= self._by_calls(rest)
+        got = {}
+        plain = list(filter(self.latin, words)) if self.ends.any() else []
+        for k in range(0, len(plain), MERGED_WORDS):
+            some = plain[k:k + MERGED_WORDS]
+            ids = np.array(self.merges.encode_batch_fast([" ".join(some).translate(self.spelling)], add_special_tokens=False)[0].ids, "<u4")
+            cuts = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            if len(cuts) != len(some):
+                raise ValueError("a word has no end")
+            flat = ids.tobytes()
+            got.update(zip(some, [flat[a:b] for a, b in zip([0, *cuts], cuts)]))
+        if len(got) < len(words):
+            got |= self._by_calls([w for w in words if w not in got])
         return [got[w] for w in words]
 
     def _by_calls(self, words: list[str]) -> dict[str, bytes]:
@@ -105,19 +124,44 @@ class Encoder:
                 a = b + 4
         return got
 
+    def ids_of(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words: known ones from the two caches, of which the
+        older goes once the younger is full, so frequent words stay."""
+        cache, older = self.cache, self.older
+        got = [cache.get(w) or older.get(w) for w in words]
+        new = [w for w, ids in zip(words, got) if not ids]       # the empty word, too
+        if new:
+            cores = {w: self.core(w) for w in new}
+            parts = {c for both in cores.values() for c in both if c}
+            known = {c: ids for c in parts if (ids := cache.get(c) or older.get(c))}
+            missing = list(parts.difference(known))
+            known |= zip(missing, self.encode_words(missing))
+            known[""] = b""
+            fresh = {w: known[core] + known[tail] for w, (core, tail) in cores.items()}
+            cache.update((c, known[c]) for c in missing)
+            got = [ids or fresh[w] for w, ids in zip(words, got)]
+        if len(cache) + len(words) > CACHE_WORDS:
+            self.older, self.cache = cache, {}
+        self.cache.update(zip(words, got))
+        return got
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [self.words(t) for t in texts]
-        if len(self.cache) > CACHE_WORDS:
-            self.cache = {"": b""}
-        cache = self.cache
-        new = set().union(*split).difference(cache)
-        cores = {w: self.core(w) for w in new}
-        missing = list({core for core, _ in cores.values() if core not in cache})
-        for core, ids in zip(missing, self.encode_words(missing)):
-            cache[core] = ids
-        for word, (core, tail) in cores.items():
-            cache[word] = cache[core] + tail
-        return [np.frombuffer(b"".join(map(cache.__getitem__, words)), "<u4") for words in split]
+        ids, lengths = self.encode_all(texts)
+        return np.split(ids, np.cumsum(lengths)[:-1]) if texts else []
+
+    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and how many each text has. Words are
+        split and numbered as Arrow arrays; Python sees each distinct one."""
+        parts = pc.split_pattern(pa.array([self.plain(t) for t in texts], pa.large_string()), " ")
+        coded = parts.flatten().dictionary_encode()
+        ids = self.ids_of(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        pool, first = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(sizes) - sizes
+        word = coded.indices.to_numpy()
+        size = sizes[word]
+        ends = np.concatenate(([0], np.cumsum(size)))
+        at = np.repeat(first[word] - ends[:-1], size) + np.arange(ends[-1])
+        return pool[at], np.diff(ends[parts.offsets.to_numpy()])
 
 
 def _encoder(path: str) -> Encoder:
@@ -126,7 +170,7 @@ def _encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def _slices(doc_ids: list, texts: list, size: int = 4 << 20):
+def _slices(doc_ids: list, texts: list, size: int = SLICE_CHARS):
     """Runs of documents of about ``size`` characters."""
     at, held = 0, 0
     for k, text in enumerate(texts):
@@ -138,29 +182,29 @@ def _slices(doc_ids: list, texts: list, size: int = 4 << 20):
         yield doc_ids[at:], texts[at:]
 
 
-def _write(path: str):
-    end = np.array([END_ID], "<u4")
+def _blocks(doc_ids: list, ids: np.ndarray, lengths: np.ndarray):
+    """Blocks of whole documents, each with its end id, of about ``BLOCK_IDS`` ids."""
+    ids = np.insert(ids, np.cumsum(lengths), END_ID)
+    ends = np.cumsum(lengths + 1)
+    a = 0
+    while a < len(doc_ids):
+        before = int(ends[a - 1]) if a else 0
+        b = min(int(np.searchsorted(ends, before + BLOCK_IDS)) + 1, len(doc_ids))
+        yield write_block(doc_ids[a:b], ids[before:int(ends[b - 1])], lengths[a:b] + 1)
+        a = b
 
-    def run(batches):
-        encoder, done = _encoder(path), []
-        doc_ids, ids, n = [], [], 0
 
-        def block():
-            return write_block(doc_ids, np.concatenate(ids), [len(x) for x in ids])
+def _write(path: str):
+    def run(batches):
+        encoder, done, size = _encoder(path), [], 0
         for batch in batches:
-            for some_ids, texts in _slices(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for doc_id, got in zip(some_ids, encoder.encode(texts)):
-                    doc_ids.append(doc_id)
-                    ids.append(np.concatenate((got, end)))
-                    n += len(ids[-1])
-                    if n >= BLOCK_IDS:
-                        done.append(block())
-                        doc_ids, ids, n = [], [], 0
-                    if sum(map(len, done)) >= FILE_BYTES:
+            for doc_ids, texts in _slices(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                for block in _blocks(doc_ids, *encoder.encode_all(texts)):
+                    done.append(block)
+                    size += len(block)
+                    if size >= FILE_BYTES:
                         yield pa.RecordBatch.from_pydict({"file": pa.array([b"".join(done)], pa.binary())})
-                        done = []
-        if ids:
-            done.append(block())
+                        done, size = [], 0
         if done:
             yield pa.RecordBatch.from_pydict({"file": pa.array([b"".join(done)], pa.binary())})
 
@@ -199,19 +243,12 @@ def _read(batches):
                 at += len(ids)
 
 
-def _count(batches):
-    for batch in batches:
-        yield pa.RecordBatch.from_pylist(
-            [{"part": r["part"], "chunk": r["chunk"], "n": count_ids(r["content"], TERMINATOR.encode())}
-             for r in batch.to_pylist()], pa.schema([("part", pa.int64()), ("chunk", pa.int64()), ("n", pa.int64())]))
-
-
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 of every document in the files."""
-    stored = read_files(spark, path)
-    docs = stored.mapInArrow(
-        _read, "part long, chunk long, doc_id long, local long, n_tokens long, ids_crc32 long")
-    files = stored.mapInArrow(_count, "part long, chunk long, n long")           # a row per file
+    """doc_id, start, n_tokens, ids_crc32 of every document in the files, each
+    of which is read once."""
+    docs = materialise(read_files(spark, path).mapInArrow(
+        _read, "part long, chunk long, doc_id long, local long, n_tokens long, ids_crc32 long"), "token_rows")
+    files = docs.groupBy("part", "chunk").agg(F.max(F.col("local") + F.col("n_tokens")).alias("n"))      # a row per file
     before = Window.orderBy("part", "chunk").rowsBetween(Window.unboundedPreceding, -1)
     files = files.select("part", "chunk", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     return docs.join(files, ["part", "chunk"]).select(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ordermill.llm.queries import op5_token_output
-from ordermill.llm.simple8b import COUNTS, pack, read_blocks, unpack, write_block
+from ordermill.llm.simple8b import COUNTS, pack, read_blocks, read_document, unpack, write_block
 from ordermill.llm.token_output import Encoder, token_output
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -39,6 +39,15 @@ def test_words_are_full_and_offsets_point_at_documents():
         assert unpack(words[int(first[k]):end]).tolist() == ids[a:a + n].tolist()
 
 
+def test_one_document_is_read_by_its_offset():
+    docs = [[1] * 300, [], [2 ** 63, 5, 2 ** 61], [7], []]
+    content = write_block([4, 5, 6, None, 8], np.array([x for d in docs for x in d], np.uint64), [len(d) for d in docs])
+    content += write_block([9], np.array([3, 2 ** 64 - 1], np.uint64), [2]) + b"\n"
+    for doc_id, want in zip((4, 5, 6, 8, 9), (docs[0], docs[1], docs[2], docs[4], [3, 2 ** 64 - 1])):
+        assert read_document(content, doc_id, b"\n").tolist() == want
+    assert read_document(content, 0, b"\n") is None
+
+
 def test_damage_is_found():
     content = write_block([1], np.array([1, 2, 3], np.uint64), [3])
     for bad in (content[:-1], content[:-1] + b"\xff", b"X" + content[1:], content + b"x"):
