@@ -25,7 +25,7 @@ END_ID = 1
 TERMINATOR = "\n"
 BLOCK_IDS = 1 << 16
 FILE_BYTES = 8 << 20
-CACHE_WORDS = 300_000       # of each of a worker's two caches: about 140 MB together
+CACHE_WORDS = 400_000       # of each of a worker's two caches: about 140 MB together
 SLICE_CHARS = 6 << 20       # encoded at a time
 LATIN_END = 0x250           # letters below this code point
 JOINED_WORDS = 200          # distinct words encoded in one call
@@ -81,9 +81,9 @@ class Encoder:
         """A word without the marks after its last letter, which the tokenizer
         splits off as a piece of their own, and those marks."""
         core = word.rstrip(string.punctuation)
-        if len(core) == len(word) or not core or not core[-1].lower()[-1].isalpha() or any(h in word for h in self.hooks):
-            return word, ""
-        return core, word[len(core):]
+        if len(core) < len(word) and core and core[-1].lower()[-1].isalpha() and not any(h in word for h in self.hooks):
+            return core, word[len(core):]
+        return word, ""
 
     def encode_words(self, words: list[str]) -> list[bytes]:
         """Ids of each word: plain words by the merges alone, others many a
@@ -132,13 +132,16 @@ class Encoder:
         new = [w for w, ids in zip(words, got) if not ids]       # the empty word, too
         if new:
             cores = {w: self.core(w) for w in new}
-            parts = {c for both in cores.values() for c in both if c}
+            parts = set(new).difference([""])
+            for word, (core, tail) in cores.items():
+                if tail:
+                    parts.discard(word)
+                    parts.update((core, tail))
             known = {c: ids for c in parts if (ids := cache.get(c) or older.get(c))}
             missing = list(parts.difference(known))
             known |= zip(missing, self.encode_words(missing))
             known[""] = b""
-            fresh = {w: known[core] + known[tail] for w, (core, tail) in cores.items()}
-            cache.update((c, known[c]) for c in missing)
+            fresh = {w: known[core] + known[tail] if tail else known[core] for w, (core, tail) in cores.items()}
             got = [ids or fresh[w] for w, ids in zip(words, got)]
         if len(cache) + len(words) > CACHE_WORDS:
             self.older, self.cache = cache, {}
