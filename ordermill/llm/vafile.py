@@ -182,31 +182,33 @@ def _flags(batch: pa.RecordBatch, name: str, k: int) -> np.ndarray:
 
 
 def _settle(dimensions: int, centroids: np.ndarray):
-    """Fetched rows with their cluster, and, as rows without a number, the
-    count and sums by which each cluster changes."""
+    """Fetched rows with their cluster, and last, as rows without a number, the
+    count and sums by which a task's rows change each cluster."""
     k = len(centroids)
+    names = ["row", "cells", "cluster", "n", "sums"]
 
     def run(batches):
+        sums, counts, touched = np.zeros((k, dimensions), np.int64), np.zeros(k, np.int64), np.zeros(k, bool)
         for batch in batches:
             if not batch.num_rows:
                 continue
             v = matrix(batch.column("v"), dimensions)
             cluster, _ = nearest(v, centroids, _flags(batch, "flags", k))
             old = batch.column("old").to_numpy()
-            sums, counts = np.zeros((k, dimensions), np.int64), np.zeros(k, np.int64)
             moved = old != cluster
             for sign, at in ((1, cluster[moved]), (-1, old[moved])):
                 known = at >= 0
                 np.add.at(sums, at[known], sign * v[moved][known])
                 np.add.at(counts, at[known], sign)
-            none = pa.nulls(k, pa.int64())
+                touched[at[known]] = True
+            n = batch.num_rows
             yield pa.RecordBatch.from_arrays(
-                [pa.concat_arrays([batch.column("row"), none]),
-                 pa.concat_arrays([batch.column("cells"), pa.nulls(k, pa.binary())]),
-                 pa.array(np.concatenate((cluster, np.arange(k)))),
-                 pa.array([None] * len(v) + counts.tolist(), pa.int64()),
-                 pa.array([None] * len(v) + sums.tolist(), pa.list_(pa.int64()))],
-                names=["row", "cells", "cluster", "n", "sums"])
+                [batch.column("row"), batch.column("cells"), pa.array(cluster), pa.nulls(n, pa.int64()),
+                 pa.nulls(n, pa.list_(pa.int64()))], names=names)
+        at = np.flatnonzero(touched)
+        yield pa.RecordBatch.from_arrays(
+            [pa.nulls(len(at), pa.int64()), pa.nulls(len(at), pa.binary()), pa.array(at), pa.array(counts[at]),
+             pa.array(sums[at].tolist(), pa.list_(pa.int64()))], names=names)
     return run
 
 
@@ -262,12 +264,10 @@ def cluster_vectors(vectors: DataFrame, clusters: int = CLUSTERS, rounds: int =
         settled = materialise(fetched.select("row", "cells", "old", "flags", "v").mapInArrow(
             _settle(dimensions, centroids), f"{_STATE}, n long, sums array<long>"), "settled")
         changes = settled.where("row IS NULL")
-        # a row per cluster, or per cluster and dimension
-        for c, n in changes.groupBy("cluster").agg(F.sum(F.col("n").cast("decimal(38,0)"))).collect():
+        exact = [F.sum(c.cast("decimal(38,0)")) for c in (F.col("n"), *[F.col("sums")[d] for d in range(dimensions)])]
+        for c, n, *by in changes.groupBy("cluster").agg(*exact).collect():          # a row per cluster
             counts[c] += int(n)
-        for c, d, s in changes.select("cluster", F.posexplode("sums").alias("d", "s")).groupBy("cluster", "d").agg(
-                F.sum(F.col("s").cast("decimal(38,0)"))).collect():
-            sums[c, d] += int(s)
+            sums[c] += [int(x) for x in by]
         centroids = np.array([[int(s) // int(counts[c]) for s in sums[c]] if counts[c] else centroids[c].tolist()
                               for c in range(k)], np.int64)
         state = seen.where(stays).select("row", "cells", "cluster").unionByName(
