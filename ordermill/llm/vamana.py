@@ -272,6 +272,13 @@ _SHARDS = ("dimension int, shard long, radius double, starts binary, edges binar
            "ids binary, held binary")
 
 
+def _spread(df: DataFrame, units: int, *keys: str) -> DataFrame:
+    """``df`` dealt by ``keys`` over a fixed number of tasks: a shard takes
+    long for its bytes, so few bytes must not be put together in one task."""
+    most = max(4096, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(max(1, min(2 * units, most)), *keys)
+
+
 def build_index(vectors: DataFrame, neighbours: int = NEIGHBOURS, shard_rows: int = SHARD_ROWS, degree: int = DEGREE,
                 beam: int = BEAM, alpha: float = ALPHA) -> DataFrame:
     """A row per shard with its vectors and graph. ``vectors``: (vec_id, v).
@@ -284,10 +291,11 @@ def build_index(vectors: DataFrame, neighbours: int = NEIGHBOURS, shard_rows: in
     nodes = materialise(some.groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
                         .withColumn("dimension", F.size("v")), "ann_nodes")
     sizes = nodes.groupBy("dimension").agg(F.ceil(F.count(F.lit(1)) / shard_rows).alias("shards"))
+    units = sizes.agg(F.coalesce(F.sum("shards"), F.lit(0))).first()[0]
     nodes = nodes.join(sizes, "dimension").select(
         "dimension", F.pmod(F.xxhash64("v"), F.col("shards")).alias("shard"), "v", "ids",
         F.xxhash64("v", F.lit(1)).alias("order"), F.col("ids")[0].alias("first"))
-    shards = nodes.groupBy("dimension", "shard").applyInArrow(_build_shard(degree, beam, alpha), _SHARDS)
+    shards = _spread(nodes, units, "dimension", "shard").groupBy("dimension", "shard").applyInArrow(_build_shard(degree, beam, alpha), _SHARDS)
     return materialise(shards, "ann_shards")
 
 
@@ -347,6 +355,8 @@ def search_index(index: DataFrame, queries: DataFrame, neighbours: int = NEIGHBO
     graphs = (index.join(number, ["dimension", "shard"]).join(blocks, "dimension").withColumn("block", every(F.col("blocks")))
               .withColumn("shard", F.col("place").cast("long")).select("dimension", "shard", "block", *_SHARD_COLUMNS))
     keys = ["dimension", "shard", "block"]
+    units = shards.join(blocks, "dimension").agg(F.coalesce(F.sum(F.col("shards") * F.col("blocks")), F.lit(0))).first()[0]
+    graphs, asked = _spread(graphs, units, *keys), _spread(asked, units, *keys)
     found = graphs.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(
         _search_shard(neighbours, beam), "query_id long, vec_id long, score double, query long")
     best = Window.partitionBy("query").orderBy("score", "vec_id")
