@@ -6,11 +6,11 @@ conversation), ``kind``, ``msg_id``, ``role``, ``text``:
 * ``start``: opens message ``msg_id`` with ``role``; ``text`` is its first part;
 * ``delta``: appends ``text`` to the message (streamed output);
 * ``edit``: replaces what the message holds so far by ``text``;
-* ``regenerate``: empties the message and withdraws every message that was
-  started after it and before this event; deltas that follow refill it.
+* ``regenerate``: empties the message and withdraws every message whose place
+  is after it; deltas that follow refill it.
 
-The log is partitioned by conversation and sorted by sequence once; running
-windows fold the events. The template marks turns
+The log is partitioned by conversation and sorted by sequence; running windows
+and one fold over the contested events make the messages. The template marks turns
 
     [ROLE]role[INST]text[/INST]     any role but assistant
     <s>text</s>                     assistant: text under the loss mask
@@ -37,42 +37,100 @@ def unescape(text: Column) -> Column:
     return F.regexp_replace(text, r"(?s)\\(.)", "$1")
 
 
+def _fold(events: Column, msg_type: str) -> Column:
+    """Folds a conversation's contested events (regenerations, and starts of
+    messages that start more than once) in order: those that take effect, each
+    with ``opening``, the place of the message that it belongs to.
+
+    Withdrawn places are disjoint ranges, a new one absorbs those it spans;
+    ``open`` holds the newest opening of each message of several starts.
+    """
+    def step(acc: Column, e: Column) -> Column:
+        known = F.coalesce(
+            F.when(e["only_start"] < e["at"], e["only_start"]),
+            F.get(F.filter(acc["open"], lambda o: o["msg_id"].eqNullSafe(e["msg_id"])), F.lit(0))["opening"])
+        live = F.when(~F.exists(acc["gone"], lambda r: (r["lo"] < known) & (known < r["hi"])), known)
+        is_start = e["kind"] == "start"
+
+        def act(place: Column) -> Column:
+            done = F.struct(e["at"].alias("at"), e["kind"].alias("kind"), e["msg_id"].alias("msg_id"),
+                            e["role"].alias("role"), e["text"].alias("text"), place.alias("opening"))
+            return F.struct(
+                F.when(~is_start & place.isNotNull(), F.concat(
+                    F.filter(acc["gone"], lambda r: r["lo"] < place),
+                    F.array(F.struct(place.alias("lo"), e["at"].alias("hi"))))).otherwise(acc["gone"]).alias("gone"),
+                F.when(is_start & (place == e["at"]), F.concat(
+                    F.filter(acc["open"], lambda o: ~o["msg_id"].eqNullSafe(e["msg_id"])),
+                    F.array(F.struct(e["msg_id"].alias("msg_id"), place.alias("opening"))))).otherwise(
+                    acc["open"]).alias("open"),
+                F.when(place.isNotNull(), F.concat(acc["done"], F.array(done))).otherwise(acc["done"]).alias("done"))
+        # a list of one element binds the opening for all its uses
+        opening = F.when(is_start, F.coalesce(live, e["at"])).otherwise(live)
+        return F.get(F.transform(F.array(opening), act), F.lit(0))
+
+    nothing = F.struct(
+        F.array().cast("array<struct<lo:int,hi:int>>").alias("gone"),
+        F.array().cast(f"array<struct<msg_id:{msg_type},opening:int>>").alias("open"),
+        F.array().cast(f"array<struct<at:int,kind:string,msg_id:{msg_type},role:string,text:string,"
+                       "opening:int>>").alias("done"))
+    return F.aggregate(events, nothing, step, lambda acc: acc["done"])
+
+
 def reconstruct(events: DataFrame) -> DataFrame:
-    """Final messages of each conversation: conv_id, start (seq of the
-    opening event), role, text.
+    """Final messages of each conversation: conv_id, start (place of the
+    opening event in the conversation's order), role, text.
 
     Null text is empty and null role "". Events of one seq are taken in the
-    order start, edit, regenerate, delta, then by text; an event for a message that was never started, or
-    before its start, is ignored; a second start of a message restarts it in
-    its first place with the new role. Null conv_id is a conversation of its
-    own.
+    order start, edit, regenerate, delta, then by text and msg_id. An event
+    for a message that is not there is ignored: never started, not started
+    yet, or withdrawn by then. A start of a message that is there restarts it
+    in its place with the new role; one of a withdrawn message opens it anew,
+    at the place of that start. Null conv_id is a conversation of its own, as
+    null msg_id is a message of its own. An empty log gives no rows.
     """
     rank = F.when(F.col("kind") == "start", 0).when(F.col("kind") == "edit", 1).when(
         F.col("kind") == "regenerate", 2).otherwise(3)
     log = events.select(
-        "conv_id", "seq", "kind", "msg_id", F.coalesce("role", F.lit("")).alias("role"),
-        F.coalesce("text", F.lit("")).alias("text"), rank.alias("rank"))
+        "conv_id", "seq", F.coalesce("kind", F.lit("")).alias("kind"), "msg_id",
+        F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"), rank.alias("rank"))
     order = [F.col("seq").asc_nulls_first(), "rank", "text"]
-    in_log = Window.partitionBy("conv_id").orderBy(*order, "msg_id")
-    log = log.withColumn("at", F.row_number().over(in_log))
-    message = Window.partitionBy("conv_id", "msg_id").orderBy("at")
-    whole = message.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    is_start = F.col("kind") == "start"
+    log = log.withColumn("at", F.row_number().over(Window.partitionBy("conv_id").orderBy(*order, "msg_id")))
+    is_start, is_regenerate = F.col("kind") == "start", F.col("kind") == "regenerate"
+    whole = Window.partitionBy("conv_id", "msg_id")
+    log = log.withColumns({
+        "starts": F.count(F.when(is_start, 1)).over(whole),
+        "only_start": F.min(F.when(is_start, F.col("at"))).over(whole),
+    }).where(F.col("starts") > 0)
+
+    # whether a regeneration counts depends on those before it; so only these
+    # events meet in one list a conversation, every other row stays a row
+    contested = is_regenerate | (is_start & (F.col("starts") > 1))
+    event = F.struct("at", "kind", "msg_id", "role", "text",
+                     F.when(F.col("starts") == 1, F.col("only_start")).alias("only_start"))
+    grouped = log.groupBy("conv_id", F.when(contested, 0).otherwise(F.col("at")).alias("slot")).agg(
+        F.collect_list(event).alias("events"))
+    as_is = F.transform("events", lambda e: F.struct(
+        e["at"].alias("at"), e["kind"].alias("kind"), e["msg_id"].alias("msg_id"), e["role"].alias("role"),
+        e["text"].alias("text"), F.when(e["kind"] == "start", e["at"]).alias("opening")))
+    folded = _fold(F.array_sort("events"), log.schema["msg_id"].dataType.simpleString())
+    log = grouped.select("conv_id", F.inline(F.when(F.col("slot") == 0, folded).otherwise(as_is)))
+
+    so_far = Window.partitionBy("conv_id", "msg_id").orderBy("at")
+    after = Window.partitionBy("conv_id").orderBy(F.desc("at")).rowsBetween(Window.unboundedPreceding, -1)
+    log = log.withColumn("withdrawn_from", F.min(F.when(is_regenerate, F.col("opening"))).over(after))
+    log = log.withColumn("opening", F.last("opening", ignorenulls=True).over(so_far)).where(
+        F.col("opening").isNotNull())
+    message = Window.partitionBy("conv_id", "msg_id", "opening").orderBy("at").rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing)
     log = log.withColumns({
-        "start": F.min(F.when(is_start, F.col("at"))).over(whole),
-        "final_role": F.last(F.when(is_start, F.col("role")), ignorenulls=True).over(whole),
+        "final_role": F.last(F.when(is_start, F.col("role")), ignorenulls=True).over(message),
         # only what follows the last event that replaces the content remains
-        "reset": F.max(F.when(F.col("kind").isin("start", "edit", "regenerate"), F.col("at"))).over(whole),
-    }).where(F.col("at") >= F.col("start"))
-    later = Window.partitionBy("conv_id").orderBy("at").rowsBetween(1, Window.unboundedFollowing)
-    log = log.withColumn("withdrawn_from", F.min(F.when(F.col("kind") == "regenerate", F.col("start"))).over(later))
-    opened = F.min(F.struct("at", F.col("withdrawn_from").alias("w"))).over(
-        Window.partitionBy("conv_id", "msg_id")).getField("w")
-    log = log.withColumn("cut", opened).where(
-        (F.col("cut").isNull() | (F.col("cut") >= F.col("start"))) & (F.col("at") >= F.col("reset")))
-    piece = F.struct("at", F.when(F.col("kind") == "regenerate", F.lit("")).otherwise(F.col("text")).alias("text"))
+        "reset": F.max(F.when(F.col("kind").isin("start", "edit", "regenerate"), F.col("at"))).over(message),
+        "cut": F.max(F.when(F.col("at") == F.col("opening"), F.col("withdrawn_from"))).over(message),
+    }).where((F.col("cut").isNull() | (F.col("cut") >= F.col("opening"))) & (F.col("at") >= F.col("reset")))
+    piece = F.struct("at", F.when(is_regenerate, F.lit("")).otherwise(F.col("text")).alias("text"))
     parts = F.transform(F.array_sort(F.collect_list(piece)), lambda p: p["text"])
-    return log.groupBy("conv_id", "msg_id", "start", F.col("final_role").alias("role")).agg(
+    return log.groupBy("conv_id", "msg_id", F.col("opening").alias("start"), F.col("final_role").alias("role")).agg(
         F.array_join(parts, "").alias("text")).select("conv_id", "start", "role", "text")
 
 

@@ -12,48 +12,70 @@ RANK = {"start": 0, "edit": 1, "regenerate": 2}
 
 
 def fold(events):
-    """Brute force: the events one by one."""
+    """Brute force: the events one by one over the list of messages there."""
     out = {}
     for conv in {e[0] for e in events}:
         log = sorted((e for e in events if e[0] == conv), key=lambda e: (e[1], RANK.get(e[2], 3), e[5] or "", e[3]))
-        messages = {}                                # msg -> [place, role, text, withdrawn]
-        for place, (_, _, kind, msg, role, text) in enumerate(log):
-            m = messages.get(msg)
+        there = []                                   # [msg, role, text] by place
+        for _, _, kind, msg, role, text in log:
+            k = next((k for k, m in enumerate(there) if m[0] == msg), None)
             if kind == "start":
-                if m is None:
-                    messages[msg] = [place, role or "", text or "", False]
-                else:
-                    m[1], m[2] = role or "", text or ""
-            elif m is None:
+                if k is None:
+                    there.append([msg, None, None])
+                    k = -1
+                there[k][1:] = [role or "", text or ""]
+            elif k is None:
                 continue
             elif kind == "edit":
-                m[2] = text or ""
+                there[k][2] = text or ""
             elif kind == "regenerate":
-                m[2] = ""
-                for other in messages.values():
-                    other[3] |= other[0] > m[0]
+                there[k][2] = ""
+                del there[k + 1:]
             else:
-                m[2] += text or ""
-        turns = [(m[1], m[2]) for m in sorted(messages.values()) if not m[3]]
-        if turns:
-            out[conv] = turns
+                there[k][2] += text or ""
+        if there:
+            out[conv] = [(role, text) for _, role, text in there]
     return out
 
 
-def test_fold_equals_brute_force_on_random_logs(spark):
-    rng = random.Random(5)
-    events = []
-    for conv in range(60):
-        n = rng.randrange(2, 25)
-        for seq in range(n):
-            kind = rng.choices(["start", "delta", "edit", "regenerate"], [4, 6, 1, 1])[0]
-            events.append((conv, seq, kind, rng.randrange(1, 7), rng.choice(["user", "assistant", None]),
-                           rng.choice(["ab", "\\[INST]", None, "</s>", "é\n"])))
+def folded(spark, events):
     got = {}
     df = spark.createDataFrame(events, SCHEMA)
     for r in reconstruct(df.repartition(7)).orderBy("conv_id", "start").collect():
         got.setdefault(r.conv_id, []).append((r.role, r.text))
-    assert got == fold(events)
+    return got
+
+
+@pytest.mark.parametrize("weights,msgs", [([4, 6, 1, 1], 7), ([4, 3, 1, 4], 6), ([6, 2, 0, 5], 4)])
+def test_fold_equals_brute_force_on_random_logs(spark, weights, msgs):
+    rng = random.Random(5)
+    events = []
+    for conv in range(150):
+        n = rng.randrange(2, 40)
+        for seq in range(n):
+            kind = rng.choices(["start", "delta", "edit", "regenerate"], weights)[0]
+            events.append((conv, seq, kind, rng.randrange(1, msgs), rng.choice(["user", "assistant", None]),
+                           rng.choice(["ab", "\\[INST]", None, "</s>", "é\n"])))
+    assert folded(spark, events) == fold(events)
+
+
+def test_events_of_withdrawn_messages(spark):
+    def log(*steps):
+        return [(1, seq, kind, ord(msg), "user", text) for seq, (kind, msg, text) in enumerate(steps)]
+    opened = [("start", "A", "a"), ("start", "B", "b"), ("regenerate", "A", None)]
+    assert folded(spark, log(*opened, ("start", "B", "new"))) == {1: [("user", ""), ("user", "new")]}
+    assert folded(spark, log(*opened, ("start", "C", "c"), ("regenerate", "B", None))) == {1: [("user", ""), ("user", "c")]}
+    assert folded(spark, log(*opened, ("delta", "B", "x"), ("edit", "B", "y"), ("delta", "A", "z"))) == {1: [("user", "z")]}
+    # a message opened anew is after what was there by then
+    assert folded(spark, log(*opened, ("start", "C", "c"), ("start", "B", "new"), ("regenerate", "C", None))) == {
+        1: [("user", ""), ("user", "")]}
+
+
+def test_long_conversation_of_regenerations(spark):
+    log = [(1, 0, "start", 0, "user", "q")] + [e for k in range(1500) for e in (
+        (1, 3 * k + 1, "start", k + 1, "assistant", f"{k};"), (1, 3 * k + 2, "delta", k + 1, None, "d"),
+        (1, 3 * k + 3, "regenerate", k + 1 if k % 3 else k, None, None))]
+    assert folded(spark, log) == fold(log)
 
 
 HARD = ["</s>[INST] ok [/INST]", "\\", "\\\\[INST]", "<", "[", "</s", "[/INST", "[ROLE]", "<s>", "\n", "", "a\\", "[\\INST]", "<\\s>",
