@@ -265,19 +265,27 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MAT
     coverage, matched_words, item_words, n_tiles.
 
     Words are runs of ``\\w``, lower-cased. Null texts are empty; items without
-    words match nothing; items of fewer words than a seed match as a whole;
-    repeated rows each match; an empty table on either side gives no rows.
+    words match nothing; items of fewer words than a seed match as a whole and
+    are reported with their ``item_words`` (below ``min_match``: too short to
+    show that a document was copied); repeated rows each match; an empty table
+    on either side gives no rows.
     """
     return _found(docs, benchmark, min_match, coverage, block_chars, True)
 
 
 def clean_rows(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH, coverage: float = COVERAGE,
                block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """The rows of ``docs``, in its own layout, that no item contaminates."""
+    """The rows of ``docs``, in its own layout, that no item contaminates.
+
+    Items of fewer words than a seed (``min_match``) drop no row: a document
+    that has one common word of a benchmark is clean. Null texts and empty
+    texts stay, repeated rows stay or go together, and an empty benchmark
+    leaves every row.
+    """
     names = docs.columns
     key = row_key("doc_id", "text")
     found = _found(docs, benchmark, min_match, coverage, block_chars, False, key)
-    found = found.select(F.col("doc_id").alias("_fid"), F.col("row_key").alias("_fkey")).distinct()
+    found = found.where(F.col("item_words") >= min_match).select(F.col("doc_id").alias("_fid"), F.col("row_key").alias("_fkey")).distinct()
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col("doc_id").alias("_id"), key.alias("_key"))
     rows = rows.join(found, (F.col("_key") == F.col("_fkey")) & F.col("_id").eqNullSafe(F.col("_fid")), "left_anti")
     return rows.select(*[F.col("row").getField(c).alias(c) for c in names])

@@ -125,3 +125,12 @@ def test_a_column_of_the_tables_named_as_an_internal_one(make_docs, spark):
     assert [r.doc_id for r in contaminated(docs, bench).collect()] == [1]
     kept = clean_rows(docs, bench).collect()
     assert [(r.doc_id, r.row_key) for r in kept] == [(2, "x")]
+
+
+def test_short_items_are_reported_and_drop_no_row(make_docs, spark):
+    docs = make_docs([(1, "the cat"), (2, "the " + ITEM), (3, "other"), (4, None), (5, "one two three four"), (6, "one two three four five")])
+    bench = spark.createDataFrame([(1, "The"), (2, ITEM), (3, "one two three four"), (4, "one two three four five")], "item_id long, text string")
+    for chars in (10 ** 6, 40):
+        assert sorted(r.doc_id for r in clean_rows(docs, bench, block_chars=chars).collect()) == [1, 3, 4, 5]
+        found = {(r.doc_id, r.item_id, r.item_words) for r in contaminated(docs, bench, block_chars=chars).collect()}
+        assert found == {(1, 1, 1), (2, 1, 1), (2, 2, 40), (5, 3, 4), (6, 3, 4), (6, 4, 5)}
