@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ordermill.functions import money as fm
 from ordermill.functions import time as tf
-from ordermill.operators import marts, quality, realtime
+from ordermill.operators import distinct_bitmaps, marts, quality, realtime
 from ordermill.operators.unified import unified_orders as _unified
 from ordermill.plans import refresh
 from ordermill.plans.daily import NOT_NULL_TESTS, UNIQUE_TESTS
@@ -303,6 +303,37 @@ def kpi_last_hour(spark: SparkSession, sf: str) -> DataFrame:
     return realtime.kpi_last_hour(o, as_of)
 
 
+def _seller_bitmaps(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(orders, seller numbers, hourly bitmaps), kept up in two batches: the
+    second numbers the sellers that are new and merges its hours."""
+    orders = fx.raw_orders_stream(spark, sf)
+    late = F.coalesce(F.pmod(F.xxhash64("order_id"), F.lit(3)) == 1, F.lit(False))
+    numbers = hourly = None
+    for batch in (orders.where(~late), orders.where(late)):
+        root = shared_dir(spark, "seller_bitmaps")
+        distinct_bitmaps.number_ids(batch, "seller_id", numbers).write.parquet(os.path.join(root, "numbers"))
+        numbers = spark.read.parquet(os.path.join(root, "numbers"))
+        found = distinct_bitmaps.hourly_bitmaps(batch, "seller_id", numbers)
+        (found if hourly is None else distinct_bitmaps.merge(hourly, found)).write.parquet(os.path.join(root, "hours"))
+        hourly = spark.read.parquet(os.path.join(root, "hours"))
+    return orders, numbers, hourly
+
+
+def trailing_sellers(spark: SparkSession, sf: str) -> DataFrame:
+    _, _, hourly = _seller_bitmaps(spark, sf)
+    return distinct_bitmaps.trailing_days(hourly, 7).select(
+        "day", F.col("ids").alias("sellers_count"), F.col("trailing_ids").alias("week_sellers_count"))
+
+
+def kpi_sellers(spark: SparkSession, sf: str) -> DataFrame:
+    orders, numbers, hourly = _seller_bitmaps(spark, sf)
+    as_of = tf.resolve_as_of(realtime.newest_order_time(orders))
+    counts = [distinct_bitmaps.ids_since(orders, hourly, "seller_id", numbers, as_of - tf.interval(n, unit),
+                                         "sellers_count").select(F.lit(f"{n} {unit}").alias("period"), "sellers_count")
+              for n, unit in ((1, "hour"), (1, "day"), (7, "day"), (90, "day"))]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2]).unionByName(counts[3])
+
+
 def hourly_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return realtime.hourly_metrics(fx.raw_orders_stream(spark, sf))
 
@@ -436,6 +467,8 @@ QUERIES: dict[str, Query] = {
     "csv_quoted_lines_good": csv_quoted_lines_good,
     "csv_quoted_lines_rejects": csv_quoted_lines_rejects,
     "kpi_last_hour": kpi_last_hour,
+    "kpi_sellers": kpi_sellers,
+    "trailing_sellers": trailing_sellers,
     "hourly_metrics": hourly_metrics,
     "top_sellers_hour": _top("hour"),
     "top_sellers_today": _top("today"),
