@@ -13,7 +13,9 @@ from __future__ import annotations
 import logging
 import os
 from collections.abc import Container, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +26,8 @@ from ordermill.sources.schemas import LANDING_TABLE, MULTI_LINE_FILES, RAW_FILES
 
 log = logging.getLogger(__name__)
 
+AT_ONCE = 4      # files loaded side by side
+
 REPORT_SCHEMA = T.StructType([
     T.StructField("file_name", T.StringType()), T.StructField("table_name", T.StringType()),
     T.StructField("rows_loaded", T.LongType()), T.StructField("rows_rejected", T.LongType())])
@@ -71,7 +75,7 @@ def save(df: DataFrame, target: str, mode: str = "overwrite", kind: str = "table
 
 def load_files(spark: SparkSession, directory: str, target_root: str, quarantine_root: str,
                files: Mapping[str, tuple[str, T.StructType]] = RAW_FILES,
-               multi_line: Container[str] = MULTI_LINE_FILES) -> DataFrame:
+               multi_line: Container[str] = MULTI_LINE_FILES, at_once: int = AT_ONCE) -> DataFrame:
     """Load every present file of ``files``; return the per-file report.
 
     A name may be a file or a folder of part files. Only the files named in
@@ -82,14 +86,18 @@ def load_files(spark: SparkSession, directory: str, target_root: str, quarantine
     ``<target_root>.<table>`` when ``target_root`` has no '/'), rejects at
     ``<quarantine_root>/<table>``. Each file's parsed copy is staged at
     ``<quarantine_root>/_parsed/<table>`` and replaced by the next load, so
-    staging space stays at one copy per table. A failing write raises
-    (nothing is listed as loaded that was not).
+    staging space stays at one copy per table.
+
+    ``at_once`` files are loaded side by side, so that the last tasks of one
+    file's jobs and the first of the next share the cluster (with
+    ``spark.scheduler.mode=FAIR`` they also share it evenly). A file that
+    fails does not stop the others; then RuntimeError names every file that
+    failed, and nothing is listed as loaded that was not.
     """
-    rows = []
-    for file_name, (table, schema) in files.items():
+    def load(file_name: str, table: str, schema: T.StructType) -> tuple | None:
         if not input_exists(spark, os.path.join(directory, file_name)):
             log.warning("input file not found, skipped: %s", file_name)
-            continue
+            return None
         parts = load_csv(spark, os.path.join(directory, file_name), schema,
                          staging=os.path.join(quarantine_root, "_parsed", table),
                          multi_line=file_name in multi_line)
@@ -99,9 +107,24 @@ def load_files(spark: SparkSession, directory: str, target_root: str, quarantine
         bad = write_counted(parts.rejected, f"{table}_bad",
                             lambda d: d.write.mode("overwrite").parquet(
                                 os.path.join(quarantine_root, table)))
-        rows.append((file_name, table, good.get["rows"], bad.get["rows"]))
-        log.info("loaded %s into %s: %d rows, %d rejected", file_name, table, rows[-1][2],
-                 rows[-1][3])
+        row = (file_name, table, good.get["rows"], bad.get["rows"])
+        log.info("loaded %s into %s: %d rows, %d rejected", *row)
+        return row
+
+    rows, failed = [], {}
+    with ThreadPoolExecutor(at_once) as pool:
+        loads = {name: pool.submit(inheritable_thread_target(spark)(load), name, table, schema)
+                 for name, (table, schema) in files.items()}
+        for name, job in loads.items():
+            try:
+                row = job.result()
+            except Exception as e:      # reported below, with every other file that failed
+                failed[name] = e
+            else:
+                rows += [row] if row else []
+    if failed:
+        raise RuntimeError("files not loaded: " + "; ".join(f"{name}: {e}" for name, e in failed.items())) \
+            from next(iter(failed.values()))
     return spark.createDataFrame(rows, REPORT_SCHEMA)
 
 

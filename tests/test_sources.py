@@ -169,3 +169,21 @@ def test_quoted_line_ends_only_where_declared(spark, tmp):
         spark, src, os.path.join(tmp, "t"), os.path.join(tmp, "q"), {"m.csv": ("m", layout)}, multi).collect()]
     assert load(("m.csv",)) == [(1, 0)]
     assert load(())[0][1] > 0            # never loaded in part without a trace
+
+
+def test_a_failing_file_is_named_and_the_others_load(spark, tmp):
+    src, tables = os.path.join(tmp, "raw"), os.path.join(tmp, "t")
+    os.makedirs(src)
+    names = ("a.csv", "b.csv.gz", "c.csv", "absent.csv", "d.csv")
+    for name in ("a.csv", "c.csv", "d.csv"):
+        _write(src, name, f"id,name,qty\n1,{name},2\n2,x,y\n")
+    _write(src, "b.csv.gz", "this is not a compressed file")
+    wanted = {name: (f"raw_{name[0]}" if name != "absent.csv" else "raw_absent", SCHEMA) for name in names}
+    with pytest.raises(RuntimeError, match=r"files not loaded: b\.csv\.gz: "):
+        files.load_files(spark, src, tables, os.path.join(tmp, "q"), wanted, multi_line=(), at_once=2)
+    for name in ("a", "c", "d"):
+        assert [r["name"] for r in spark.read.parquet(os.path.join(tables, f"raw_{name}")).collect()] == [f"{name}.csv"]
+    assert not os.path.exists(os.path.join(tables, "raw_b"))
+    report = files.load_files(spark, src, tables, os.path.join(tmp, "q"), {n: w for n, w in wanted.items() if n != "b.csv.gz"},
+                              multi_line=())
+    assert [tuple(r) for r in report.collect()] == [(f"{n}.csv", f"raw_{n}", 1, 1) for n in "acd"]
