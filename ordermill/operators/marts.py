@@ -4,7 +4,7 @@ Each mart aggregates its detail table per key first and joins the result
 1:1 to the entity table, so the joins never fan out. All marts over order
 items aggregate before they shuffle (partial + final hash aggregation);
 COUNT(DISTINCT) shuffles on (key, value) first, which spreads a hot key.
-Money columns are summed as DECIMAL(12,2) and returned as DOUBLE.
+Money columns are summed as DECIMAL(24,6) and returned as DOUBLE.
 """
 
 from __future__ import annotations
