@@ -40,12 +40,19 @@ def positive_value_violations(df: DataFrame, column: str) -> DataFrame:
     return df.where((c <= 0) | c.isNull())
 
 
+def _price_diff() -> Column:
+    return F.abs(F.col("total_items_price") + F.col("total_freight_value") - F.col("total_order_value"))
+
+
+def price_is_off(tolerance: float = 0.01) -> Column:
+    """Whether an order's total differs from items + freight by more than ``tolerance``."""
+    return _price_diff() > tolerance
+
+
 def price_consistency_violations(fact: DataFrame, tolerance: float = 0.01) -> DataFrame:
     """Orders whose total differs from items + freight by more than ``tolerance``."""
-    diff = F.abs(F.col("total_items_price") + F.col("total_freight_value")
-                 - F.col("total_order_value"))
     return (fact.select("order_id", "total_items_price", "total_freight_value",
-                        "total_order_value", diff.alias("price_diff"))
+                        "total_order_value", _price_diff().alias("price_diff"))
             .where(F.col("price_diff") > tolerance))
 
 

@@ -5,9 +5,9 @@ inputs present -> tolerant raw load -> marts from staging -> declared tests
 (a failure stops the run) -> row counts (an empty mart stops the run) ->
 post-load checks (severity decides). Staging tables come from an upstream
 cleaning layer this library does not define; ``build_marts`` takes them as
-DataFrames. Marts are written before they are checked, so the checks read
-the written tables instead of recomputing the marts (the write also cuts
-the lineage).
+DataFrames. Row counts, not-null and consistency tests are counted while the
+marts are written; the others read the written tables instead of recomputing
+the marts (the write also cuts the lineage).
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ import os
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.operators import marts, quality
@@ -69,6 +69,35 @@ def column_tests(m: Mapping[str, DataFrame]) -> DataFrame:
     return quality.failing_counts(checks, ("model", "column_name", "test")).unionByName(nulls)
 
 
+def _observed(name: str, df: DataFrame) -> tuple[DataFrame, Observation]:
+    """``df`` with the counts that its checks need, taken while it is written:
+    its rows, the nulls of each not-null test and, of the order fact, the rows
+    whose total is off. The counts are made in the tasks that write, so a task
+    that runs again is counted once."""
+    counts = [F.count(F.lit(1)).alias("rows")]
+    counts += [F.count_if(F.col(c).isNull()).alias(f"null {c}") for model, c in NOT_NULL_TESTS if model == name]
+    if name == "fact_orders":
+        counts.append(F.count_if(quality.price_is_off()).alias("off"))
+    seen = Observation(name)
+    return df.observe(seen, *counts), seen
+
+
+def write_checked(spark: SparkSession, built: Mapping[str, DataFrame],
+                  root: str) -> tuple[dict[str, DataFrame], DataFrame, DataFrame]:
+    """:func:`write_marts`, with the row counts and the declared tests of the
+    written marts. Only the unique tests read a mart again, its key alone."""
+    watched = {name: _observed(name, df) for name, df in built.items()}
+    written = write_marts(spark, {name: df for name, (df, _) in watched.items()}, root)
+    seen = {name: obs.get for name, (_, obs) in watched.items()}
+    counts = spark.createDataFrame([(name, m["rows"]) for name, m in seen.items()], "table_name string, row_count long")
+    found = [(model, c, "not_null", seen[model][f"null {c}"]) for model, c in NOT_NULL_TESTS]
+    found.append(("fact_orders", "total_order_value", "price_consistency", seen["fact_orders"]["off"]))
+    unique = quality.failing_counts({(model, col, "unique"): quality.unique_violations(written[model], col)
+                                     for model, col in UNIQUE_TESTS}, ("model", "column_name", "test"))
+    observed = spark.createDataFrame(found, "model string, column_name string, test string, failures long")
+    return written, counts, unique.unionByName(observed)
+
+
 @dataclass
 class DailyResult:
     marts: dict[str, DataFrame]
@@ -87,14 +116,12 @@ def run_daily(spark: SparkSession, stg: Mapping[str, DataFrame], root: str,
     checks of the severities in ``fail_on`` (e.g. ``("error",)``) raise too,
     by default they only report.
     """
-    written = write_marts(spark, build_marts(stg), root)
-    tests = column_tests(written)
+    written, counts, tests = write_checked(spark, build_marts(stg), root)
     if strict_tests:
         failing = tests.where(F.col("failures") > 0).collect()   # at most one row per test
         if failing:
             raise ValueError("declared tests failed: " + ", ".join(
                 f"{r['model']}.{r['column_name']} {r['test']}={r['failures']}" for r in failing))
-    counts = quality.row_counts(written)
     quality.require_non_empty(counts)
     report = quality.quality_report(written["fact_orders"], written["dim_customers"])
     if fail_on:

@@ -77,3 +77,18 @@ def test_failing_declared_test_stops_the_run(spark, sf_dir, tmp):
     result = daily.run_daily(spark, stg, os.path.join(tmp, "b"), strict_tests=False)
     failed = [r for r in result.column_tests.collect() if r["failures"]]
     assert [(r["model"], r["test"]) for r in failed] == [("dim_products", "unique")]
+
+
+def test_counts_taken_while_writing_equal_the_checks_of_written_marts(spark, sf_dir, tmp):
+    built = daily.build_marts(fx.staging(spark, sf_dir))
+    k = F.col("order_id") % 10
+    built["fact_orders"] = (built["fact_orders"]
+                            .withColumn("total_order_value", F.when(k == 3, F.col("total_order_value") + 1).when(k != 4, F.col("total_order_value")))
+                            .withColumn("order_id", F.when(k == 5, 5).when(k != 6, F.col("order_id"))))
+    built["dim_products"] = built["dim_products"].withColumn("product_category_name", F.lit(None).cast("string"))
+    written, counts, tests = daily.write_checked(spark, built, os.path.join(tmp, "dwh"))
+    from ordermill.operators import quality
+    assert sorted(map(tuple, counts.collect())) == sorted(map(tuple, quality.row_counts(written).collect()))
+    got = {(r["model"], r["column_name"], r["test"]): r["failures"] for r in tests.collect()}
+    assert got == {(r["model"], r["column_name"], r["test"]): r["failures"] for r in daily.column_tests(written).collect()}
+    assert got["fact_orders", "total_order_value", "price_consistency"] > 0 and got["fact_orders", "order_id", "not_null"] > 0
