@@ -76,7 +76,7 @@ ORDER_COLUMNS = ("order_id", "customer_id", "order_status", "order_purchase_time
 
 
 def fact_orders(orders: DataFrame, items: DataFrame, payments: DataFrame,
-                reviews: DataFrame) -> DataFrame:
+                reviews: DataFrame, co_located: bool = False) -> DataFrame:
     """One row per distinct order row: attributes, item / payment / review measures.
 
     Counters and sums of orders without items, payments or reviews are 0;
@@ -89,8 +89,12 @@ def fact_orders(orders: DataFrame, items: DataFrame, payments: DataFrame,
     de-duplicate the eight narrow order columns before the joins, hash
     partitioned on order_id so the joins reuse that partitioning: each input
     is shuffled once, and no shuffle ever carries the wide joined rows.
+
+    ``co_located``: the four inputs lie in the same buckets of order_id (see
+    ``sources.bucketed``), so nothing is shuffled at all.
     """
-    distinct_orders = orders.select(*ORDER_COLUMNS).repartition("order_id").distinct()
+    own_orders = orders.select(*ORDER_COLUMNS)
+    distinct_orders = (own_orders if co_located else own_orders.repartition("order_id")).distinct()
     j = order_left_join_chain(distinct_orders, items, payments, reviews)
     zero = F.lit(0)
     items_price = F.coalesce("total_items_price", zero)

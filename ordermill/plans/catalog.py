@@ -23,7 +23,7 @@ from ordermill.operators.unified import unified_orders as _unified
 from ordermill.plans import refresh
 from ordermill.plans.daily import NOT_NULL_TESTS, UNIQUE_TESTS
 from ordermill.session import shared_dir
-from ordermill.sources import files
+from ordermill.sources import bucketed, files
 from ordermill.sources import fixtures as fx
 from ordermill.sources.csv_load import load_csv
 from ordermill.streaming import hour_state, hourly, ingest
@@ -38,6 +38,15 @@ def fact_orders(spark: SparkSession, sf: str) -> DataFrame:
                              fx.stg_order_payments(spark, sf), fx.stg_order_reviews(spark, sf))
 
 
+def fact_orders_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """The order fact over staging tables that lie in buckets of order_id."""
+    stg, root = fx.staging(spark, sf), shared_dir(spark, "bucketed")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tables = bucketed.write_bucketed(spark, {name: stg[name] for name in bucketed.ORDER_TABLES}, "order_id",
+                                     buckets, root, suffix="_" + os.path.basename(root))
+    return bucketed.fact_orders_of(spark, tables, root, buckets)
+
+
 def dim_sellers(spark: SparkSession, sf: str) -> DataFrame:
     return marts.dim_sellers(fx.stg_sellers(spark, sf), fx.stg_order_items(spark, sf))
 
@@ -443,6 +452,7 @@ def dq_freshness(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "fact_orders": fact_orders,
+    "fact_orders_bucketed": fact_orders_bucketed,
     "money_extremes": money_extremes,
     "dim_sellers": dim_sellers,
     "dim_products": dim_products,
