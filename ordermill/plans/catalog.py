@@ -221,6 +221,34 @@ def _landed(spark: SparkSession, sf: str) -> ingest.LandingSink:
     return sink
 
 
+def _landed_topic(spark: SparkSession, sf: str) -> ingest.LandingSink:
+    """A recorded topic of six partitions, landed in two rounds; between them
+    the checkpoint is lost, so the second is given the whole topic again."""
+    root = shared_dir(spark, "landed_topic")
+    topic, landing, rejects, first, second = [
+        os.path.join(root, x) for x in ("topic", "landing", "rejects", "checkpoint", "new_checkpoint")]
+    events = fx.table(spark, sf, "events")
+    middle = events.agg(F.avg("event_id")).first()[0]
+    for part, checkpoint in ((F.col("event_id") <= middle, first), (F.col("event_id") > middle, second)):
+        events.where(part).select(*fx.topic_record()).write.mode("append").parquet(topic)
+        sink = ingest.LandingSink(landing, rejects, checkpoint)
+        sink.start(ingest.recorded_topic_source(spark, topic), available_now=True).awaitTermination()
+    return sink
+
+
+def landed_positions(spark: SparkSession, sf: str) -> DataFrame:
+    """Where each message stood in its topic, and whether it landed or was rejected."""
+    sink = _landed_topic(spark, sf)
+    good = ingest.read_landing(spark, sink.landing).select(*ingest.POSITION_COLUMNS, F.lit("landed").alias("outcome"))
+    return good.unionByName(spark.read.parquet(sink.quarantine).select(
+        *ingest.POSITION_COLUMNS, F.col("reject_reason").alias("outcome")))
+
+
+def landed_position_faults(spark: SparkSession, sf: str) -> DataFrame:
+    sink = _landed_topic(spark, sf)
+    return ingest.position_faults(ingest.read_landing(spark, sink.landing), spark.read.parquet(sink.quarantine))
+
+
 def _landed_history(spark: SparkSession, sf: str) -> str:
     """The landing table of all events, each arrived when it was ordered."""
     root = shared_dir(spark, "landed_history")
@@ -471,6 +499,8 @@ QUERIES: dict[str, Query] = {
     "stream_hourly_live": stream_hourly_live,
     "landing_rows": landing_rows,
     "landing_rejects": landing_rejects,
+    "landed_positions": landed_positions,
+    "landed_position_faults": landed_position_faults,
     "csv_load_good": csv_load_good,
     "csv_load_rejects": csv_load_rejects,
     "load_report": load_report,

@@ -149,6 +149,15 @@ def faulty_order_message() -> Column:
             .otherwise(message))
 
 
+def topic_record() -> list[Column]:
+    """The faulty order message of an ``events`` row as a topic holds it: keyed
+    by customer, who stays in one of six partitions; the offset is the event's
+    id, so offsets have gaps, as those of a compacted topic."""
+    return [F.col("user_id").cast("string").cast("binary").alias("key"),
+            faulty_order_message().cast("binary").alias("value"),
+            F.pmod("user_id", F.lit(6)).cast("int").alias("partition"), F.col("event_id").cast("long").alias("offset")]
+
+
 def orders_from_events(ev: DataFrame) -> DataFrame:
     """Landing-table rows from ``events`` rows; works on a stream too.
 

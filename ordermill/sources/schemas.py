@@ -55,10 +55,16 @@ RAW_ORDERS_STREAM = _schema(
     ("order_id", S), ("customer_id", S), ("product_id", S), ("seller_id", S),
     ("quantity", L), ("price", D), ("order_timestamp", TS), ("insert_timestamp", TS))
 
+# Where a message stood in its topic; null for messages of other sources.
+POSITION = _schema(("message_key", S), ("topic_partition", I), ("topic_offset", L))
+
 # The landing table as stored: the stream sink's one folder per micro-batch,
 # in it one per hour of arrival ('yyyy-MM-dd-HH').
-LANDING_TABLE = T.StructType(RAW_ORDERS_STREAM.fields + [T.StructField("batch_id", L, True),
-                                                         T.StructField("ingest_hour", S, True)])
+LANDING_TABLE = T.StructType(RAW_ORDERS_STREAM.fields + POSITION.fields
+                             + [T.StructField("batch_id", L, True), T.StructField("ingest_hour", S, True)])
+
+# A topic recorded in files, as the topic reader gives it.
+TOPIC_RECORD = _schema(("key", T.BinaryType()), ("value", T.BinaryType()), ("partition", I), ("offset", L))
 
 # One JSON order message as the producer writes it; ``timestamp`` is
 # ISO-8601 text without zone, parsed after decoding.

@@ -1,0 +1,99 @@
+"""Keys and offsets in the landing table; a lost checkpoint lands nothing twice."""
+
+from __future__ import annotations
+
+import json
+import os
+import shutil
+
+import pytest
+
+from ordermill.sources.schemas import TOPIC_RECORD
+from ordermill.streaming import ingest
+
+
+def _message(i):
+    return json.dumps({"order_id": f"o{i}", "customer_id": "c", "product_id": "p", "seller_id": "s", "quantity": 1,
+                       "price": 2.0, "timestamp": "2024-01-01T10:00:00"}) if i % 4 else "{broken"
+
+
+def _record(spark, path, *parts):
+    for offsets in parts:
+        rows = [(bytearray(f"k{p}-{i % 3}", "ascii"), bytearray(_message(i), "ascii"), p, i) for p, i in offsets]
+        spark.createDataFrame(rows, TOPIC_RECORD).coalesce(1).write.mode("append").parquet(path)
+
+
+def _outcomes(spark, sink):
+    good = [(r.topic_partition, r.topic_offset, r.message_key) for r in ingest.read_landing(spark, sink.landing).collect()]
+    bad = [(r.topic_partition, r.topic_offset, r.message_key) for r in spark.read.parquet(sink.quarantine).collect()]
+    return sorted(good), sorted(bad)
+
+
+def _want(parts):
+    rows = [(p, i, f"k{p}-{i % 3}") for part in parts for p, i in part]
+    return sorted(r for r in rows if r[1] % 4), sorted(r for r in rows if r[1] % 4 == 0)
+
+
+@pytest.fixture()
+def paths(tmp):
+    return [os.path.join(tmp, x) for x in ("topic", "landing", "rejects", "c1", "c2")]
+
+
+PARTS = [[(0, i) for i in range(0, 10)] + [(1, i) for i in range(100, 105)],
+         [(0, i) for i in range(13, 20)], [(1, i) for i in range(105, 109)] + [(2, i) for i in range(5)]]
+
+
+def _run(spark, topic, sink):
+    sink.start(ingest.recorded_topic_source(spark, topic, 1), available_now=True).awaitTermination()
+
+
+def test_lost_checkpoint_lands_nothing_twice(spark, paths):
+    topic, landing, rejects, c1, c2 = paths
+    _record(spark, topic, *PARTS[:2])
+    _run(spark, topic, ingest.LandingSink(landing, rejects, c1))
+    sink = ingest.LandingSink(landing, rejects, c2)
+    _run(spark, topic, sink)                            # the whole topic again, nothing new
+    assert _outcomes(spark, sink) == _want(PARTS[:2])
+    _record(spark, topic, PARTS[2])
+    _run(spark, topic, sink)                            # the resumed checkpoint goes on
+    assert _outcomes(spark, sink) == _want(PARTS)
+    faults = ingest.position_faults(ingest.read_landing(spark, landing), spark.read.parquet(rejects))
+    assert {r.fault: r.failures for r in faults.collect()} == {"repeated_offset": 0, "split_key": 0}
+
+
+def test_batch_whose_rejects_were_not_written(spark, paths):
+    topic, landing, rejects, c1, c2 = paths
+    _record(spark, topic, *PARTS)
+    _run(spark, topic, ingest.LandingSink(landing, rejects, c1))
+    shutil.rmtree(os.path.join(rejects, "batch_id=2"))  # lost between the two writes of the last batch
+    sink = ingest.LandingSink(landing, rejects, c2)
+    _run(spark, topic, sink)
+    assert _outcomes(spark, sink) == _want(PARTS)
+
+
+def test_replayed_batch_of_a_resumed_checkpoint_takes_its_own_place(spark, paths):
+    topic, landing, rejects, c1, c2 = paths
+    _record(spark, topic, PARTS[0])
+    _run(spark, topic, ingest.LandingSink(landing, rejects, c1))
+    _record(spark, topic, *PARTS[1:])
+    sink = ingest.LandingSink(landing, rejects, c2)
+    _run(spark, topic, sink)
+    landed = ingest.Landed.read(spark, os.path.join(c2, "landed"))
+    again = ingest.positioned(spark.createDataFrame(
+        [(bytearray(f"k{p}-{i % 3}", "ascii"), bytearray(_message(i), "ascii"), p, i) for p, i in PARTS[1]], TOPIC_RECORD))
+    sink.write_batch(again, 1, landed)
+    assert _outcomes(spark, sink) == _want(PARTS)
+
+
+def test_position_faults_are_found(spark):
+    rows = [("a", 0, 1), ("a", 0, 1), ("a", 1, 7), ("b", 1, 8), (None, 1, 9), ("c", None, None), ("c", None, None)]
+    df = spark.createDataFrame(rows, "message_key string, topic_partition int, topic_offset long")
+    assert {r.fault: r.failures for r in ingest.position_faults(df).collect()} == {"repeated_offset": 1, "split_key": 1}
+    assert {r.failures for r in ingest.position_faults(df.limit(0)).collect()} == {0}
+
+
+def test_topic_options():
+    options = ingest.topic_options("b:9092", "sales", 500)
+    assert options == {"kafka.bootstrap.servers": "b:9092", "subscribe": "sales", "startingOffsets": "earliest",
+                       "failOnDataLoss": "true", "maxOffsetsPerTrigger": "500"}
+    assert "maxOffsetsPerTrigger" not in ingest.topic_options("b:9092", max_per_trigger=None)
