@@ -6,6 +6,7 @@
     hourly   landing table (as a stream) -> live hourly table (state, recount, update or append mode)
     compact  landed batches of a date range -> date-partitioned orders table
     monitor  landing table -> freshness + spike status; exits non-zero when stale
+    dashboard  landing table, or its date-partitioned copy -> the dashboard's panels as JSON lines
 
 Scheduling (daily at 01:00, every five minutes) is left to the caller's
 scheduler; each job is one Spark application.
@@ -18,6 +19,7 @@ import json
 import os
 import sys
 
+from ordermill.functions.time import PERIODS
 from ordermill.session import CLUSTER_CONF, build_session
 
 STAGING_TABLES = ("stg_customers", "stg_orders", "stg_order_items", "stg_order_payments",
@@ -79,6 +81,11 @@ def main(argv: list[str] | None = None) -> int:
     s = sub.add_parser("monitor")
     s.add_argument("landing")
 
+    s = sub.add_parser("dashboard")
+    s.add_argument("orders", help="landing table, or the table that compact writes")
+    s.add_argument("--period", choices=PERIODS, default="hour", help="period of the top sellers")
+    s.add_argument("--as-of", default=None, help="time that counts as now (default: the clock)")
+
     args = p.parse_args(argv)
     conf = {"spark.sql.shuffle.partitions": "8"} if args.local else dict(CLUSTER_CONF)
     if args.job == "hourly":
@@ -132,6 +139,14 @@ def main(argv: list[str] | None = None) -> int:
         except ValueError as e:
             print(f"ALERT: {e}", file=sys.stderr)
             return 1
+    elif args.job == "dashboard":
+        from ordermill.plans import dashboard
+        from ordermill.sources import files
+        from ordermill.streaming import ingest
+        dates = files.partition_values(spark, args.orders, "order_date")
+        orders = spark.read.parquet(args.orders) if dates else ingest.read_landing(spark, args.orders)
+        for r in dashboard.as_rows(dashboard.panels(orders, args.as_of, args.period, dates)).collect():
+            print(json.dumps(r.asDict()))
     return 0
 
 

@@ -20,7 +20,7 @@ from ordermill.functions import money as fm
 from ordermill.functions import time as tf
 from ordermill.operators import distinct_bitmaps, marts, quality, realtime
 from ordermill.operators.unified import unified_orders as _unified
-from ordermill.plans import refresh
+from ordermill.plans import dashboard, refresh, sql_functions
 from ordermill.plans.daily import NOT_NULL_TESTS, UNIQUE_TESTS
 from ordermill.session import shared_dir
 from ordermill.sources import bucketed, files
@@ -408,6 +408,32 @@ def sales_spike_alert(spark: SparkSession, sf: str) -> DataFrame:
     return realtime.sales_spike_status(o, realtime.newest_order_time(spikes))
 
 
+def _sql_functions(spark: SparkSession, **views: DataFrame) -> None:
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    sql_functions.register_functions(spark, list(views))
+
+
+def _sql_status(function: str) -> Query:
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        orders = fx.raw_orders_stream(spark, sf)
+        _sql_functions(spark, raw_orders_stream=orders)
+        return spark.sql(f"SELECT * FROM {function}(CAST(:as_of AS TIMESTAMP_NTZ))",
+                         {"as_of": realtime.newest_order_time(orders)})
+    run.__name__ = f"sql_{function}"
+    return run
+
+
+def sql_not_positive(spark: SparkSession, sf: str) -> DataFrame:
+    _sql_functions(spark, fact_orders=_defective_marts(spark, sf)["fact_orders"])
+    return spark.sql("SELECT order_id, value AS total_order_value FROM fact_orders_not_positive('total_order_value')")
+
+
+def dashboard_panels(spark: SparkSession, sf: str) -> DataFrame:
+    o, as_of = _stream(spark, sf)
+    return dashboard.as_rows(dashboard.panels(o, as_of, "week"))
+
+
 # --- data quality ---------------------------------------------------------
 
 def _defective_marts(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
@@ -518,6 +544,9 @@ QUERIES: dict[str, Query] = {
     "sales_spike_status": sales_spike_status,
     "sales_spike_alert": sales_spike_alert,
     "monitor_status": monitor_status,
+    **{f"sql_{f}": _sql_status(f) for f in ("sales_spike_status", "kpi_last_hour", "recent_inserts")},
+    "sql_not_positive": sql_not_positive,
+    "dashboard_panels": dashboard_panels,
     **{name: _check(name, _marts) for name in _CHECKS},
     **{f"{name}_defects": _check(name, _defective_marts) for name in _CHECKS},
     "dq_freshness": dq_freshness,

@@ -41,6 +41,13 @@ def test_ingest_monitor_and_compact_jobs(spark, tmp, capsys):
     table = os.path.join(tmp, "by_date")
     assert main(["--local", "compact", land, table, "2024-01-01", "2024-01-01"]) == 0
     assert spark.read.parquet(table).count() == 1
+    for orders in (land, table):
+        capsys.readouterr()
+        assert main(["--local", "dashboard", orders, "--period", "today", "--as-of", "2024-01-01 10:30:00"]) == 0
+        lines = [json.loads(x) for x in capsys.readouterr().out.splitlines() if x.startswith("{")]
+        assert {"panel": "kpi", "item": "", "measure": "orders_count", "value": 1.0} in lines
+        assert {"panel": "top_sellers", "item": "s", "measure": "revenue", "value": 19.0} in lines
+        assert {"panel": "heatmap", "item": "Mon 10", "measure": "order_count", "value": 1.0} in lines
 
 
 def test_load_job_requires_inputs(spark, tmp, capsys):
