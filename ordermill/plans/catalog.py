@@ -18,10 +18,10 @@ from pyspark.sql import functions as F
 
 from ordermill.functions import money as fm
 from ordermill.functions import time as tf
-from ordermill.operators import distinct_bitmaps, marts, quality, realtime
+from ordermill.operators import distinct_bitmaps, footers, marts, quality, realtime
 from ordermill.operators.unified import unified_orders as _unified
 from ordermill.plans import dashboard, refresh, sql_functions
-from ordermill.plans.daily import NOT_NULL_TESTS, UNIQUE_TESTS
+from ordermill.plans.daily import NOT_NULL_TESTS, UNIQUE_TESTS, write_marts
 from ordermill.session import shared_dir
 from ordermill.sources import bucketed, files
 from ordermill.sources import fixtures as fx
@@ -499,6 +499,13 @@ def _check(name: str, source: Callable[[SparkSession, str], dict[str, DataFrame]
     return run
 
 
+def written_extents(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows, least and greatest key of the written marts, from their footers."""
+    root = shared_dir(spark, "extents")
+    write_marts(spark, _marts(spark, sf), root)
+    return footers.extents(spark, {name: (os.path.join(root, name), key) for name, (key, _, _) in refresh.MARTS.items()})
+
+
 def dq_freshness(spark: SparkSession, sf: str) -> DataFrame:
     o, as_of = _stream(spark, sf)
     return realtime.recent_inserts(o, as_of, minutes=5)
@@ -549,6 +556,7 @@ QUERIES: dict[str, Query] = {
     "dashboard_panels": dashboard_panels,
     **{name: _check(name, _marts) for name in _CHECKS},
     **{f"{name}_defects": _check(name, _defective_marts) for name in _CHECKS},
+    "written_extents": written_extents,
     "dq_freshness": dq_freshness,
     "landed_freshness": landed_freshness,
     "landed_hourly_metrics": landed_hourly_metrics,
