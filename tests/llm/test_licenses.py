@@ -1,6 +1,9 @@
 from __future__ import annotations
 
-from ordermill.llm.licenses import TEMPLATES, Scanner, scan_licenses
+import random
+import re
+
+from ordermill.llm.licenses import CUES, SIMILARITY, TEMPLATES, Scanner, fixed, scan_licenses, words
 from ordermill.llm.queries import op10_licenses
 
 SCANNER = Scanner(TEMPLATES)
@@ -102,3 +105,105 @@ def test_common_licences_and_kinds():
         assert names(text) == [], text
     few = {k: v for k, v in TEMPLATES.items() if k in ("CC-BY-NC-4.0", "GPL-3.0-or-later")}
     assert not list(Scanner(few).scan("Licensed under CC BY-NC-SA 4.0. " + gpl.replace("GNU", "GNU Lesser")))
+
+
+# --- against a search over every window and every template ----------------------
+
+def _fewest(own, wording, at):
+    """Words left out of either side, for the windows of ``own`` that start at
+    ``at``, by their last word; None where a fixed word would be left out."""
+    never = 10 ** 6
+    cost = [never if fixed(w) else 1 for w in wording]
+    row = [0]
+    for c in cost:
+        row.append(row[-1] + c)
+    out = []
+    for word in own[at:]:
+        extra = never if fixed(word) else 1
+        new = [row[0] + extra]
+        for j, (w, c) in enumerate(zip(wording, cost)):
+            new.append(min(row[j + 1] + extra, new[j] + c, row[j] if w == word else 2 * never))
+        row = new
+        out.append(row[-1] if row[-1] < never else None)
+    return out
+
+
+def _brute(text, templates):
+    """(words less equal ones, first, last, name, differing) of all windows near
+    a template that hold a cue: for each template and last word the one of
+    fewest differences, the longest of them."""
+    low = text.lower()
+    spans = [m.span() for m in re.finditer(r"\w+", low)]
+    own = [low[a:b] for a, b in spans]
+    cues = set()
+    for cue in CUES:
+        for m in re.finditer(r"\W+".join(map(re.escape, cue.split())), low):
+            cues.add(max([k for k, (a, _) in enumerate(spans) if a <= m.start()], default=0))
+    found = []
+    for name, wording in templates.items():
+        best = {}
+        for first in range(len(own)):
+            for last, differ in enumerate(_fewest(own, wording, first), first):
+                if differ is not None and own[last] in wording and (last not in best or differ < best[last][0]):
+                    best[last] = (differ, first)
+        for last, (differ, first) in best.items():
+            size = last + 1 - first + len(wording)
+            goes_on = fixed(own[last]) and re.match(r"\.0*[1-9]|-\w|\+", text[spans[last][1]:])
+            if size - differ >= SIMILARITY * size - 1e-9 and any(first <= c <= last for c in cues) and not goes_on:
+                found.append((differ - (size - differ) // 2, first, last, name, differ))
+    return spans, found
+
+
+def _check(text, templates, scanner):
+    """The scan names windows of the search, the best first, none left over."""
+    spans, found = _brute(text, templates)
+    places = {a: k for k, (a, _) in enumerate(spans)}
+    got = [(places[a], name, differ) for a, _, name, _, _, differ in scanner.scan(text)]
+    assert len(got) == len(set(got))
+    taken, named = set(), []
+    for _, first, last, name, differ in sorted(found, key=lambda f: (f[0], (f[1], f[3], f[4]) not in got, f[1:])):
+        if taken.isdisjoint(range(first, last + 1)):
+            taken.update(range(first, last + 1))
+            named.append((first, name, differ))
+    assert sorted(named) == sorted(got), (text, sorted(named), sorted(got))
+    return len(got)
+
+
+def _altered(rng, text):
+    words_ = text.split()
+    for _ in range(rng.choice((0, 1, 2, 4))):
+        at = rng.randrange(len(words_))
+        change = rng.randrange(3)
+        if change == 0 and len(words_) > 2:
+            del words_[at]
+        elif change == 1:
+            words_.insert(at, rng.choice(("the", "ware", "version", "2", "under", "MIT", "license")))
+        else:
+            words_[at] = rng.choice(("a", "said", "License,", "3.0", "General"))
+    return " ".join(words_)
+
+
+def test_equal_to_a_search_of_every_window_and_template():
+    rng = random.Random(5)
+    wordings = {name: words(text) for name, text in sorted(TEMPLATES.items())}
+    short = [t for t in TEMPLATES.values() if len(t.split()) <= 14]
+    long = [t for t in TEMPLATES.values() if 14 < len(t.split()) <= 45]
+    n = 0
+    for _ in range(14):
+        parts = [_altered(rng, rng.choice(short)) for _ in range(rng.choice((1, 2, 3)))]
+        n += _check(rng.choice((" ", "\n", " of and\n")).join(["It was", *parts, "and so on."]), wordings, SCANNER)
+    for _ in range(2):
+        n += _check("See. " + _altered(rng, rng.choice(long)) + " so.", wordings, SCANNER)
+    assert n >= 14
+
+
+def test_equal_to_the_search_with_templates_that_share_words():
+    rng = random.Random(9)
+    given = {f"t{k}": " ".join(rng.choice(("licence", "a", "b", "c", "d", "mit", "gpl", "1", "2"))
+                               for _ in range(rng.randrange(1, 9))) for k in range(25)}
+    wordings, scanner = {name: words(text) for name, text in sorted(given.items())}, Scanner(given)
+    n = 0
+    for _ in range(150):
+        text = " ".join(rng.choice(("licence", "a", "b", "c", "d", "mit", "gpl", "1", "2", "x")) for _ in range(rng.randrange(1, 25)))
+        n += _check(text, wordings, scanner)
+    assert n >= 100
