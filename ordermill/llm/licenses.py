@@ -159,6 +159,7 @@ class Scanner:
         self.given = [(name, words(text), packer(dict_data=zstandard.ZstdCompressionDict(
             plain(text), dict_type=zstandard.DICT_TYPE_RAWCONTENT), **flags)) for name, text in sorted(templates.items())]
         self.given = [(name, wording, Counter(wording), packer) for name, wording, packer in self.given if wording]
+        self.codes = {w: code for code, w in enumerate(sorted({w for _, wording, *_ in self.given for w in wording}))}
 
     def scan(self, text: str):
         """(start, end, template, alone, given, differing words)."""
@@ -188,13 +189,14 @@ class Scanner:
         if not able:
             return found
         raw = plain(text[spans[a][0]:spans[b - 1][1]])
+        codes = np.fromiter((self.codes.get(w, len(self.codes)) for w in own[a:b]), np.int32, b - a)
         ranked = sorted((len(self.given[k][3].compress(raw)), k) for k in able)
         for rank, (_, k) in enumerate(ranked):
             _, wording, counts, _ = self.given[k]
             for c, d in _around(cues, reach(len(wording)), b, a):
-                if _able(Counter(own[c:d]), wording, counts):
-                    for first, last, differ in windows(own[c:d], wording):
-                        first, last = first + c, last + c
+                for e, f in _places(codes[c - a:d - a], [(self.codes[w], n, fixed(w)) for w, n in counts.items()], len(wording)):
+                    for first, last, differ in windows(own[c + e:c + f], wording):
+                        first, last = first + c + e, last + c + e
                         at = bisect_left(cues, first)
                         if at < len(cues) and cues[at] <= last and not _goes_on(text, spans[last], own[last]):
                             equal = (last + 1 - first + len(wording) - differ) // 2
@@ -230,6 +232,35 @@ def _able(held: Counter, wording: list[str], counts: Counter) -> bool:
     return equal * (2 - SIMILARITY) >= SIMILARITY * len(wording) - 1e-9
 
 
+def _places(codes: np.ndarray, counts: list[tuple[int, int, bool]], n: int) -> list[tuple[int, int]]:
+    """(first, end) of the runs of words outside of which no window reaches
+    SIMILARITY with a template of ``n`` words, given the codes of the words and
+    (code, occurrences, fixed) of the template's. A window lies in the span of
+    ``reach(n)`` words from its first word, so the span holds the template's
+    fixed words, and words of the template enough for the equal ones that
+    :func:`_able` asks for: sums of each span, in time linear in the words."""
+    far, size = reach(n), len(codes)
+    ends = np.minimum(np.arange(size) + far, size)
+
+    def held(hits: np.ndarray) -> np.ndarray:
+        sums = np.concatenate(([0], np.cumsum(hits, dtype=np.int64)))
+        return sums[ends] - sums[:-1]
+
+    known = np.isin(codes, [code for code, _, _ in counts])
+    able = known & (held(known) * (2 - SIMILARITY) >= SIMILARITY * n - 1e-9)
+    for code, least, kept in counts:
+        if kept and able.any():
+            able &= held(codes == code) >= least
+    at = np.flatnonzero(able)
+    out: list[tuple[int, int]] = []
+    for first, end in zip(at.tolist(), ends[at].tolist()):
+        if out and first <= out[-1][1]:
+            out[-1] = (out[-1][0], end)
+        else:
+            out.append((first, end))
+    return out
+
+
 def windows(own: list[str], wording: list[str]):
     """(first, last, words that differ) of the windows of ``own`` that come
     near the template: for each last word that of fewest differences, the
