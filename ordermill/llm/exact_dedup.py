@@ -101,9 +101,11 @@ def exact_dedup(docs: DataFrame, digest_bytes: int = 32,
     out = ["uid", "keep_id", "keep_uid", "group_size"]
     plain = (winners.select("uid", "digest")
              .join(groups.where("variants = 1").drop("content"), "digest").select(*out))
-    clash = (winners.select("uid", "digest", "content")
-             .join(groups.where("variants > 1"), ["digest", "content"]).select(*out))
-    routes = plain.unionByName(clash).withColumnRenamed("uid", "local_uid")
+    clashing = groups.where("variants > 1")
+    if not clashing.isEmpty():      # contents travel again only where a digest cannot tell them apart
+        plain = plain.unionByName(winners.select("uid", "digest", "content")
+                                  .join(clashing, ["digest", "content"]).select(*out))
+    routes = plain.withColumnRenamed("uid", "local_uid")
     return (local.select("uid", "doc_id", "local_uid", "text_sha256").join(routes, "local_uid")
             .select("doc_id", "keep_id", "group_size",
                     (F.col("uid") == F.col("keep_uid")).alias("kept"),
