@@ -60,6 +60,8 @@ def main(argv: list[str] | None = None) -> int:
     src.add_argument("--text-dir")
     s.add_argument("--topic", default="orders")
     s.add_argument("--max-per-trigger", type=int, default=None)
+    s.add_argument("--max-bytes", type=int, default=None, help="bytes of text files in one micro-batch")
+    s.add_argument("--flush-rows", type=int, default=None, help="most rows of one landed file")
     s.add_argument("--available-now", action="store_true")
 
     s = sub.add_parser("hourly")
@@ -114,8 +116,8 @@ def main(argv: list[str] | None = None) -> int:
         source = (ingest.kafka_order_source(spark, args.kafka, args.topic,
                                             args.max_per_trigger or 1_000_000)
                   if args.kafka else
-                  ingest.text_order_source(spark, args.text_dir, args.max_per_trigger))
-        sink = ingest.LandingSink(args.landing, args.quarantine, args.checkpoint)
+                  ingest.text_order_source(spark, args.text_dir, args.max_per_trigger, args.max_bytes))
+        sink = ingest.LandingSink(args.landing, args.quarantine, args.checkpoint, flush_rows=args.flush_rows)
         sink.start(source, available_now=args.available_now).awaitTermination()
     elif args.job == "hourly":
         from ordermill.streaming import hour_state, hourly, ingest

@@ -26,6 +26,7 @@ from ordermill.session import shared_dir
 from ordermill.sources import bucketed, files
 from ordermill.sources import fixtures as fx
 from ordermill.sources.csv_load import load_csv
+from ordermill.sources.schemas import RAW_FILES
 from ordermill.streaming import hour_state, hourly, ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -266,6 +267,11 @@ def landed_freshness(spark: SparkSession, sf: str) -> DataFrame:
     return realtime.recent_inserts(ingest.read_landing(spark, landing), newest, minutes=5)
 
 
+def landed_arrivals(spark: SparkSession, sf: str) -> DataFrame:
+    """When each order arrived, and the hour of arrival that its folder is of."""
+    return ingest.read_landing(spark, _landed_history(spark, sf)).select("order_id", "insert_timestamp", "ingest_hour")
+
+
 def landed_hourly_metrics(spark: SparkSession, sf: str) -> DataFrame:
     """The newest hours of the landed orders by date, found walking back."""
     landing = _landed_history(spark, sf)
@@ -313,6 +319,20 @@ def csv_load_rejects(spark: SparkSession, sf: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+def category_names(spark: SparkSession, sf: str) -> DataFrame:
+    """The products with the names that a lookup file, exported and loaded as
+    the daily load does it, gives their categories."""
+    root = shared_dir(spark, "lookup")
+    name = "product_category_name_translation.csv"
+    fx.write_category_names(spark, sf, os.path.join(root, "raw", name))
+    files.require_inputs(spark, os.path.join(root, "raw"), (name,))
+    files.load_files(spark, os.path.join(root, "raw"), os.path.join(root, "tables"), os.path.join(root, "rejects"),
+                     {name: RAW_FILES[name]})
+    lookup = spark.read.parquet(os.path.join(root, "tables", RAW_FILES[name][0]))
+    return (fx.stg_products(spark, sf).select("product_id", "product_category_name")
+            .join(lookup, "product_category_name", "left"))
+
+
 def _loaded_lines(spark: SparkSession, sf: str):
     """The orders with a line end in each quoted note, loaded in many tasks."""
     root = shared_dir(spark, "csv_quoted_lines")
@@ -537,6 +557,7 @@ QUERIES: dict[str, Query] = {
     "csv_load_good": csv_load_good,
     "csv_load_rejects": csv_load_rejects,
     "load_report": load_report,
+    "category_names": category_names,
     "csv_quoted_lines_good": csv_quoted_lines_good,
     "csv_quoted_lines_rejects": csv_quoted_lines_rejects,
     "kpi_last_hour": kpi_last_hour,
@@ -559,5 +580,6 @@ QUERIES: dict[str, Query] = {
     "written_extents": written_extents,
     "dq_freshness": dq_freshness,
     "landed_freshness": landed_freshness,
+    "landed_arrivals": landed_arrivals,
     "landed_hourly_metrics": landed_hourly_metrics,
 }

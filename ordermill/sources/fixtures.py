@@ -245,3 +245,15 @@ def write_csv_exports(spark: SparkSession, sf_dir: str, directory: str, gap: str
         first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
         header = F.when(first, F.lit(",".join(schema.names) + "\n")).otherwise("")
         lines.select(F.concat(header, "line")).write.text(os.path.join(directory, name))
+
+
+def write_category_names(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """A lookup file of the products' categories: one line each with a readable
+    name; categories that start with PROMO have none, so their lines are short."""
+    kind = F.col("p_type")
+    line = F.when(kind.startswith("PROMO"), kind).otherwise(
+        F.concat(kind, F.lit(',"'), F.initcap(F.lower(kind)), F.lit('"')))
+    lines = table(spark, sf_dir, "part").where(kind.isNotNull()).select(line.alias("line")).distinct().coalesce(1)
+    first = F.monotonically_increasing_id() == 0
+    header = F.when(first, F.lit("product_category_name,product_category_name_english\n")).otherwise("")
+    lines.select(F.concat(header, "line")).write.text(path)

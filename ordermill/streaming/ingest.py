@@ -10,7 +10,7 @@ overwrites its own folder, so every message lands exactly once.
 
 Batch size follows the trigger: ``processing_time`` sets the flush
 interval and ``max_per_trigger`` caps the rows (topic offsets) or files of
-one micro-batch. ``available_now=True`` drains what is there and stops.
+one micro-batch (``max_bytes``: their bytes), ``flush_rows`` those of a landed file. ``available_now=True`` drains what is there and stops.
 
 Messages of a topic keep their key, partition and offset in the landing table
 and the quarantine. A sink that has lost its checkpoint then takes the topic
@@ -115,12 +115,18 @@ def recorded_topic_source(spark: SparkSession, path: str, max_per_trigger: int |
     return positioned(reader.parquet(path))
 
 
-def text_order_source(spark: SparkSession, path: str,
-                      max_per_trigger: int | None = None) -> DataFrame:
-    """Folder of text files, one JSON message per line."""
+def text_order_source(spark: SparkSession, path: str, max_per_trigger: int | None = None,
+                      max_bytes: int | None = None) -> DataFrame:
+    """Folder of text files, one JSON message per line. A micro-batch takes at
+    most ``max_per_trigger`` files, or files of ``max_bytes`` together (one at
+    least); Spark takes one of the two."""
     reader = spark.readStream.format("text")
+    if max_per_trigger and max_bytes:
+        raise ValueError("give max_per_trigger or max_bytes, not both")
     if max_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_per_trigger))
+    if max_bytes:
+        reader = reader.option("maxBytesPerTrigger", str(max_bytes))
     return reader.load(path)
 
 
@@ -185,13 +191,16 @@ class LandingSink:
     """Where a stream of orders lands: good rows, rejects, and progress.
 
     ``arrival`` is the time of arrival of a decoded message: now, or, when
-    history is replayed, an expression over the landing columns.
+    history is replayed, an expression over the landing columns. ``flush_rows``
+    caps the rows of one landed file, whatever the source gives at once: a
+    writer closes its file at that count and opens the next.
     """
 
     landing: str
     quarantine: str
     checkpoint: str
     arrival: Column | None = None
+    flush_rows: int | None = None
 
     def write_batch(self, batch: DataFrame, batch_id: int, landed: Landed | None = None) -> None:
         arrival = now_ntz() if self.arrival is None else self.arrival
@@ -211,6 +220,7 @@ class LandingSink:
             bad = decoded.where(F.col("reject_reason").isNotNull()).select(
                 "raw", "reject_reason", "insert_timestamp", *position)
             (good.write.mode("overwrite").partitionBy("ingest_hour")
+             .option("maxRecordsPerFile", self.flush_rows or 0)
              .parquet(os.path.join(self.landing, f"batch_id={batch_id}")))
             bad.write.mode("overwrite").parquet(
                 os.path.join(self.quarantine, f"batch_id={batch_id}"))

@@ -69,6 +69,21 @@ def test_landing_exactly_once_with_quarantine_and_replay(spark, tmp):
     assert spark.read.parquet(land).count() == 8
 
 
+def test_rows_and_bytes_of_a_flush(spark, tmp):
+    src, land, bad = (os.path.join(tmp, d) for d in ("in", "land", "bad"))
+    for k in range(3):
+        _drop(src, f"f{k}.json", [_msg(i) for i in range(25)])
+    size = os.path.getsize(os.path.join(src, "f0.json"))
+    sink = ingest.LandingSink(land, bad, os.path.join(tmp, "c"), flush_rows=10)
+    sink.start(ingest.text_order_source(spark, src, max_bytes=size), available_now=True).awaitTermination()
+    landed = ingest.read_landing(spark, land).select("batch_id", F.input_file_name().alias("file"))
+    assert {r["count"] for r in landed.groupBy("batch_id").count().collect()} == {25}
+    per_file = [r["count"] for r in landed.groupBy("file").count().collect()]
+    assert max(per_file) == 10 and sum(per_file) == 75
+    with pytest.raises(ValueError, match="not both"):
+        ingest.text_order_source(spark, src, 1, 1)
+
+
 def test_refuses_restart_on_lost_checkpoint(spark, tmp):
     src, land, bad = (os.path.join(tmp, d) for d in ("in", "land", "bad"))
     _drop(src, "f1.json", [_msg(1)])
