@@ -89,13 +89,16 @@ def fact_orders(orders: DataFrame, items: DataFrame, payments: DataFrame,
     de-duplicate the eight narrow order columns before the joins, hash
     partitioned on order_id so the joins reuse that partitioning: each input
     is shuffled once, and no shuffle ever carries the wide joined rows.
+    Items are shuffled as they are too: collecting ids before the shuffle
+    would sort them twice and make them no fewer.
 
     ``co_located``: the four inputs lie in the same buckets of order_id (see
     ``sources.bucketed``), so nothing is shuffled at all.
     """
     own_orders = orders.select(*ORDER_COLUMNS)
     distinct_orders = (own_orders if co_located else own_orders.repartition("order_id")).distinct()
-    j = order_left_join_chain(distinct_orders, items, payments, reviews)
+    own_items = items if co_located else items.repartition("order_id")
+    j = order_left_join_chain(distinct_orders, own_items, payments, reviews)
     zero = F.lit(0)
     items_price = F.coalesce("total_items_price", zero)
     freight = F.coalesce("total_freight_value", zero)

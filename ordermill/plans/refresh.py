@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.operators import marts
+from ordermill.session import shared_dir
 
 BUCKETS = 256
 
@@ -90,17 +91,30 @@ def refresh(spark: SparkSession, stg: Mapping[str, DataFrame], changes: Mapping[
     keys = touched_keys(changes, name)
     if keys is None:
         return read(spark, root, name)
-    hit = sorted(r["bucket"] for r in keys.select(_bucket(key, buckets)).distinct().collect())
+    # The change set is evaluated once; every later step reads these keys.
+    touched = shared_dir(spark, "touched", name)
+    keys.write.parquet(touched)
+    keys = spark.read.schema(keys.schema).parquet(touched)
+    found = keys.select(_bucket(key, buckets), F.col(key).isNull().alias("unknown")).distinct().collect()
+    hit = sorted({r["bucket"] for r in found})
     if not hit:
         return read(spark, root, name)
-    wanted = keys.withColumnRenamed(key, "_key")
+    wanted = keys.where(F.col(key).isNotNull()).withColumnRenamed(key, "_key")
+    of_null = F.col(key).isNull() if any(r["unknown"] for r in found) else None
 
-    def of_keys(df: DataFrame, how: str) -> DataFrame:
-        return df.join(wanted, df[key].eqNullSafe(wanted["_key"]), how)
+    # Plain equality leaves the rows partitioned by the key, as the marts group
+    # them next; the null key, which it never matches, is taken by a filter.
+    def touched_rows(df: DataFrame) -> DataFrame:
+        rows = df.join(wanted, df[key] == wanted["_key"], "left_semi")
+        return rows if of_null is None else rows.unionByName(df.where(of_null))
 
-    fresh = make(*[of_keys(stg[s], "left_semi") for s in sources])
+    def untouched_rows(df: DataFrame) -> DataFrame:
+        df = df if of_null is None else df.where(~of_null)
+        return df.join(wanted, df[key] == wanted["_key"], "left_anti")
+
+    fresh = make(*[touched_rows(stg[s]) for s in sources])
     old = spark.read.parquet(path).where(F.col("_live") & F.col("bucket").isin(hit)).drop("_live", "bucket")
-    rows = of_keys(old, "left_anti").select(*fresh.columns).unionByName(fresh)
+    rows = untouched_rows(old).select(*fresh.columns).unionByName(fresh)
     _write(rows, key, path, buckets, spark.createDataFrame([(b,) for b in hit], "bucket int"))
     spark.catalog.refreshByPath(path)
     return read(spark, root, name)

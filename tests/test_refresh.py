@@ -75,6 +75,50 @@ def test_no_changes(spark, stg, tmp):
     assert files(tmp, "dim_customers") == before
 
 
+def test_changes_are_evaluated_once(spark, stg, tmp):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(key):
+        seen.add(1)
+        return key
+    refresh.build(stg, "fact_orders", tmp, buckets=4)
+    some = stg["stg_order_items"].where("order_id % 20 = 3")
+    counted = some.select(F.udf(count, "long")("order_id").alias("order_id"))
+    refresh.refresh(spark, stg, {"stg_order_items": counted}, "fact_orders", tmp, buckets=4)
+    assert seen.value == some.count() > 0
+
+
+@pytest.mark.parametrize("touched", [True, False])
+def test_rows_of_the_null_key(spark, stg, tmp, touched):
+    null = F.lit(None).cast("long")
+    orders = stg["stg_orders"]
+    without = dict(stg) | {"stg_orders": orders.where("order_id % 30 <> 1").unionByName(
+        orders.where("order_id % 40 = 2").withColumn("order_id", null))}
+    refresh.build(without, "fact_orders", tmp, buckets=4)
+    now = dict(stg) | {"stg_orders": orders.unionByName(
+        orders.where("order_id % 40 = 2" if not touched else "order_id % 50 = 2").withColumn("order_id", null))}
+    changes = {"stg_orders": refresh.differences(without["stg_orders"], now["stg_orders"])}
+    assert (changes["stg_orders"].where("order_id is null").count() > 0) == touched
+    got = rows(refresh.refresh(spark, now, changes, "fact_orders", tmp, buckets=4))
+    assert got == rows(refresh.MARTS["fact_orders"][2](*[now[s] for s in refresh.MARTS["fact_orders"][1]]))
+    assert any(r[0] == "None" for r in got)
+
+
+def test_semi_joined_items_are_not_shuffled_again(spark, stg, tmp, monkeypatch):
+    """The touched rows stay partitioned by the key, as the mart groups them."""
+    plans, write = [], refresh._write
+    refresh.build(stg, "fact_orders", tmp, buckets=4)
+    monkeypatch.setattr(refresh, "_write", lambda df, *a: (plans.append(df._jdf.queryExecution().executedPlan().toString()), write(df, *a)))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        refresh.refresh(spark, stg, {"stg_orders": stg["stg_orders"].where("order_id % 7 = 1")}, "fact_orders", tmp, buckets=4)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # the keys for each of five joins, four tables and the old mart
+    assert plans[0].count("Exchange hashpartitioning") == 10
+
+
 def test_differences_counts_copies(spark):
     a = spark.createDataFrame([(1, None), (1, None), (2, "x"), (3, "y")], "k int, v string")
     b = spark.createDataFrame([(1, None), (2, "x"), (3, "z")], "k int, v string")
