@@ -77,18 +77,29 @@ class Encoder:
             text = text.lower()
         return text.replace("\n", " ").replace("\t", " ")
 
-    def core(self, word: str) -> tuple[str, str]:
-        """A word without the marks after its last letter, which the tokenizer
-        splits off as a piece of their own, and those marks."""
-        core = word.rstrip(string.punctuation)
-        if len(core) < len(word) and core and core[-1].lower()[-1].isalpha() and not any(h in word for h in self.hooks):
-            return core, word[len(core):]
-        return word, ""
+    def pieces(self, words: pa.LargeStringArray) -> pa.LargeStringArray:
+        """Two pieces a word: the word up to its last letter, and the marks
+        after it, which the tokenizer splits off as a piece of their own; the
+        second is empty where there are none. Both lie in the words' memory."""
+        if not len(words):
+            return words
+        cores = pc.utf8_rtrim(words, characters=string.punctuation)
+        last = pc.utf8_slice_codeunits(cores, -1)
+        letters = [c for c in last.unique().to_pylist() if c and c.lower()[-1].isalpha()]
+        apart = pc.is_in(last, value_set=pa.array(letters, last.type))
+        for hook in self.hooks:
+            apart = pc.and_not(apart, pc.match_substring(words, hook))
+        sizes = pc.if_else(apart, pc.binary_length(cores), pc.binary_length(words)).to_numpy()
+        _, offsets, letters = words.buffers()
+        bounds = np.frombuffer(offsets, np.int64)[words.offset:words.offset + len(words) + 1]
+        cuts = np.empty(2 * len(words) + 1, np.int64)
+        cuts[::2], cuts[1::2] = bounds, bounds[:-1] + sizes
+        return pa.LargeStringArray.from_buffers(2 * len(words), pa.py_buffer(cuts), letters)
 
     def encode_words(self, words: list[str]) -> list[bytes]:
         """Ids of each word: plain words by the merges alone, others many a
-        call, parted by an added token."""
-        got = {}
+        call, parted by an added token; the empty word has none."""
+        got = {"": b""}
         plain = list(filter(self.latin, words)) if self.ends.any() else []
         for k in range(0, len(plain), MERGED_WORDS):
             some = plain[k:k + MERGED_WORDS]
@@ -98,8 +109,9 @@ class Encoder:
                 raise ValueError("a word has no end")
             flat = ids.tobytes()
             got.update(zip(some, [flat[a:b] for a, b in zip([0, *cuts], cuts)]))
-        if len(got) < len(words):
-            got |= self._by_calls([w for w in words if w not in got])
+        rest = [w for w in words if w not in got]
+        if rest:
+            got |= self._by_calls(rest)
         return [got[w] for w in words]
 
     def _by_calls(self, words: list[str]) -> dict[str, bytes]:
@@ -127,25 +139,17 @@ class Encoder:
     def ids_of(self, words: list[str]) -> list[bytes]:
         """Ids of distinct words: known ones from the two caches, of which the
         older goes once the younger is full, so frequent words stay."""
-        cache, older = self.cache, self.older
-        got = [cache.get(w) or older.get(w) for w in words]
-        new = [w for w, ids in zip(words, got) if not ids]       # the empty word, too
-        if new:
-            cores = {w: self.core(w) for w in new}
-            parts = set(new).difference([""])
-            for word, (core, tail) in cores.items():
-                if tail:
-                    parts.discard(word)
-                    parts.update((core, tail))
-            known = {c: ids for c in parts if (ids := cache.get(c) or older.get(c))}
-            missing = list(parts.difference(known))
-            known |= zip(missing, self.encode_words(missing))
-            known[""] = b""
-            fresh = {w: known[core] + known[tail] if tail else known[core] for w, (core, tail) in cores.items()}
-            got = [ids or fresh[w] for w, ids in zip(words, got)]
-        if len(cache) + len(words) > CACHE_WORDS:
-            self.older, self.cache = cache, {}
-        self.cache.update(zip(words, got))
+        got = list(map(self.cache.get, words))
+        new = [w for w, ids in zip(words, got) if ids is None]
+        if not new:
+            return got
+        fresh = {w: ids for w, ids in zip(new, map(self.older.get, new)) if ids is not None}
+        missing = [w for w in new if w not in fresh] if fresh else new
+        fresh.update(zip(missing, self.encode_words(missing)))
+        got = [fresh[w] if ids is None else ids for w, ids in zip(words, got)]
+        if len(self.cache) + len(fresh) > CACHE_WORDS:
+            self.older, self.cache = self.cache, {}
+        self.cache.update(fresh)
         return got
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
@@ -157,14 +161,22 @@ class Encoder:
         split and numbered as Arrow arrays; Python sees each distinct one."""
         parts = pc.split_pattern(pa.array([self.plain(t) for t in texts], pa.large_string()), " ")
         coded = parts.flatten().dictionary_encode()
-        ids = self.ids_of(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        pieces = self.pieces(coded.dictionary).dictionary_encode()
+        ids = self.ids_of(pieces.dictionary.to_numpy(zero_copy_only=False).tolist())
         sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        pool, first = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(sizes) - sizes
-        word = coded.indices.to_numpy()
-        size = sizes[word]
-        ends = np.concatenate(([0], np.cumsum(size)))
-        at = np.repeat(first[word] - ends[:-1], size) + np.arange(ends[-1])
-        return pool[at], np.diff(ends[parts.offsets.to_numpy()])
+        pool, sizes = _gather(np.frombuffer(b"".join(ids), "<u4"), sizes, pieces.indices.to_numpy())
+        pool, sizes = _gather(pool, sizes[::2] + sizes[1::2], coded.indices.to_numpy())
+        ends = np.concatenate(([0], np.cumsum(sizes)))
+        return pool, np.diff(ends[parts.offsets.to_numpy()])
+
+
+def _gather(pool: np.ndarray, sizes: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The chosen runs of ``pool``, which holds runs of these sizes, in a row;
+    and the size of each."""
+    first, size = np.cumsum(sizes) - sizes, sizes[chosen]
+    ends = np.cumsum(size)
+    at = np.repeat(first[chosen] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
+    return pool[at], size
 
 
 def _encoder(path: str) -> Encoder:

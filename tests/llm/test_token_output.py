@@ -67,6 +67,19 @@ def test_encoder_equals_the_library():
     assert [x.tolist() for x in Encoder(PATH).encode(texts)] == want
 
 
+def test_words_that_differ_in_their_marks_are_encoded_once():
+    stems, marks = ["alpha", "Βeta", "gémma", "x1", "<|endoftext|>", "İ"], ["", ",", ".", "!?", "...", "|>", "'"]
+    texts = [" ".join(s + m for s in stems for m in marks), " ".join(marks), ""]
+    encoder, seen = Encoder(PATH), []
+    inner = encoder.encode_words
+    encoder.encode_words = lambda words: seen.extend(words) or inner(words)
+    library = Tokenizer.from_file(PATH)
+    for _ in range(2):
+        assert [x.tolist() for x in encoder.encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(seen) == len(set(seen)) and {"alpha", ",", "!?", ""} <= set(seen) and "alpha," not in seen
+    assert set(encoder.cache) == set(seen)
+
+
 def brute(rows):
     library = Tokenizer.from_file(PATH)
     out, start = [], 0
