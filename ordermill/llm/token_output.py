@@ -25,8 +25,9 @@ END_ID = 1
 TERMINATOR = "\n"
 BLOCK_IDS = 1 << 16
 FILE_BYTES = 8 << 20
-CACHE_WORDS = 400_000       # of each of a worker's two caches: about 140 MB together
-SLICE_CHARS = 6 << 20       # encoded at a time
+CACHE_WORDS = 250_000       # of each of a worker's two caches: about 90 MB together
+CACHED_CHARS = 64           # longer words seldom come again, so caches hold none
+SLICE_CHARS = 1 << 20       # encoded at a time
 LATIN_END = 0x250           # letters below this code point
 JOINED_WORDS = 200          # distinct words encoded in one call
 MERGED_WORDS = 2000         # plain ones
@@ -147,6 +148,7 @@ class Encoder:
         missing = [w for w in new if w not in fresh] if fresh else new
         fresh.update(zip(missing, self.encode_words(missing)))
         got = [fresh[w] if ids is None else ids for w, ids in zip(words, got)]
+        fresh = {w: ids for w, ids in fresh.items() if len(w) <= CACHED_CHARS}
         if len(self.cache) + len(fresh) > CACHE_WORDS:
             self.older, self.cache = self.cache, {}
         self.cache.update(fresh)
@@ -185,16 +187,15 @@ def _encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def _slices(doc_ids: list, texts: list, size: int = SLICE_CHARS):
-    """Runs of documents of about ``size`` characters."""
-    at, held = 0, 0
-    for k, text in enumerate(texts):
-        held += len(text)
-        if held >= size:
-            yield doc_ids[at:k + 1], texts[at:k + 1]
-            at, held = k + 1, 0
-    if at < len(texts):
-        yield doc_ids[at:], texts[at:]
+def _slices(batch: pa.RecordBatch, size: int = SLICE_CHARS):
+    """Runs of a batch's documents of about ``size`` characters."""
+    ends = np.cumsum(pc.utf8_length(batch.column(1)).to_numpy(zero_copy_only=False), dtype=np.int64)
+    a = 0
+    while a < batch.num_rows:
+        before = int(ends[a - 1]) if a else 0
+        b = min(int(np.searchsorted(ends, before + size)) + 1, batch.num_rows)
+        yield batch.slice(a, b - a)
+        a = b
 
 
 def _blocks(doc_ids: list, ids: np.ndarray, lengths: np.ndarray):
@@ -213,8 +214,8 @@ def _write(path: str):
     def run(batches):
         encoder, done, size = _encoder(path), [], 0
         for batch in batches:
-            for doc_ids, texts in _slices(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for block in _blocks(doc_ids, *encoder.encode_all(texts)):
+            for part in _slices(batch):
+                for block in _blocks(part.column(0).to_pylist(), *encoder.encode_all(part.column(1).to_pylist())):
                     done.append(block)
                     size += len(block)
                     if size >= FILE_BYTES:

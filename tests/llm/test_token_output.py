@@ -1,10 +1,12 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -12,7 +14,7 @@ from tokenizers import Tokenizer
 
 from ordermill.llm.queries import op5_token_output
 from ordermill.llm.simple8b import COUNTS, pack, read_blocks, read_document, unpack, write_block
-from ordermill.llm.token_output import Encoder, token_output
+from ordermill.llm.token_output import CACHED_CHARS, Encoder, _write, token_output
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -80,6 +82,35 @@ def test_words_that_differ_in_their_marks_are_encoded_once():
     assert set(encoder.cache) == set(seen)
 
 
+def test_a_worker_holds_little_beside_its_batch(monkeypatch):
+    monkeypatch.setattr("ordermill.llm.token_output._ENCODERS", {})
+    monkeypatch.setattr(Encoder, "encode_words", lambda self, words: [b"\5\0\0\0" * 2 if w else b"" for w in words])
+    rng = np.random.default_rng(1)
+    words = ["".join(w) for w in rng.choice(list("abcdefghijklmnopqrstuvwxyz"), (600_000, 8))]
+    texts = [" ".join(words[k:k + 1000]) for k in range(0, len(words), 1000)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+    del words, texts
+    write = _write(PATH)
+    sum(out.num_rows for out in write([batch.slice(0, 1)]))     # the encoder is loaded
+    tracemalloc.start()
+    try:
+        files = b"".join(f for out in write([batch]) for f in out.column(0).to_pylist())
+        peak = tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+    read = [doc_id for doc_ids, _, _ in read_blocks(files) for doc_id in doc_ids]
+    assert read == list(range(600))
+    assert peak < 80     # 113 with slices of 6 million characters and caches of 400,000 words
+
+
+def test_long_words_are_encoded_but_not_kept():
+    texts = ["x" * CACHED_CHARS + " short", "y" * (CACHED_CHARS + 1) + " " + "é" * 5000 + ", short"]
+    library, encoder = Tokenizer.from_file(PATH), Encoder(PATH)
+    for _ in range(2):
+        assert [x.tolist() for x in encoder.encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert set(encoder.cache) == {"x" * CACHED_CHARS, "short", ",", ""}
+
+
 def brute(rows):
     library = Tokenizer.from_file(PATH)
     out, start = [], 0
